@@ -1,7 +1,171 @@
-"""Learning plans on the documents tables (filled in with the learn operators)."""
+"""Learning plans on the driver tables.
+
+The target is the document language, which is learnable from the rate of
+language-specific letters in the whole text; ``embeddings`` drives KNN.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from periodfact.operators import learn as L
+from periodfact.plans.tables import read
+
+# Letters marking a language (counted over the whole text).
+MARKERS = {"fr": "[éèêàçùœ]", "de": "[äöüß]", "es": "[ñ¿¡áíóú]"}
+# The class list of the language target, alphabetical.
+LANGS = ["de", "en", "es", "fr"]
+FEATURES = ["fr_rate", "de_rate", "es_rate", "quality", "toxic"]
+SEED, TEST_SIZE, FINAL_TEST_SIZE = 42, 0.2, 0.4
+N_SEEDS = 50
+# Hand-written scenario rows (fr_rate, de_rate, es_rate, quality, toxic).
+SCENARIOS = [[12.0, 0.5, 1.0, 1, 0], [0.2, 9.0, 0.1, 1, 0], [0.0, 0.0, 0.0, 0, 1]]
+
+
+def marks(text: str = "text") -> dict:
+    return {f"{lang}_marks": F.regexp_count(F.col(text), F.lit(p)) for lang, p in MARKERS.items()}
+
+
+def doc_features(spark: SparkSession, sf: str) -> DataFrame:
+    """M1 (+P6, X8): documents left join labels, letter counts, nulls -> 0."""
+    d = read(spark, sf, "documents").select("doc_id", "lang", "n_chars", "text")
+    lab = read(spark, sf, "labels").select("doc_id", "quality", "toxic")
+    d = d.join(lab, "doc_id", "left").withColumns(marks()).drop("text")
+    d = L.fill_missing(d, ["quality", "toxic"], 0)
+    size = F.greatest(F.col("n_chars"), F.lit(1)).cast("double")
+    return d.withColumns({f"{lang}_rate": F.col(f"{lang}_marks") * F.lit(1000.0) / size
+                          for lang in MARKERS})
+
+
+def q_features_filled(spark: SparkSession, sf: str) -> DataFrame:
+    f = doc_features(spark, sf)
+    idx = L.label_indexer("lang", "label_index").fit(f)
+    return idx.transform(f).select("doc_id", "lang", "n_chars", "quality", "toxic",
+                                   "fr_marks", "de_marks", "es_marks", "label_index")
+
+
+def q_holdout(spark: SparkSession, sf: str) -> DataFrame:
+    return L.holdout(read(spark, sf, "labels"), "doc_id", TEST_SIZE, SEED).select("doc_id", "is_test")
+
+
+def _balanced_labels(spark: SparkSession, sf: str) -> DataFrame:
+    h = L.holdout(read(spark, sf, "labels"), "doc_id", TEST_SIZE, SEED)
+    return L.oversample(h.where(~F.col("is_test")), "quality", "doc_id", SEED)
+
+
+def q_oversample_counts(spark: SparkSession, sf: str) -> DataFrame:
+    o = _balanced_labels(spark, sf)
+    return o.groupBy("quality").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.count_distinct("doc_id").alias("n_original"))
+
+
+def q_oversample_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _balanced_labels(spark, sf).groupBy("doc_id", "quality").agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
+def q_knn_predict(spark: SparkSession, sf: str) -> DataFrame:
+    e = L.holdout(read(spark, sf, "embeddings"), "vec_id", TEST_SIZE, SEED)
+    train = e.where(~F.col("is_test"))
+    test = e.where(F.col("is_test"))
+    return L.knn_classify(spark, train, test, "vec_id", "embedding", "label", k=5)
+
+
+def rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """A fixed rule: the language whose marker letters are most frequent, else English."""
+    d = read(spark, sf, "documents").select("lang", "text").withColumns(marks())
+    fr, de, es = F.col("fr_marks"), F.col("de_marks"), F.col("es_marks")
+    pred = (F.when((fr >= de) & (fr >= es) & (fr > 0), "fr")
+            .when((de >= es) & (de > 0), "de")
+            .when(es > 0, "es").otherwise("en"))
+    return d.select(F.col("lang").alias("label"), pred.alias("predicted"))
+
+
+def q_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return L.score(rule_predictions(spark, sf))
+
+
+def q_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    return L.confusion(rule_predictions(spark, sf), LANGS)
+
+
+def q_class_report(spark: SparkSession, sf: str) -> DataFrame:
+    return L.class_report(rule_predictions(spark, sf))
+
+
+# Model fitting (no SQL equivalent: rows-only checks) --------------------------
+def _prepared(spark: SparkSession, sf: str) -> DataFrame:
+    return L.assemble_features(doc_features(spark, sf), FEATURES)
+
+
+def _split(spark: SparkSession, sf: str, seed: int, test_size: float, data: DataFrame | None = None):
+    data = data if data is not None else _prepared(spark, sf)
+    return L.split_and_balance(data, "doc_id", "lang", test_size, seed)
+
+
+class _Knn:
+    """KNN behind the same ``transform`` as the fitted pyspark.ml models."""
+
+    def __init__(self, spark: SparkSession, train: DataFrame):
+        self.spark = spark
+        self.train = train.select("doc_id", vector_array("features").alias("vec"), "lang")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        key = "doc_id" if "doc_id" in df.columns else "Year"
+        test = df.select(F.col(key).alias("doc_id"), vector_array("features").alias("vec"))
+        pred = L.knn_classify(self.spark, self.train, test, "doc_id", "vec", "lang")
+        return df.join(pred.withColumnRenamed("doc_id", key), key)
+
+
+def vector_array(c: str):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(F.col(c))
+
+
+def fitted_models(spark: SparkSession, sf: str, seed: int = SEED, test_size: float = FINAL_TEST_SIZE):
+    train, test = _split(spark, sf, seed, test_size)
+    return {"Random Forest": L.fit_forest(train, "lang", seed=seed),
+            "K-Nearest Neighbors": _Knn(spark, train),
+            "Support Vector Machine": L.fit_linear_svm(train, "lang")}, test
+
+
+def _scores(model, test: DataFrame) -> DataFrame:
+    return L.score(model.transform(test).select(F.col("lang").alias("label"), "predicted"))
+
+
+def q_forest_scores(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split(spark, sf, SEED, FINAL_TEST_SIZE)
+    return _scores(L.fit_forest(train, "lang", seed=SEED), test)
+
+
+def q_svm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split(spark, sf, SEED, FINAL_TEST_SIZE)
+    return _scores(L.fit_linear_svm(train, "lang"), test)
+
+
+def q_score_table(spark: SparkSession, sf: str) -> DataFrame:
+    models, test = fitted_models(spark, sf)
+    return L.score_table({name: _scores(m, test) for name, m in models.items()})
+
+
+def q_scenario_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    models, _ = fitted_models(spark, sf)
+    return L.predict_scenarios(spark, models, SCENARIOS, FEATURES, 2025)
+
+
+def q_seed_search(spark: SparkSession, sf: str) -> DataFrame:
+    data = _prepared(spark, sf).persist()
+
+    def accuracy(seed: int) -> float:
+        train, test = _split(spark, sf, seed, FINAL_TEST_SIZE, data)
+        return _scores(L.fit_forest(train, "lang", seed=seed), test).first()["accuracy"]
+
+    best, results = L.seed_search(accuracy, list(range(N_SEEDS)))
+    data.unpersist()
+    return spark.createDataFrame([(s, float(a), s == best) for s, a in results],
+                                 "seed int, accuracy double, is_best boolean")
+
 
 def queries() -> dict:
-    return {}
+    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}

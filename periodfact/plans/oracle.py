@@ -348,7 +348,7 @@ READ_DELIMITED_ROUNDTRIP = "SELECT n_nationkey, n_name, n_regionkey AS period FR
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return _learning_sql() | {
         "mean_by_period": MEAN_BY_PERIOD,
         "mean_join_inner": MEAN_JOIN_INNER,
         "sum_all_by_period": SUM_ALL_BY_PERIOD,
@@ -379,3 +379,95 @@ def oracle_sql() -> dict[str, str]:
         "family_union": FAMILY_UNION,
         "read_delimited_roundtrip": READ_DELIMITED_ROUNDTRIP,
     }
+
+
+# Learning ---------------------------------------------------------------------
+def _holdout(table: str, key: str, cols: str, seed: int = 42, size: float = 0.2) -> str:
+    return (f"SELECT {cols}, row_number() OVER (ORDER BY md5('{seed}|' || CAST({key} AS VARCHAR)), {key}) "
+            f"<= CEIL(count(*) OVER () * CAST({size} AS DOUBLE)) AS is_test FROM {table}")
+
+
+def _marks(text: str = "text") -> str:
+    from periodfact.plans.learning import MARKERS
+    return ", ".join(f"CAST(len(regexp_extract_all({text}, '{p}')) AS INTEGER) AS {lang}_marks"
+                     for lang, p in MARKERS.items())
+
+
+def _rule() -> str:
+    return (f"p AS (SELECT lang AS label, CASE WHEN fr_marks >= de_marks AND fr_marks >= es_marks "
+            f"AND fr_marks > 0 THEN 'fr' WHEN de_marks >= es_marks AND de_marks > 0 THEN 'de' "
+            f"WHEN es_marks > 0 THEN 'es' ELSE 'en' END AS predicted "
+            f"FROM (SELECT lang, {_marks()} FROM documents))")
+
+
+_REPORT = """
+a AS (SELECT label AS class, count(*) AS support, sum(CAST(label = predicted AS BIGINT)) AS tp
+      FROM p GROUP BY 1),
+g AS (SELECT predicted AS class, count(*) AS n_predicted FROM p GROUP BY 1),
+per AS (SELECT coalesce(a.class, g.class) AS class, coalesce(support, 0) AS support,
+               coalesce(tp, 0) AS tp, coalesce(n_predicted, 0) AS n_predicted
+        FROM a FULL JOIN g ON a.class = g.class),
+pr AS (SELECT class, support, tp,
+              coalesce(CAST(tp AS DOUBLE) / nullif(CAST(n_predicted AS DOUBLE), 0), 0.0) AS precision,
+              coalesce(CAST(tp AS DOUBLE) / nullif(CAST(support AS DOUBLE), 0), 0.0) AS recall
+       FROM per),
+rep AS (SELECT class, precision, recall,
+               coalesce(CAST(2 AS DOUBLE) * precision * recall / nullif(precision + recall, 0), 0.0) AS f1,
+               support, tp
+        FROM pr)"""
+
+
+def _learning_sql() -> dict[str, str]:
+    from periodfact.plans.learning import LANGS
+    conf = ", ".join(f"count(*) FILTER (WHERE predicted = '{c}') AS {c}" for c in LANGS)
+    n = "CAST(sum(support) AS DOUBLE)"
+    return {
+        "features_filled": f"""
+SELECT d.doc_id, lang, n_chars, CAST(coalesce(quality, 0) AS INTEGER) AS quality,
+       CAST(coalesce(toxic, 0) AS INTEGER) AS toxic, {_marks('d.text')},
+       CAST(dense_rank() OVER (ORDER BY lang) - 1 AS DOUBLE) AS label_index
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""",
+        "holdout": f"SELECT doc_id, is_test FROM ({_holdout('labels', 'doc_id', 'doc_id')})",
+        "oversample_counts": f"""
+WITH h AS ({_holdout('labels', 'doc_id', 'doc_id, quality')}),
+tr AS (SELECT quality, count(*) AS n FROM h WHERE NOT is_test GROUP BY 1)
+SELECT quality, (SELECT max(n) FROM tr) AS n_rows, n AS n_original FROM tr
+""",
+        "oversample_rows": f"""
+WITH h AS ({_holdout('labels', 'doc_id', 'doc_id, quality')}),
+tr AS (SELECT doc_id, quality FROM h WHERE NOT is_test),
+c AS (SELECT quality, count(*) AS n FROM tr GROUP BY 1),
+m AS (SELECT max(n) AS m FROM c)
+SELECT doc_id, tr.quality,
+       CAST(m // n + CASE WHEN row_number() OVER (PARTITION BY tr.quality
+                ORDER BY md5('42|os|' || CAST(doc_id AS VARCHAR)), doc_id) <= m % n
+            THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM tr JOIN c ON tr.quality = c.quality CROSS JOIN m
+""",
+        "knn_predict": f"""
+WITH h AS ({_holdout('embeddings', 'vec_id', 'vec_id, embedding, label')}),
+te AS (SELECT vec_id, embedding FROM h WHERE is_test),
+tr AS (SELECT vec_id, embedding, label FROM h WHERE NOT is_test),
+d AS (SELECT te.vec_id AS q, tr.vec_id AS t, tr.label,
+             list_reduce(list_transform(range(1, len(te.embedding) + 1),
+                 lambda i: (CAST(tr.embedding[i] AS DOUBLE) - CAST(te.embedding[i] AS DOUBLE))
+                         * (CAST(tr.embedding[i] AS DOUBLE) - CAST(te.embedding[i] AS DOUBLE))),
+                 lambda x, y: x + y) AS dist
+      FROM te CROSS JOIN tr),
+nn AS (SELECT q, label FROM (SELECT q, label, row_number() OVER (PARTITION BY q ORDER BY dist, t) AS rn
+                             FROM d) WHERE rn <= 5),
+v AS (SELECT q, label, count(*) AS c FROM nn GROUP BY 1, 2)
+SELECT q AS vec_id, label AS predicted
+FROM (SELECT q, label, row_number() OVER (PARTITION BY q ORDER BY c DESC, label ASC) AS rn FROM v)
+WHERE rn = 1
+""",
+        "class_report": f"WITH {_rule()},{_REPORT}\nSELECT class, precision, recall, f1, support FROM rep",
+        "model_scores": f"""WITH {_rule()},{_REPORT}
+SELECT {R(f'sum(precision * support) / {n}', 6)} AS precision,
+       {R(f'sum(recall * support) / {n}', 6)} AS recall,
+       {R(f'sum(f1 * support) / {n}', 6)} AS f1,
+       {R(f'CAST(sum(tp) AS DOUBLE) / {n}', 6)} AS accuracy
+FROM rep""",
+        "confusion": f"WITH {_rule()}\nSELECT label AS actual, {conf} FROM p GROUP BY 1",
+    }
