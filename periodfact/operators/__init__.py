@@ -13,7 +13,8 @@ from periodfact.operators.reshape import (BlockLayout, pivot_categories, unpivot
 from periodfact.operators.tally import (apply_unmatched_policy, assert_all_matched,
                                         bounded_broadcast, category_rank, first_by_key,
                                         lookup_first, shares, tally, total, unmatched,
-                                        winner_category, winner_item)
+                                        winner_category, winner_item,
+                                        winner_of_columns)
 
 __all__ = [
     "drop_columns", "drop_null_keys", "filter_category", "first_columns", "measure_gap",
@@ -23,5 +24,5 @@ __all__ = [
     "sum_all_by_period", "with_period", "BlockLayout", "pivot_categories", "unpivot_blocks",
     "unpivot_layouts", "apply_unmatched_policy", "assert_all_matched", "bounded_broadcast",
     "category_rank", "first_by_key", "lookup_first", "shares", "tally", "total", "unmatched",
-    "winner_category", "winner_item",
+    "winner_category", "winner_item", "winner_of_columns",
 ]

@@ -45,7 +45,7 @@ def to_decimal(df: DataFrame, cols: Sequence[str], precision: int = 10, scale: i
     return df.withColumns({c: F.col(q(c)).try_cast(t) for c in cols})
 
 
-def assemble_fact(shares: DataFrame, winner: DataFrame, indicators: DataFrame | None,
+def assemble_fact(shares: DataFrame, winner: DataFrame | None, indicators: DataFrame | None,
                   totals: DataFrame | None, keys: Sequence[str] = ("period",),
                   period: str = "period", share_cols: Sequence[str] = (),
                   indicator_cols: Sequence[str] = (), total_cols: Sequence[str] = (),
@@ -53,12 +53,15 @@ def assemble_fact(shares: DataFrame, winner: DataFrame, indicators: DataFrame |
                   total_precision: int = 20) -> DataFrame:
     """J5 (+K2): one fact row per group: winner, shares, the period's indicators, totals.
 
+    ``winner`` is a per-group frame, or None when ``shares`` already carries
+    a ``winner`` column.
+
     Everything is a keyed left join on the period, so a missing indicator
     gives nulls instead of shifting columns.  Shares and indicators are
     ``DECIMAL(precision, scale)``; totals get ``total_precision`` digits
     because yearly sums outgrow ``DECIMAL(10,2)`` at scale.
     """
-    fact = shares.join(winner, on=list(keys), how="left")
+    fact = shares if winner is None else shares.join(winner, on=list(keys), how="left")
     if indicators is not None:
         fact = fact.join(indicators, on=period, how="left")
     if totals is not None:

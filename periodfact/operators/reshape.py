@@ -94,17 +94,27 @@ def unpivot_layouts(frames: Sequence[tuple[DataFrame, Sequence[str], BlockLayout
 
 def pivot_categories(df: DataFrame, index: Sequence[str], category: str, value: str,
                      categories: Sequence[str], names: Mapping[str, str] | None = None,
-                     fill: object = 0) -> DataFrame:
+                     fill: object = 0, total: str | None = None,
+                     exact_scale: int | None = None) -> DataFrame:
     """A8 (+O3): one column per listed category, in list order, missing -> ``fill``.
 
-    The values are given, so Spark does not run a job to discover them, and
-    categories absent from the data still get their (zero) column.
-    Categories not in the list are left out of the columns.
+    The values are given, so no job runs to discover them, and categories
+    absent from the data still get their (zero) column.  Categories not in
+    the list are left out of the columns but, with ``total``, still counted
+    in a total column computed in the same aggregation (one pass, one
+    shuffle of the already reduced tally).  ``exact_scale`` sums in decimal.
     """
     names = dict(names or {})
-    wide = (df.groupBy(*[F.col(q(c)) for c in index])
-            .pivot(category, list(categories))
-            .agg(F.sum(F.col(q(value)))))
-    return wide.select(*[F.col(q(c)) for c in index],
-                       *[F.coalesce(F.col(q(c)), F.lit(fill).cast(wide.schema[c].dataType))
-                         .alias(names.get(c, c)) for c in categories])
+    v = F.col(q(value))
+    if exact_scale is not None:
+        v = v.cast(f"decimal(28,{exact_scale})")
+
+    def summed(c: Column) -> Column:
+        s = F.sum(c)
+        return s.cast("double") if exact_scale is not None else s
+
+    aggs = [F.coalesce(summed(F.when(F.col(q(category)) == F.lit(c), v)),
+                       F.lit(fill).cast("double")).alias(names.get(c, c)) for c in categories]
+    if total:
+        aggs.append(summed(v).alias(total))
+    return df.groupBy(*[F.col(q(c)) for c in index]).agg(*aggs)

@@ -60,15 +60,20 @@ def first_by_key(dim: DataFrame, key: str, values: Sequence[str], ordinal: str,
 
 def lookup_first(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
                  values: Sequence[str], ordinal: str, casefold: bool = False,
-                 how: str = "left", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                 how: str = "left", max_broadcast_rows: int | None = None) -> DataFrame:
     """J3 (+O2, X6): attach the first matching lookup row to every row.
 
-    One deduplicated lookup and one join replace a job per key.  The
-    lookup is broadcast only when its distinct-key count is within
-    ``max_broadcast_rows``.
+    One deduplicated lookup and one join replace a job per key.  By default
+    the join strategy is left to Spark's size checks: the planner broadcasts
+    a side whose estimated size (an upper bound after aggregation) is under
+    ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks the actual
+    size at run time; anything larger stays a sort-merge join with AQE skew
+    splitting.  ``max_broadcast_rows`` forces a broadcast behind an explicit
+    bounded row count instead.
     """
-    first = bounded_broadcast(first_by_key(dim, right_on, values, ordinal, casefold),
-                              max_broadcast_rows)
+    first = first_by_key(dim, right_on, values, ordinal, casefold)
+    if max_broadcast_rows is not None:
+        first = bounded_broadcast(first, max_broadcast_rows)
     lk = casefold_key(F.col(q(left_on))) if casefold else F.col(q(left_on))
     return df.join(first, lk == first["__key"], how).drop("__key")
 
@@ -114,15 +119,28 @@ def winner_category(tallied: DataFrame, group: Sequence[str], category: str, vot
                     categories: Sequence[str], out: str = "winner") -> DataFrame:
     """Category with the most votes per group; ties go to the earlier listed one.
 
-    Only listed categories can win.  ``max_by`` over ``struct(votes, -rank)``
+    Only listed categories with votes can win.  ``max_by`` over ``struct(votes, -rank)``
     gives a total order, so the result does not depend on row order.
     """
     rank = category_rank(F.col(q(category)), categories)
-    return (tallied.where(rank > 0)
+    return (tallied.where((rank > 0) & (F.col(q(votes)) > 0))
             .groupBy(*[F.col(q(g)) for g in group])
             .agg(F.max_by(F.col(q(category)), F.struct(F.col(q(votes)), -rank)).alias(out)))
 
 
+def winner_of_columns(wide: DataFrame, columns: Sequence[tuple[str, str]],
+                      out: str = "winner") -> DataFrame:
+    """A9 on a zero-filled pivot: per row, the label of the largest column.
+
+    ``columns`` is ``[(column, label), ...]`` in list order; ties go to the
+    earlier one and a row without any positive votes has no winner.  This is
+    a row-wise expression (no aggregation, no shuffle).
+    """
+    best = F.greatest(*[F.struct(F.col(q(c)).alias("v"), F.lit(-i).alias("r"), F.lit(label).alias("c"))
+                        for i, (c, label) in enumerate(columns)])
+    return wide.withColumn(out, F.when(best["v"] > 0, best["c"]))
+
+
 def winner_item(tallied: DataFrame, group: Sequence[str], item: str, votes: str,
                 ordinal: str, out: str = "winner_item") -> DataFrame:
     """First half of A10: the single biggest item per group; ties -> lowest ordinal."""

@@ -96,7 +96,13 @@ def q_class_report(spark: SparkSession, sf: str) -> DataFrame:
 
 # Model fitting (no SQL equivalent: rows-only checks) --------------------------
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
-    return L.assemble_features(doc_features(spark, sf), FEATURES)
+    """Feature rows written once to the checkpoint folder: the regex scans of
+    whole texts run once, and every fit reads the stored rows (lineage cut,
+    so a lost executor re-reads the checkpoint instead of re-scanning)."""
+    from periodfact.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    cols = ["doc_id", "lang", *FEATURES]
+    return L.assemble_features(doc_features(spark, sf).select(*cols).checkpoint(), FEATURES)
 
 
 def _split(spark: SparkSession, sf: str, seed: int, test_size: float, data: DataFrame | None = None):
@@ -155,14 +161,13 @@ def q_scenario_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_seed_search(spark: SparkSession, sf: str) -> DataFrame:
-    data = _prepared(spark, sf).persist()
+    data = _prepared(spark, sf)
 
     def accuracy(seed: int) -> float:
         train, test = _split(spark, sf, seed, FINAL_TEST_SIZE, data)
         return _scores(L.fit_forest(train, "lang", seed=seed), test).first()["accuracy"]
 
     best, results = L.seed_search(accuracy, list(range(N_SEEDS)))
-    data.unpersist()
     return spark.createDataFrame([(s, float(a), s == best) for s, a in results],
                                  "seed int, accuracy double, is_best boolean")
 

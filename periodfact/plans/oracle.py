@@ -199,7 +199,7 @@ SELECT l_orderkey, l_linenumber - 1 AS slot, min(l_partkey) AS item,
 
 # Shared CTEs of the tally chain ---------------------------------------------
 _IT = (f"it AS (SELECT {P('l_shipdate')} AS period, l_partkey AS item, sum(l_quantity) AS votes "
-       "FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1, 2)")
+       "FROM lineitem GROUP BY 1, 2)")
 _PK = ("pk AS (SELECT p_partkey, arg_min(p_brand, p_partkey) AS p_brand FROM part "
        "WHERE p_partkey IS NOT NULL GROUP BY 1)")
 _CT = ("ct AS (SELECT period, pk.p_brand AS code, sum(votes) AS votes "
@@ -227,7 +227,8 @@ def _winner(src: str = "cat") -> str:
     return (f"w AS (SELECT period, category AS winner FROM ("
             f"SELECT period, category, row_number() OVER (PARTITION BY period "
             f"ORDER BY votes DESC, coalesce(list_position({CAT_LIST}, category), 0) ASC) AS rn "
-            f"FROM {src} WHERE coalesce(list_position({CAT_LIST}, category), 0) > 0) WHERE rn = 1)")
+            f"FROM {src} WHERE coalesce(list_position({CAT_LIST}, category), 0) > 0 AND votes > 0) "
+            f"WHERE rn = 1)")
 
 
 _CHAIN = ",\n".join([_IT, _PK, _CT, _BT, _CAT])
@@ -264,7 +265,7 @@ TALLY_BY_CATEGORY = f"WITH {_CHAIN}\nSELECT period, category, votes FROM cat"
 
 ZERO_FILL_PIVOT = f"WITH {_CHAIN},\n{_zero_fill()}\nSELECT * FROM z"
 
-_TOTAL = f"t AS (SELECT {P('l_shipdate')} AS period, sum(l_quantity) AS total FROM lineitem GROUP BY 1)"
+_TOTAL = "t AS (SELECT period, sum(votes) AS total FROM it GROUP BY 1)"
 
 CATEGORY_SHARES = f"""
 WITH {_CHAIN},
@@ -280,7 +281,7 @@ WINNER_ITEM_CATEGORY = f"""
 WITH {_IT},
      w AS (SELECT period, item AS winner_item FROM (
              SELECT period, item, row_number() OVER (PARTITION BY period ORDER BY votes DESC, item ASC) AS rn
-             FROM it) WHERE rn = 1),
+             FROM it WHERE item IS NOT NULL) WHERE rn = 1),
      pt AS (SELECT p_partkey, arg_min(p_type, p_partkey) AS p_type FROM part GROUP BY 1)
 SELECT period, winner_item, pt.p_type AS category FROM w LEFT JOIN pt ON w.winner_item = pt.p_partkey
 """

@@ -17,7 +17,7 @@ from periodfact.operators import (BlockLayout, assemble_fact, drop_null_keys, fi
                                   row_total, safe_column_names, shares, spine_join,
                                   sum_all_by_period, tally, union_families, unmatched,
                                   unpivot_blocks, unpivot_layouts, winner_category, winner_item,
-                                  with_period)
+                                  winner_of_columns, with_period)
 from periodfact.plans.tables import (CATEGORIES, SEGMENT_CATEGORY, col_name, lineitem, orders,
                                      read)
 
@@ -197,6 +197,16 @@ def q_unpivot_layouts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # A6 F3 ---------------------------------------------------------------------
+def item_votes(spark: SparkSession, sf: str) -> DataFrame:
+    """Votes per (period, item), all rows included (a null item stays a group).
+
+    Totals, lookups and winners all start from this one aggregation, so the
+    lineitem scan and its shuffle run once and the exchange is reused.
+    """
+    li = lineitem(spark, sf).select("period", F.col("l_partkey").alias("item"), "l_quantity")
+    return tally(li, ["period", "item"], "l_quantity")
+
+
 def item_tally(spark: SparkSession, sf: str) -> DataFrame:
     li = lineitem(spark, sf).select("period", F.col("l_partkey").alias("item"), "l_quantity")
     return tally(drop_null_keys(li, ["item"]), ["period", "item"], "l_quantity")
@@ -210,7 +220,7 @@ def q_tally_items(spark: SparkSession, sf: str) -> DataFrame:
 def code_tally(spark: SparkSession, sf: str) -> DataFrame:
     """Votes per (period, code): items -> their code (candidate -> party)."""
     part = read(spark, sf, "part")
-    t = lookup_first(item_tally(spark, sf), part, "item", "p_partkey", ["p_brand"], "p_partkey")
+    t = lookup_first(item_votes(spark, sf), part, "item", "p_partkey", ["p_brand"], "p_partkey")
     return tally(t.withColumnRenamed("p_brand", "code"), ["period", "code"], "votes")
 
 
@@ -259,24 +269,25 @@ def q_tally_by_category(spark: SparkSession, sf: str) -> DataFrame:
 # A8 O3 ---------------------------------------------------------------------
 def category_votes(spark: SparkSession, sf: str) -> DataFrame:
     return pivot_categories(category_tally(spark, sf), ["period"], "category", "votes",
-                            CATEGORIES, names={c: col_name(c) for c in CATEGORIES})
+                            CATEGORIES, names={c: col_name(c) for c in CATEGORIES},
+                            total="total", exact_scale=2)
 
 
 def q_zero_fill_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return category_votes(spark, sf)
+    return category_votes(spark, sf).drop("total")
 
 
 # A3 A11 X5 -----------------------------------------------------------------
 def category_shares(spark: SparkSession, sf: str) -> DataFrame:
-    totals = tally(lineitem(spark, sf), ["period"], "l_quantity", "total")
-    wide = category_votes(spark, sf).join(totals, "period", "left")
+    wide = category_votes(spark, sf)
     cats = [col_name(c) for c in CATEGORIES]
-    return shares(wide, "total", cats).select("period", "total", *[f"share_{c}" for c in cats],
-                                              "share_residual")
+    out = shares(wide, "total", cats)
+    return winner_of_columns(out, [(col_name(c), c) for c in CATEGORIES]).select(
+        "period", "total", *[f"share_{c}" for c in cats], "share_residual", "winner")
 
 
 def q_category_shares(spark: SparkSession, sf: str) -> DataFrame:
-    return category_shares(spark, sf)
+    return category_shares(spark, sf).drop("winner")
 
 
 # A9 ------------------------------------------------------------------------
@@ -307,9 +318,8 @@ def indicators(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_period_fact(spark: SparkSession, sf: str) -> DataFrame:
     sh = category_shares(spark, sf).withColumnRenamed("total", "total_votes")
-    win = winner_category(category_tally(spark, sf), ["period"], "category", "votes", CATEGORIES)
     totals = row_total(orders(spark, sf).select("period", "o_totalprice"), out="orders_value")
-    return assemble_fact(sh, win, indicators(spark, sf), totals, share_cols=SHARE_COLS,
+    return assemble_fact(sh, None, indicators(spark, sf), totals, share_cols=SHARE_COLS,
                          indicator_cols=INDICATOR_COLS, total_cols=TOTAL_COLS)
 
 
@@ -325,13 +335,13 @@ def orders_family_fact(spark: SparkSession, sf: str) -> DataFrame:
     t = lookup_first(t, seg, "c_mktsegment", "segment", ["category"], "ordinal")
     cat = tally(t, ["period", "category"], "votes", exact_scale=2)
     wide = pivot_categories(cat, ["period"], "category", "votes", CATEGORIES,
-                            names={c: col_name(c) for c in CATEGORIES})
-    totals = tally(o, ["period"], "o_totalprice", "total_votes", exact_scale=2)
+                            names={c: col_name(c) for c in CATEGORIES}, total="total_votes",
+                            exact_scale=2)
     cats = [col_name(c) for c in CATEGORIES]
-    sh = shares(wide.join(totals, "period", "left"), "total_votes", cats)
-    win = winner_category(cat, ["period"], "category", "votes", CATEGORIES)
+    sh = winner_of_columns(shares(wide, "total_votes", cats),
+                           [(col_name(c), c) for c in CATEGORIES])
     ord_totals = row_total(orders(spark, sf).select("period", "o_totalprice"), out="orders_value")
-    return assemble_fact(sh, win, indicators(spark, sf), ord_totals, share_cols=SHARE_COLS,
+    return assemble_fact(sh, None, indicators(spark, sf), ord_totals, share_cols=SHARE_COLS,
                          indicator_cols=INDICATOR_COLS, total_cols=TOTAL_COLS)
 
 
