@@ -49,14 +49,17 @@ class BlockLayout:
 
 
 def unpivot_blocks(df: DataFrame, id_cols: Sequence[str], layout: BlockLayout,
-                   slot: str | None = "slot") -> DataFrame:
+                   slot: str | None = "slot", columns: Sequence[str] | None = None) -> DataFrame:
     """U1 (+S5, U2, F3): one long row per (input row, block).
 
     Fields of one block travel together in a struct, so no row alignment
     across separate reads is needed; ``inline`` expands the array in the
     same stage (no shuffle).  Blocks without their key fields are dropped.
+    ``columns`` lists the file's own columns that block positions count in
+    (default: all columns); columns added after the read, such as the
+    period taken from the file name, are left out of it.
     """
-    cols = df.columns
+    cols = list(columns) if columns is not None else df.columns
     structs = []
     for b, pos in enumerate(layout.positions(len(cols))):
         parts = [F.lit(b).alias(slot)] if slot else []

@@ -94,3 +94,19 @@ def read_table(spark: SparkSession, url: str, table: str, properties: Mapping[st
 def read_store(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read back a table written by :mod:`periodfact.sinks` (Parquet by default)."""
     return spark.read.format(fmt).load(path)
+
+
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """Rows the reader could not fit to the schema, with their raw text."""
+    return df.where(F.col(CORRUPT).isNotNull()).select(*df.columns)
+
+
+def reject_report(df: DataFrame) -> DataFrame:
+    """One row: rows read, rows rejected by the schema, in the parsing pass.
+
+    (Spark refuses a raw-file query that references only the corrupt record
+    column, so the report also counts the first parsed column.)
+    """
+    first = [c for c in df.columns if c != CORRUPT][0]
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count(F.col(CORRUPT)).alias("rejected"),
+                  F.count(F.col(first)).alias(f"non_null_{first}"))
