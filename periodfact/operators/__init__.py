@@ -6,7 +6,8 @@ from periodfact.operators.columns import (drop_columns, drop_null_keys, filter_c
                                           strip_agg_names)
 from periodfact.operators.fact import (assemble_fact, assert_unique, join_on_period,
                                        spine_join, to_decimal, union_families)
-from periodfact.operators.periods import (global_mean, lag_change, mean_by_period,
+from periodfact.operators.periods import (filter_period, global_mean, lag_change,
+                                          mean_by_period, mean_from_parts, mean_parts,
                                           row_total, sum_all_by_period, with_period)
 from periodfact.operators.reshape import (BlockLayout, pivot_categories, unpivot_blocks,
                                           unpivot_layouts)
@@ -24,5 +25,6 @@ __all__ = [
     "sum_all_by_period", "with_period", "BlockLayout", "pivot_categories", "unpivot_blocks",
     "unpivot_layouts", "apply_unmatched_policy", "assert_all_matched", "bounded_broadcast",
     "category_rank", "first_by_key", "lookup_first", "shares", "tally", "total", "unmatched",
-    "winner_category", "winner_item", "winner_of_columns",
+    "winner_category", "winner_item", "winner_of_columns", "filter_period", "mean_parts",
+    "mean_from_parts",
 ]

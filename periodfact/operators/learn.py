@@ -141,15 +141,22 @@ def holdout(df: DataFrame, key: str, test_size: float | int, seed: int = 42,
 
 
 # M3 ---------------------------------------------------------------------------
+MAX_COPIES_PER_TASK = 1_000_000
+
+
 def oversample(train: DataFrame, label: str, key: str, seed: int = 42,
-               copy_col: str = "copy") -> DataFrame:
+               copy_col: str = "copy", max_copies_per_task: int | None = None) -> DataFrame:
     """M3: every class grows to the majority count; all originals are kept.
 
     With ``M`` the majority count and ``n`` a class count, every row gets
     ``M // n`` copies and the ``M % n`` rows of lowest ``md5(seed|os|key)``
     one more: exact class sizes, reproducible, and no class is ever pulled
-    into a single task (the cut comes from prefix histograms).
+    into a single task (the cut comes from prefix histograms).  When one row
+    needs more than ``max_copies_per_task`` copies (a tiny class against a
+    huge one), its copies are cut into chunks that are spread over tasks
+    before they are generated.
     """
+    limit = max_copies_per_task or MAX_COPIES_PER_TASK
     counts = {r[label]: r["count"] for r in train.groupBy(F.col(q(label))).count().collect()}
     if not counts:
         return train.withColumn(copy_col, F.lit(1))
@@ -164,8 +171,18 @@ def oversample(train: DataFrame, label: str, key: str, seed: int = 42,
         base = F.when(is_g, F.lit(m // n)).otherwise(base)
         if extra[g]:
             bonus = F.when(is_g & _within_cut(key, cuts.get(g)), F.lit(1)).otherwise(bonus)
-    copies = base + bonus
-    return (h.withColumn(copy_col, F.explode(F.sequence(F.lit(1), copies))).drop(HASH))
+    h = h.withColumn("__copies", base + bonus)
+    most = max(m // n + (1 if m % n else 0) for n in counts.values())
+    if most <= limit:
+        out = h.withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    else:
+        chunks = F.sequence(F.lit(0), F.floor((F.col("__copies") - 1) / limit).cast("int"))
+        spread = (h.withColumn("__chunk", F.explode(chunks))
+                  .repartition(F.col(q(key)), F.col("__chunk")))
+        first = F.col("__chunk") * limit + 1
+        last = F.least(F.col("__chunk") * limit + limit, F.col("__copies"))
+        out = spread.withColumn(copy_col, F.explode(F.sequence(first, last))).drop("__chunk")
+    return out.drop(HASH, "__copies")
 
 
 # M4 M6 ------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from periodfact.functions import exact_sum, percent_change
+from periodfact.functions import exact_sum, percent_change, scaled_long
 from periodfact.operators.columns import numeric_columns, q
 
 
@@ -16,11 +16,52 @@ def with_period(df: DataFrame, source: str, name: str = "period") -> DataFrame:
     return df.withColumn(name, F.year(F.col(q(source))))
 
 
+def filter_period(df: DataFrame, source: str, first: int, last: int | None = None) -> DataFrame:
+    """keep the periods ``first..last`` (years of a date/timestamp column).
+
+    Written as a range on the column itself, not on ``year(col)``, so the
+    predicate reaches the Parquet scan as a pushed filter and row groups
+    outside the range are skipped.
+    """
+    last = first if last is None else last
+    c = F.col(q(source))
+    return df.where((c >= F.lit(f"{first:04d}-01-01")) & (c < F.lit(f"{last + 1:04d}-01-01")))
+
+
+def mean_parts(df: DataFrame, keys: Sequence[str], cols: dict[str, str],
+               exact_scale: int | None = 2) -> DataFrame:
+    """Partial means: per key, the sum and count of each measure.
+
+    Reducing rows to (key, sum, count) before a join keeps a hot key from
+    reaching the join as millions of rows; :func:`mean_from_parts` finishes.
+    """
+    aggs = []
+    for out, c in cols.items():
+        s = F.sum(F.col(q(c)) if exact_scale is None else scaled_long(q(c), exact_scale))
+        aggs += [s.alias(f"{out}__sum"), F.count(F.col(q(c))).alias(f"{out}__n")]
+    return df.groupBy(*[F.col(q(k)) for k in keys]).agg(*aggs)
+
+
+def mean_from_parts(df: DataFrame, keys: Sequence[str], outs: Sequence[str],
+                    scale: int | None = 2, exact_scale: int | None = 2) -> DataFrame:
+    """Combine partial means (same result as :func:`mean_by_period` on the rows).
+
+    With ``exact_scale`` the partial sums are scaled longs, so combining
+    them stays exact.
+    """
+    unit = float(10 ** exact_scale) if exact_scale is not None else 1.0
+    aggs = []
+    for out in outs:
+        m = (F.sum(f"{out}__sum") / F.lit(unit)) / F.sum(f"{out}__n")
+        aggs.append((F.round(m, scale) if scale is not None else m).alias(out))
+    return df.groupBy(*[F.col(q(k)) for k in keys]).agg(*aggs)
+
+
 def _mean(c: str, exact_scale: int | None) -> Column:
     if exact_scale is None:
         return F.avg(F.col(q(c)))
-    # exact decimal sum / count: the same value whatever the partitioning
-    return exact_sum(q(c), exact_scale).cast("double") / F.count(F.col(q(c)))
+    # exact sum / count: the same value whatever the partitioning
+    return exact_sum(q(c), exact_scale) / F.count(F.col(q(c)))
 
 
 def mean_by_period(df: DataFrame, cols: Sequence[str] | dict[str, str],
@@ -53,7 +94,7 @@ def sum_all_by_period(df: DataFrame, period: str = "period", cols: Sequence[str]
         if exact_scale is None:
             aggs.append(F.sum(F.col(q(c))).alias(c))
         else:
-            aggs.append(exact_sum(q(c), exact_scale).cast("double").alias(c))
+            aggs.append(exact_sum(q(c), exact_scale).alias(c))
     return df.groupBy(F.col(q(period))).agg(*aggs)
 
 
@@ -69,9 +110,8 @@ def row_total(df: DataFrame, period: str = "period", cols: Sequence[str] | None
         parts = [F.coalesce(F.col(q(c)).cast("double"), F.lit(0.0)) for c in measures]
         total = F.sum(sum(parts[1:], parts[0]))
     else:
-        dec = f"decimal(28,{exact_scale})"
-        parts = [F.coalesce(F.col(q(c)).cast(dec), F.lit(0).cast(dec)) for c in measures]
-        total = F.sum(sum(parts[1:], parts[0])).cast("double")
+        parts = [F.coalesce(scaled_long(q(c), exact_scale), F.lit(0).cast("long")) for c in measures]
+        total = F.sum(sum(parts[1:], parts[0])) / F.lit(float(10 ** exact_scale))
     return df.groupBy(F.col(q(period))).agg(total.alias(out))
 
 

@@ -107,14 +107,13 @@ def pivot_categories(df: DataFrame, index: Sequence[str], category: str, value:
     in a total column computed in the same aggregation (one pass, one
     shuffle of the already reduced tally).  ``exact_scale`` sums in decimal.
     """
+    from periodfact.functions import scaled_long
     names = dict(names or {})
-    v = F.col(q(value))
-    if exact_scale is not None:
-        v = v.cast(f"decimal(28,{exact_scale})")
+    v = F.col(q(value)) if exact_scale is None else scaled_long(q(value), exact_scale)
 
     def summed(c: Column) -> Column:
         s = F.sum(c)
-        return s.cast("double") if exact_scale is not None else s
+        return s / F.lit(float(10 ** exact_scale)) if exact_scale is not None else s
 
     aggs = [F.coalesce(summed(F.when(F.col(q(category)) == F.lit(c), v)),
                        F.lit(fill).cast("double")).alias(names.get(c, c)) for c in categories]

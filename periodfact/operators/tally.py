@@ -33,7 +33,7 @@ def tally(df: DataFrame, keys: Sequence[str], measure: str, out: str = "votes",
     before anything is shuffled, so key skew does not reach the exchange.
     """
     m = F.col(q(measure))
-    agg = F.sum(m) if exact_scale is None else exact_sum(m, exact_scale).cast("double")
+    agg = F.sum(m) if exact_scale is None else exact_sum(m, exact_scale)
     return df.groupBy(*[F.col(q(k)) for k in keys]).agg(agg.alias(out))
 
 
@@ -79,13 +79,18 @@ def lookup_first(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
 
 
 def unmatched(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
-              measure: str | None = None, casefold: bool = False) -> DataFrame:
-    """Keys of ``df`` without a lookup row, with their row count and votes."""
+              measure: str | None = None, casefold: bool = False,
+              count_col: str | None = None) -> DataFrame:
+    """Keys of ``df`` without a lookup row, with their row count and votes.
+
+    ``df`` may be a pre-aggregated tally: ``count_col`` then holds the
+    number of source rows behind each tally row and is summed.
+    """
     lk = casefold_key(F.col(q(left_on))) if casefold else F.col(q(left_on))
     rk = casefold_key(F.col(q(right_on))) if casefold else F.col(q(right_on))
     keys = dim.select(rk.alias("__key")).where(F.col("__key").isNotNull()).distinct()
     miss = df.join(keys, lk == keys["__key"], "left_anti")
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    aggs = [(F.sum(F.col(q(count_col))) if count_col else F.count(F.lit(1))).alias("n_rows")]
     if measure:
         aggs.append(F.sum(F.col(q(measure))).alias(measure))
     return miss.groupBy(F.col(q(left_on))).agg(*aggs)

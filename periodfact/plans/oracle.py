@@ -62,6 +62,16 @@ SELECT a.period, avg_quantity, avg_extendedprice, avg_totalprice
 FROM a JOIN b ON a.period = b.period ORDER BY a.period
 """
 
+PERIOD_SLICE = f"""
+WITH a AS (SELECT {P('l_shipdate')} AS period, {R(EM('l_quantity'))} AS avg_quantity,
+                  {R(EM('l_extendedprice'))} AS avg_extendedprice
+           FROM lineitem WHERE year(l_shipdate) BETWEEN 1996 AND 1998 GROUP BY 1),
+     b AS (SELECT {P('o_orderdate')} AS period, {R(EM('o_totalprice'))} AS avg_totalprice
+           FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 GROUP BY 1)
+SELECT a.period, avg_quantity, avg_extendedprice, avg_totalprice
+FROM a LEFT JOIN b ON a.period = b.period
+"""
+
 SUM_ALL_BY_PERIOD = f"""
 SELECT {P('l_shipdate')} AS period, {ES('l_quantity')} AS l_quantity,
        {ES('l_extendedprice')} AS l_extendedprice, {ES('l_discount')} AS l_discount,
@@ -352,6 +362,7 @@ def oracle_sql() -> dict[str, str]:
     return _learning_sql() | {
         "mean_by_period": MEAN_BY_PERIOD,
         "mean_join_inner": MEAN_JOIN_INNER,
+        "period_slice": PERIOD_SLICE,
         "sum_all_by_period": SUM_ALL_BY_PERIOD,
         "row_total_by_period": ROW_TOTAL_BY_PERIOD,
         "period_from_code": PERIOD_FROM_CODE,

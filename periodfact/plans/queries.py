@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from periodfact import functions as PF
 from periodfact.operators import (BlockLayout, assemble_fact, drop_null_keys, filter_category,
-                                  first_columns, global_mean, join_on_period, lag_change,
+                                  filter_period, first_columns, global_mean, join_on_period,
+                                  lag_change, mean_from_parts, mean_parts,
                                   lookup_first, mean_by_period, measure_gap, pivot_categories,
                                   row_total, safe_column_names, shares, spine_join,
                                   sum_all_by_period, tally, union_families, unmatched,
@@ -40,6 +41,16 @@ def q_mean_join_inner(spark: SparkSession, sf: str) -> DataFrame:
     return join_on_period(a, b, "inner").orderBy("period")
 
 
+# F1 ------------------------------------------------------------------------
+def q_period_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Indicators of the periods 1996-1998 only; the range reaches both scans."""
+    li = with_period(filter_period(read(spark, sf, "lineitem"), "l_shipdate", 1996, 1998), "l_shipdate")
+    o = with_period(filter_period(read(spark, sf, "orders"), "o_orderdate", 1996, 1998), "o_orderdate")
+    a = mean_by_period(li, {"avg_quantity": "l_quantity", "avg_extendedprice": "l_extendedprice"})
+    b = mean_by_period(o, {"avg_totalprice": "o_totalprice"})
+    return join_on_period(a, b, "left")
+
+
 # A2 P3 ---------------------------------------------------------------------
 def q_sum_all_by_period(spark: SparkSession, sf: str) -> DataFrame:
     li = lineitem(spark, sf).select("period", *LINE_MEASURES)
@@ -84,10 +95,11 @@ def q_lag_change(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_lag_change_by_segment(spark: SparkSession, sf: str) -> DataFrame:
-    o = orders(spark, sf).select("o_custkey", "o_totalprice", "period")
+    # orders are reduced to (customer, period) partial means before the join,
+    # so a customer with a huge share of the orders reaches it as a few rows
+    o = mean_parts(orders(spark, sf), ["o_custkey", "period"], {"avg_totalprice": "o_totalprice"})
     c = read(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    m = mean_by_period(o.join(c, "o_custkey"), {"avg_totalprice": "o_totalprice"},
-                       period=["c_mktsegment", "period"])
+    m = mean_from_parts(o.join(c, "o_custkey"), ["c_mktsegment", "period"], ["avg_totalprice"])
     return lag_change(m, ["avg_totalprice"], partition=["c_mktsegment"])
 
 
@@ -140,7 +152,7 @@ def q_normalise_label(spark: SparkSession, sf: str) -> DataFrame:
     p = p.select(PF.normalise_label(raw, LABELS, {"Std": "Standard"}).alias("label"),
                  "p_retailprice")
     return p.groupBy("label").agg(F.count(F.lit(1)).alias("n_parts"),
-                                  PF.exact_sum("p_retailprice").cast("double").alias("sum_retailprice"))
+                                  PF.exact_sum("p_retailprice").alias("sum_retailprice"))
 
 
 # X7 F3 ---------------------------------------------------------------------
@@ -150,7 +162,7 @@ def q_strip_prefix_code(spark: SparkSession, sf: str) -> DataFrame:
                  "p_retailprice")
     p = drop_null_keys(p, ["code"])
     return p.groupBy("code").agg(F.count(F.lit(1)).alias("n_parts"),
-                                 PF.exact_sum("p_retailprice").cast("double").alias("sum_retailprice"))
+                                 PF.exact_sum("p_retailprice").alias("sum_retailprice"))
 
 
 # P4 P2 ---------------------------------------------------------------------
@@ -177,7 +189,7 @@ def wide_orders(spark: SparkSession, sf: str) -> DataFrame:
             .pivot("l_linenumber", list(range(1, N_LINES + 1)))
             .agg(F.min("l_partkey").alias("item"),
                  F.sum("l_quantity").alias("qty"),
-                 PF.exact_sum("l_extendedprice").cast("double").alias("price")))
+                 PF.exact_sum("l_extendedprice").alias("price")))
     cols = ["l_orderkey"] + [f"{n}_{f}" for n in range(1, N_LINES + 1) for f in ("item", "qty", "price")]
     return wide.select(*cols)
 
@@ -244,16 +256,19 @@ def q_lookup_casefold(spark: SparkSession, sf: str) -> DataFrame:
     j = lookup_first(left, n, "nation_label", "n_name", ["n_regionkey"], "n_nationkey",
                      casefold=True)
     return j.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n_customers"),
-                                        PF.exact_sum("c_acctbal").cast("double").alias("acctbal"))
+                                        PF.exact_sum("c_acctbal").alias("acctbal"))
 
 
 # J4 ------------------------------------------------------------------------
 def q_unmatched_codes(spark: SparkSession, sf: str) -> DataFrame:
     part = read(spark, sf, "part")
-    li = read(spark, sf, "lineitem").select(F.col("l_partkey").alias("item"), "l_quantity")
-    rows = lookup_first(li, part, "item", "p_partkey", ["p_brand"], "p_partkey")
+    li = read(spark, sf, "lineitem")
+    # one row per item (row count + votes) before the lookup join
+    items = li.groupBy(F.col("l_partkey").alias("item")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("l_quantity"))
+    rows = lookup_first(items, part, "item", "p_partkey", ["p_brand"], "p_partkey")
     truncated = part.where(F.col("p_brand") < "Brand#3")
-    return unmatched(rows, truncated, "p_brand", "p_brand", measure="l_quantity")
+    return unmatched(rows, truncated, "p_brand", "p_brand", measure="l_quantity", count_col="n")
 
 
 # A7 ------------------------------------------------------------------------

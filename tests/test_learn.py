@@ -34,6 +34,17 @@ def test_oversample_balances_and_keeps_originals(spark):
     assert o.select("key").distinct().count() == 100
 
 
+def test_oversample_spreads_huge_copy_counts(spark):
+    rows = [(i, "a" if i < 95 else "b") for i in range(100)]
+    df = spark.createDataFrame(rows, "key long, y string")
+    o = L.oversample(df, "y", "key", seed=5, max_copies_per_task=4)
+    counts = {r.y: r["count"] for r in o.groupBy("y").count().collect()}
+    assert counts == {"a": 95, "b": 95}
+    per_key = {r.key: r["count"] for r in o.where("y = 'b'").groupBy("key").count().collect()}
+    assert sorted(per_key.values()) == [19] * 5
+    assert o.where("y = 'b'").select("key", "copy").distinct().count() == 95
+
+
 def test_knn_matches_brute_force(spark):
     rng = np.random.default_rng(0)
     tr = rng.normal(size=(60, 4)).round(3)
