@@ -19,8 +19,8 @@ from periodfact.operators import (BlockLayout, assemble_fact, drop_null_keys, fi
                                   sum_all_by_period, tally, union_families, unmatched,
                                   unpivot_blocks, unpivot_layouts, winner_category, winner_item,
                                   winner_of_columns, with_period)
-from periodfact.plans.tables import (CATEGORIES, SEGMENT_CATEGORY, col_name, lineitem, orders,
-                                     read)
+from periodfact.plans.tables import (CATEGORIES, SEGMENT_CATEGORY, col_name, lineitem,
+                                     literal_table, orders, read)
 
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 N_LINES = 7  # blocks in the wide per-order frame (line numbers 1..7)
@@ -345,8 +345,7 @@ def orders_family_fact(spark: SparkSession, sf: str) -> DataFrame:
     t = tally(o, ["period", "item"], "o_totalprice", exact_scale=2)
     cust = read(spark, sf, "customer")
     t = lookup_first(t, cust, "item", "c_custkey", ["c_mktsegment"], "c_custkey")
-    seg = spark.createDataFrame(SEGMENT_CATEGORY, "segment string, category string") \
-        .withColumn("ordinal", F.monotonically_increasing_id())
+    seg = literal_table(spark, SEGMENT_CATEGORY, ["segment", "category"])
     t = lookup_first(t, seg, "c_mktsegment", "segment", ["category"], "ordinal")
     cat = tally(t, ["period", "category"], "votes", exact_scale=2)
     wide = pivot_categories(cat, ["period"], "category", "votes", CATEGORIES,

@@ -34,8 +34,28 @@ def col_name(category: str) -> str:
     return category.lower()
 
 
+_READS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table as a DataFrame; one relation per (session, path) is reused,
+    so listing the files and reading the footers happens once per plan set."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], names: list[str],
+                  ordinal: str | None = "ordinal") -> DataFrame:
+    """A small fixed table as a local relation (no Python worker at run time),
+    with its list position as an explicit ordinal for first-match lookups."""
+    from pyspark.sql import functions as F
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)],
+                        *([F.lit(i).cast("long").alias(ordinal)] if ordinal else []))
+               for i, r in enumerate(rows)]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
