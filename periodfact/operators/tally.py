@@ -60,7 +60,8 @@ def first_by_key(dim: DataFrame, key: str, values: Sequence[str], ordinal: str,
 
 def lookup_first(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
                  values: Sequence[str], ordinal: str, casefold: bool = False,
-                 how: str = "left", max_broadcast_rows: int | None = None) -> DataFrame:
+                 how: str = "left", max_broadcast_rows: int | None = None,
+                 unique: bool = False) -> DataFrame:
     """J3 (+O2, X6): attach the first matching lookup row to every row.
 
     One deduplicated lookup and one join replace a job per key.  By default
@@ -70,8 +71,16 @@ def lookup_first(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
     size at run time; anything larger stays a sort-merge join with AQE skew
     splitting.  ``max_broadcast_rows`` forces a broadcast behind an explicit
     bounded row count instead.
+
+    ``unique=True`` declares ``right_on`` a primary key of ``dim`` (at most
+    one row per key): the first-match deduplication, a sort-based
+    aggregation over the whole dimension, is then skipped.
     """
-    first = first_by_key(dim, right_on, values, ordinal, casefold)
+    if unique:
+        k = casefold_key(F.col(q(right_on))) if casefold else F.col(q(right_on))
+        first = dim.where(k.isNotNull()).select(k.alias("__key"), *[F.col(q(v)) for v in values])
+    else:
+        first = first_by_key(dim, right_on, values, ordinal, casefold)
     if max_broadcast_rows is not None:
         first = bounded_broadcast(first, max_broadcast_rows)
     lk = casefold_key(F.col(q(left_on))) if casefold else F.col(q(left_on))
@@ -147,10 +156,15 @@ def winner_of_columns(wide: DataFrame, columns: Sequence[tuple[str, str]],
 
 
 def winner_item(tallied: DataFrame, group: Sequence[str], item: str, votes: str,
-                ordinal: str, out: str = "winner_item") -> DataFrame:
-    """First half of A10: the single biggest item per group; ties -> lowest ordinal."""
+                ordinal: str | Sequence[str], out: str = "winner_item") -> DataFrame:
+    """First half of A10: the single biggest item per group; ties -> lowest ordinal.
+
+    ``ordinal`` is one or more columns (numbers or text) giving the tie order.
+    """
+    ords = [ordinal] if isinstance(ordinal, str) else list(ordinal)
+    order = F.struct(-F.col(q(votes)), *[F.col(q(o)) for o in ords])
     return (tallied.groupBy(*[F.col(q(g)) for g in group])
-            .agg(F.max_by(F.col(q(item)), F.struct(F.col(q(votes)), -F.col(q(ordinal)))).alias(out)))
+            .agg(F.min_by(F.col(q(item)), order).alias(out)))
 
 
 def shares(wide: DataFrame, total_col: str, categories: Sequence[str],

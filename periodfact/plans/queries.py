@@ -232,7 +232,8 @@ def q_tally_items(spark: SparkSession, sf: str) -> DataFrame:
 def code_tally(spark: SparkSession, sf: str) -> DataFrame:
     """Votes per (period, code): items -> their code (candidate -> party)."""
     part = read(spark, sf, "part")
-    t = lookup_first(item_votes(spark, sf), part, "item", "p_partkey", ["p_brand"], "p_partkey")
+    t = lookup_first(item_votes(spark, sf), part, "item", "p_partkey", ["p_brand"], "p_partkey",
+                     unique=True)
     return tally(t.withColumnRenamed("p_brand", "code"), ["period", "code"], "votes")
 
 
@@ -266,7 +267,8 @@ def q_unmatched_codes(spark: SparkSession, sf: str) -> DataFrame:
     # one row per item (row count + votes) before the lookup join
     items = li.groupBy(F.col("l_partkey").alias("item")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("l_quantity"))
-    rows = lookup_first(items, part, "item", "p_partkey", ["p_brand"], "p_partkey")
+    rows = lookup_first(items, part, "item", "p_partkey", ["p_brand"], "p_partkey",
+                     unique=True)
     truncated = part.where(F.col("p_brand") < "Brand#3")
     return unmatched(rows, truncated, "p_brand", "p_brand", measure="l_quantity", count_col="n")
 
@@ -314,7 +316,8 @@ def q_winner_category(spark: SparkSession, sf: str) -> DataFrame:
 def q_winner_item_category(spark: SparkSession, sf: str) -> DataFrame:
     part = read(spark, sf, "part")
     w = winner_item(item_tally(spark, sf), ["period"], "item", "votes", "item")
-    w = lookup_first(w, part, "winner_item", "p_partkey", ["p_type"], "p_partkey")
+    w = lookup_first(w, part, "winner_item", "p_partkey", ["p_type"], "p_partkey",
+                     unique=True)
     return w.withColumnRenamed("p_type", "category")
 
 
@@ -344,7 +347,8 @@ def orders_family_fact(spark: SparkSession, sf: str) -> DataFrame:
     o = orders(spark, sf).select("period", F.col("o_custkey").alias("item"), "o_totalprice")
     t = tally(o, ["period", "item"], "o_totalprice", exact_scale=2)
     cust = read(spark, sf, "customer")
-    t = lookup_first(t, cust, "item", "c_custkey", ["c_mktsegment"], "c_custkey")
+    t = lookup_first(t, cust, "item", "c_custkey", ["c_mktsegment"], "c_custkey",
+                     unique=True)
     seg = literal_table(spark, SEGMENT_CATEGORY, ["segment", "category"])
     t = lookup_first(t, seg, "c_mktsegment", "segment", ["category"], "ordinal")
     cat = tally(t, ["period", "category"], "votes", exact_scale=2)
