@@ -38,6 +38,27 @@ def get_session(master: str | None = None, app: str = "periodfact",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+               broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings sized from the input volume, for a cluster job.
+
+    Scan splits and the initial shuffle width follow the data (about one
+    ``target_partition_bytes`` piece per task, at least two waves of the
+    cores); AQE then coalesces small shuffle partitions and splits skewed
+    ones, so the initial number only has to be large enough.
+    """
+    pieces = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(pieces),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(pieces),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -64,5 +85,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "local_path",
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "scale_conf",
            "DEFAULT_CONF"]
