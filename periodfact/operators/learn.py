@@ -285,11 +285,13 @@ def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: st
 
 # M7 M8 M9 ---------------------------------------------------------------------
 def _per_class(pred: DataFrame, label: str, predicted: str) -> DataFrame:
-    actual = pred.groupBy(F.col(q(label)).alias("class")).agg(
-        F.count(F.lit(1)).alias("support"),
-        F.sum((F.col(q(label)) == F.col(q(predicted))).cast("long")).alias("tp"))
-    guessed = pred.groupBy(F.col(q(predicted)).alias("class")).agg(
-        F.count(F.lit(1)).alias("n_predicted"))
+    # one pass over the predictions: counts per (actual, predicted) pair,
+    # at most classes^2 rows; both sides of the report derive from it
+    pairs = pred.groupBy(F.col(q(label)).alias("a"), F.col(q(predicted)).alias("p")).count()
+    actual = pairs.groupBy(F.col("a").alias("class")).agg(
+        F.sum("count").alias("support"),
+        F.sum(F.when(F.col("a") == F.col("p"), F.col("count")).otherwise(F.lit(0))).alias("tp"))
+    guessed = pairs.groupBy(F.col("p").alias("class")).agg(F.sum("count").alias("n_predicted"))
     per = actual.join(guessed, "class", "full").na.fill(0, ["support", "tp", "n_predicted"])
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_predicted").cast("double")),
                    F.lit(0.0))
