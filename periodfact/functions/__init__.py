@@ -100,8 +100,12 @@ def _fold(s: str) -> str:
 
 # Exact sums ------------------------------------------------------------------
 def scaled_long(c: ColumnOrName, scale: int = 2) -> Column:
-    """The value in units of ``10**-scale`` as a long (e.g. cents)."""
-    return F.round(_col(c).cast("double") * F.lit(float(10 ** scale))).cast("long")
+    """The value in units of ``10**-scale`` as a long (e.g. cents), half-up.
+
+    ``floor(x * 10**scale + 0.5)`` is a CPU intrinsic; Spark's ``round`` on a
+    double goes through a BigDecimal per value, which doubled scan time.
+    """
+    return F.floor(_col(c).cast("double") * F.lit(float(10 ** scale)) + F.lit(0.5))
 
 
 def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:

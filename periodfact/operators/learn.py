@@ -124,15 +124,16 @@ def _within_cut(key: str, cut) -> Column:
 
 # M2 ---------------------------------------------------------------------------
 def holdout(df: DataFrame, key: str, test_size: float | int, seed: int = 42,
-            out: str = "is_test") -> DataFrame:
+            out: str = "is_test", n_rows: int | None = None) -> DataFrame:
     """M2: exact, reproducible test/train split by hash order.
 
     The test side is the ``ceil(n * test_size)`` rows (or ``test_size`` rows
     for an int) with the smallest ``md5(seed|key)``; it does not depend on
-    partitioning.  Keys must be unique.
+    partitioning.  Keys must be unique.  ``n_rows`` skips the row count when
+    the caller already knows it (e.g. many seeds over one frame).
     """
     h = df.withColumn(HASH, hash_key(F.col(q(key)), seed))
-    n = h.count()
+    n = h.count() if n_rows is None else n_rows
     k = test_size if isinstance(test_size, int) else math.ceil(n * test_size)
     if k <= 0:
         return df.withColumn(out, F.lit(False))
@@ -337,9 +338,10 @@ def confusion(pred: DataFrame, classes: Sequence[str], label: str = "label",
 
 
 # M10 M11 M12 B2 ---------------------------------------------------------------
-def split_and_balance(df: DataFrame, key: str, label: str, test_size: float, seed: int):
+def split_and_balance(df: DataFrame, key: str, label: str, test_size: float, seed: int,
+                      n_rows: int | None = None):
     """The reference's protocol: hold out, then oversample the train side only."""
-    h = holdout(df, key, test_size, seed)
+    h = holdout(df, key, test_size, seed, n_rows=n_rows)
     train = oversample(h.where(~F.col("is_test")), label, key, seed)
     test = h.where(F.col("is_test"))
     return train, test

@@ -105,9 +105,10 @@ def _prepared(spark: SparkSession, sf: str) -> DataFrame:
     return L.assemble_features(doc_features(spark, sf).select(*cols).checkpoint(), FEATURES)
 
 
-def _split(spark: SparkSession, sf: str, seed: int, test_size: float, data: DataFrame | None = None):
+def _split(spark: SparkSession, sf: str, seed: int, test_size: float, data: DataFrame | None = None,
+           n_rows: int | None = None):
     data = data if data is not None else _prepared(spark, sf)
-    return L.split_and_balance(data, "doc_id", "lang", test_size, seed)
+    return L.split_and_balance(data, "doc_id", "lang", test_size, seed, n_rows=n_rows)
 
 
 class _Knn:
@@ -162,9 +163,10 @@ def q_scenario_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_seed_search(spark: SparkSession, sf: str) -> DataFrame:
     data = _prepared(spark, sf)
+    n = data.count()
 
     def accuracy(seed: int) -> float:
-        train, test = _split(spark, sf, seed, FINAL_TEST_SIZE, data)
+        train, test = _split(spark, sf, seed, FINAL_TEST_SIZE, data, n_rows=n)
         return _scores(L.fit_forest(train, "lang", seed=seed), test).first()["accuracy"]
 
     best, results = L.seed_search(accuracy, list(range(N_SEEDS)))

@@ -334,15 +334,22 @@ def indicators(spark: SparkSession, sf: str) -> DataFrame:
                       [mean_by_period(li, {"avg_discount": "l_discount", "avg_tax": "l_tax"})])
 
 
+def period_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return row_total(orders(spark, sf).select("period", "o_totalprice"), out="orders_value")
+
+
+def lineitem_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return category_shares(spark, sf).withColumnRenamed("total", "total_votes")
+
+
 def q_period_fact(spark: SparkSession, sf: str) -> DataFrame:
-    sh = category_shares(spark, sf).withColumnRenamed("total", "total_votes")
-    totals = row_total(orders(spark, sf).select("period", "o_totalprice"), out="orders_value")
-    return assemble_fact(sh, None, indicators(spark, sf), totals, share_cols=SHARE_COLS,
+    return assemble_fact(lineitem_shares(spark, sf), None, indicators(spark, sf),
+                         period_totals(spark, sf), share_cols=SHARE_COLS,
                          indicator_cols=INDICATOR_COLS, total_cols=TOTAL_COLS)
 
 
 # B1 K3 ---------------------------------------------------------------------
-def orders_family_fact(spark: SparkSession, sf: str) -> DataFrame:
+def orders_shares(spark: SparkSession, sf: str) -> DataFrame:
     """Second family: order value per customer -> segment -> category."""
     o = orders(spark, sf).select("period", F.col("o_custkey").alias("item"), "o_totalprice")
     t = tally(o, ["period", "item"], "o_totalprice", exact_scale=2)
@@ -356,16 +363,17 @@ def orders_family_fact(spark: SparkSession, sf: str) -> DataFrame:
                             names={c: col_name(c) for c in CATEGORIES}, total="total_votes",
                             exact_scale=2)
     cats = [col_name(c) for c in CATEGORIES]
-    sh = winner_of_columns(shares(wide, "total_votes", cats),
-                           [(col_name(c), c) for c in CATEGORIES])
-    ord_totals = row_total(orders(spark, sf).select("period", "o_totalprice"), out="orders_value")
-    return assemble_fact(sh, None, indicators(spark, sf), ord_totals, share_cols=SHARE_COLS,
-                         indicator_cols=INDICATOR_COLS, total_cols=TOTAL_COLS)
+    return winner_of_columns(shares(wide, "total_votes", cats),
+                             [(col_name(c), c) for c in CATEGORIES])
 
 
 def q_family_union(spark: SparkSession, sf: str) -> DataFrame:
-    return union_families({"lineitem": q_period_fact(spark, sf),
-                           "orders": orders_family_fact(spark, sf)})
+    """Both families' rows, then the period's indicators joined once."""
+    facts = union_families({"lineitem": lineitem_shares(spark, sf),
+                            "orders": orders_shares(spark, sf)})
+    return assemble_fact(facts, None, indicators(spark, sf), period_totals(spark, sf),
+                         keys=("period", "family"), share_cols=SHARE_COLS,
+                         indicator_cols=INDICATOR_COLS, total_cols=TOTAL_COLS)
 
 
 # S1 S2 S3 ------------------------------------------------------------------
