@@ -45,12 +45,7 @@ def period_from_code(c: ColumnOrName, start: int = 2, length: int = 4) -> Column
     return F.substring(_col(c).cast("string"), start, length).try_cast("int")
 
 
-# X3 / X4 / X5 ---------------------------------------------------------------
-def round2(c: ColumnOrName, scale: int = 2) -> Column:
-    """Half-up rounding to ``scale`` places."""
-    return F.round(_col(c), scale)
-
-
+# X4 / X5 --------------------------------------------------------------------
 def percent_change(cur: ColumnOrName, prev: ColumnOrName, scale: int | None = 2) -> Column:
     """``(cur - prev) / prev * 100``; a zero or null divisor gives null."""
     out = F.try_divide(_col(cur) - _col(prev), _col(prev)) * F.lit(100.0)
@@ -127,7 +122,7 @@ def exact_mean(c: ColumnOrName, scale: int = 2) -> Column:
 
 
 __all__ = [
-    "parse_locale_number", "is_rejected_number", "period_from_code", "round2",
+    "parse_locale_number", "is_rejected_number", "period_from_code",
     "percent_change", "share", "casefold_key", "strip_prefix", "normalise_label",
     "exact_sum", "exact_mean", "scaled_long",
 ]

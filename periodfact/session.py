@@ -80,10 +80,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/periodfact-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for plain-filesystem helpers in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "scale_conf",
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "scale_conf",
            "DEFAULT_CONF"]

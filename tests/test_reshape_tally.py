@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from periodfact.functions import strip_prefix
-from periodfact.operators import (BlockLayout, lookup_first, pivot_categories, shares, tally,
+from periodfact.operators import (BlockLayout, apply_unmatched_policy, assert_all_matched,
+                                  lookup_first, pivot_categories, shares, tally,
                                   unmatched, unpivot_blocks, unpivot_layouts, winner_category,
                                   winner_item, winner_of_columns)
 from periodfact.sources import positional_schema, read_period_files
@@ -86,6 +87,10 @@ def test_lookup_first_duplicate_keys_do_not_double_count(spark):
     assert {r.code: r.cat for r in j.collect()} == {"LR": "Droite", "DV": "Ecologie", "ZZ": None}
     miss = unmatched(votes, dim, "code", "code", "votes").collect()
     assert [(r.code, r.n_rows, r.votes) for r in miss] == [("ZZ", 1, 1.0)]
+    assert {r.code: r.cat for r in apply_unmatched_policy(j, "cat").collect()}["ZZ"] == "Divers"
+    assert apply_unmatched_policy(j, "cat", "drop").count() == 2
+    with pytest.raises(ValueError):
+        assert_all_matched(j, "cat")
     cf = lookup_first(spark.createDataFrame([(" lr ",)], "code string"), dim, "code", "code",
                       ["cat"], "ordinal", casefold=True)
     assert cf.first().cat == "Droite"

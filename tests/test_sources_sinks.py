@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from periodfact.operators import union_families
-from periodfact.sinks import append_facts, save_table
+from periodfact.sinks import append_facts, save_results, save_table
 from periodfact.sources import read_delimited, read_sources, read_store, reject_report, rejected_rows
 
 INDICATOR = """Annee;Femmes;Hommes;Tranche age
@@ -44,3 +44,14 @@ def test_parquet_sinks_round_trip(spark, scratch):
     assert back.count() == 4 and set(r.family for r in back.collect()) == {"presidential", "legislative"}
     save_table(facts, target)  # overwrite
     assert read_store(spark, target).count() == 2
+
+
+def test_save_results_replaces_tables(spark, scratch):
+    scores = spark.createDataFrame([("Random Forest", 0.9, 0.8, 0.85, 0.9)],
+                                   "Model string, `Mean Precision` double, `Mean Recall` double, "
+                                   "`Mean F1-Score` double, `Mean Accuracy` double")
+    preds = spark.createDataFrame([("Random Forest", 2025, "fr")], "Model string, Year int, Prediction string")
+    save_results(scores, preds, scratch)
+    save_results(scores, preds, scratch)
+    assert read_store(spark, f"{scratch}/model_scores").count() == 1
+    assert read_store(spark, f"{scratch}/future_predictions").first().Prediction == "fr"
