@@ -33,6 +33,9 @@ class Lookup:
     Columns are positions (the header is ignored, so header drift does not
     matter).  ``period_pattern`` makes it a per-period lookup whose files
     carry the period in their name (e.g. one candidate list per year).
+    ``ordinal`` is the position of a numeric column giving the match order;
+    without it the order is the read order, which is file order only for a
+    single small file.
     """
 
     path: str
@@ -40,6 +43,7 @@ class Lookup:
     value: int
     n_cols: int
     period_pattern: str | None = None
+    ordinal: int | None = None
 
 
 @dataclass(frozen=True)
@@ -80,8 +84,11 @@ def _lookup_frame(spark: SparkSession, lk: Lookup) -> DataFrame:
     schema = positional_schema(lk.n_cols)
     df = (read_period_files(spark, lk.path, lk.period_pattern, schema=schema) if lk.period_pattern
           else read_delimited(spark, lk.path, schema))
-    # file order made explicit right after the read (ids grow with file position)
-    df = df.withColumn("__ordinal", F.monotonically_increasing_id())
+    # match order: a declared column, else the read order made explicit
+    # right after the read (ids grow with the position in a single file)
+    order = (F.col(f"c{lk.ordinal}").cast("long") if lk.ordinal is not None
+             else F.monotonically_increasing_id())
+    df = df.withColumn("__ordinal", order)
     parts = ([F.col("period")] if lk.period_pattern else []) + [F.col(f"c{i}") for i in lk.key]
     return df.select(_key(parts).alias("__lk"), F.col(f"c{lk.value}").alias("__value"), "__ordinal")
 

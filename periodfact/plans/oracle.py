@@ -358,6 +358,36 @@ FAMILY_UNION = f"({_lineitem_fact('lineitem')})\nUNION ALL\n({_orders_fact('orde
 READ_DELIMITED_ROUNDTRIP = "SELECT n_nationkey, n_name, n_regionkey AS period FROM nation"
 
 
+def _wide_files_fact() -> str:
+    slug = {c: "_".join(c.lower().split()) for c in CATEGORIES}
+    shares = ", ".join(f"{D(f'{col_name(c)} / nullif(total, 0) * 100')} AS share_{slug[c]}"
+                       for c in CATEGORIES)
+    listed = " + ".join(col_name(c) for c in CATEGORIES)
+    return f"""
+WITH o AS (SELECT o_orderkey, {P('o_orderdate')} AS period FROM orders),
+lines AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS item, sum(l_quantity) AS votes
+          FROM lineitem GROUP BY 1, 2),
+tot AS (SELECT o.period, sum(l_quantity) AS total
+        FROM lineitem JOIN o ON l_orderkey = o.o_orderkey GROUP BY 1),
+it AS (SELECT o.period, item, sum(votes) AS votes
+       FROM lines JOIN o ON l_orderkey = o.o_orderkey GROUP BY 1, 2),
+{_PK},
+{_BT},
+cat AS (SELECT period, bt.p_type AS category, sum(votes) AS votes
+        FROM it LEFT JOIN pk ON it.item = pk.p_partkey LEFT JOIN bt ON pk.p_brand = bt.p_brand
+        GROUP BY 1, 2),
+{_zero_fill()},
+{_winner()}
+SELECT z.period, 'orders' AS family, w.winner, {shares},
+       {D(f'(total - ({listed})) / nullif(total, 0) * 100')} AS share_residual,
+       {D('total', 20)} AS total
+FROM z JOIN tot ON z.period = tot.period LEFT JOIN w ON z.period = w.period
+"""
+
+
+WIDE_FILES_FACT = _wide_files_fact()
+
+
 def oracle_sql() -> dict[str, str]:
     return _learning_sql() | {
         "mean_by_period": MEAN_BY_PERIOD,
@@ -390,6 +420,7 @@ def oracle_sql() -> dict[str, str]:
         "period_fact": PERIOD_FACT,
         "family_union": FAMILY_UNION,
         "read_delimited_roundtrip": READ_DELIMITED_ROUNDTRIP,
+        "wide_files_fact": WIDE_FILES_FACT,
     }
 
 

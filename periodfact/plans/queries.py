@@ -387,3 +387,39 @@ def q_read_delimited_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     df = read_period_files(spark, f"{base}/n_regionkey=*/*.csv", r"n_regionkey=(\d+)",
                            schema="n_nationkey int, n_name string")
     return df.select("n_nationkey", "n_name", "period")
+
+
+# S3 U3 J3 J5 B1 on files -------------------------------------------------------
+def q_wide_files_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem as per-year wide result files, read back through a family spec.
+
+    Each order becomes one row ``order;total;item;votes;item;votes;...`` (one
+    block per line number) in the folder of its order year; part becomes a
+    ``partkey;brand;type`` lookup file.  The family reads all years in one
+    scan and goes item -> brand (key lookup) -> type (first match by lowest
+    partkey) -> shares and winner per year.
+    """
+    from periodfact.plans.families import Family, Lookup, families_fact
+    from periodfact.session import scratch_path
+    base = scratch_path(spark, "wide-files")
+    li = read(spark, sf, "lineitem")
+    per_line = (li.groupBy("l_orderkey", "l_linenumber")
+                .agg(F.min("l_partkey").alias("item"), F.sum("l_quantity").alias("votes")))
+    blocks = [x for n in range(1, N_LINES + 1) for x in (f"{n}_item", f"{n}_votes")]
+    wide = (per_line.groupBy("l_orderkey").pivot("l_linenumber", list(range(1, N_LINES + 1)))
+            .agg(F.first("item").alias("item"), F.first("votes").alias("votes")))
+    total = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("total"))
+    years = read(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                             F.year("o_orderdate").alias("period"))
+    (wide.join(total, "l_orderkey").join(years, "l_orderkey")
+     .select("period", "l_orderkey", "total", *blocks)
+     .write.partitionBy("period").option("sep", ";").option("header", True).csv(f"{base}/wide"))
+    (read(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
+     .write.option("sep", ";").option("header", True).csv(f"{base}/part"))
+    fam = Family("orders", f"{base}/wide/period=*/*.csv", r"period=(\d{4})",
+                 n_cols=2 + 2 * N_LINES, total_col=1,
+                 layouts=[(None, BlockLayout(2, 2, {"item": 0, "votes": 1}, key=("item",)))],
+                 item=["item"],
+                 lookups=[Lookup(f"{base}/part", key=[0], value=1, n_cols=3, ordinal=0),
+                          Lookup(f"{base}/part", key=[1], value=2, n_cols=3, ordinal=0)])
+    return families_fact(spark, [fam], CATEGORIES)
