@@ -40,6 +40,7 @@ class Indicator:
     keep: tuple[str, str] | None = None
     schema: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    exact_scale: int | None = None   # sum in scaled longs when values carry <= this many decimals
 
 
 def indicator_frame(spark: SparkSession, spec: Indicator, period: str = "period") -> DataFrame:
@@ -51,9 +52,10 @@ def indicator_frame(spark: SparkSession, spec: Indicator, period: str = "period"
     df = df.select(p.alias(period),
                    *[parse_locale_number(q(src)).alias(out) for out, src in spec.measures.items()])
     if spec.reduce == "mean":
-        return mean_by_period(df, list(spec.measures), period=period, exact_scale=None)
+        return mean_by_period(df, list(spec.measures), period=period, exact_scale=spec.exact_scale)
     if spec.reduce == "sum":
-        return sum_all_by_period(df, period=period, cols=list(spec.measures), exact_scale=None)
+        return sum_all_by_period(df, period=period, cols=list(spec.measures),
+                                 exact_scale=spec.exact_scale)
     if spec.reduce == "none":
         return df
     raise ValueError(f"unknown reduction {spec.reduce!r}")

@@ -387,6 +387,20 @@ FROM z JOIN tot ON z.period = tot.period LEFT JOIN w ON z.period = w.period
 
 WIDE_FILES_FACT = _wide_files_fact()
 
+_Q = f"CAST(CAST({R(EM('o_totalprice'))} AS DECIMAL(14,2)) AS DOUBLE)"
+INDICATOR_MART_FILES = f"""
+WITH q AS (SELECT {P('o_orderdate')} AS period, quarter(o_orderdate) AS qt, {_Q} AS v
+           FROM orders GROUP BY 1, 2),
+base AS (SELECT period, {R(EM('v'))} AS avg_price FROM q GROUP BY 1),
+pr2 AS (SELECT {P('o_orderdate')} AS period, {_Q} AS urgent_price FROM orders
+        WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+c AS (SELECT {P('o_orderdate')} AS period, CAST(count(*) AS DOUBLE) AS orders FROM orders GROUP BY 1),
+m AS (SELECT {P('l_shipdate')} AS period, {ES('l_quantity')} AS quantity FROM lineitem GROUP BY 1)
+SELECT base.period, avg_price, urgent_price, orders, quantity
+FROM base LEFT JOIN pr2 ON base.period = pr2.period LEFT JOIN c ON base.period = c.period
+LEFT JOIN m ON base.period = m.period
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return _learning_sql() | {
@@ -421,6 +435,7 @@ def oracle_sql() -> dict[str, str]:
         "family_union": FAMILY_UNION,
         "read_delimited_roundtrip": READ_DELIMITED_ROUNDTRIP,
         "wide_files_fact": WIDE_FILES_FACT,
+        "indicator_mart_files": INDICATOR_MART_FILES,
     }
 
 

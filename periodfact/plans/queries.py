@@ -423,3 +423,42 @@ def q_wide_files_fact(spark: SparkSession, sf: str) -> DataFrame:
                  lookups=[Lookup(f"{base}/part", key=[0], value=1, n_cols=3, ordinal=0),
                           Lookup(f"{base}/part", key=[1], value=2, n_cols=3, ordinal=0)])
     return families_fact(spark, [fam], CATEGORIES)
+
+
+# S1 S2 X1 X2 F2 A1 A2 J2 P4 on files -------------------------------------------
+def q_indicator_mart_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Indicator files in the messy formats of the reference, read back into a mart.
+
+    Written from orders and lineitem: quarterly mean prices (base), mean
+    price per priority with decimal commas and a padded label, yearly order
+    counts with space-grouped thousands, and monthly quantities keyed by a
+    ``_YYYY_MM`` code.  Read with inferred types, parsed, reduced per year
+    and spine-joined.
+    """
+    from periodfact.plans.mart import Indicator, indicator_mart
+    from periodfact.session import scratch_path
+    base = scratch_path(spark, "indicators")
+    o, li = read(spark, sf, "orders"), read(spark, sf, "lineitem")
+    year = F.year("o_orderdate").alias("Annee")
+    money = lambda c: F.round(PF.exact_mean(c), 2).cast("decimal(14,2)").cast("string")
+
+    def write(df: DataFrame, name: str) -> str:
+        path = f"{base}/{name}"
+        df.write.option("sep", ";").option("header", True).csv(path)
+        return path
+
+    quarterly = write(o.groupBy(year, F.concat(F.lit("T"), F.quarter("o_orderdate")).alias("Trimestre"))
+                      .agg(money("o_totalprice").alias("Prix moyen")), "quarterly")
+    priority = write(o.groupBy(year, F.concat(F.col("o_orderpriority"), F.lit(" ")).alias("Tranche"))
+                     .agg(F.regexp_replace(money("o_totalprice"), "\\.", ",").alias("Prix")),
+                     "priority")
+    counts = write(o.groupBy(year).agg(F.regexp_replace(F.format_number(F.count(F.lit(1)), 0), ",", " ")
+                                       .alias("Commandes")), "counts")
+    code = F.concat(F.lit("_"), F.year("l_shipdate").cast("string"), F.lit("_"),
+                    F.lpad(F.month("l_shipdate").cast("string"), 2, "0"))
+    monthly = write(li.groupBy(code.alias("Annee")).agg(F.sum("l_quantity").alias("Quantite")), "monthly")
+    return indicator_mart(spark, Indicator(quarterly, {"avg_price": "Prix moyen"}, exact_scale=2), [
+        Indicator(priority, {"urgent_price": "Prix"}, keep=("Tranche", "1-urgent"), exact_scale=2),
+        Indicator(counts, {"orders": "Commandes"}, reduce="none"),
+        Indicator(monthly, {"quantity": "Quantite"}, reduce="sum", period_code=(2, 4), exact_scale=2),
+    ])
