@@ -25,7 +25,7 @@ HEADLINE = [
     "lag_change_by_segment", "spine_left_join", "parse_locale_number", "unpivot_blocks",
     "unpivot_layouts", "tally_items", "lookup_first", "lookup_casefold", "unmatched_codes",
     "category_shares", "winner_item_category", "features_filled", "holdout", "oversample_rows",
-    "knn_predict", "model_scores",
+    "knn_predict", "model_scores", "period_slice", "wide_files_fact",
 ]
 
 
