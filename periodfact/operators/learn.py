@@ -231,49 +231,68 @@ class _LabelledModel:
 
 
 # M5 ---------------------------------------------------------------------------
-MAX_KNN_TRAIN_ROWS = 200_000
-
-
 def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: str, vector: str,
-                 label: str, k: int = 5, out: str = "predicted",
-                 max_train_rows: int = MAX_KNN_TRAIN_ROWS) -> DataFrame:
+                 label: str, k: int = 5, out: str = "predicted", batch_rows: int = 65536,
+                 test_block: int = 64) -> DataFrame:
     """M5: exact k-nearest-neighbour vote, Euclidean, uniform weights.
 
-    The training side must have at most ``max_train_rows`` rows (checked
-    with a bounded count); it is broadcast once and every test partition
-    computes its rows' distances in numpy (squared differences summed as
-    double in vector order), keeping only the k nearest per test row:
-    no pair table is ever materialised.  Distance ties go to the lower
-    training key, vote ties to the smaller label.
+    The training side is written once (Parquet) to the shared checkpoint
+    folder; every test task then streams it back in Arrow batches of
+    ``batch_rows`` rows and keeps a running top-k per test row, so memory
+    per task is bounded, nothing passes through the driver, nothing is
+    broadcast, and no (test, train) pair is ever a row.  Distances are
+    squared differences summed as doubles in vector order; distance ties go
+    to the lower training key, vote ties to the smaller label.  The folder
+    must be readable by pyarrow (local, ``hdfs://``, ``s3://``, ``gs://``).
     """
-    n = train.limit(max_train_rows + 1).count()
-    if n > max_train_rows:
-        raise ValueError(f"training side exceeds {max_train_rows} rows; "
-                         "raise max_train_rows if executors can hold it")
-    rows = train.select(F.col(q(key)).alias("k"), F.col(q(vector)).cast("array<double>").alias("v"),
-                        F.col(q(label)).alias("y")).collect()
-    keys = np.array([r["k"] for r in rows])
-    mat = np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    ys = np.array([r["y"] for r in rows])
-    bc = spark.sparkContext.broadcast((keys, mat, ys))
+    from periodfact.session import scratch_path
+    path = scratch_path(spark, "knn-train")
+    (train.select(F.col(q(key)).alias("k"), F.col(q(vector)).cast("array<double>").alias("v"),
+                  F.col(q(label)).alias("y"))
+     .write.parquet(path))
     label_type = train.schema[label].dataType
 
     def predict(batches):
-        tk, tm, ty = bc.value
+        import pyarrow.dataset as ds
+        import pyarrow.fs as pafs
+        fs, root = (pafs.FileSystem.from_uri(path) if "://" in path
+                    else (pafs.LocalFileSystem(), path))
+        data = ds.dataset(root, format="parquet", filesystem=fs)
         for pdf in batches:
-            vecs = np.array([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
+            n = len(pdf)
+            if n == 0:
+                continue
+            x = np.array([np.asarray(v, dtype=np.float64) for v in pdf["v"]]).reshape(n, -1)
+            best = [(np.empty(0), np.empty(0, dtype=object), np.empty(0, dtype=object))
+                    for _ in range(n)]
+            for rb in data.to_batches(columns=["k", "v", "y"], batch_size=batch_rows):
+                m = rb.num_rows
+                if m == 0:
+                    continue
+                t = rb.column("v").flatten().to_numpy(zero_copy_only=False).reshape(m, -1)
+                tk = np.asarray(rb.column("k").to_pylist(), dtype=object)
+                ty = np.asarray(rb.column("y").to_pylist(), dtype=object)
+                for s in range(0, n, test_block):
+                    xs = x[s:s + test_block]
+                    d = np.zeros((len(xs), m))
+                    for j in range(t.shape[1]):  # summed in vector order
+                        diff = t[:, j][None, :] - xs[:, j][:, None]
+                        d += diff * diff
+                    kk = min(k, m)
+                    bound = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+                    for i in range(len(xs)):
+                        cand = np.nonzero(d[i] <= bound[i])[0]
+                        bd, bk, by = best[s + i]
+                        dd = np.concatenate([bd, d[i, cand]])
+                        ks = np.concatenate([bk, tk[cand]])
+                        ys = np.concatenate([by, ty[cand]])
+                        order = np.lexsort((ks, dd))[:k]
+                        best[s + i] = (dd[order], ks[order], ys[order])
             preds = []
-            for x in vecs.reshape(len(pdf), -1):
-                d = np.zeros(len(tm))
-                for j in range(tm.shape[1]):  # summed in vector order
-                    diff = tm[:, j] - x[j]
-                    d += diff * diff
-                kk = min(k, len(d))
-                bound = np.partition(d, kk - 1)[kk - 1]
-                cand = np.nonzero(d <= bound)[0]
-                near = cand[np.lexsort((tk[cand], d[cand]))][:kk]
-                labels, votes = np.unique(ty[near], return_counts=True)
-                preds.append(labels[np.argmax(votes)])  # unique() is sorted: ties -> smaller
+            for _, _, ys in best:
+                labels, votes = np.unique(ys.astype(type(ys[0])) if len(ys) else ys,
+                                          return_counts=True)
+                preds.append(labels[np.argmax(votes)] if len(labels) else None)
             yield pd.DataFrame({"k": pdf["k"], out: preds})
 
     schema = T.StructType([T.StructField("k", test.schema[key].dataType),
