@@ -35,7 +35,8 @@ class Lookup:
     carry the period in their name (e.g. one candidate list per year).
     ``ordinal`` is the position of a numeric column giving the match order;
     without it the order is the read order, which is file order only for a
-    single small file.
+    single small file.  ``unique`` declares the key a primary key (no
+    first-match deduplication needed).
     """
 
     path: str
@@ -44,6 +45,7 @@ class Lookup:
     n_cols: int
     period_pattern: str | None = None
     ordinal: int | None = None
+    unique: bool = False
 
 
 @dataclass(frozen=True)
@@ -104,7 +106,7 @@ def family_fact(spark: SparkSession, fam: Family, categories: Sequence[str],
         if lk.period_pattern:
             src = [F.col("period"), *src]
         cur = lookup_first(cur.withColumn("__lk", _key(src)), _lookup_frame(spark, lk),
-                           "__lk", "__lk", ["__value"], "__ordinal").drop("__lk")
+                           "__lk", "__lk", ["__value"], "__ordinal", unique=lk.unique).drop("__lk")
         cur = cur.withColumn("__code", F.col("__value")).drop("__value")
     cur = cur.withColumn("category", normalise_label("__code", categories, aliases)).drop("__code")
     cats = tally(cur, ["period", "category"], "votes")

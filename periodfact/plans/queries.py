@@ -420,7 +420,7 @@ def q_wide_files_fact(spark: SparkSession, sf: str) -> DataFrame:
                  n_cols=2 + 2 * N_LINES, total_col=1,
                  layouts=[(None, BlockLayout(2, 2, {"item": 0, "votes": 1}, key=("item",)))],
                  item=["item"],
-                 lookups=[Lookup(f"{base}/part", key=[0], value=1, n_cols=3, ordinal=0),
+                 lookups=[Lookup(f"{base}/part", key=[0], value=1, n_cols=3, ordinal=0, unique=True),
                           Lookup(f"{base}/part", key=[1], value=2, n_cols=3, ordinal=0)])
     return families_fact(spark, [fam], CATEGORIES)
 
