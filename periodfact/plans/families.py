@@ -13,7 +13,7 @@ pivot, shares and winner.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +23,7 @@ from periodfact.functions import casefold_key, normalise_label, parse_locale_num
 from periodfact.operators import (BlockLayout, assemble_fact, lookup_first, pivot_categories,
                                   shares, tally, union_families, unpivot_blocks, winner_item,
                                   winner_of_columns)
-from periodfact.sources import positional_schema, read_delimited, read_period_files
+from periodfact.sources import files_exist, positional_schema, read_delimited, read_period_files
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ class Family:
     glob: str
     period_pattern: str
     n_cols: int
-    total_col: int
+    total_col: int | str          # position, or a header name looked up in the files' header
     layouts: Sequence[tuple[Sequence[int] | None, BlockLayout]]
     item: Sequence[str]
     lookups: Sequence[Lookup]
@@ -75,13 +75,27 @@ def family_long(spark: SparkSession, fam: Family) -> tuple[DataFrame, DataFrame]
     for periods, layout in fam.layouts:
         w = (wide.where(F.col("period").isin(list(periods))) if periods
              else wide.where(~F.col("period").isin(explicit)) if explicit else wide)
-        parts.append(unpivot_blocks(w, ["period"], layout, columns=schema.names))
+        # the schema is as wide as the widest file: blocks past a narrower
+        # file's last column read as null and are dropped by the key filter
+        parts.append(unpivot_blocks(w, ["period"], replace(layout, stop="first_missing"),
+                                    columns=schema.names))
     long = reduce(lambda a, b: a.unionByName(b), parts)
+    pos = fam.total_col if isinstance(fam.total_col, int) else header_position(spark, fam, fam.total_col)
     totals = wide.groupBy("period").agg(
-        F.sum(parse_locale_number(F.col(f"c{fam.total_col}"))).alias("total"))
+        F.sum(parse_locale_number(F.col(f"c{pos}"))).alias("total"))
     return long, totals
 
 
+def header_position(spark: SparkSession, fam: Family, name: str) -> int:
+    """Position of a named column, read from the header line of the family's files."""
+    sep = dict(fam.options).get("sep", ";")
+    header = spark.read.option("header", True).option("sep", sep).csv(fam.glob).columns
+    folded = [h.strip().lower() for h in header]
+    if name.strip().lower() not in folded:
+        raise ValueError(f"column {name!r} not in the header of {fam.glob}")
+    return folded.index(name.strip().lower())
+
+
 def _lookup_frame(spark: SparkSession, lk: Lookup) -> DataFrame:
     schema = positional_schema(lk.n_cols)
     df = (read_period_files(spark, lk.path, lk.period_pattern, schema=schema) if lk.period_pattern
@@ -131,8 +145,14 @@ def _slug(label: str) -> str:
 def families_fact(spark: SparkSession, families: Sequence[Family], categories: Sequence[str],
                   mart: DataFrame | None = None, aliases: Mapping[str, str] | None = None,
                   indicator_cols: Sequence[str] = ()) -> DataFrame:
-    """K2 + B1 + J5: all families' rows, tagged with the family, with the period's indicators."""
-    facts = union_families({f.name: family_fact(spark, f, categories, aliases) for f in families})
+    """K2 + B1 + J5: all families' rows, tagged with the family, with the period's indicators.
+
+    A family whose files are all absent is skipped (like a missing year).
+    """
+    present = [f for f in families if files_exist(spark, f.glob)]
+    if not present:
+        raise ValueError("no family has any file")
+    facts = union_families({f.name: family_fact(spark, f, categories, aliases) for f in present})
     share_cols = [f"share_{_slug(c)}" for c in categories] + ["share_residual"]
     out = assemble_fact(facts, None, mart, None, keys=("period", "family"), share_cols=share_cols,
                         indicator_cols=indicator_cols, total_cols=["total"])

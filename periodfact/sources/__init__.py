@@ -110,3 +110,12 @@ def reject_report(df: DataFrame) -> DataFrame:
     first = [c for c in df.columns if c != CORRUPT][0]
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count(F.col(CORRUPT)).alias("rejected"),
                   F.count(F.col(first)).alias(f"non_null_{first}"))
+
+
+def files_exist(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob matches anything (one file-system listing on the driver)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path)
+    return found is not None and len(found) > 0
