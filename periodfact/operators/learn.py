@@ -196,8 +196,12 @@ def fit_forest(train: DataFrame, label_col: str, features: str = "features", see
 
 
 def fit_linear_svm(train: DataFrame, label_col: str, features: str = "features",
-                   max_iter: int = 20, reg: float = 0.0, parallelism: int = 4):
-    """M6: linear SVM for several classes (one-vs-rest, classes fitted concurrently)."""
+                   max_iter: int = 20, reg: float = 1e-3, parallelism: int = 4):
+    """M6: linear SVM for several classes (one-vs-rest, classes fitted concurrently).
+
+    A small L2 term (like the reference library's soft margin) keeps the
+    optimiser's line search stable on separable classes.
+    """
     svc = OneVsRest(classifier=LinearSVC(maxIter=max_iter, regParam=reg), featuresCol=features,
                     labelCol="label", parallelism=parallelism)
     return _with_labels(svc, label_col).fit(train)

@@ -52,6 +52,14 @@ REGIONAL_LAYOUTS = [
     (None, BlockLayout(16, 8, {"code": 0, "votes": 4}, transforms=_STRIP, key=("code",))),
 ]
 
+# The model features (fact columns) and the what-if scenario rows.
+FEATURES = ["moyenne_smic_horaire_brut", "moyenne_ipc", "moyenne_pouvoir_achat_unite_conso",
+            "moyenne_pouvoir_achat_revenu_brute", "moyenne_ensemble_chomage",
+            "preoccupation_chomage", "preoccupation_racisme", "nombre_incivilite"]
+SCENARIOS = [[450, 350, 3, 2, 5, 3, 5, 500000],
+             [350, 301, 0.3, -0.1, 10, 15, 25, 8000000],
+             [275, 250, 10, 8.2, 8, 13, 2, 8500000]]
+
 # Indicator files and the header names of their measures.
 INDICATORS = {
     "base": ("indicateurs/indicateur_evoluation_smic_ipc.csv",
@@ -107,3 +115,20 @@ def election_fact(spark: SparkSession, root: str, n_cols: int = 200,
     cols = [c for c in mart.columns if c != "period"]
     return families_fact(spark, families or election_families(root, n_cols), ORIENTATIONS,
                          mart=mart, aliases=ALIASES, indicator_cols=cols)
+
+
+def learn_from_fact(spark: SparkSession, fact: DataFrame, seed: int = 42, test_size: float = 0.4):
+    """Score table and scenario predictions for the winner, from the fact's indicators.
+
+    Features missing from the fact (their source file is absent) are 0, as
+    the reference fills missing features.
+    """
+    from pyspark.sql import functions as F
+
+    from periodfact.plans.learning import model_report
+    data = fact.withColumns({c: F.col(c).cast("double") if c in fact.columns else F.lit(0.0)
+                             for c in FEATURES})
+    data = data.withColumn("row_key", F.concat_ws("|", "period", "family")).where(
+        F.col("winner").isNotNull())
+    return model_report(spark, data, "row_key", "winner", FEATURES, seed=seed, test_size=test_size,
+                        scenarios=SCENARIOS)

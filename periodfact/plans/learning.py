@@ -114,15 +114,15 @@ def _split(spark: SparkSession, sf: str, seed: int, test_size: float, data: Data
 class _Knn:
     """KNN behind the same ``transform`` as the fitted pyspark.ml models."""
 
-    def __init__(self, spark: SparkSession, train: DataFrame):
-        self.spark = spark
-        self.train = train.select("doc_id", vector_array("features").alias("vec"), "lang")
+    def __init__(self, spark: SparkSession, train: DataFrame, key: str, label: str):
+        self.spark, self.key, self.label = spark, key, label
+        self.train = train.select(key, vector_array("features").alias("vec"), label)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        key = "doc_id" if "doc_id" in df.columns else "Year"
-        test = df.select(F.col(key).alias("doc_id"), vector_array("features").alias("vec"))
-        pred = L.knn_classify(self.spark, self.train, test, "doc_id", "vec", "lang")
-        return df.join(pred.withColumnRenamed("doc_id", key), key)
+        key = self.key if self.key in df.columns else "Year"
+        test = df.select(F.col(key).alias(self.key), vector_array("features").alias("vec"))
+        pred = L.knn_classify(self.spark, self.train, test, self.key, "vec", self.label)
+        return df.join(pred.withColumnRenamed(self.key, key), key)
 
 
 def vector_array(c: str):
@@ -130,10 +130,32 @@ def vector_array(c: str):
     return vector_to_array(F.col(c))
 
 
+def model_report(spark: SparkSession, data: DataFrame, key: str, label: str, features: list[str],
+                 seed: int = SEED, test_size: float = FINAL_TEST_SIZE,
+                 scenarios: list | None = None, first_period: int = 2025):
+    """The reference's learning protocol on any table, as Spark jobs.
+
+    Hold out ``test_size`` by hash order, oversample the train side, fit a
+    forest, KNN and a linear SVM, score them on the test side (M12 score
+    table) and predict the scenario rows as future periods (M11).
+    Returns ``(scores, predictions)``; predictions is None without scenarios.
+    """
+    prepared = data if "features" in data.columns else L.assemble_features(data, features)
+    train, test = L.split_and_balance(prepared, key, label, test_size, seed)
+    models = {"Random Forest": L.fit_forest(train, label, seed=seed),
+              "K-Nearest Neighbors": _Knn(spark, train, key, label),
+              "Support Vector Machine": L.fit_linear_svm(train, label)}
+    scores = L.score_table({name: L.score(m.transform(test).select(
+        F.col(label).alias("label"), "predicted")) for name, m in models.items()})
+    preds = (L.predict_scenarios(spark, models, scenarios, features, first_period)
+             if scenarios else None)
+    return scores, preds
+
+
 def fitted_models(spark: SparkSession, sf: str, seed: int = SEED, test_size: float = FINAL_TEST_SIZE):
     train, test = _split(spark, sf, seed, test_size)
     return {"Random Forest": L.fit_forest(train, "lang", seed=seed),
-            "K-Nearest Neighbors": _Knn(spark, train),
+            "K-Nearest Neighbors": _Knn(spark, train, "doc_id", "lang"),
             "Support Vector Machine": L.fit_linear_svm(train, "lang")}, test
 
 
@@ -152,13 +174,12 @@ def q_svm_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_score_table(spark: SparkSession, sf: str) -> DataFrame:
-    models, test = fitted_models(spark, sf)
-    return L.score_table({name: _scores(m, test) for name, m in models.items()})
+    return model_report(spark, _prepared(spark, sf), "doc_id", "lang", FEATURES)[0]
 
 
 def q_scenario_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    models, _ = fitted_models(spark, sf)
-    return L.predict_scenarios(spark, models, SCENARIOS, FEATURES, 2025)
+    return model_report(spark, _prepared(spark, sf), "doc_id", "lang", FEATURES,
+                        scenarios=SCENARIOS)[1]
 
 
 def q_seed_search(spark: SparkSession, sf: str) -> DataFrame:
