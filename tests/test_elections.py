@@ -89,3 +89,17 @@ def test_indicators_on_the_reference_files(spark):
     # hand-checked: 1990 = (106.79+104.58+102.01+100.00)/4 and (102.34+102.11+100.70+100.00)/4
     assert (rows[1990].moyenne_smic_horaire_brut, rows[1990].moyenne_ipc) == (103.35, 101.29)
     assert len(rows) == 34 and rows[2007].taux_insecurite_femmes is not None
+
+
+def test_learn_from_fact(spark):
+    from periodfact.plans.elections import learn_from_fact
+    rows = [(1990 + i % 34, f"f{i // 34}", "Gauche" if i % 3 else "Droite", 100.0 + i % 7,
+             90.0 + (40 if i % 3 else 0) + i % 5) for i in range(90)]
+    fact = spark.createDataFrame(rows, "period int, family string, winner string, "
+                                       "moyenne_smic_horaire_brut double, moyenne_ipc double")
+    scores, preds = learn_from_fact(spark, fact)
+    got = {r.Model: r for r in scores.collect()}
+    assert set(got) == {"Random Forest", "K-Nearest Neighbors", "Support Vector Machine"}
+    assert got["Random Forest"]["Mean Accuracy"] > 0.9
+    p = preds.collect()
+    assert len(p) == 9 and {r.Year for r in p} == {2025, 2026, 2027}
