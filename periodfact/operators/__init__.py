@@ -9,8 +9,8 @@ from periodfact.operators.fact import (assemble_fact, assert_unique, join_on_per
 from periodfact.operators.periods import (filter_period, global_mean, lag_change,
                                           mean_by_period, mean_from_parts, mean_parts,
                                           row_total, sum_all_by_period, with_period)
-from periodfact.operators.reshape import (BlockLayout, pivot_categories, unpivot_blocks,
-                                          unpivot_layouts)
+from periodfact.operators.reshape import (BlockLayout, pivot_categories, to_blocks,
+                                          unpivot_blocks, unpivot_layouts)
 from periodfact.operators.tally import (apply_unmatched_policy, assert_all_matched,
                                         bounded_broadcast, category_rank, first_by_key,
                                         lookup_first, shares, tally, total, unmatched,
@@ -26,5 +26,5 @@ __all__ = [
     "unpivot_layouts", "apply_unmatched_policy", "assert_all_matched", "bounded_broadcast",
     "category_rank", "first_by_key", "lookup_first", "shares", "tally", "total", "unmatched",
     "winner_category", "winner_item", "winner_of_columns", "filter_period", "mean_parts",
-    "mean_from_parts",
+    "mean_from_parts", "to_blocks",
 ]

@@ -95,6 +95,25 @@ def unpivot_layouts(frames: Sequence[tuple[DataFrame, Sequence[str], BlockLayout
     return out
 
 
+def to_blocks(df: DataFrame, index: Sequence[str], slot: str, slots: Sequence[object],
+              fields: Mapping[str, tuple[Callable[[Column], Column], str]],
+              extra: Sequence[Column] = ()) -> DataFrame:
+    """Inverse of :func:`unpivot_blocks`: long rows -> one wide row per index.
+
+    For every slot value ``s`` and field ``name -> (aggregate, column)`` the
+    output has ``{s}_{name}`` = aggregate of the column over the rows of that
+    slot (null where the slot is absent), in slot-major order, so the result
+    has the repeated-block layout of a wide result file.  One conditional
+    aggregation (one shuffle, partially aggregated) instead of a pivot that
+    first aggregates by (index, slot).  ``extra`` adds whole-row aggregates.
+    """
+    aggs = []
+    for v in slots:
+        hit = F.col(q(slot)) == F.lit(v)
+        aggs += [fn(F.when(hit, F.col(q(c)))).alias(f"{v}_{name}") for name, (fn, c) in fields.items()]
+    return df.groupBy(*[F.col(q(c)) for c in index]).agg(*aggs, *extra)
+
+
 def pivot_categories(df: DataFrame, index: Sequence[str], category: str, value: str,
                      categories: Sequence[str], names: Mapping[str, str] | None = None,
                      fill: object = 0, total: str | None = None,

@@ -16,7 +16,7 @@ from periodfact.operators import (BlockLayout, assemble_fact, drop_null_keys, fi
                                   lag_change, mean_from_parts, mean_parts,
                                   lookup_first, mean_by_period, measure_gap, pivot_categories,
                                   row_total, safe_column_names, shares, spine_join,
-                                  sum_all_by_period, tally, union_families, unmatched,
+                                  sum_all_by_period, tally, to_blocks, union_families, unmatched,
                                   unpivot_blocks, unpivot_layouts, winner_category, winner_item,
                                   winner_of_columns, with_period)
 from periodfact.plans.tables import (CATEGORIES, SEGMENT_CATEGORY, col_name, lineitem,
@@ -184,14 +184,10 @@ def q_safe_column_names(spark: SparkSession, sf: str) -> DataFrame:
 # U1 S5 F3 ------------------------------------------------------------------
 def wide_orders(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order, one block (item, quantity, price) per line number."""
-    li = read(spark, sf, "lineitem")
-    wide = (li.groupBy("l_orderkey")
-            .pivot("l_linenumber", list(range(1, N_LINES + 1)))
-            .agg(F.min("l_partkey").alias("item"),
-                 F.sum("l_quantity").alias("qty"),
-                 PF.exact_sum("l_extendedprice").alias("price")))
-    cols = ["l_orderkey"] + [f"{n}_{f}" for n in range(1, N_LINES + 1) for f in ("item", "qty", "price")]
-    return wide.select(*cols)
+    return to_blocks(read(spark, sf, "lineitem"), ["l_orderkey"], "l_linenumber",
+                     list(range(1, N_LINES + 1)),
+                     {"item": (F.min, "l_partkey"), "qty": (F.sum, "l_quantity"),
+                      "price": (PF.exact_sum, "l_extendedprice")})
 
 
 def q_unpivot_blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -402,16 +398,14 @@ def q_wide_files_fact(spark: SparkSession, sf: str) -> DataFrame:
     from periodfact.plans.families import Family, Lookup, families_fact
     from periodfact.session import scratch_path
     base = scratch_path(spark, "wide-files")
-    li = read(spark, sf, "lineitem")
-    per_line = (li.groupBy("l_orderkey", "l_linenumber")
-                .agg(F.min("l_partkey").alias("item"), F.sum("l_quantity").alias("votes")))
     blocks = [x for n in range(1, N_LINES + 1) for x in (f"{n}_item", f"{n}_votes")]
-    wide = (per_line.groupBy("l_orderkey").pivot("l_linenumber", list(range(1, N_LINES + 1)))
-            .agg(F.first("item").alias("item"), F.first("votes").alias("votes")))
-    total = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("total"))
+    wide = to_blocks(read(spark, sf, "lineitem"), ["l_orderkey"], "l_linenumber",
+                     list(range(1, N_LINES + 1)),
+                     {"item": (F.min, "l_partkey"), "votes": (F.sum, "l_quantity")},
+                     extra=[F.sum("l_quantity").alias("total")])
     years = read(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                              F.year("o_orderdate").alias("period"))
-    (wide.join(total, "l_orderkey").join(years, "l_orderkey")
+    (wide.join(years, "l_orderkey")
      .select("period", "l_orderkey", "total", *blocks)
      .write.partitionBy("period").option("sep", ";").option("header", True).csv(f"{base}/wide"))
     (read(spark, sf, "part").select("p_partkey", "p_brand", "p_type")

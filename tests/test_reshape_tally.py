@@ -122,3 +122,17 @@ def test_shares_residual_property(spark):
     wide = pivot_categories(t, ["period"], "cat", "votes", ["A", "B", "C"], total="total")
     for r in shares(wide, "total", ["A", "B", "C"]).collect():
         assert r.share_A + r.share_B + r.share_C + r.share_residual == pytest.approx(100.0)
+
+
+def test_to_blocks_round_trip(spark):
+    from periodfact.operators import to_blocks
+    rows = [(1, 1, "A", 2.0), (1, 2, "B", 3.0), (2, 1, "C", 5.0), (1, 1, "A", 1.0)]
+    long = spark.createDataFrame(rows, "k int, slot int, item string, v double")
+    wide = to_blocks(long, ["k"], "slot", [1, 2, 3],
+                     {"item": (F.min, "item"), "votes": (F.sum, "v")},
+                     extra=[F.sum("v").alias("total")])
+    assert wide.columns == ["k", "1_item", "1_votes", "2_item", "2_votes", "3_item", "3_votes", "total"]
+    back = unpivot_blocks(wide, ["k"], BlockLayout(1, 2, {"item": 0, "votes": 1}, key=("item",)),
+                          columns=wide.columns[:7])
+    assert sorted((r.k, r.slot, r.item, r.votes) for r in back.collect()) == [
+        (1, 0, "A", 3.0), (1, 1, "B", 3.0), (2, 0, "C", 5.0)]
