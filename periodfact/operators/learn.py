@@ -308,14 +308,20 @@ def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: st
 
 # M7 M8 M9 ---------------------------------------------------------------------
 def _per_class(pred: DataFrame, label: str, predicted: str) -> DataFrame:
-    # one pass over the predictions: counts per (actual, predicted) pair,
-    # at most classes^2 rows; both sides of the report derive from it
+    # one pass over the predictions: counts per (actual, predicted) pair, at
+    # most classes^2 rows; each pair then counts once for its actual class
+    # (support, tp) and once for its predicted class, in one aggregation
     pairs = pred.groupBy(F.col(q(label)).alias("a"), F.col(q(predicted)).alias("p")).count()
-    actual = pairs.groupBy(F.col("a").alias("class")).agg(
-        F.sum("count").alias("support"),
-        F.sum(F.when(F.col("a") == F.col("p"), F.col("count")).otherwise(F.lit(0))).alias("tp"))
-    guessed = pairs.groupBy(F.col("p").alias("class")).agg(F.sum("count").alias("n_predicted"))
-    per = actual.join(guessed, "class", "full").na.fill(0, ["support", "tp", "n_predicted"])
+    zero = F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("a").alias("class"), F.col("count").alias("support"),
+                 F.when(F.col("a") == F.col("p"), F.col("count")).otherwise(zero).alias("tp"),
+                 zero.alias("n_predicted")),
+        F.struct(F.col("p").alias("class"), zero.alias("support"), zero.alias("tp"),
+                 F.col("count").alias("n_predicted")))
+    per = (pairs.select(F.inline(sides)).groupBy("class")
+           .agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                F.sum("n_predicted").alias("n_predicted")))
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_predicted").cast("double")),
                    F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")),

@@ -459,12 +459,14 @@ def _rule() -> str:
 
 
 _REPORT = """
-a AS (SELECT label AS class, count(*) AS support, sum(CAST(label = predicted AS BIGINT)) AS tp
-      FROM p GROUP BY 1),
-g AS (SELECT predicted AS class, count(*) AS n_predicted FROM p GROUP BY 1),
-per AS (SELECT coalesce(a.class, g.class) AS class, coalesce(support, 0) AS support,
-               coalesce(tp, 0) AS tp, coalesce(n_predicted, 0) AS n_predicted
-        FROM a FULL JOIN g ON a.class = g.class),
+pairs AS (SELECT label AS a, predicted AS pd, count(*) AS c FROM p GROUP BY 1, 2),
+per AS (SELECT class, CAST(sum(support) AS BIGINT) AS support, CAST(sum(tp) AS BIGINT) AS tp,
+               CAST(sum(n_predicted) AS BIGINT) AS n_predicted
+        FROM (SELECT a AS class, c AS support, CASE WHEN a = pd THEN c ELSE 0 END AS tp,
+                     0 AS n_predicted FROM pairs
+              UNION ALL
+              SELECT pd AS class, 0 AS support, 0 AS tp, c AS n_predicted FROM pairs)
+        GROUP BY 1),
 pr AS (SELECT class, support, tp,
               coalesce(CAST(tp AS DOUBLE) / nullif(CAST(n_predicted AS DOUBLE), 0), 0.0) AS precision,
               coalesce(CAST(tp AS DOUBLE) / nullif(CAST(support AS DOUBLE), 0), 0.0) AS recall
