@@ -59,7 +59,7 @@ def _prefix_condition(group: Column | None, prefixes: dict) -> Column:
     for g, p in prefixes.items():
         c = F.startswith(F.col(HASH), F.lit(p)) if p else F.lit(True)
         if group is not None:
-            c = (group == F.lit(g)) & c
+            c = group.eqNullSafe(F.lit(g)) & c
         cond = c if cond is None else cond | c
     return cond
 

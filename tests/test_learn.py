@@ -34,6 +34,13 @@ def test_oversample_balances_and_keeps_originals(spark):
     assert o.select("key").distinct().count() == 100
 
 
+def test_oversample_with_a_null_class(spark):
+    rows = [(i, None if i < 3 else ("a" if i < 50 else "b")) for i in range(60)]
+    o = L.oversample(spark.createDataFrame(rows, "key long, y string"), "y", "key", seed=2)
+    counts = {r.y: r["count"] for r in o.groupBy("y").count().collect()}
+    assert counts == {None: 47, "a": 47, "b": 47}
+
+
 def test_oversample_spreads_huge_copy_counts(spark):
     rows = [(i, "a" if i < 95 else "b") for i in range(100)]
     df = spark.createDataFrame(rows, "key long, y string")
