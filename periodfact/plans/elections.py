@@ -69,14 +69,23 @@ INDICATORS = {
                    {"moyenne_pouvoir_achat_unite_conso": "Pouvoir d'achat par unite de consommation",
                     "moyenne_pouvoir_achat_revenu_brute": "Pouvoir d'achat du revenu disponible brut"},
                    {}),
+    "unemployment_sex": ("indicateurs/indicateur_taux_chomage_sexe.csv",
+                         {"moyenne_chomage_femmes": "Femmes", "moyenne_chomage_hommes": "Hommes"}, {}),
     "unemployment": ("indicateurs/indicateur_taux_chomage_age.csv",
-                     {"moyenne_ensemble_chomage": "Ensemble"}, {}),
+                     {"moyenne_chomage_15_24": "15-24 ans", "moyenne_chomage_25_49": "25-49 ans",
+                      "moyenne_chomage_50_plus": "50 ans ou plus",
+                      "moyenne_ensemble_chomage": "Ensemble"}, {}),
     "insecurity": ("indicateurs/indicateur_insecurite.csv",
                    {"taux_insecurite_femmes": "Femmes", "taux_insecurite_hommes": "Hommes"},
                    {"keep": ("Tranche age", "Ensemble")}),
     "population": ("indicateurs/indicateur_population_etrangere.csv",
                    {"population_etrangere": "Etrangers", "population_immigres": "Immigres",
                     "population_totale_etrangere": "Population totale"}, {"reduce": "none"}),
+    "concern": ("indicateurs/indicateur_preocuppation.csv", None,
+                {"reduce": "none", "optional": True}),
+    "incidents": ("indicateurs/indicateur_nombre_incivilite.csv", None,
+                  {"reduce": "row_total", "period_code": (2, 4), "out": "nombre_incivilite",
+                   "optional": True}),
 }
 
 
@@ -112,9 +121,10 @@ def election_fact(spark: SparkSession, root: str, n_cols: int = 200,
                   families: list[Family] | None = None) -> DataFrame:
     """One fact row per (year, family) with the year's indicators."""
     mart = indicators(spark, root)
-    cols = [c for c in mart.columns if c != "period"]
+    totals = [c for c in mart.columns if c == "nombre_incivilite"]   # counts: wide decimal
+    cols = [c for c in mart.columns if c != "period" and c not in totals]
     return families_fact(spark, families or election_families(root, n_cols), ORIENTATIONS,
-                         mart=mart, aliases=ALIASES, indicator_cols=cols)
+                         mart=mart, aliases=ALIASES, indicator_cols=cols, total_cols=totals)
 
 
 def learn_from_fact(spark: SparkSession, fact: DataFrame, seed: int = 42, test_size: float = 0.4):

@@ -144,7 +144,7 @@ def _slug(label: str) -> str:
 
 def families_fact(spark: SparkSession, families: Sequence[Family], categories: Sequence[str],
                   mart: DataFrame | None = None, aliases: Mapping[str, str] | None = None,
-                  indicator_cols: Sequence[str] = ()) -> DataFrame:
+                  indicator_cols: Sequence[str] = (), total_cols: Sequence[str] = ()) -> DataFrame:
     """K2 + B1 + J5: all families' rows, tagged with the family, with the period's indicators.
 
     A family whose files are all absent is skipped (like a missing year).
@@ -155,5 +155,5 @@ def families_fact(spark: SparkSession, families: Sequence[Family], categories: S
     facts = union_families({f.name: family_fact(spark, f, categories, aliases) for f in present})
     share_cols = [f"share_{_slug(c)}" for c in categories] + ["share_residual"]
     out = assemble_fact(facts, None, mart, None, keys=("period", "family"), share_cols=share_cols,
-                        indicator_cols=indicator_cols, total_cols=["total"])
+                        indicator_cols=indicator_cols, total_cols=["total", *total_cols])
     return out

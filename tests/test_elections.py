@@ -40,6 +40,10 @@ def root(scratch):
           ["Annee;Femmes;Hommes;Tranche age", "2019;16,0;9,2;Ensemble "])
     write(f"{d}/indicateurs/indicateur_population_etrangere.csv",
           ['Annee;Etrangers;Immigres;"Population totale', "2022;5 315;7 007;67 843"])
+    write(f"{d}/indicateurs/indicateur_taux_chomage_sexe.csv",
+          ["Annee;Trimestre;Femmes;Hommes;Ensemble", "2022;T1;7.4;7.6;7.5"])
+    write(f"{d}/indicateurs/indicateur_nombre_incivilite.csv",
+          ["Annee;Vols;Coups et blessures volontaires", "_2022_01;10;2", "_2022_02;5;", "_2019_01;1;1"])
     write(f"{d}/parti-politique/partis.csv",
           ["Nom du parti;Orientation politique", "LO;Extreme Gauche", "DV;Ecologie", "PS;Gauche",
            "DVD;Droite", "DV;Divers", "", ""])
@@ -69,6 +73,7 @@ def test_election_fact_end_to_end(spark, root):
     p = rows[(2022, "presidential")]
     assert p.winner == "Gauche" and float(p.share_gauche) == 68.75 and float(p.share_extreme_gauche) == 25.0
     assert float(p.moyenne_smic_horaire_brut) == 111.0 and float(p.population_etrangere) == 5315.0
+    assert float(p.nombre_incivilite) == 17.0 and float(p.moyenne_chomage_femmes) == 7.4
     e = rows[(2019, "european")]
     # biggest list L-C -> Centre; "Gauche Radical" is mapped onto its canonical label
     assert e.winner == "Centre" and float(e.share_gauche_radicale) == 37.5
