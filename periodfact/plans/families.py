@@ -66,10 +66,21 @@ def _key(cols: Sequence[Column]) -> Column:
     return casefold_key(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]))
 
 
-def family_long(spark: SparkSession, fam: Family) -> tuple[DataFrame, DataFrame]:
-    """(long block rows, valid-vote totals per period) of one family."""
-    schema = positional_schema(fam.n_cols)
-    wide = read_period_files(spark, fam.glob, fam.period_pattern, schema=schema, **dict(fam.options))
+def read_family(spark: SparkSession, fam: Family) -> DataFrame:
+    """All files of a family in one scan: positional columns + the period."""
+    return read_period_files(spark, fam.glob, fam.period_pattern,
+                             schema=positional_schema(fam.n_cols), **dict(fam.options))
+
+
+def family_partials(spark: SparkSession, fam: Family, wide: DataFrame) -> DataFrame:
+    """Votes per (period, item) and valid-vote totals per period of some wide rows.
+
+    Rows ``kind='item'`` carry the item fields and their votes; rows
+    ``kind='total'`` carry the period's valid-vote total.  Partials of
+    disjoint row sets (files, micro-batches) add up, so the fact can be
+    built from any split of the files (see :func:`family_fact_from_partials`).
+    """
+    names = positional_schema(fam.n_cols).names
     explicit = [p for periods, _ in fam.layouts if periods for p in periods]
     parts = []
     for periods, layout in fam.layouts:
@@ -78,12 +89,14 @@ def family_long(spark: SparkSession, fam: Family) -> tuple[DataFrame, DataFrame]
         # the schema is as wide as the widest file: blocks past a narrower
         # file's last column read as null and are dropped by the key filter
         parts.append(unpivot_blocks(w, ["period"], replace(layout, stop="first_missing"),
-                                    columns=schema.names))
+                                    columns=names))
     long = reduce(lambda a, b: a.unionByName(b), parts)
+    items = tally(long.withColumn("votes", parse_locale_number("votes")), ["period", *fam.item], "votes")
     pos = fam.total_col if isinstance(fam.total_col, int) else header_position(spark, fam, fam.total_col)
     totals = wide.groupBy("period").agg(
-        F.sum(parse_locale_number(F.col(f"c{pos}"))).alias("total"))
-    return long, totals
+        F.sum(parse_locale_number(F.col(f"c{pos}"))).alias("votes"))
+    return (items.withColumn("kind", F.lit("item"))
+            .unionByName(totals.withColumn("kind", F.lit("total")), allowMissingColumns=True))
 
 
 def header_position(spark: SparkSession, fam: Family, name: str) -> int:
@@ -112,8 +125,16 @@ def _lookup_frame(spark: SparkSession, lk: Lookup) -> DataFrame:
 def family_fact(spark: SparkSession, fam: Family, categories: Sequence[str],
                 aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Shares (+ residual), winner and total of one family, one row per period."""
-    long, totals = family_long(spark, fam)
-    items = tally(long.withColumn("votes", parse_locale_number("votes")), ["period", *fam.item], "votes")
+    return family_fact_from_partials(spark, fam, family_partials(spark, fam, read_family(spark, fam)),
+                                     categories, aliases)
+
+
+def family_fact_from_partials(spark: SparkSession, fam: Family, partials: DataFrame,
+                              categories: Sequence[str],
+                              aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """The fact of a family from its (possibly repeated per file or batch) partials."""
+    items = tally(partials.where(F.col("kind") == "item"), ["period", *fam.item], "votes")
+    totals = tally(partials.where(F.col("kind") == "total"), ["period"], "votes", out="total")
     cur = items.withColumn("__code", F.lit(None).cast("string"))
     for i, lk in enumerate(fam.lookups):
         src = [F.col(c) for c in fam.item] if i == 0 else [F.col("__code")]
@@ -152,8 +173,15 @@ def families_fact(spark: SparkSession, families: Sequence[Family], categories: S
     present = [f for f in families if files_exist(spark, f.glob)]
     if not present:
         raise ValueError("no family has any file")
-    facts = union_families({f.name: family_fact(spark, f, categories, aliases) for f in present})
+    return assemble_families({f.name: family_fact(spark, f, categories, aliases) for f in present},
+                             categories, mart, indicator_cols, total_cols)
+
+
+def assemble_families(facts: Mapping[str, DataFrame], categories: Sequence[str],
+                      mart: DataFrame | None = None, indicator_cols: Sequence[str] = (),
+                      total_cols: Sequence[str] = ()) -> DataFrame:
+    """Union of per-family facts, the period's indicators, stored types."""
     share_cols = [f"share_{_slug(c)}" for c in categories] + ["share_residual"]
-    out = assemble_fact(facts, None, mart, None, keys=("period", "family"), share_cols=share_cols,
-                        indicator_cols=indicator_cols, total_cols=["total", *total_cols])
-    return out
+    return assemble_fact(union_families(dict(facts)), None, mart, None, keys=("period", "family"),
+                         share_cols=share_cols, indicator_cols=indicator_cols,
+                         total_cols=["total", *total_cols])

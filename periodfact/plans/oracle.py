@@ -435,6 +435,7 @@ def oracle_sql() -> dict[str, str]:
         "family_union": FAMILY_UNION,
         "read_delimited_roundtrip": READ_DELIMITED_ROUNDTRIP,
         "wide_files_fact": WIDE_FILES_FACT,
+        "streaming_wide_files_fact": WIDE_FILES_FACT,
         "indicator_mart_files": INDICATOR_MART_FILES,
     }
 

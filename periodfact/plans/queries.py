@@ -386,16 +386,15 @@ def q_read_delimited_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # S3 U3 J3 J5 B1 on files -------------------------------------------------------
-def q_wide_files_fact(spark: SparkSession, sf: str) -> DataFrame:
-    """lineitem as per-year wide result files, read back through a family spec.
+def write_wide_files(spark: SparkSession, sf: str):
+    """lineitem as per-year wide result files plus a part lookup file.
 
     Each order becomes one row ``order;total;item;votes;item;votes;...`` (one
     block per line number) in the folder of its order year; part becomes a
-    ``partkey;brand;type`` lookup file.  The family reads all years in one
-    scan and goes item -> brand (key lookup) -> type (first match by lowest
-    partkey) -> shares and winner per year.
+    ``partkey;brand;type`` file.  Returns the family spec that reads them:
+    item -> brand (key lookup) -> type (first match by lowest partkey).
     """
-    from periodfact.plans.families import Family, Lookup, families_fact
+    from periodfact.plans.families import Family, Lookup
     from periodfact.session import scratch_path
     base = scratch_path(spark, "wide-files")
     blocks = [x for n in range(1, N_LINES + 1) for x in (f"{n}_item", f"{n}_votes")]
@@ -416,9 +415,43 @@ def q_wide_files_fact(spark: SparkSession, sf: str) -> DataFrame:
                  item=["item"],
                  lookups=[Lookup(f"{base}/part", key=[0], value=1, n_cols=3, ordinal=0, unique=True),
                           Lookup(f"{base}/part", key=[1], value=2, n_cols=3, ordinal=0)])
+    return base, fam
+
+
+def q_wide_files_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-year wide result files read back in one scan through a family spec."""
+    from periodfact.plans.families import families_fact
+    _, fam = write_wide_files(spark, sf)
     return families_fact(spark, [fam], CATEGORIES)
 
 
+def q_streaming_wide_files_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files arriving as a stream, in about four micro-batches.
+
+    Each micro-batch appends its partial tallies (idempotently, one folder
+    per batch); a year's files may straddle batches, which is why the fact
+    is built from the accumulated partials rather than per batch.
+    """
+    import uuid
+
+    from periodfact.plans.families import (assemble_families, family_fact_from_partials,
+                                           family_partials)
+    from periodfact.session import scratch_path
+    from periodfact.sources import positional_schema
+    from periodfact.streaming import append_facts_stream, stream_period_files
+    from periodfact.sources import count_files
+    base, fam = write_wide_files(spark, sf)
+    per_batch = max(1, -(-count_files(spark, fam.glob) // 4))   # about four micro-batches
+    stream = stream_period_files(spark, f"{base}/wide", positional_schema(fam.n_cols),
+                                 fam.period_pattern, max_files_per_trigger=per_batch)
+    target = scratch_path(spark, "stream-partials")
+    append_facts_stream(stream, lambda batch: family_partials(batch.sparkSession, fam, batch),
+                        target, f"wide-{uuid.uuid4().hex}").awaitTermination()
+    partials = spark.read.parquet(target)
+    return assemble_families({fam.name: family_fact_from_partials(spark, fam, partials, CATEGORIES)},
+                             CATEGORIES)
+
+
 # S1 S2 X1 X2 F2 A1 A2 J2 P4 on files -------------------------------------------
 def q_indicator_mart_files(spark: SparkSession, sf: str) -> DataFrame:
     """Indicator files in the messy formats of the reference, read back into a mart.

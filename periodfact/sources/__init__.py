@@ -112,10 +112,15 @@ def reject_report(df: DataFrame) -> DataFrame:
                   F.count(F.col(first)).alias(f"non_null_{first}"))
 
 
-def files_exist(spark: SparkSession, pattern: str) -> bool:
-    """Whether a path or glob matches anything (one file-system listing on the driver)."""
+def count_files(spark: SparkSession, pattern: str) -> int:
+    """Number of paths a glob matches (one file-system listing on the driver)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = fs.globStatus(path)
-    return found is not None and len(found) > 0
+    return 0 if found is None else len(found)
+
+
+def files_exist(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob matches anything."""
+    return count_files(spark, pattern) > 0
