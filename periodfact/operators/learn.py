@@ -294,9 +294,11 @@ def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: st
                         best[s + i] = (dd[order], ks[order], ys[order])
             preds = []
             for _, _, ys in best:
-                labels, votes = np.unique(ys.astype(type(ys[0])) if len(ys) else ys,
-                                          return_counts=True)
-                preds.append(labels[np.argmax(votes)] if len(labels) else None)
+                if not len(ys):
+                    preds.append(None)
+                    continue
+                labels, votes = np.unique(np.asarray(list(ys)), return_counts=True)
+                preds.append(labels[np.argmax(votes)].item())  # sorted: ties -> smaller
             yield pd.DataFrame({"k": pdf["k"], out: preds})
 
     schema = T.StructType([T.StructField("k", test.schema[key].dataType),
