@@ -129,7 +129,9 @@ def holdout(df: DataFrame, key: str, test_size: float | int, seed: int = 42,
     The test side is the ``ceil(n * test_size)`` rows (or ``test_size`` rows
     for an int) with the smallest ``md5(seed|key)``; it does not depend on
     partitioning.  Keys must be unique.  ``n_rows`` skips the row count when
-    the caller already knows it (e.g. many seeds over one frame).
+    the caller already knows it (e.g. many seeds over one frame).  The input
+    is read once per refinement round (two or three rounds): checkpoint an
+    expensive input first, as the learning plans do.
     """
     h = df.withColumn(HASH, hash_key(F.col(q(key)), seed))
     n = h.count() if n_rows is None else n_rows
