@@ -209,12 +209,12 @@ def fit_linear_svm(train: DataFrame, label_col: str, features: str = "features",
     return _with_labels(svc, label_col).fit(train)
 
 
-def _with_labels(estimator, label_col: str) -> "_LabelledPipeline":
+def _with_labels(estimator, label_col: str) -> "_LabelledEstimator":
     indexer = label_indexer(label_col)
-    return _LabelledPipeline(indexer, estimator)
+    return _LabelledEstimator(indexer, estimator)
 
 
-class _LabelledPipeline:
+class _LabelledEstimator:
     """Index the label, fit, and map predictions back to label strings."""
 
     def __init__(self, indexer: StringIndexer, estimator):
