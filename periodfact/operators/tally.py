@@ -137,13 +137,20 @@ def winner_category(tallied: DataFrame, group: Sequence[str], category: str, vot
                     categories: Sequence[str], out: str = "winner") -> DataFrame:
     """Category with the most votes per group; ties go to the earlier listed one.
 
-    Only listed categories with votes can win.  ``max_by`` over ``struct(votes, -rank)``
-    gives a total order, so the result does not depend on row order.
+    Only listed categories with votes can win.  Hash aggregations only: the
+    best vote count per group, then the lowest list rank among the rows that
+    reach it, mapped back to its label; the result does not depend on row
+    order.
     """
+    keys = [F.col(q(g)) for g in group]
     rank = category_rank(F.col(q(category)), categories)
-    return (tallied.where((rank > 0) & (F.col(q(votes)) > 0))
-            .groupBy(*[F.col(q(g)) for g in group])
-            .agg(F.max_by(F.col(q(category)), F.struct(F.col(q(votes)), -rank)).alias(out)))
+    listed = (tallied.where((rank > 0) & (F.col(q(votes)) > 0))
+              .select(*keys, F.col(q(votes)).alias("__v"), rank.alias("__rank")))
+    best = listed.groupBy(*keys).agg(F.max("__v").alias("__best"))
+    top = listed.join(best, list(group)).where(F.col("__v") == F.col("__best"))
+    labels = F.array(*[F.lit(c) for c in categories])
+    return (top.groupBy(*keys).agg(F.min("__rank").alias("__r"))
+            .select(*keys, F.element_at(labels, F.col("__r").cast("int")).alias(out)))
 
 
 def winner_of_columns(wide: DataFrame, columns: Sequence[tuple[str, str]],
