@@ -164,15 +164,15 @@ def winner_item(tallied: DataFrame, group: Sequence[str], item: str, votes: str,
     """First half of A10: the single biggest item per group; ties -> lowest ordinal.
 
     ``ordinal`` is one or more columns (numbers or text) giving the tie
-    order.  The best vote count per group is a hash aggregation; only the
-    rows that reach it (the tied items, a handful) are ordered to break ties.
+    order.  One aggregation over the tally: ``min_by`` over
+    ``struct(-votes, ordinal...)``.  (A max-then-join-back variant would
+    compute the tally twice; this sort-based aggregation reads it once.)
     """
     ords = [ordinal] if isinstance(ordinal, str) else list(ordinal)
-    keys = [F.col(q(g)) for g in group]
-    best = tallied.groupBy(*keys).agg(F.max(F.col(q(votes))).alias("__best"))
-    top = (tallied.join(best, list(group)).where(F.col(q(votes)) == F.col("__best")))
-    return top.groupBy(*keys).agg(
-        F.min_by(F.col(q(item)), F.struct(*[F.col(q(o)) for o in ords])).alias(out))
+    order = F.struct(-F.col(q(votes)), *[F.col(q(o)) for o in ords])
+    return (tallied.where(F.col(q(votes)).isNotNull())
+            .groupBy(*[F.col(q(g)) for g in group])
+            .agg(F.min_by(F.col(q(item)), order).alias(out)))
 
 
 def shares(wide: DataFrame, total_col: str, categories: Sequence[str],
