@@ -49,7 +49,8 @@ class BlockLayout:
 
 
 def unpivot_blocks(df: DataFrame, id_cols: Sequence[str], layout: BlockLayout,
-                   slot: str | None = "slot", columns: Sequence[str] | None = None) -> DataFrame:
+                   slot: str | None = "slot", columns: Sequence[str] | None = None,
+                   extra_rows: Sequence[Mapping[str, Column]] = ()) -> DataFrame:
     """U1 (+S5, U2, F3): one long row per (input row, block).
 
     Fields of one block travel together in a struct, so no row alignment
@@ -57,20 +58,29 @@ def unpivot_blocks(df: DataFrame, id_cols: Sequence[str], layout: BlockLayout,
     same stage (no shuffle).  Blocks without their key fields are dropped.
     ``columns`` lists the file's own columns that block positions count in
     (default: all columns); columns added after the read, such as the
-    period taken from the file name, are left out of it.
+    period taken from the file name, are left out of it.  ``extra_rows``
+    adds per-row pseudo-blocks (slot -1, -2, ...) given as ``{field: Column}``,
+    e.g. a row-level total, so one scan yields both.
     """
     cols = list(columns) if columns is not None else df.columns
     structs = []
+    types = {}
     for b, pos in enumerate(layout.positions(len(cols))):
         parts = [F.lit(b).alias(slot)] if slot else []
         for name, p in pos.items():
             c = F.col(q(cols[p]))
+            types.setdefault(name, layout.types.get(name, df.schema[cols[p]].dataType))
             if name in layout.types:
                 c = c.cast(layout.types[name])
             parts.append(c.alias(name))
         structs.append(F.struct(*parts))
     if not structs:
         raise ValueError("layout yields no block for this frame")
+    for i, extra in enumerate(extra_rows):
+        parts = [F.lit(-1 - i).alias(slot)] if slot else []
+        parts += [(extra[name] if name in extra else F.lit(None)).cast(types[name]).alias(name)
+                  for name in layout.fields]
+        structs.append(F.struct(*parts))
     long = df.select(*[F.col(q(c)) for c in id_cols], F.inline(F.array(*structs)))
     if layout.transforms:
         long = long.withColumns({k: fn(F.col(q(k))) for k, fn in layout.transforms.items()})

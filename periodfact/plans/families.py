@@ -79,8 +79,11 @@ def family_partials(spark: SparkSession, fam: Family, wide: DataFrame) -> DataFr
     ``kind='total'`` carry the period's valid-vote total.  Partials of
     disjoint row sets (files, micro-batches) add up, so the fact can be
     built from any split of the files (see :func:`family_fact_from_partials`).
+    One scan and one aggregation: the row's total travels as an extra
+    pseudo-block next to the vote blocks.
     """
     names = positional_schema(fam.n_cols).names
+    pos = fam.total_col if isinstance(fam.total_col, int) else header_position(spark, fam, fam.total_col)
     explicit = [p for periods, _ in fam.layouts if periods for p in periods]
     parts = []
     for periods, layout in fam.layouts:
@@ -88,15 +91,21 @@ def family_partials(spark: SparkSession, fam: Family, wide: DataFrame) -> DataFr
              else wide.where(~F.col("period").isin(explicit)) if explicit else wide)
         # the schema is as wide as the widest file: blocks past a narrower
         # file's last column read as null and are dropped by the key filter
-        parts.append(unpivot_blocks(w, ["period"], replace(layout, stop="first_missing"),
-                                    columns=names))
+        lay = replace(layout, stop="first_missing", key=(), transforms={})
+        long = unpivot_blocks(w, ["period"], lay, columns=names,
+                              extra_rows=[{"votes": F.col(names[pos])}])
+        is_item = F.col("slot") >= 0
+        if layout.transforms:
+            long = long.withColumns({k: F.when(is_item, fn(F.col(k))).otherwise(F.col(k))
+                                     for k, fn in layout.transforms.items()})
+        if layout.key:
+            ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() & (F.trim(F.col(k).cast("string")) != "")
+                                             for k in layout.key])
+            long = long.where(~is_item | ok)
+        parts.append(long.withColumn("kind", F.when(is_item, F.lit("item")).otherwise(F.lit("total"))))
     long = reduce(lambda a, b: a.unionByName(b), parts)
-    items = tally(long.withColumn("votes", parse_locale_number("votes")), ["period", *fam.item], "votes")
-    pos = fam.total_col if isinstance(fam.total_col, int) else header_position(spark, fam, fam.total_col)
-    totals = wide.groupBy("period").agg(
-        F.sum(parse_locale_number(F.col(f"c{pos}"))).alias("votes"))
-    return (items.withColumn("kind", F.lit("item"))
-            .unionByName(totals.withColumn("kind", F.lit("total")), allowMissingColumns=True))
+    return (long.groupBy("kind", "period", *fam.item)
+            .agg(F.sum(parse_locale_number("votes")).alias("votes")))
 
 
 def header_position(spark: SparkSession, fam: Family, name: str) -> int:
