@@ -127,14 +127,17 @@ def to_blocks(df: DataFrame, index: Sequence[str], slot: str, slots: Sequence[ob
 def pivot_categories(df: DataFrame, index: Sequence[str], category: str, value: str,
                      categories: Sequence[str], names: Mapping[str, str] | None = None,
                      fill: object = 0, total: str | None = None,
-                     exact_scale: int | None = None) -> DataFrame:
+                     exact_scale: int | None = None, total_filter: Column | None = None,
+                     extra: Sequence[Column] = ()) -> DataFrame:
     """A8 (+O3): one column per listed category, in list order, missing -> ``fill``.
 
     The values are given, so no job runs to discover them, and categories
     absent from the data still get their (zero) column.  Categories not in
     the list are left out of the columns but, with ``total``, still counted
     in a total column computed in the same aggregation (one pass, one
-    shuffle of the already reduced tally).  ``exact_scale`` sums in decimal.
+    shuffle of the already reduced tally).  ``exact_scale`` sums in scaled
+    longs.  ``total_filter`` restricts the rows counted in the total (e.g.
+    dedicated total rows); ``extra`` adds more aggregates to the same pass.
     """
     from periodfact.functions import scaled_long
     names = dict(names or {})
@@ -147,5 +150,5 @@ def pivot_categories(df: DataFrame, index: Sequence[str], category: str, value:
     aggs = [F.coalesce(summed(F.when(F.col(q(category)) == F.lit(c), v)),
                        F.lit(fill).cast("double")).alias(names.get(c, c)) for c in categories]
     if total:
-        aggs.append(summed(v).alias(total))
-    return df.groupBy(*[F.col(q(c)) for c in index]).agg(*aggs)
+        aggs.append(summed(v if total_filter is None else F.when(total_filter, v)).alias(total))
+    return df.groupBy(*[F.col(q(c)) for c in index]).agg(*aggs, *extra)

@@ -141,10 +141,15 @@ def family_fact(spark: SparkSession, fam: Family, categories: Sequence[str],
 def family_fact_from_partials(spark: SparkSession, fam: Family, partials: DataFrame,
                               categories: Sequence[str],
                               aliases: Mapping[str, str] | None = None) -> DataFrame:
-    """The fact of a family from its (possibly repeated per file or batch) partials."""
-    items = tally(partials.where(F.col("kind") == "item"), ["period", *fam.item], "votes")
-    totals = tally(partials.where(F.col("kind") == "total"), ["period"], "votes", out="total")
-    cur = items.withColumn("__code", F.lit(None).cast("string"))
+    """The fact of a family from its (possibly repeated per file or batch) partials.
+
+    Every frame is used once, so the files are read once: total rows travel
+    through the lookups with null keys, and one aggregation per period gives
+    the category sums, the valid-vote total and (item mode) the category of
+    the biggest item.
+    """
+    cur = tally(partials, ["kind", "period", *fam.item], "votes")
+    cur = cur.withColumn("__code", F.lit(None).cast("string"))
     for i, lk in enumerate(fam.lookups):
         src = [F.col(c) for c in fam.item] if i == 0 else [F.col("__code")]
         if lk.period_pattern:
@@ -152,17 +157,20 @@ def family_fact_from_partials(spark: SparkSession, fam: Family, partials: DataFr
         cur = lookup_first(cur.withColumn("__lk", _key(src)), _lookup_frame(spark, lk),
                            "__lk", "__lk", ["__value"], "__ordinal", unique=lk.unique).drop("__lk")
         cur = cur.withColumn("__code", F.col("__value")).drop("__value")
-    cur = cur.withColumn("category", normalise_label("__code", categories, aliases)).drop("__code")
-    cats = tally(cur, ["period", "category"], "votes")
+    is_item = F.col("kind") == "item"
+    cur = cur.withColumn("category", F.when(is_item, normalise_label("__code", categories, aliases)))
     names = {c: f"votes_{i}" for i, c in enumerate(categories)}
-    wide = pivot_categories(cats, ["period"], "category", "votes", categories, names=names)
-    cols = list(names.values())
-    out = shares(wide.join(totals, "period", "left"), "total", cols)
+    extra = []
     if fam.winner == "item":
         # the category of the single biggest item; ties -> the lowest item key
-        top = winner_item(cur, ["period"], "category", "votes", list(fam.item), out="winner")
-        out = out.join(top, "period", "left")
-    else:
+        order = F.struct(-F.col("votes"), *[F.col(c) for c in fam.item])
+        extra = [F.min_by(F.col("category"), F.when(is_item & F.col("votes").isNotNull(), order))
+                 .alias("winner")]
+    wide = pivot_categories(cur, ["period"], "category", "votes", categories, names=names,
+                            total="total", total_filter=~is_item, extra=extra)
+    cols = list(names.values())
+    out = shares(wide, "total", cols)
+    if fam.winner != "item":
         out = winner_of_columns(out, [(names[c], c) for c in categories])
     renamed = {f"share_{names[c]}": f"share_{_slug(c)}" for c in categories}
     return out.withColumnsRenamed(renamed).drop(*cols)
