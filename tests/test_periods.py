@@ -52,3 +52,10 @@ def test_column_helpers(spark):
     assert round_columns(strip_agg_names(df), ["x"]).first().x == 1.23
     long = "x" * 70
     assert safe_names([long, long[:60] + "y" * 10, "short"]) == [long[:54], long[:54] + "_1", "short"]
+
+
+def test_to_decimal_overflow_is_null_not_a_failure(spark):
+    from periodfact.operators import to_decimal
+    df = spark.createDataFrame([(12.345,), (123456789.0,), (None,)], "x double")
+    got = [r.x for r in to_decimal(df, ["x"]).collect()]
+    assert [None if g is None else float(g) for g in got] == [12.35, None, None]
