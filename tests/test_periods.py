@@ -59,3 +59,13 @@ def test_to_decimal_overflow_is_null_not_a_failure(spark):
     df = spark.createDataFrame([(12.345,), (123456789.0,), (None,)], "x double")
     got = [r.x for r in to_decimal(df, ["x"]).collect()]
     assert [None if g is None else float(g) for g in got] == [12.35, None, None]
+
+
+def test_filter_period_is_an_inclusive_year_range(spark):
+    import datetime as dt
+
+    from periodfact.operators import filter_period
+    rows = [(dt.datetime(y, m, 1),) for y in (1995, 1996, 1997, 1998) for m in (1, 12)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    assert sorted({r.ts.year for r in filter_period(df, "ts", 1996, 1997).collect()}) == [1996, 1997]
+    assert filter_period(df, "ts", 1998).count() == 2
