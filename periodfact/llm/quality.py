@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from periodfact.llm.common import text_of, words_of
 
 WINDOW = 5
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_text_chars"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_exclaim"]
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ RULES = [
     Rule("few_words", "n_words < 10"),
     Rule("repeated_words", "100 * n_repeat_words > 20 * n_words"),
     Rule("symbols", "2 * n_symbols > n_words"),
-    Rule("shouting", "n_words >= 10 AND 100 * n_upper > 60 * n_text_chars"),
+    Rule("exclaiming", "n_words >= 10 AND 2 * n_exclaim > n_words"),
     Rule("repeated_lines", "n_lines >= 6 AND 2 * n_dup_lines > n_lines"),
     Rule("word_length", "n_words >= 10 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words)"),
 ]
@@ -58,9 +58,8 @@ def _repeat_words(words: str, hashes: str) -> Column:
     next one begins earlier.
     """
     pairs = f"sort_array(transform({hashes}, (h, i) -> struct(h, i)))"
-    repeated = f"""transform({pairs}, (p, k) -> p)"""
     places = f"""
-      aggregate(array({repeated}), cast(array() as array<int>), (acc, s) ->
+      aggregate(array({pairs}), cast(array() as array<int>), (acc, s) ->
         sort_array(transform(filter(s, (p, k) ->
           (k > 0 AND s[k - 1].h = p.h) OR (k < size(s) - 1 AND s[k + 1].h = p.h)), p -> p.i)))"""
     covered = f"""
@@ -80,15 +79,15 @@ def measure(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     hashed = split.select(
         *names, F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.regexp_replace("t", "[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
-        (F.length("t") - F.length(F.regexp_replace("t", "\\p{Lu}", ""))).cast("long").alias("n_upper"),
-        F.filter(F.split("t", "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0).alias("l"),
+        ((F.length("t") - F.length(F.replace("t", F.lit("!!")))) / 2).cast("long").alias("n_exclaim"),
+        F.filter(F.split("t", "\n"), lambda x: x.rlike("[^ \\t-\\r]")).alias("l"),
         "w",
         F.expr(f"CASE WHEN size(w) < {WINDOW} THEN cast(array() as array<bigint>) ELSE transform(sequence(0, size(w) - {WINDOW}), "
                f"i -> xxhash64({', '.join(f'w[i + {k}]' for k in range(WINDOW))})) END").alias("h"))
     return hashed.select(
         *[F.col(n).alias(c) for n, c in zip(names, keep)], "n_words", "word_chars", "n_symbols",
         F.size("l").cast("long").alias("n_lines"), (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
-        _repeat_words("w", "h").alias("n_repeat_words"), "n_upper", F.col("word_chars").alias("n_text_chars"))
+        _repeat_words("w", "h").alias("n_repeat_words"), "n_exclaim")
 
 
 def ledger(docs: DataFrame, keep: list[str] | None = None, rules: list[Rule] | None = None) -> DataFrame:
@@ -147,11 +146,11 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_str
              CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words,
-             CAST(length(t) - length(regexp_replace(t, '\\p{Lu}', '', 'g')) AS BIGINT) AS n_upper
+             CAST((length(t) - length(replace(t, '!!', ''))) // 2 AS BIGINT) AS n_exclaim
       FROM w LEFT JOIN p USING (r)),
 f AS (SELECT *, CAST(CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
              + CASE WHEN 2 * n_symbols > n_words THEN 4 ELSE 0 END
-             + CASE WHEN n_words >= 10 AND 100 * n_upper > 60 * word_chars THEN 8 ELSE 0 END
+             + CASE WHEN n_words >= 10 AND 2 * n_exclaim > n_words THEN 8 ELSE 0 END
              + CASE WHEN n_lines >= 6 AND 2 * n_dup_lines > n_lines THEN 16 ELSE 0 END
              + CASE WHEN n_words >= 10 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words) THEN 32 ELSE 0 END AS BIGINT) AS failure_bits
       FROM m)
