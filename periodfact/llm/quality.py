@@ -123,10 +123,15 @@ def ablations(rows: DataFrame, mask: int, rules: list[Rule] | None = None) -> Da
 
 
 def reject(docs: DataFrame, version: int = POLICY) -> DataFrame:
-    """The rows that the policy keeps, with all their columns."""
+    """The rows that the policy keeps, with all their columns.
+
+    The row number in the condition keeps the optimiser from moving the filter
+    below the ledger, where each rule would measure the text anew.
+    """
     columns = list(docs.columns)
     judged = ledger(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").alias("text")), keep=["row"])
-    return judged.where(passes(POLICIES[version])).select(*[F.col("row")[c].alias(c) for c in columns])
+    judged = judged.select("row", "failure_bits", F.monotonically_increasing_id().alias("at"))
+    return judged.where(passes(POLICIES[version]) & (F.col("at") >= 0)).select(*[F.col("row")[c].alias(c) for c in columns])
 
 
 def verdicts(docs: DataFrame, version: int = POLICY) -> DataFrame:
