@@ -43,6 +43,8 @@ PERMUTATIONS, BANDS, BAND_ROWS = 64, 25, 5
 #: Differing sketch fields (of 128) that a pair of similarity 0.85 stays under: mean 14.4, deviation 3.6.
 FAR = 36
 STAR_ROUNDS = 2
+#: Up to so many ids (8 MB) are broadcast to pick their texts; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -200,7 +202,9 @@ def rest_pairs(banded: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
     """The pairs whose full sets are linked."""
     pairs = checkpointed(pairs)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     full = sets(docs.join(ids, "doc_id", "left_semi"))
     both = (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("values").alias("x")), "a")
             .join(full.select(F.col("doc_id").alias("b"), F.col("values").alias("y")), "b"))
@@ -209,6 +213,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
             .where(f"100L * common >= {link}L * either").select("a", "b").distinct())
 
 
+def shared_buckets(classes: DataFrame) -> DataFrame:
+    """key, id of the buckets that hold two classes or more; most keys have one and go."""
+    keyed = classes.select(F.explode("keys").alias("key"), "id")
+    several = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return checkpointed(keyed.join(several, "key"))
+
+
 def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
@@ -216,12 +227,12 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     classes = checkpointed(
         made.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n")
         .agg(F.min("doc_id").alias("id"), F.any_value("keys").alias("keys"), F.any_value("s").alias("s")))
-    nodes = classes.select("id", "n", "s", "keys")
+    nodes, buckets = classes.select("id", "n", "s"), shared_buckets(classes)
     labels = links = None
     for turn in range(STAR_ROUNDS + 1):
         marked = nodes.withColumn("comp", F.col("id")) if labels is None else (
             nodes.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
-        banded = marked.select(F.explode("keys").alias("key"), "id", "comp", "n", "s")
+        banded = buckets.join(marked, "id").select("key", "id", "comp", "n", "s")
         pairs = star_pairs(banded, turn) if turn < STAR_ROUNDS else rest_pairs(banded)
         found = checkpointed(confirmed(pairs, texts, link))
         links = found if links is None else links.unionByName(found)
