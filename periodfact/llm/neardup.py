@@ -12,8 +12,9 @@ takes, of its buckets' centres, the one of the nearest sketch, if that may
 still be in reach and isn't in its component yet.  Such links are confirmed on
 the full sets and merged.  This joins large groups of near copies with about
 one comparison for a document and round.  (2) What is left: in buckets that
-still hold several components, the documents outside the centre's component
-meet the bucket's documents of other components.  Sizes and sketches that rule
+still hold several components, documents whose own shingles rule every link out
+go; the others outside the centre's component meet the bucket's documents of
+other components.  Sizes and sketches that rule
 a link out are dropped within the join; the rest is confirmed on the full sets.
 So every pair that shares a bucket and may be linked is either confirmed,
 refuted or already in one component.
@@ -188,24 +189,40 @@ def star_pairs(banded: DataFrame, turn: int) -> DataFrame:
             .select(F.least("id", "best.c_id").alias("a"), F.greatest("id", "best.c_id").alias("b")).distinct())
 
 
-def rest_pairs(banded: DataFrame) -> DataFrame:
-    """All pairs of a bucket in reach whose components differ."""
-    centres = _centres(banded, STAR_ROUNDS).select("key", "c_comp")
-    mixed = banded.join(centres, "key")
+def rest_pairs(banded: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
+    """All pairs of a bucket in reach whose components differ.
+
+    A document with u shingles that no other document of these buckets has is
+    at most (n - u) / n like any of them; where that is too little it goes
+    first.  In a large group of loose copies this drops those that link to
+    nothing, which else would meet the whole group.
+    """
+    mixed = checkpointed(banded.join(_centres(banded, STAR_ROUNDS).select("key", "c_comp"), "key"))
+    ids = mixed.select("id", "n").distinct()
+    values = _texts_of(docs, ids.select(F.col("id").alias("doc_id"))).select("doc_id", F.explode("values").alias("value"))
+    alone = (values.groupBy("value").agg(F.count("*").alias("df"), F.min("doc_id").alias("id")).where("df = 1")
+             .groupBy("id").agg(F.count("*").alias("u")))
+    out_of_reach = checkpointed(ids.join(alone, "id").where(f"100 * (n - u) < {link} * n").select("id"))
+    mixed = mixed.join(out_of_reach, "id", "left_anti")
     left = mixed.where("comp <> c_comp").select("key", *[F.col(c).alias(f"l_{c}") for c in ("id", "comp", "n", "s")])
     met = mixed.join(left, "key").where(
         (F.col("comp") != F.col("l_comp")) & ((F.col("comp") == F.col("c_comp")) | (F.col("l_id") < F.col("id")))
-        & in_reach("n", "l_n", "s", "l_s"))
+        & in_reach("n", "l_n", "s", "l_s", link))
     return met.select(F.least("id", "l_id").alias("a"), F.greatest("id", "l_id").alias("b")).distinct()
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, values (full set) of the documents with these distinct ids."""
+    ids = checkpointed(ids)
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return sets(docs.join(ids, "doc_id", "left_semi"))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
     """The pairs whose full sets are linked."""
     pairs = checkpointed(pairs)
-    ids = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    full = sets(docs.join(ids, "doc_id", "left_semi"))
+    full = _texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     both = (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("values").alias("x")), "a")
             .join(full.select(F.col("doc_id").alias("b"), F.col("values").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
@@ -233,7 +250,7 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
         marked = nodes.withColumn("comp", F.col("id")) if labels is None else (
             nodes.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
         banded = buckets.join(marked, "id").select("key", "id", "comp", "n", "s")
-        pairs = star_pairs(banded, turn) if turn < STAR_ROUNDS else rest_pairs(banded)
+        pairs = star_pairs(banded, turn) if turn < STAR_ROUNDS else rest_pairs(banded, texts, link)
         found = checkpointed(confirmed(pairs, texts, link))
         links = found if links is None else links.unionByName(found)
         if found.isEmpty():
