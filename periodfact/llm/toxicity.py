@@ -156,30 +156,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     telling = F.abs("rate") * F.sqrt(F.col("t") + F.col("c"))
     kept = seen.orderBy(F.desc(telling), "slot").limit(FEATURES).collect()
     markers = {r["slot"] for r in kept if r["t"] >= 20 and r["c"] * sizes[True] <= 0.02 * r["t"] * sizes[False]}
-    column = {r["slot"]: i for i, r in enumerate(kept)}
-    wanted = F.broadcast(docs.sparkSession.createDataFrame([(s,) for s in column], "slot int"))  # at most FEATURES rows
-    flat = rows.select("doc_id", "grade", F.explode(F.arrays_zip("slots", "counts")).alias("f"))
-    flat = flat.select("doc_id", "grade", F.col("f.slots").alias("slot"), F.col("f.counts").alias("n")).join(wanted, "slot")
-    found = (flat.groupBy("doc_id").agg(F.collect_list(F.struct("slot", "n")).alias("f"))  # at most FEATURES entries each
-             .join(rows.select("doc_id", "grade"), "doc_id", "right").select("grade", "f").collect())  # at most 2 * SAMPLE rows
-    cells: list[tuple[int, int, int]] = []
-    grade = np.array([r["grade"] for r in found], np.int64)
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(  # at most FEATURES rows
+        [(r["slot"], i) for i, r in enumerate(kept)], "slot int, feature int"))
+    cells = (rows.select("doc_id", F.explode(F.arrays_zip("slots", "counts")).alias("f"))
+             .select("doc_id", F.col("f.slots").alias("slot"), F.col("f.counts").alias("n")).join(wanted, "slot")
+             .select("doc_id", "feature", "n").toArrow())  # at most FEATURES cells for each of 2 * SAMPLE rows, as columns
+    known = rows.select("doc_id", "grade").toArrow()
+    ids, first = np.unique(known["doc_id"].to_numpy(), return_index=True)
+    grade = known["grade"].to_numpy().astype(np.int64)[first]
+    row, col = np.searchsorted(ids, cells["doc_id"].to_numpy()), cells["feature"].to_numpy()
+    value = cells["n"].to_numpy().astype(float)
     graded = "severity" in labels.columns
-    for i, (_, entries) in enumerate(found):
-        marked = 0
-        for slot, n in entries or ():
-            cells.append((i, column[slot], n))
-            marked += n if slot in markers else 0
-        if grade[i] > 0 and not graded:
-            grade[i] = 1 + sum(marked > m for m in MARKS)
+    if not graded:
+        marker = np.array([r["slot"] in markers for r in kept], float)
+        marked = np.bincount(row, value * marker[col], len(ids))
+        grade = np.where(grade > 0, 1 + np.searchsorted(MARKS, marked, side="left"), 0)
     grade = np.unique(grade, return_inverse=True)[1] if not graded else grade
     # rows of either class weigh as much as their class does among all labels
     all_of = labels.agg(F.count_if(F.col("severity" if graded else "toxic") > 0).alias("t"), F.count("*").alias("n")).first()
     share = min(max(all_of["t"] / max(all_of["n"], 1), 1e-3), 1 - 1e-3)
     weight = np.where(grade > 0, share / sizes[True], (1 - share) / sizes[False])
-    row, col, value = np.array(cells, np.int64).reshape(-1, 3).T
-    w, thresholds = fit_ordinal((row, col, value.astype(float)), len(column), grade, weight)
-    return Model({slot: float(w[i]) for slot, i in column.items() if abs(w[i]) > 1e-6}, thresholds)
+    w, thresholds = fit_ordinal((row, col, value), len(kept), grade, weight)
+    return Model({r["slot"]: float(w[i]) for i, r in enumerate(kept) if abs(w[i]) > 1e-6}, thresholds)
 
 
 _MODELS: dict = {}
