@@ -109,7 +109,7 @@ class Model:
 
 
 def fit_ordinal(entries: tuple[np.ndarray, np.ndarray, np.ndarray], features: int, grade: np.ndarray, weight: np.ndarray,
-                l2: float = 1.0, steps: int = 400, rate: float = 0.05):
+                l2: float = 0.1, steps: int = 600, rate: float = 0.05):
     """(weights, rising thresholds) of the cumulative-link model by gradient steps (Adam) on the mean log loss.
 
     ``entries`` are the non-zero cells of the rows: (row, feature, value).
