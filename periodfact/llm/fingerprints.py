@@ -89,7 +89,8 @@ def _ranges(docs: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
     """Rows with their range, and for each range's first id the range that ends before it."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
                         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("k"))
-    bounds = sorted(set(keyed.select("k").approxQuantile("k", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = sorted(set(keyed.select("k").approxQuantile("k", shares, 1 / (4 * ranges)))) if shares else []
     inside = keyed.withColumn("bucket", F.expr(
         "0" if not bounds else f"size(filter(array({', '.join(f'{b!r}D' for b in bounds)}), b -> b < k))").cast("int"))
     heads = sorted(tuple(r) for r in inside.groupBy("bucket").agg(F.max("k").alias("k")).collect())  # one for each range
