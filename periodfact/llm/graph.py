@@ -14,7 +14,7 @@ def _size(links: DataFrame) -> tuple:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """id, comp: the smallest id that each linked id can reach.
+    """id, comp: the smallest id that each linked id can reach; the smallest ids themselves aren't listed.
 
     Large and small stars in turn: each id's links are moved to the smallest id
     that it sees, first those to larger ids, then those to smaller ones.  The
