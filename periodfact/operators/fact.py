@@ -22,10 +22,20 @@ def spine_join(base: DataFrame, others: Sequence[DataFrame],
     """Left-join a chain of per-period frames onto the base periods.
 
     Every right side must hold one row per period (they are reductions
-    such as :func:`mean_by_period`), so the base row count is kept.
+    such as :func:`mean_by_period`), so the base row count is kept; a side
+    with a repeated key fails the job instead of multiplying fact rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    return reduce(lambda left, right: left.join(right, on=keys, how="left"), others, base)
+    return reduce(lambda left, right: left.join(_one_row(right, keys), on=keys, how="left"), others, base)
+
+
+def _one_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The frame, guarded in the plan: no further shuffle where it is already reduced by the keys."""
+    rest = [c for c in df.columns if c not in keys]
+    several = F.raise_error(F.lit(f"keys {list(keys)} are not unique"))
+    types = dict(df.dtypes)
+    return df.groupBy(*[F.col(q(k)) for k in keys]).agg(*[
+        F.when(F.count("*") > 1, several.cast(types[c])).otherwise(F.any_value(F.col(q(c)))).alias(c) for c in rest])
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:

@@ -29,7 +29,7 @@ def filter_period(df: DataFrame, source: str, first: int, last: int | None = Non
 
 
 def mean_parts(df: DataFrame, keys: Sequence[str], cols: dict[str, str],
-               exact_scale: int | None = 2) -> DataFrame:
+               exact_scale: int | None = None) -> DataFrame:
     """Partial means: per key, the sum and count of each measure.
 
     Reducing rows to (key, sum, count) before a join keeps a hot key from
@@ -43,7 +43,7 @@ def mean_parts(df: DataFrame, keys: Sequence[str], cols: dict[str, str],
 
 
 def mean_from_parts(df: DataFrame, keys: Sequence[str], outs: Sequence[str],
-                    scale: int | None = 2, exact_scale: int | None = 2) -> DataFrame:
+                    scale: int | None = 2, exact_scale: int | None = None) -> DataFrame:
     """Combine partial means (same result as :func:`mean_by_period` on the rows).
 
     With ``exact_scale`` the partial sums are scaled longs, so combining
@@ -66,7 +66,7 @@ def _mean(c: str, exact_scale: int | None) -> Column:
 
 def mean_by_period(df: DataFrame, cols: Sequence[str] | dict[str, str],
                    period: str | Sequence[str] = "period", scale: int | None = 2,
-                   exact_scale: int | None = 2) -> DataFrame:
+                   exact_scale: int | None = None) -> DataFrame:
     """A1 (+P1, X3): one row per period with the mean of each measure.
 
     ``cols`` is a list of measures (output keeps the name) or a mapping
@@ -83,7 +83,7 @@ def mean_by_period(df: DataFrame, cols: Sequence[str] | dict[str, str],
 
 
 def sum_all_by_period(df: DataFrame, period: str = "period", cols: Sequence[str] | None = None,
-                      exclude: Iterable[str] = (), exact_scale: int | None = 2) -> DataFrame:
+                      exclude: Iterable[str] = (), exact_scale: int | None = None) -> DataFrame:
     """A2 (+P3): sum of every numeric non-key column per period, names kept.
 
     The period itself is never summed (the reference's ``sum(Annee)``).
@@ -100,7 +100,7 @@ def sum_all_by_period(df: DataFrame, period: str = "period", cols: Sequence[str]
 
 def row_total(df: DataFrame, period: str = "period", cols: Sequence[str] | None = None,
               exclude: Iterable[str] = (), out: str = "row_total",
-              exact_scale: int | None = 2) -> DataFrame:
+              exact_scale: int | None = None) -> DataFrame:
     """A5 (+P8): horizontal sum of the measures, then summed over the period.
 
     Null cells count as 0 instead of failing.
@@ -116,7 +116,7 @@ def row_total(df: DataFrame, period: str = "period", cols: Sequence[str] | None
 
 
 def global_mean(df: DataFrame, cols: dict[str, str], scale: int = 2,
-                exact_scale: int | None = 2) -> DataFrame:
+                exact_scale: int | None = None) -> DataFrame:
     """A4 (+P9): one-row mean over all periods of each (rounded) measure."""
     return df.agg(*[F.round(_mean(c, exact_scale), scale).alias(out) for out, c in cols.items()])
 

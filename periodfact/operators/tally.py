@@ -48,18 +48,13 @@ def first_by_key(dim: DataFrame, key: str, values: Sequence[str], ordinal: str,
     """One row per lookup key: the values of the row with the lowest ordinal.
 
     This is file-order first match made explicit; duplicate keys (a code
-    listed twice with different values) can no longer double-count.  The
-    lowest ordinal per key is a hash aggregation on a number (a ``min_by``
-    over text values would fall back to a sort-based aggregation of the
-    whole dimension); the winning rows are then picked by a join on
-    (key, ordinal), which is a broadcast join when there are few keys.
-    Ordinals must be unique.
+    listed twice with different values) can't double-count, and rows that tie
+    on the ordinal give one row too, that of the smallest values.  Null keys
+    never match and are dropped.
     """
     k = casefold_key(F.col(q(key))) if casefold else F.col(q(key))
-    rows = dim.where(k.isNotNull()).select(k.alias(key_out), F.col(q(ordinal)).alias("__ord"),
-                                           *[F.col(q(v)) for v in values])
-    firsts = rows.groupBy(key_out).agg(F.min("__ord").alias("__ord"))
-    return rows.join(firsts, [key_out, "__ord"], "left_semi").drop("__ord")
+    rows = dim.where(k.isNotNull()).select(k.alias(key_out), F.struct(F.col(q(ordinal)), *[F.col(q(v)) for v in values]).alias("__row"))
+    return rows.groupBy(key_out).agg(F.min("__row").alias("__row")).select(key_out, *[F.col("__row")[v].alias(v) for v in values])
 
 
 def lookup_first(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,

@@ -89,14 +89,14 @@ INDICATORS = {
 }
 
 
-def _family(root: str, name: str, pattern: str, layouts, item, lookups, n_cols: int,
+def _family(root: str, name: str, pattern: str, layouts, item, lookups, n_cols: int | None,
             winner: str = "category") -> Family:
     return Family(name, f"{root}/{pattern}", YEAR_IN_NAME, n_cols=n_cols, total_col=TOTAL,
                   layouts=layouts, item=item, lookups=lookups, winner=winner)
 
 
-def election_families(root: str, n_cols: int = 200) -> list[Family]:
-    """The four families; ``n_cols`` is at least the widest result file."""
+def election_families(root: str, n_cols: int | None = None) -> list[Family]:
+    """The four families; each file's own header gives its width."""
     parties = Lookup(f"{root}/{PARTIES}", key=[0], value=1, n_cols=2)
     return [
         _family(root, "presidential", PRESIDENTIAL, PRESIDENTIAL_LAYOUTS, ["last", "first"],
@@ -117,7 +117,7 @@ def indicators(spark: SparkSession, root: str) -> DataFrame:
     return indicator_mart(spark, base, list(specs.values()))
 
 
-def election_fact(spark: SparkSession, root: str, n_cols: int = 200,
+def election_fact(spark: SparkSession, root: str, n_cols: int | None = None,
                   families: list[Family] | None = None) -> DataFrame:
     """One fact row per (year, family) with the year's indicators."""
     mart = indicators(spark, root)

@@ -53,7 +53,7 @@ class Family:
     name: str
     glob: str
     period_pattern: str
-    n_cols: int
+    n_cols: int | None            # None: the width of each file's own header
     total_col: int | str          # position, or a header name looked up in the files' header
     layouts: Sequence[tuple[Sequence[int] | None, BlockLayout]]
     item: Sequence[str]
@@ -62,8 +62,12 @@ class Family:
     options: Mapping[str, str] = field(default_factory=dict)
 
 
-def _key(cols: Sequence[Column]) -> Column:
-    return casefold_key(F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]))
+def _key(cols: Sequence[Column], period: Column | None = None) -> Column:
+    """The lookup key; null, so it matches nothing, if all of ``cols`` are blank."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in cols]
+    blank = F.trim(F.concat_ws("", *parts)) == ""
+    whole = parts if period is None else [F.coalesce(period.cast("string"), F.lit("")), *parts]
+    return F.when(~blank, casefold_key(F.concat_ws("|", *whole)))
 
 
 def read_family(spark: SparkSession, fam: Family) -> DataFrame:
@@ -112,10 +116,7 @@ def header_position(spark: SparkSession, fam: Family, name: str) -> int:
     """Position of a named column, read from the header line of the family's files."""
     sep = dict(fam.options).get("sep", ";")
     header = spark.read.option("header", True).option("sep", sep).csv(fam.glob).columns
-    folded = [h.strip().lower() for h in header]
-    if name.strip().lower() not in folded:
-        raise ValueError(f"column {name!r} not in the header of {fam.glob}")
-    return folded.index(name.strip().lower())
+    return _position(header, name, fam.glob)
 
 
 def _lookup_frame(spark: SparkSession, lk: Lookup) -> DataFrame:
@@ -127,17 +128,44 @@ def _lookup_frame(spark: SparkSession, lk: Lookup) -> DataFrame:
     order = (F.col(f"c{lk.ordinal}").cast("long") if lk.ordinal is not None
              else F.monotonically_increasing_id())
     df = df.withColumn("__ordinal", order)
-    parts = ([F.col("period")] if lk.period_pattern else []) + [F.col(f"c{i}") for i in lk.key]
-    return df.select(_key(parts).alias("__lk"), F.col(f"c{lk.value}").alias("__value"), "__ordinal")
+    key = _key([F.col(f"c{i}") for i in lk.key], F.col("period") if lk.period_pattern else None)
+    return df.select(key.alias("__lk"), F.col(f"c{lk.value}").alias("__value"), "__ordinal")
 
 
 def family_fact(spark: SparkSession, fam: Family, categories: Sequence[str],
                 aliases: Mapping[str, str] | None = None) -> DataFrame:
-    """Shares (+ residual), winner and total of one family, one row per period."""
-    return family_fact_from_partials(spark, fam, family_partials(spark, fam, read_family(spark, fam)),
+    """Shares (+ residual), winner and total of one family, one row per period.
+
+    Files of a family may differ by year in width and in the place of the
+    total: with a total given by name, or no declared width, each file's own
+    header decides, and files that agree are read in one scan.
+    """
+    parts = [family_partials(spark, f, read_family(spark, f)) for f in header_groups(spark, fam)]
+    return family_fact_from_partials(spark, fam, reduce(lambda a, b: a.unionByName(b), parts),
                                      categories, aliases)
 
 
+def header_groups(spark: SparkSession, fam: Family) -> list[Family]:
+    """The family once for each (width, position of the total) among its files' headers."""
+    if fam.n_cols is not None and isinstance(fam.total_col, int):
+        return [fam]
+    listed = spark.read.format("binaryFile").load(fam.glob).select("path").collect()  # names only
+    sep = dict(fam.options).get("sep", ";")
+    groups: dict[tuple[int, int], list[str]] = {}
+    for path in sorted(r["path"] for r in listed):
+        header = spark.read.option("header", True).option("sep", sep).csv(path).columns  # first line
+        total = fam.total_col if isinstance(fam.total_col, int) else _position(header, fam.total_col, path)
+        groups.setdefault((len(header), total), []).append(path)
+    return [replace(fam, glob=paths, n_cols=width, total_col=total) for (width, total), paths in groups.items()]
+
+
+def _position(header: Sequence[str], name: str, path: str) -> int:
+    folded = [h.strip().lower() for h in header]
+    if name.strip().lower() not in folded:
+        raise ValueError(f"column {name!r} not in the header of {path}")
+    return folded.index(name.strip().lower())
+
+
 def family_fact_from_partials(spark: SparkSession, fam: Family, partials: DataFrame,
                               categories: Sequence[str],
                               aliases: Mapping[str, str] | None = None) -> DataFrame:
@@ -152,9 +180,7 @@ def family_fact_from_partials(spark: SparkSession, fam: Family, partials: DataFr
     cur = cur.withColumn("__code", F.lit(None).cast("string"))
     for i, lk in enumerate(fam.lookups):
         src = [F.col(c) for c in fam.item] if i == 0 else [F.col("__code")]
-        if lk.period_pattern:
-            src = [F.col("period"), *src]
-        cur = lookup_first(cur.withColumn("__lk", _key(src)), _lookup_frame(spark, lk),
+        cur = lookup_first(cur.withColumn("__lk", _key(src, F.col("period") if lk.period_pattern else None)), _lookup_frame(spark, lk),
                            "__lk", "__lk", ["__value"], "__ordinal", unique=lk.unique).drop("__lk")
         cur = cur.withColumn("__code", F.col("__value")).drop("__value")
     is_item = F.col("kind") == "item"

@@ -405,6 +405,7 @@ LEFT JOIN m ON base.period = m.period
 def oracle_sql() -> dict[str, str]:
     return _learning_sql() | {
         "mean_by_period": MEAN_BY_PERIOD,
+        "mean_revenue_by_period": f"SELECT {P('l_shipdate')} AS period, {R('avg(l_extendedprice * (1 - l_discount))', 4)} AS avg_revenue FROM lineitem GROUP BY 1",
         "mean_join_inner": MEAN_JOIN_INNER,
         "period_slice": PERIOD_SLICE,
         "sum_all_by_period": SUM_ALL_BY_PERIOD,

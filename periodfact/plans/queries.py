@@ -30,14 +30,14 @@ N_LINES = 7  # blocks in the wide per-order frame (line numbers 1..7)
 def q_mean_by_period(spark: SparkSession, sf: str) -> DataFrame:
     return mean_by_period(lineitem(spark, sf), {
         "avg_quantity": "l_quantity", "avg_extendedprice": "l_extendedprice",
-        "avg_discount": "l_discount", "avg_tax": "l_tax"})
+        "avg_discount": "l_discount", "avg_tax": "l_tax"}, exact_scale=2)
 
 
 # J1 O1 ---------------------------------------------------------------------
 def q_mean_join_inner(spark: SparkSession, sf: str) -> DataFrame:
     a = mean_by_period(lineitem(spark, sf), {"avg_quantity": "l_quantity",
-                                             "avg_extendedprice": "l_extendedprice"})
-    b = mean_by_period(orders(spark, sf), {"avg_totalprice": "o_totalprice"})
+                                             "avg_extendedprice": "l_extendedprice"}, exact_scale=2)
+    b = mean_by_period(orders(spark, sf), {"avg_totalprice": "o_totalprice"}, exact_scale=2)
     return join_on_period(a, b, "inner").orderBy("period")
 
 
@@ -46,21 +46,27 @@ def q_period_slice(spark: SparkSession, sf: str) -> DataFrame:
     """Indicators of the periods 1996-1998 only; the range reaches both scans."""
     li = with_period(filter_period(read(spark, sf, "lineitem"), "l_shipdate", 1996, 1998), "l_shipdate")
     o = with_period(filter_period(read(spark, sf, "orders"), "o_orderdate", 1996, 1998), "o_orderdate")
-    a = mean_by_period(li, {"avg_quantity": "l_quantity", "avg_extendedprice": "l_extendedprice"})
-    b = mean_by_period(o, {"avg_totalprice": "o_totalprice"})
+    a = mean_by_period(li, {"avg_quantity": "l_quantity", "avg_extendedprice": "l_extendedprice"}, exact_scale=2)
+    b = mean_by_period(o, {"avg_totalprice": "o_totalprice"}, exact_scale=2)
     return join_on_period(a, b, "left")
 
 
 # A2 P3 ---------------------------------------------------------------------
+def q_mean_revenue_by_period(spark, sf):
+    """A1 on a measure of four decimals, without a declared scale."""
+    li = lineitem(spark, sf).withColumn("revenue", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    return mean_by_period(li, {"avg_revenue": "revenue"}, scale=4)
+
+
 def q_sum_all_by_period(spark: SparkSession, sf: str) -> DataFrame:
     li = lineitem(spark, sf).select("period", *LINE_MEASURES)
-    return sum_all_by_period(li)
+    return sum_all_by_period(li, exact_scale=2)
 
 
 # A5 P8 ---------------------------------------------------------------------
 def q_row_total_by_period(spark: SparkSession, sf: str) -> DataFrame:
     li = lineitem(spark, sf).select("period", *LINE_MEASURES)
-    return row_total(li)
+    return row_total(li, exact_scale=2)
 
 
 # X2 A2 ---------------------------------------------------------------------
@@ -75,18 +81,18 @@ def order_codes(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_period_from_code(spark: SparkSession, sf: str) -> DataFrame:
     o = order_codes(spark, sf).select(PF.period_from_code("code").alias("period"), "o_totalprice")
-    return sum_all_by_period(o)
+    return sum_all_by_period(o, exact_scale=2)
 
 
 # P5 ------------------------------------------------------------------------
 def q_measure_gap(spark: SparkSession, sf: str) -> DataFrame:
-    m = mean_by_period(lineitem(spark, sf), {"avg_tax": "l_tax", "avg_discount": "l_discount"})
+    m = mean_by_period(lineitem(spark, sf), {"avg_tax": "l_tax", "avg_discount": "l_discount"}, exact_scale=2)
     return measure_gap(m, "avg_tax", "avg_discount", "gap")
 
 
 # W1 X4 ---------------------------------------------------------------------
 def yearly_price_change(spark: SparkSession, sf: str) -> DataFrame:
-    m = mean_by_period(orders(spark, sf), {"avg_totalprice": "o_totalprice"})
+    m = mean_by_period(orders(spark, sf), {"avg_totalprice": "o_totalprice"}, exact_scale=2)
     return lag_change(m, ["avg_totalprice"], per_period=True)
 
 
@@ -97,22 +103,22 @@ def q_lag_change(spark: SparkSession, sf: str) -> DataFrame:
 def q_lag_change_by_segment(spark: SparkSession, sf: str) -> DataFrame:
     # orders are reduced to (customer, period) partial means before the join,
     # so a customer with a huge share of the orders reaches it as a few rows
-    o = mean_parts(orders(spark, sf), ["o_custkey", "period"], {"avg_totalprice": "o_totalprice"})
+    o = mean_parts(orders(spark, sf), ["o_custkey", "period"], {"avg_totalprice": "o_totalprice"}, exact_scale=2)
     c = read(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    m = mean_from_parts(o.join(c, "o_custkey"), ["c_mktsegment", "period"], ["avg_totalprice"])
+    m = mean_from_parts(o.join(c, "o_custkey"), ["c_mktsegment", "period"], ["avg_totalprice"], exact_scale=2)
     return lag_change(m, ["avg_totalprice"], partition=["c_mktsegment"])
 
 
 # A4 ------------------------------------------------------------------------
 def q_mean_change(spark: SparkSession, sf: str) -> DataFrame:
-    return global_mean(yearly_price_change(spark, sf), {"mean_change": "avg_totalprice_change"})
+    return global_mean(yearly_price_change(spark, sf), {"mean_change": "avg_totalprice_change"}, exact_scale=2)
 
 
 # J2 ------------------------------------------------------------------------
 def q_spine_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    base = mean_by_period(lineitem(spark, sf), {"avg_quantity": "l_quantity"})
-    o = mean_by_period(orders(spark, sf), {"avg_totalprice": "o_totalprice"})
-    ev = mean_by_period(with_period(read(spark, sf, "events"), "ts"), {"avg_event_value": "value"})
+    base = mean_by_period(lineitem(spark, sf), {"avg_quantity": "l_quantity"}, exact_scale=2)
+    o = mean_by_period(orders(spark, sf), {"avg_totalprice": "o_totalprice"}, exact_scale=2)
+    ev = mean_by_period(with_period(read(spark, sf, "events"), "ts"), {"avg_event_value": "value"}, exact_scale=2)
     return spine_join(base, [o, ev])
 
 
@@ -326,12 +332,12 @@ TOTAL_COLS = ["total_votes", "orders_value"]
 def indicators(spark: SparkSession, sf: str) -> DataFrame:
     o = orders(spark, sf)
     li = lineitem(spark, sf)
-    return spine_join(mean_by_period(o, {"avg_totalprice": "o_totalprice"}),
-                      [mean_by_period(li, {"avg_discount": "l_discount", "avg_tax": "l_tax"})])
+    return spine_join(mean_by_period(o, {"avg_totalprice": "o_totalprice"}, exact_scale=2),
+                      [mean_by_period(li, {"avg_discount": "l_discount", "avg_tax": "l_tax"}, exact_scale=2)])
 
 
 def period_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return row_total(orders(spark, sf).select("period", "o_totalprice"), out="orders_value")
+    return row_total(orders(spark, sf).select("period", "o_totalprice"), out="orders_value", exact_scale=2)
 
 
 def lineitem_shares(spark: SparkSession, sf: str) -> DataFrame:
