@@ -7,7 +7,7 @@ from periodfact.operators.columns import (drop_columns, drop_null_keys, filter_c
 from periodfact.operators.fact import (assemble_fact, assert_unique, join_on_period,
                                        spine_join, to_decimal, union_families)
 from periodfact.operators.periods import (filter_period, global_mean, lag_change,
-                                          mean_by_period, mean_from_parts, mean_parts,
+                                          mean_by_period, mean_from_parts, mean_parts, means_of_parts, part_columns,
                                           row_total, sum_all_by_period, with_period)
 from periodfact.operators.reshape import (BlockLayout, pivot_categories, to_blocks,
                                           unpivot_blocks, unpivot_layouts)

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,8 +72,8 @@ def smallest_k_cuts(df: DataFrame, key: str, k: dict, group: str | None = None)
     per hash prefix (a partial aggregation, at most 65,536 buckets per
     group), keeps the bucket that holds the k-th row and refines its prefix
     by four hex digits.  When the boundary bucket has at most
-    ``MAX_BOUNDARY_ROWS`` rows, those rows are collected and the cut is
-    read off.  ``df`` must carry the ``HASH`` column.
+    ``MAX_BOUNDARY_ROWS`` rows, or is one whole hash, its distinct keys are
+    collected with their counts and the cut is read off.  ``df`` must carry the ``HASH`` column.
     """
     gcol = F.col(q(group)) if group else None
     state = {g: ("", need) for g, need in k.items() if need > 0}
@@ -101,16 +102,21 @@ def smallest_k_cuts(df: DataFrame, key: str, k: dict, group: str | None = None)
                 cuts[g] = None
                 state.pop(g)
         if small:
+            # distinct keys with their counts: a key that repeats is one row here
             rows = (df.where(_prefix_condition(gcol, {g: p for g, (p, _) in small.items()}))
-                    .select(*([gcol.alias("g")] if gcol is not None else [F.lit(0).alias("g")]),
-                            F.col(HASH).alias("h"), F.col(q(key)).alias("k"))
-                    .collect())
+                    .groupBy(gcol.alias("g") if gcol is not None else F.lit(0).alias("g"),
+                             F.col(HASH).alias("h"), F.col(q(key)).alias("k"))
+                    .count().collect())
             per: dict = {}
             for r in rows:
                 per.setdefault(r["g"] if gcol is not None else next(iter(small)), []).append(
-                    (r["h"], r["k"]))
+                    (r["h"], r["k"], r["count"]))
             for g, (_, need) in small.items():
-                cuts[g] = sorted(per[g])[need - 1]
+                for h, k_, n in sorted(per[g]):
+                    need -= n
+                    if need <= 0:
+                        cuts[g] = (h, k_)
+                        break
     return cuts
 
 
@@ -239,17 +245,20 @@ class _LabelledModel:
 # M5 ---------------------------------------------------------------------------
 def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: str, vector: str,
                  label: str, k: int = 5, out: str = "predicted", batch_rows: int = 65536,
-                 test_block: int = 64) -> DataFrame:
+                 test_block: int = 64, task_rows: int = 32768) -> DataFrame:
     """M5: exact k-nearest-neighbour vote, Euclidean, uniform weights.
 
     The training side is written once (Parquet) to the shared checkpoint
-    folder; every test task then streams it back in Arrow batches of
-    ``batch_rows`` rows and keeps a running top-k per test row, so memory
-    per task is bounded, nothing passes through the driver, nothing is
-    broadcast, and no (test, train) pair is ever a row.  Distances are
-    squared differences summed as doubles in vector order; distance ties go
-    to the lower training key, vote ties to the smaller label.  The folder
-    must be readable by pyarrow (local, ``hdfs://``, ``s3://``, ``gs://``).
+    folder.  The test side is dealt by key over at least as many tasks as
+    there are cores, about ``task_rows`` rows each at most; a task gathers
+    blocks of up to ``2 * task_rows`` rows, and streams the training side
+    back once for each block in Arrow batches of ``batch_rows`` rows with a
+    running top-k per test row.  So memory per task is bounded, nothing
+    passes through the driver, nothing is broadcast, and no (test, train)
+    pair is ever a row.  Distances are squared differences summed as doubles
+    in vector order; distance ties go to the lower training key, vote ties
+    to the smaller label.  Spark lists the written files; pyarrow must be
+    able to read their file system (local, ``hdfs://``, ``s3://``, ``gs://``).
     """
     from periodfact.session import scratch_path
     path = scratch_path(spark, "knn-train")
@@ -257,17 +266,35 @@ def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: st
                   F.col(q(label)).alias("y"))
      .write.parquet(path))
     label_type = train.schema[label].dataType
+    files = sorted(spark.read.parquet(path).inputFiles())
+    test = test.select(F.col(q(key)).alias("k"), F.col(q(vector)).cast("array<double>").alias("v"))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-test.count() // task_rows))
+
+    def blocks(batches):
+        held = []
+        for pdf in batches:
+            for at in range(0, len(pdf), task_rows):
+                held.append(pdf.iloc[at:at + task_rows])
+                if sum(map(len, held)) > task_rows:
+                    yield pd.concat(held)
+                    held = []
+        if held:
+            yield pd.concat(held)
 
     def predict(batches):
         import pyarrow.dataset as ds
         import pyarrow.fs as pafs
-        fs, root = (pafs.FileSystem.from_uri(path) if "://" in path
-                    else (pafs.LocalFileSystem(), path))
-        data = ds.dataset(root, format="parquet", filesystem=fs)
-        for pdf in batches:
+        from urllib.parse import unquote, urlsplit
+        if files and urlsplit(files[0]).scheme in ("", "file"):
+            fs, paths = pafs.LocalFileSystem(), [unquote(urlsplit(f).path) for f in files]
+        elif files:
+            fs, paths = pafs.FileSystem.from_uri(files[0])[0], [pafs.FileSystem.from_uri(f)[1] for f in files]
+        else:
+            fs, paths = pafs.LocalFileSystem(), []
+        data = ds.dataset(paths, format="parquet", filesystem=fs, schema=None if paths else pa.schema(
+            [("k", pa.int64()), ("v", pa.list_(pa.float64())), ("y", pa.string())]))
+        for pdf in blocks(batches):
             n = len(pdf)
-            if n == 0:
-                continue
             x = np.array([np.asarray(v, dtype=np.float64) for v in pdf["v"]]).reshape(n, -1)
             best = [(np.empty(0), np.empty(0, dtype=object), np.empty(0, dtype=object))
                     for _ in range(n)]
@@ -303,11 +330,9 @@ def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: st
                 preds.append(labels[np.argmax(votes)].item())  # sorted: ties -> smaller
             yield pd.DataFrame({"k": pdf["k"], out: preds})
 
-    schema = T.StructType([T.StructField("k", test.schema[key].dataType),
+    schema = T.StructType([T.StructField("k", test.schema["k"].dataType),
                            T.StructField(out, label_type)])
-    res = (test.select(F.col(q(key)).alias("k"), F.col(q(vector)).cast("array<double>").alias("v"))
-           .mapInPandas(predict, schema))
-    return res.withColumnRenamed("k", key)
+    return test.repartition(tasks, "k").mapInPandas(predict, schema).withColumnRenamed("k", key)
 
 
 # M7 M8 M9 ---------------------------------------------------------------------

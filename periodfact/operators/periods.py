@@ -29,13 +29,14 @@ def filter_period(df: DataFrame, source: str, first: int, last: int | None = Non
 
 
 def mean_parts(df: DataFrame, keys: Sequence[str], cols: dict[str, str],
-               exact_scale: int | None = None) -> DataFrame:
+               exact_scale: int | None = None, extra: Sequence[Column] = ()) -> DataFrame:
     """Partial means: per key, the sum and count of each measure.
 
     Reducing rows to (key, sum, count) before a join keeps a hot key from
     reaching the join as millions of rows; :func:`mean_from_parts` finishes.
+    ``extra`` adds more aggregates to the same pass.
     """
-    aggs = []
+    aggs = list(extra)
     for out, c in cols.items():
         s = F.sum(F.col(q(c)) if exact_scale is None else scaled_long(q(c), exact_scale))
         aggs += [s.alias(f"{out}__sum"), F.count(F.col(q(c))).alias(f"{out}__n")]
@@ -49,12 +50,22 @@ def mean_from_parts(df: DataFrame, keys: Sequence[str], outs: Sequence[str],
     With ``exact_scale`` the partial sums are scaled longs, so combining
     them stays exact.
     """
+    return df.groupBy(*[F.col(q(k)) for k in keys]).agg(*means_of_parts(outs, scale, exact_scale))
+
+
+def means_of_parts(outs: Sequence[str], scale: int | None = 2, exact_scale: int | None = None) -> list[Column]:
+    """The aggregates of :func:`mean_from_parts`, to be taken along in another aggregation."""
     unit = float(10 ** exact_scale) if exact_scale is not None else 1.0
     aggs = []
     for out in outs:
         m = (F.sum(f"{out}__sum") / F.lit(unit)) / F.sum(f"{out}__n")
         aggs.append((F.round(m, scale) if scale is not None else m).alias(out))
-    return df.groupBy(*[F.col(q(k)) for k in keys]).agg(*aggs)
+    return aggs
+
+
+def part_columns(outs: Sequence[str]) -> list[str]:
+    """The columns that :func:`mean_parts` makes for these means."""
+    return [f"{out}__{part}" for out in outs for part in ("sum", "n")]
 
 
 def _mean(c: str, exact_scale: int | None) -> Column:

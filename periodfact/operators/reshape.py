@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,17 +93,45 @@ def unpivot_layouts(frames: Sequence[tuple[DataFrame, Sequence[str], BlockLayout
     """U3 (+B1): unpivot several layout groups and append them.
 
     Each entry is ``(wide_frame, id_cols, layout, constant_columns)``, e.g.
-    constants ``{'family': 'regional'}``.
+    constants ``{'family': 'regional'}``.  Layouts of one and the same frame
+    are expanded together, so the frame is computed once.
     """
-    out = None
-    for df, ids, layout, consts in frames:
-        long = unpivot_blocks(df, ids, layout, slot)
-        if consts:
-            long = long.withColumns({k: F.lit(v) for k, v in consts.items()})
-        out = long if out is None else out.unionByName(long, allowMissingColumns=True)
-    if out is None:
+    if not frames:
         raise ValueError("no frames")
-    return out
+    groups: list[list] = []
+    for entry in frames:
+        if groups and _together(groups[-1][0], entry):
+            groups[-1].append(entry)
+        else:
+            groups.append([entry])
+    parts = [_unpivot_together(group, slot) for group in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _together(a, b) -> bool:
+    """Whether two entries read the same frame into the same columns."""
+    return (a[0] is b[0] and list(a[1]) == list(b[1]) and list(a[3]) == list(b[3])
+            and list(a[2].fields) == list(b[2].fields) and tuple(a[2].key) == tuple(b[2].key)
+            and not a[2].transforms and not b[2].transforms)
+
+
+def _unpivot_together(entries: Sequence, slot: str | None) -> DataFrame:
+    df, ids, layout, consts = entries[0]
+    if len(entries) == 1:
+        long = unpivot_blocks(df, ids, layout, slot)
+        return long.withColumns({k: F.lit(v) for k, v in consts.items()}) if consts else long
+    structs = []
+    for _, _, lay, values in entries:
+        for b, pos in enumerate(lay.positions(len(df.columns))):
+            cells = {n: F.col(q(df.columns[p])) for n, p in pos.items()}
+            structs.append(F.struct(
+                *([F.lit(b).alias(slot)] if slot else []),
+                *[(c.cast(lay.types[n]) if n in lay.types else c).alias(n) for n, c in cells.items()],
+                *[F.lit(v).alias(n) for n, v in values.items()]))
+    if not structs:
+        raise ValueError("layout yields no block for this frame")
+    long = df.select(*[F.col(q(c)) for c in ids], F.inline(F.array(*structs)))
+    return drop_null_keys(long, layout.key) if layout.key else long
 
 
 def to_blocks(df: DataFrame, index: Sequence[str], slot: str, slots: Sequence[object],

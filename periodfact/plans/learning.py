@@ -29,9 +29,10 @@ def marks(text: str = "text") -> dict:
 
 def doc_features(spark: SparkSession, sf: str) -> DataFrame:
     """M1 (+P6, X8): documents left join labels, letter counts, nulls -> 0."""
-    d = read(spark, sf, "documents").select("doc_id", "lang", "n_chars", "text")
+    d = read(spark, sf, "documents").select(  # counted before the join: no text is shuffled
+        "doc_id", "lang", "n_chars", *[c.alias(name) for name, c in marks().items()])
     lab = read(spark, sf, "labels").select("doc_id", "quality", "toxic")
-    d = d.join(lab, "doc_id", "left").withColumns(marks()).drop("text")
+    d = d.join(lab, "doc_id", "left")
     d = L.fill_missing(d, ["quality", "toxic"], 0)
     size = F.greatest(F.col("n_chars"), F.lit(1)).cast("double")
     return d.withColumns({f"{lang}_rate": F.col(f"{lang}_marks") * F.lit(1000.0) / size
@@ -74,12 +75,12 @@ def q_knn_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 def rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """A fixed rule: the language whose marker letters are most frequent, else English."""
-    d = read(spark, sf, "documents").select("lang", "text").withColumns(marks())
+    d = read(spark, sf, "documents").select("doc_id", "lang", "text").withColumns(marks())
     fr, de, es = F.col("fr_marks"), F.col("de_marks"), F.col("es_marks")
     pred = (F.when((fr >= de) & (fr >= es) & (fr > 0), "fr")
             .when((de >= es) & (de > 0), "de")
             .when(es > 0, "es").otherwise("en"))
-    return d.select(F.col("lang").alias("label"), pred.alias("predicted"))
+    return d.select("doc_id", F.col("lang").alias("label"), pred.alias("predicted"))
 
 
 def q_model_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,6 +95,55 @@ def q_class_report(spark: SparkSession, sf: str) -> DataFrame:
     return L.class_report(rule_predictions(spark, sf))
 
 
+# M10 M11 M12 B2 with scorers that SQL can follow ------------------------------
+RULE_SEEDS = 10
+
+
+def q_seed_search_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy of the fixed rule on each seed's hold-out, first best marked."""
+    from periodfact.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    data = rule_predictions(spark, sf).checkpoint()
+    n = data.count()
+
+    def accuracy(seed: int) -> float:
+        h = L.holdout(data, "doc_id", FINAL_TEST_SIZE, seed, n_rows=n)
+        return L.score(h.where("is_test")).first()["accuracy"]
+
+    best, results = L.seed_search(accuracy, list(range(RULE_SEEDS)))
+    return spark.createDataFrame([(s, float(a), s == best) for s, a in results],
+                                 "seed int, accuracy double, is_best boolean")
+
+
+def q_score_table_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The marker rule and an always-English baseline, one row each."""
+    rule = rule_predictions(spark, sf)
+    return L.score_table({"Marker Rule": L.score(rule),
+                          "Always English": L.score(rule.withColumn("predicted", F.lit("en")))})
+
+
+def q_scenario_knn(spark: SparkSession, sf: str) -> DataFrame:
+    """The scenario rows predicted from all documents' features by KNN."""
+    train = L.assemble_features(doc_features(spark, sf).select("doc_id", "lang", *FEATURES), FEATURES)
+    models = {"K-Nearest Neighbors": _Knn(spark, train, "doc_id", "lang")}
+    return L.predict_scenarios(spark, models, SCENARIOS, FEATURES, 2025)
+
+
+def _listed(fit, spark: SparkSession, sf: str) -> DataFrame:
+    """Per class of the test side: its rows, and those predicted as a listed class."""
+    train, test = _split(spark, sf, SEED, FINAL_TEST_SIZE)
+    return fit(train, "lang").transform(test).groupBy("lang").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("predicted").isin(LANGS)).alias("n_listed"))
+
+
+def q_forest_support(spark: SparkSession, sf: str) -> DataFrame:
+    return _listed(L.fit_forest, spark, sf)
+
+
+def q_svm_support(spark: SparkSession, sf: str) -> DataFrame:
+    return _listed(L.fit_linear_svm, spark, sf)
+
+
 # Model fitting (no SQL equivalent: rows-only checks) --------------------------
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
     """Feature rows written once to the checkpoint folder: the regex scans of

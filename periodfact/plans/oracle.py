@@ -191,20 +191,14 @@ SELECT r_regionkey AS region_key_as_published_in_the_statistical_yearbook_of,
 FROM region
 """
 
-_LINES = "FROM lineitem GROUP BY l_orderkey, l_linenumber"
-UNPIVOT_BLOCKS = f"""
-SELECT l_orderkey, l_linenumber - 1 AS slot, min(l_partkey) AS item, sum(l_quantity) AS votes
-{_LINES}
-"""
+_SLOT = ("CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, "
+         "l_extendedprice) - 1 AS INTEGER) AS slot")
+UNPIVOT_BLOCKS = f"SELECT l_orderkey, {_SLOT}, l_partkey AS item, l_quantity AS votes FROM lineitem"
 
 UNPIVOT_LAYOUTS = f"""
-SELECT l_orderkey, l_linenumber - 1 AS slot, min(l_partkey) AS item, sum(l_quantity) AS votes,
-       'quantity' AS family
-{_LINES}
+SELECT l_orderkey, {_SLOT}, l_partkey AS item, l_quantity AS votes, 'quantity' AS family FROM lineitem
 UNION ALL
-SELECT l_orderkey, l_linenumber - 1 AS slot, min(l_partkey) AS item,
-       {ES('l_extendedprice')} AS votes, 'price' AS family
-{_LINES}
+SELECT l_orderkey, {_SLOT}, l_partkey AS item, l_extendedprice AS votes, 'price' AS family FROM lineitem
 """
 
 # Shared CTEs of the tally chain ---------------------------------------------
@@ -365,8 +359,7 @@ def _wide_files_fact() -> str:
     listed = " + ".join(col_name(c) for c in CATEGORIES)
     return f"""
 WITH o AS (SELECT o_orderkey, {P('o_orderdate')} AS period FROM orders),
-lines AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS item, sum(l_quantity) AS votes
-          FROM lineitem GROUP BY 1, 2),
+lines AS (SELECT l_orderkey, l_partkey AS item, l_quantity AS votes FROM lineitem),
 tot AS (SELECT o.period, sum(l_quantity) AS total
         FROM lineitem JOIN o ON l_orderkey = o.o_orderkey GROUP BY 1),
 it AS (SELECT o.period, item, sum(votes) AS votes
@@ -454,10 +447,10 @@ def _marks(text: str = "text") -> str:
 
 
 def _rule() -> str:
-    return (f"p AS (SELECT lang AS label, CASE WHEN fr_marks >= de_marks AND fr_marks >= es_marks "
+    return (f"p AS (SELECT doc_id, lang AS label, CASE WHEN fr_marks >= de_marks AND fr_marks >= es_marks "
             f"AND fr_marks > 0 THEN 'fr' WHEN de_marks >= es_marks AND de_marks > 0 THEN 'de' "
             f"WHEN es_marks > 0 THEN 'es' ELSE 'en' END AS predicted "
-            f"FROM (SELECT lang, {_marks()} FROM documents))")
+            f"FROM (SELECT doc_id, lang, {_marks()} FROM documents))")
 
 
 _REPORT = """
@@ -479,6 +472,55 @@ rep AS (SELECT class, precision, recall,
         FROM pr)"""
 
 
+def _score_row(p: str, model: str) -> str:
+    n = "CAST(sum(support) AS DOUBLE)"
+    return f"""(WITH {_rule().replace("p AS", "p0 AS", 1)}, p AS (SELECT label, {p} AS predicted FROM p0),{_REPORT}
+SELECT '{model}' AS "Model", {R(f'sum(precision * support) / {n}', 6)} AS "Mean Precision",
+       {R(f'sum(recall * support) / {n}', 6)} AS "Mean Recall", {R(f'sum(f1 * support) / {n}', 6)} AS "Mean F1-Score",
+       {R(f'CAST(sum(tp) AS DOUBLE) / {n}', 6)} AS "Mean Accuracy" FROM rep)"""
+
+
+def _scenario_knn() -> str:
+    from periodfact.plans.learning import FEATURES, MARKERS, SCENARIOS
+    rates = ", ".join(f"CAST({lang}_marks AS DOUBLE) * CAST(1000 AS DOUBLE) / CAST(greatest(n_chars, 1) AS DOUBLE) AS {lang}_rate"
+                      for lang in MARKERS)
+    rows = ", ".join(f"({2025 + i}, {', '.join(f'CAST({v} AS DOUBLE)' for v in r)})" for i, r in enumerate(SCENARIOS))
+    dist = " + ".join(f"(d.{c} - s.{c}) * (d.{c} - s.{c})" for c in FEATURES)
+    return f"""
+WITH m AS (SELECT doc_id, lang, n_chars, {_marks()} FROM documents),
+d AS (SELECT m.doc_id, lang, {rates}, CAST(coalesce(quality, 0) AS DOUBLE) AS quality, CAST(coalesce(toxic, 0) AS DOUBLE) AS toxic
+      FROM m LEFT JOIN labels l ON m.doc_id = l.doc_id),
+s AS (SELECT * FROM (VALUES {rows}) v(yr, {', '.join(FEATURES)})),
+nn AS (SELECT yr, lang FROM (SELECT yr, lang, row_number() OVER (PARTITION BY yr ORDER BY {dist}, doc_id) AS rn
+                             FROM d CROSS JOIN s) WHERE rn <= 5),
+v AS (SELECT yr, lang, count(*) AS c FROM nn GROUP BY 1, 2)
+SELECT 'K-Nearest Neighbors' AS "Model", CAST(yr AS INTEGER) AS "Year", lang AS "Prediction"
+FROM (SELECT yr, lang, row_number() OVER (PARTITION BY yr ORDER BY c DESC, lang) AS rn FROM v) WHERE rn = 1
+"""
+
+
+def _seed_search() -> str:
+    from periodfact.plans.learning import FINAL_TEST_SIZE, RULE_SEEDS
+    return f"""
+WITH {_rule()},
+s AS (SELECT unnest(range({RULE_SEEDS})) AS seed),
+h AS (SELECT seed, label, predicted, count(*) OVER (PARTITION BY seed) AS n, row_number() OVER (
+          PARTITION BY seed ORDER BY md5(CAST(seed AS VARCHAR) || '|' || CAST(doc_id AS VARCHAR)), doc_id) AS rn
+      FROM p CROSS JOIN s),
+a AS (SELECT seed, {R('CAST(count(*) FILTER (WHERE label = predicted) AS DOUBLE) / CAST(count(*) AS DOUBLE)', 6)} AS accuracy
+      FROM h WHERE rn <= CEIL(n * CAST({FINAL_TEST_SIZE} AS DOUBLE)) GROUP BY 1)
+SELECT CAST(seed AS INTEGER) AS seed, accuracy,
+       seed = (SELECT min(seed) FROM a WHERE accuracy = (SELECT max(accuracy) FROM a)) AS is_best
+FROM a
+"""
+
+
+def _support() -> str:
+    from periodfact.plans.learning import FINAL_TEST_SIZE
+    return (f"SELECT lang, count(*) AS n_rows, count(*) AS n_listed FROM "
+            f"({_holdout('documents', 'doc_id', 'lang', size=FINAL_TEST_SIZE)}) WHERE is_test GROUP BY 1")
+
+
 def _learning_sql() -> dict[str, str]:
     from periodfact.plans.learning import LANGS
     conf = ", ".join(f"count(*) FILTER (WHERE predicted = '{c}') AS {c}" for c in LANGS)
@@ -531,5 +573,10 @@ SELECT {R(f'sum(precision * support) / {n}', 6)} AS precision,
        {R(f'sum(f1 * support) / {n}', 6)} AS f1,
        {R(f'CAST(sum(tp) AS DOUBLE) / {n}', 6)} AS accuracy
 FROM rep""",
+        "seed_search_rule": _seed_search(),
+        "score_table_rules": _score_row("predicted", "Marker Rule") + " UNION ALL " + _score_row("'en'", "Always English"),
+        "scenario_knn": _scenario_knn(),
+        "forest_support": _support(),
+        "svm_support": _support(),
         "confusion": f"WITH {_rule()}\nSELECT label AS actual, {conf} FROM p GROUP BY 1",
     }

@@ -7,13 +7,13 @@ equivalent SQL for an independent engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from periodfact import functions as PF
 from periodfact.operators import (BlockLayout, assemble_fact, drop_null_keys, filter_category,
                                   filter_period, first_columns, global_mean, join_on_period,
-                                  lag_change, mean_from_parts, mean_parts,
+                                  lag_change, mean_from_parts, mean_parts, means_of_parts, part_columns,
                                   lookup_first, mean_by_period, measure_gap, pivot_categories,
                                   row_total, safe_column_names, shares, spine_join,
                                   sum_all_by_period, tally, to_blocks, union_families, unmatched,
@@ -23,7 +23,6 @@ from periodfact.plans.tables import (CATEGORIES, SEGMENT_CATEGORY, col_name, lin
                                      literal_table, orders, read)
 
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-N_LINES = 7  # blocks in the wide per-order frame (line numbers 1..7)
 
 
 # A1 X3 P1 ------------------------------------------------------------------
@@ -188,12 +187,23 @@ def q_safe_column_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # U1 S5 F3 ------------------------------------------------------------------
+def numbered_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """The lines with their row number within the order as ``block``, and the longest order's number of lines.
+
+    Line numbers repeat within an order; numbering the rows keeps every item.
+    """
+    li = read(spark, sf, "lineitem")
+    widest = li.groupBy("l_orderkey").count().agg(F.max("count")).first()[0] or 1
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    return li.withColumn("block", F.row_number().over(w)), widest
+
+
 def wide_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per order, one block (item, quantity, price) per line number."""
-    return to_blocks(read(spark, sf, "lineitem"), ["l_orderkey"], "l_linenumber",
-                     list(range(1, N_LINES + 1)),
-                     {"item": (F.min, "l_partkey"), "qty": (F.sum, "l_quantity"),
-                      "price": (PF.exact_sum, "l_extendedprice")})
+    """One row per order, one block (item, quantity, price) per line."""
+    lines, widest = numbered_lines(spark, sf)
+    return to_blocks(lines, ["l_orderkey"], "block", list(range(1, widest + 1)),
+                     {"item": (F.max, "l_partkey"), "qty": (F.max, "l_quantity"),
+                      "price": (F.max, "l_extendedprice")})
 
 
 def q_unpivot_blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,51 +339,75 @@ INDICATOR_COLS = ["avg_totalprice", "avg_discount", "avg_tax"]
 TOTAL_COLS = ["total_votes", "orders_value"]
 
 
-def indicators(spark: SparkSession, sf: str) -> DataFrame:
-    o = orders(spark, sf)
-    li = lineitem(spark, sf)
-    return spine_join(mean_by_period(o, {"avg_totalprice": "o_totalprice"}, exact_scale=2),
-                      [mean_by_period(li, {"avg_discount": "l_discount", "avg_tax": "l_tax"}, exact_scale=2)])
+def order_means(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean price and value of the orders per period, in one pass."""
+    parts = mean_parts(orders(spark, sf), ["period"], {"avg_totalprice": "o_totalprice"}, exact_scale=2)
+    return _with_value(parts.groupBy("period").agg(*means_of_parts(["avg_totalprice"], exact_scale=2),
+                                                   F.sum("avg_totalprice__sum").alias("cents")))
 
 
-def period_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return row_total(orders(spark, sf).select("period", "o_totalprice"), out="orders_value", exact_scale=2)
+def _with_value(df: DataFrame) -> DataFrame:
+    """The orders' value from its cents (no price at all: 0)."""
+    return df.withColumn("orders_value", F.coalesce(F.col("cents"), F.lit(0)) / F.lit(100.0)).drop("cents")
 
 
 def lineitem_shares(spark: SparkSession, sf: str) -> DataFrame:
-    return category_shares(spark, sf).withColumnRenamed("total", "total_votes")
+    """Shares, winner, total and the yearly means of discount and tax.
+
+    The means travel as sums and counts through the tally chain, so lineitem
+    is scanned, reduced and shuffled once.
+    """
+    means = {"avg_discount": "l_discount", "avg_tax": "l_tax"}
+    part = read(spark, sf, "part")
+    t = mean_parts(lineitem(spark, sf).withColumnRenamed("l_partkey", "item"), ["period", "item"], means,
+                   exact_scale=2, extra=[F.sum("l_quantity").alias("votes")])
+    t = lookup_first(t, part, "item", "p_partkey", ["p_brand"], "p_partkey", unique=True)
+    t = t.groupBy("period", F.col("p_brand").alias("code")).agg(
+        *[F.sum(c).alias(c) for c in ["votes", *part_columns(means)]])
+    t = lookup_first(t, part, "code", "p_brand", ["p_type"], "p_partkey")
+    return _shares_and_winner(t, "p_type", means_of_parts(means, exact_scale=2))
+
+
+def _shares_and_winner(t: DataFrame, category: str, extra: list) -> DataFrame:
+    cats = [col_name(c) for c in CATEGORIES]
+    wide = pivot_categories(t, ["period"], category, "votes", CATEGORIES,
+                            names={c: col_name(c) for c in CATEGORIES}, total="total_votes",
+                            exact_scale=2, extra=extra)
+    return winner_of_columns(shares(wide, "total_votes", cats), [(col_name(c), c) for c in CATEGORIES])
 
 
 def q_period_fact(spark: SparkSession, sf: str) -> DataFrame:
-    return assemble_fact(lineitem_shares(spark, sf), None, indicators(spark, sf),
-                         period_totals(spark, sf), share_cols=SHARE_COLS,
+    """Every table's indicators hang on the periods of orders, the spine of the indicators."""
+    fact = spine_join(lineitem_shares(spark, sf), [order_means(spark, sf).withColumn("on_spine", F.lit(True))])
+    fact = fact.withColumns({c: F.when(F.col("on_spine"), F.col(c)) for c in ("avg_discount", "avg_tax")})
+    return assemble_fact(fact, None, None, None, share_cols=SHARE_COLS,
                          indicator_cols=INDICATOR_COLS, total_cols=TOTAL_COLS)
 
 
 # B1 K3 ---------------------------------------------------------------------
 def orders_shares(spark: SparkSession, sf: str) -> DataFrame:
-    """Second family: order value per customer -> segment -> category."""
-    o = orders(spark, sf).select("period", F.col("o_custkey").alias("item"), "o_totalprice")
-    t = tally(o, ["period", "item"], "o_totalprice", exact_scale=2)
+    """Second family: order value per customer -> segment -> category, with the orders' yearly mean and value."""
+    o = orders(spark, sf).withColumnRenamed("o_custkey", "item")
+    t = mean_parts(o, ["period", "item"], {"avg_totalprice": "o_totalprice"}, exact_scale=2,
+                   extra=[PF.exact_sum("o_totalprice").alias("votes")])
     cust = read(spark, sf, "customer")
     t = lookup_first(t, cust, "item", "c_custkey", ["c_mktsegment"], "c_custkey",
                      unique=True)
     seg = literal_table(spark, SEGMENT_CATEGORY, ["segment", "category"])
     t = lookup_first(t, seg, "c_mktsegment", "segment", ["category"], "ordinal")
-    cat = tally(t, ["period", "category"], "votes", exact_scale=2)
-    wide = pivot_categories(cat, ["period"], "category", "votes", CATEGORIES,
-                            names={c: col_name(c) for c in CATEGORIES}, total="total_votes",
-                            exact_scale=2)
-    cats = [col_name(c) for c in CATEGORIES]
-    return winner_of_columns(shares(wide, "total_votes", cats),
-                             [(col_name(c), c) for c in CATEGORIES])
+    return _with_value(_shares_and_winner(t, "category", [
+        *means_of_parts(["avg_totalprice"], exact_scale=2), F.sum("avg_totalprice__sum").alias("cents")]))
 
 
 def q_family_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Both families' rows, then the period's indicators joined once."""
+    """Both families' rows; a period's indicators are spread over its few rows by a window, not computed again."""
     facts = union_families({"lineitem": lineitem_shares(spark, sf),
                             "orders": orders_shares(spark, sf)})
-    return assemble_fact(facts, None, indicators(spark, sf), period_totals(spark, sf),
+    w = Window.partitionBy("period")
+    on_spine = F.col("period").isNotNull() & (F.count_if(F.col("family") == "orders").over(w) > 0)
+    facts = facts.withColumns({c: F.when(on_spine, F.max(c).over(w))
+                               for c in [*INDICATOR_COLS, "orders_value"]})
+    return assemble_fact(facts, None, None, None,
                          keys=("period", "family"), share_cols=SHARE_COLS,
                          indicator_cols=INDICATOR_COLS, total_cols=TOTAL_COLS)
 
@@ -396,17 +430,17 @@ def write_wide_files(spark: SparkSession, sf: str):
     """lineitem as per-year wide result files plus a part lookup file.
 
     Each order becomes one row ``order;total;item;votes;item;votes;...`` (one
-    block per line number) in the folder of its order year; part becomes a
+    block per line) in the folder of its order year; part becomes a
     ``partkey;brand;type`` file.  Returns the family spec that reads them:
     item -> brand (key lookup) -> type (first match by lowest partkey).
     """
     from periodfact.plans.families import Family, Lookup
     from periodfact.session import scratch_path
     base = scratch_path(spark, "wide-files")
-    blocks = [x for n in range(1, N_LINES + 1) for x in (f"{n}_item", f"{n}_votes")]
-    wide = to_blocks(read(spark, sf, "lineitem"), ["l_orderkey"], "l_linenumber",
-                     list(range(1, N_LINES + 1)),
-                     {"item": (F.min, "l_partkey"), "votes": (F.sum, "l_quantity")},
+    lines, widest = numbered_lines(spark, sf)
+    blocks = [x for n in range(1, widest + 1) for x in (f"{n}_item", f"{n}_votes")]
+    wide = to_blocks(lines, ["l_orderkey"], "block", list(range(1, widest + 1)),
+                     {"item": (F.max, "l_partkey"), "votes": (F.max, "l_quantity")},
                      extra=[F.sum("l_quantity").alias("total")])
     years = read(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                              F.year("o_orderdate").alias("period"))
@@ -416,7 +450,7 @@ def write_wide_files(spark: SparkSession, sf: str):
     (read(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
      .write.option("sep", ";").option("header", True).csv(f"{base}/part"))
     fam = Family("orders", f"{base}/wide/period=*/*.csv", r"period=(\d{4})",
-                 n_cols=2 + 2 * N_LINES, total_col=1,
+                 n_cols=2 + 2 * widest, total_col=1,
                  layouts=[(None, BlockLayout(2, 2, {"item": 0, "votes": 1}, key=("item",)))],
                  item=["item"],
                  lookups=[Lookup(f"{base}/part", key=[0], value=1, n_cols=3, ordinal=0, unique=True),
