@@ -45,14 +45,24 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"keys {list(keys)} are not unique")
 
 
-def to_decimal(df: DataFrame, cols: Sequence[str], precision: int = 10, scale: int = 2) -> DataFrame:
+def to_decimal(df: DataFrame, cols: Sequence[str], precision: int = 10, scale: int = 2,
+               overflow: str = "null") -> DataFrame:
     """K2: store measures as ``DECIMAL(precision, scale)``.
 
-    ``try_cast``: a value outside the type's range becomes null instead of
-    failing a whole job under ANSI mode; callers can count such nulls.
+    A value outside the type's range becomes null, or fails the job with
+    ``overflow="raise"`` (as :func:`assemble_fact` does, so that no measure
+    of a fact is lost silently).
     """
     t = f"decimal({precision},{scale})"
-    return df.withColumns({c: F.col(q(c)).try_cast(t) for c in cols})
+
+    def stored(c: str):
+        value = F.col(q(c)).try_cast(t)
+        if overflow == "null":
+            return value
+        lost = F.raise_error(F.concat(F.lit(f"{c} does not fit {t}: "), F.col(q(c)).cast("string"))).cast(t)
+        return F.when(F.col(q(c)).isNotNull() & value.isNull(), lost).otherwise(value)
+
+    return df.withColumns({c: stored(c) for c in cols})
 
 
 def assemble_fact(shares: DataFrame, winner: DataFrame | None, indicators: DataFrame | None,
@@ -69,15 +79,16 @@ def assemble_fact(shares: DataFrame, winner: DataFrame | None, indicators: DataF
     Everything is a keyed left join on the period, so a missing indicator
     gives nulls instead of shifting columns.  Shares and indicators are
     ``DECIMAL(precision, scale)``; totals get ``total_precision`` digits
-    because yearly sums outgrow ``DECIMAL(10,2)`` at scale.
+    because yearly sums outgrow ``DECIMAL(10,2)`` at scale.  A value that
+    doesn't fit its type fails the job.
     """
     fact = shares if winner is None else shares.join(winner, on=list(keys), how="left")
     if indicators is not None:
         fact = fact.join(indicators, on=period, how="left")
     if totals is not None:
         fact = fact.join(totals, on=period, how="left")
-    fact = to_decimal(fact, [*share_cols, *indicator_cols], precision, scale)
-    fact = to_decimal(fact, list(total_cols), total_precision, scale)
+    fact = to_decimal(fact, [*share_cols, *indicator_cols], precision, scale, overflow="raise")
+    fact = to_decimal(fact, list(total_cols), total_precision, scale, overflow="raise")
     return fact.select(*keys, "winner", *share_cols, *indicator_cols, *total_cols)
 
 

@@ -61,6 +61,18 @@ def test_to_decimal_overflow_is_null_not_a_failure(spark):
     assert [None if g is None else float(g) for g in got] == [12.35, None, None]
 
 
+def test_a_fact_fails_on_a_value_that_does_not_fit(spark):
+    import pytest
+
+    from periodfact.operators import assemble_fact
+    df = spark.createDataFrame([(2001, "A", 12.345, None), (2002, "B", 123456789.0, 1.0)],
+                               "period int, winner string, share_a double, total double")
+    fact = assemble_fact(df, None, None, None, share_cols=["share_a"], total_cols=["total"])
+    assert float(fact.where("period = 2001").first().share_a) == 12.35
+    with pytest.raises(Exception, match="share_a does not fit"):
+        fact.collect()
+
+
 def test_filter_period_is_an_inclusive_year_range(spark):
     import datetime as dt
 
