@@ -1,7 +1,8 @@
 """Operator 7: main text of web pages by consensus paths of each host.
 
 First pass: each page's containers are scored by the text of the blocks that
-they hold, less their links; the score, as a share of the page, is a vote for
+they hold, less their links, where what stands in an article, or beside text of
+a container's own, counts for that as a whole; the score, as a share of the page, is a vote for
 the container's generalised path (tags with classes, digits as ``#``).  Spark
 sums the votes by host and path, so a host of any size is counted before it is
 shuffled, and keeps the winner of each host.  Second pass: each page is read
@@ -31,6 +32,10 @@ BROADCAST_HOSTS = 100_000
 CONTAINERS = frozenset("html body div section article main center table tbody tr td figure details ul ol dl blockquote "
                        "nav header footer aside form fieldset dialog menu".split())
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre figcaption summary caption th address hr legend".split())
+#: Parts of an article that never are its whole, and what they don't count for.
+PARTS, ROOTS = frozenset("ul ol dl blockquote figure".split()), frozenset(("html", "body"))
+#: A container's own blocks have this share of its text at least if what else it holds belongs to them; for html and body.
+OWN, ROOT_OWN = 0.02, 0.25
 BOILERPLATE = frozenset("nav header footer aside form dialog menu fieldset".split())
 DROPPED = "script|style|noscript|template|textarea|select|button|svg|iframe|object|head|title"
 BOILERPLATE_NAMES = re.compile(
@@ -111,11 +116,44 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     return out
 
 
+def holders(own: dict[tuple[str, ...], float]) -> dict[tuple[str, ...], tuple[str, ...]]:
+    """Path of a container with blocks -> path of the container that they count for.
+
+    That is the article (or else main) around it, or the outermost container
+    with text beside it; a list, quotation or figure counts for what is above.
+    """
+    below: dict[tuple[str, ...], float] = {}
+    for path, weight in own.items():
+        for depth in range(1, len(path) + 1):
+            below[path[:depth]] = below.get(path[:depth], 0.0) + weight
+    out = {}
+    for path in own:
+        tags = [step.partition(".")[0] for step in path]
+        depth = len(path)
+        for tag in ("article", "main"):
+            if tag in tags:
+                depth -= tags[::-1].index(tag)
+                break
+        for k in range(1, depth):
+            mine = own.get(path[:k], 0.0)
+            if mine > 0 and mine >= (ROOT_OWN if tags[k - 1] in ROOTS else OWN) * below[path[:k]]:
+                depth = k
+                break
+        while depth > 1 and tags[depth - 1] in PARTS and tags[depth - 2] not in ROOTS:
+            depth -= 1
+        out[path] = path[:depth]
+    return out
+
+
 def scores(found: list[tuple[tuple[str, ...], str, int]]) -> dict[str, float]:
     """Path -> share of the page's score: a block counts for its container, half for the next one above, and so on."""
-    out: dict[str, float] = {}
+    own: dict[tuple[str, ...], float] = {}
     for path, text, links in found:
-        weight = max(0, len(text) - 2 * links)
+        own[path] = own.get(path, 0.0) + max(0, len(text) - 2 * links)
+    held = holders(own)
+    out: dict[str, float] = {}
+    for path, weight in own.items():
+        path = held[path]
         for depth in range(len(path), max(len(path) - 3, 0), -1):
             key = "/".join(path[:depth])
             out[key] = out.get(key, 0.0) + weight

@@ -269,6 +269,25 @@ def test_consensus_path_beats_a_long_sidebar(spark):
     assert all(r["text"].startswith("main") for r in rows)
 
 
+def test_an_article_is_not_lost_to_a_part_of_it(spark):
+    title, lead, prose = "<h1>" + "t" * 40 + "</h1>", "<p>" + "l" * 150 + "</p>", "<p>" + "p" * 600 + "</p>"
+    long = {"entry": title + lead + "<div class='entry-content'><p>" + "e" * 1200 + "</p></div>",
+            "list": title + prose + "<ul>" + "".join(f"<li>{'i' * 300}</li>" for _ in range(5)) + "</ul>",
+            "table": prose + "<table><tbody>" + "".join(f"<tr><td>{'c' * 300}</td></tr>" for _ in range(3)) + "</tbody></table>",
+            "quote": lead + "<blockquote><p>" + "q" * 900 + "</p></blockquote>"}
+    plain = title + prose
+    for around in ("<article>{}</article>", "<main>{}</main>", "<div class='post'>{}</div>", "{}"):
+        page = "<html><body><nav><a href='/'>Home</a></nav>" + around + "<footer>us</footer></body></html>"
+        pages = [(k, f"http://{host}.org/{k}", page.format(body)) for host, body in long.items() if around != "{}" or host in ("list", "table")
+                 for k, body in enumerate((body, body, plain))]
+        rows = html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+        source = {url: re.sub(r"<nav>.*?</nav>|<footer>.*?</footer>", "", page) for _, url, page in pages}
+        for r in rows:
+            assert "".join(r["text"].split()) == re.sub(r"<[^>]*>", "", source[r["url"]]), (around, r["url"])
+    boxes = "<html><body><div class='post'><p>" + "m" * 250 + "</p></div><div class='box'><ul><li>" + "b" * 100 + "</li></ul></div></body></html>"
+    assert html_extract.main_text(boxes, None) == "m" * 250
+
+
 # -- 8 near-duplicates ------------------------------------------------------
 
 def plain_components(texts):
