@@ -37,15 +37,19 @@ PARTS, ROOTS = frozenset("ul ol dl blockquote figure".split()), frozenset(("html
 #: A container's own blocks have this share of its text at least if what else it holds belongs to them; for html and body.
 OWN, ROOT_OWN = 0.02, 0.25
 BOILERPLATE = frozenset("nav header footer aside form dialog menu fieldset".split())
-DROPPED = "script|style|noscript|template|textarea|select|button|svg|iframe|object|head|title"
+#: Elements whose content is raw up to their end tag, or else to the end of the page.
+RAW = "script|style|textarea|title"
+#: Elements that go with all they hold if their end tag is there; of others only the tag goes.
+DROPPED = frozenset("noscript template select button svg iframe object".split())
 BOILERPLATE_NAMES = re.compile(
     r"(?:^|[-_ ])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|popup|modal|sidebar|side|menu|nav\w*|"
     r"breadcrumbs?|header|footer|masthead|comments?|replies|disqus|respond|share|social|related|recommend\w*|newsletter|subscribe|"
     r"signup|login|search|widget|toolbar|pagination|pager|tags?|byline|hidden)(?:$|[-_ \d])", re.I)
 
-_PARTS = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({DROPPED})\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>"
+_PARTS = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>"
                     r"|<(/?[a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 _DIGITS = re.compile(r"\d+")
 
 
@@ -67,6 +71,26 @@ def _named(tag: str, attributes: str) -> tuple[str, bool]:
     return _DIGITS.sub("#", f"{tag}.{first}" if first else tag), out
 
 
+def _parts(page: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, tag, attributes) of all markup in page order; an element that goes is one part without a tag."""
+    found = [(m.start(), m.end(), (m[2] or "").lower(), m[3]) for m in _PARTS.finditer(page)]
+    opened: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for i, (_, _, tag, attributes) in enumerate(found):
+        if tag in DROPPED and not _CLOSED.search(attributes):
+            opened.setdefault(tag, []).append(i)
+        elif tag[:1] == "/" and opened.get(tag[1:]):
+            ends[opened[tag[1:]].pop()] = i
+    if not ends:
+        return found
+    out, i = [], 0
+    while i < len(found):
+        last = ends.get(i, i)
+        out.append(found[i] if last == i else (found[i][0], found[last][1], "", ""))
+        i = last + 1
+    return out
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     """(path of containers, text, characters in links) of each block outside boilerplate, in page order."""
     stack: list[tuple[str, str, bool]] = []  # tag, step, boilerplate here or above
@@ -84,15 +108,15 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         links = 0
 
     at = 0
-    for m in _PARTS.finditer(page):
-        if m.start() > at:
-            held.append(page[at:m.start()])
+    for start, end, tag, attributes in _parts(page):
+        if start > at:
+            held.append(page[at:start])
             if in_link:
-                links += m.start() - at
-        at, tag = m.end(), (m[2] or "").lower()
+                links += start - at
+        at = end
         if tag in CONTAINERS:
             close()
-            step, bad = _named(tag, m[3])
+            step, bad = _named(tag, attributes)
             stack.append((tag, step, bad or bool(stack and stack[-1][2])))
             path = tuple(s for _, s, _ in stack)
             in_link = False

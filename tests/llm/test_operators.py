@@ -288,6 +288,19 @@ def test_an_article_is_not_lost_to_a_part_of_it(spark):
     assert html_extract.main_text(boxes, None) == "m" * 250
 
 
+def test_open_or_self_closed_elements_cut_nothing():
+    body = "<body><article><p>before</p>{}<p>after</p></article></body></html>"
+    for odd, shown in [("<svg width='1' />", ""), ("<svg/>", ""), ("<svg><svg><text>x</text></svg><text>y</text></svg>", ""), ("<button>b", "b"),
+                       ("<button>b<p>c</p><button>x</button>", "bc"), ("<select><option>o", "o"), ("<object data=a>", ""), ("<iframe src=b>", ""),
+                       ("<iframe src='b'>x</iframe>", ""), ("<noscript>n</noscript>", ""), ("<template-part>t</template-part>", "t"), ("<title-card>u", "u"),
+                       ("<script>'<p>'</script>", ""), ("<p title='<svg>'>v", "v")]:
+        for head in ("<head><title>T</title><style>p{}</style></head>", "<head><title>T</title><meta charset='utf-8'>", ""):
+            text = html_extract.main_text("<!DOCTYPE html><html>" + head + body.format(odd), None)
+            assert "".join(text.split()) == f"before{shown}after", (head, odd)
+    assert html_extract.main_text("<html><head><title>T<body><p>x", None) == ""
+    assert html_extract.main_text("<body><p>x</p><script>y<p>z", None) == "x"
+
+
 # -- 8 near-duplicates ------------------------------------------------------
 
 def plain_components(texts):
