@@ -4,9 +4,10 @@ Three fixed patterns give the base spans.  Beyond them, every run of at least
 ``WINDOW`` characters of the key alphabets is a candidate: a window slides over
 it, the counts of its characters change by the one that enters and the one that
 leaves, and so does the sum behind its Shannon entropy.  A run is a span of
-kind ``entropy`` if a window reaches its class's limit (hexadecimal digits;
-letters, digits and signs), unless an allow-list pattern covers it or a base
-span overlaps it.
+kind ``entropy`` if a window of it, or of a stretch of a smaller class within
+it, reaches that class's limit (hexadecimal digits of either case; letters of
+one case and digits; letters, digits and signs), unless an allow-list pattern
+covers it or a base span overlaps it.
 
 Positions come from the text between the matches: a match starts after all
 earlier matches and gaps.  Only texts that hold a match are cut that way.
@@ -34,9 +35,12 @@ PATTERNS = [
 KINDS = ["assign", "access", "hex", "entropy"]
 WINDOW = 20
 CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}+"
-#: Class -> its alphabet and the least entropy (bits) of a window.
+#: Class -> its alphabet and the least entropy (bits) of a window; hex and single are judged in lower case.
 CLASSES = {"hex": ("0123456789abcdef", 2.9),
+           "single": ("0123456789abcdefghijklmnopqrstuvwxyz", 3.4),
            "key": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.8)}
+#: Class -> its stretches within a run (base32 in either case is among single); key is the run as a whole.
+STRETCHES = {"hex": f"[0-9A-Fa-f]{{{WINDOW},}}+", "single": f"[0-9A-Z]{{{WINDOW},}}+|[0-9a-z]{{{WINDOW},}}+"}
 #: Runs that are no secrets: no digit or no letter, words joined by signs, dotted names, placeholders.
 ALLOWED = [r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[A-Za-z]+([/_=-][A-Za-z]+)*[/_=-]?[0-9]{0,4}$", r"(?i)example|placeholder|xxxx|1234567890"]
 
@@ -84,6 +88,21 @@ def entropy(run: str, alphabet: str, window: int = WINDOW) -> str:
             f"(a, i) -> {step.replace('s[', 'x.s[').replace('f[', 'x.f[')}, a -> a.h))")
 
 
+def _quoted(pattern: str) -> str:
+    return "r'" + pattern.replace("'", "\\'") + "'"
+
+
+def _not_allowed(run: str, allowed: list[str]) -> str:
+    return " AND ".join(f"NOT rlike({run}, {_quoted(p)})" for p in allowed) or "true"
+
+
+def _strong(run: str, allowed: list[str]) -> str:
+    """SQL: whether the run, or a stretch of a smaller class within it that no allow-list pattern covers, reaches its limit."""
+    within = [f"exists(regexp_extract_all({run}, {_quoted(STRETCHES[k])}, 0), h -> CASE WHEN {_not_allowed('h', allowed)} "
+              f"THEN {entropy('lower(h)', CLASSES[k][0])} >= {CLASSES[k][1]}D ELSE false END)" for k in STRETCHES]
+    return " OR ".join([*within, f"{entropy(run, CLASSES['key'][0])} >= {CLASSES['key'][1]}D"])
+
+
 def scan(docs: DataFrame, keep: list[str] | None = None, allowed: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default doc_id), ``text`` (null as empty), base_spans, spans (both sorted arrays)."""
     keep = ["doc_id"] if keep is None else keep
@@ -97,11 +116,7 @@ def scan(docs: DataFrame, keep: list[str] | None = None, allowed: list[str] | No
     found = rows.select(*names, "t", base.alias("b"), F.when(t.rlike(CANDIDATE), _spans(t, CANDIDATE, 0, WINDOW, 3)).otherwise(_none()).alias("c"))
     free = "NOT exists(b, y -> y.start < x.stop AND x.start < y.stop)"
     run = "substring(t, x.start + 1, x.stop - x.start)"
-    quote = lambda p: "r'" + p.replace("'", "\\'") + "'"
-    not_allowed = " AND ".join(f"NOT rlike({run}, {quote(p)})" for p in allowed) or "true"
-    strong = "CASE WHEN rlike({0}, '^[0-9a-f]+$') THEN {1} >= {2}D ELSE {3} >= {4}D END".format(
-        run, entropy(run, *CLASSES["hex"][:1]), CLASSES["hex"][1], entropy(run, *CLASSES["key"][:1]), CLASSES["key"][1])
-    more = F.expr(f"CASE WHEN size(c) = 0 THEN c ELSE filter(c, x -> CASE WHEN {free} AND {not_allowed} THEN {strong} ELSE false END) END")
+    more = F.expr(f"CASE WHEN size(c) = 0 THEN c ELSE filter(c, x -> CASE WHEN {free} AND {_not_allowed(run, allowed)} THEN {_strong(run, allowed)} ELSE false END) END")
     return found.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("t").alias("text"), F.col("b").alias("base_spans"),
                         F.sort_array(F.concat("b", more)).alias("spans"))
 

@@ -139,6 +139,22 @@ def test_entropy_by_incremental_counts(spark):
         assert found == pytest.approx(best)
 
 
+def test_random_keys_of_each_class_and_length_are_found(spark):
+    rng = np.random.default_rng(11)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    classes = {"hex": digits + "abcdef", "HEX": digits + "ABCDEF", "Hex": digits + "abcdefABCDEF", "base32": upper + "234567", "BASE32": lower + "234567",
+               "base36": digits + lower, "base62": digits + lower + upper, "base64": digits + lower + upper + "+/"}
+    rows = [(f"{name} {n}", around.format("".join(rng.choice(list(alphabet), n)))) for name, alphabet in classes.items()
+            for n in (32, 40, 64) for k in range(50) for around in ("a {} b", "KEY={} b")]
+    found = secret_scan.scan(spark.createDataFrame(rows, "kind string, text string").repartition(4), keep=["kind"])
+    recall = {r["kind"]: r["r"] for r in found.selectExpr("kind", "double(size(spans) > 0) AS r").groupBy("kind").avg("r").toDF("kind", "r").collect()}
+    assert len(recall) == 24 and min(recall.values()) >= 0.95, recall
+    plain = ["internationalization of counterrevolutionaries", "some-long-page-name-of-2024", "AAAAAAAAAAAAAAAAAAAAAAAA1", "00000000000000000000000000",
+             "A_CONSTANT_OF_SEVERAL_WORDS", "/usr/share/dictionaries/english/words"]
+    rows = secret_scan.scan(spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string"))
+    assert rows.where("doc_id <> 3 AND size(spans) > 0").count() == 0
+
+
 # -- 3 quality --------------------------------------------------------------
 
 def test_quality(docs, none):
