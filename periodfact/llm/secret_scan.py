@@ -7,7 +7,9 @@ leaves, and so does the sum behind its Shannon entropy.  A run is a span of
 kind ``entropy`` if a window of it, or of a stretch of a smaller class within
 it, reaches that class's limit (hexadecimal digits of either case; letters of
 one case and digits; letters, digits and signs), unless an allow-list pattern
-covers it or a base span overlaps it.
+covers it.  Base spans and placeholders are cut out of a run first and what is
+left on either side is judged by itself; a piece shorter than a window, left
+beside a hex span, is one if the run reaches the limit as a whole.
 
 Positions come from the text between the matches: a match starts after all
 earlier matches and gaps.  Only texts that hold a match are cut that way.
@@ -103,6 +105,15 @@ def _strong(run: str, allowed: list[str]) -> str:
     return " OR ".join([*within, f"{entropy(run, CLASSES['key'][0])} >= {CLASSES['key'][1]}D"])
 
 
+#: SQL: what the cuts k (by start) leave of the run r, and whether it stands beside a hex span.
+PIECES = """
+  aggregate(filter(k, y -> y.start < r.stop AND r.start < y.stop),
+    named_struct('at', r.start, 'hex', false, 'found', cast(array() AS array<struct<start:int,stop:int,by_hex:boolean,run:struct<start:int,kind:int,stop:int>>>)),
+    (a, y) -> named_struct('at', greatest(a.at, y.stop), 'hex', CASE WHEN y.stop > a.at THEN y.kind = 2 WHEN y.stop = a.at THEN a.hex OR y.kind = 2 ELSE a.hex END,
+      'found', CASE WHEN y.start > a.at THEN concat(a.found, array(named_struct('start', a.at, 'stop', y.start, 'by_hex', a.hex OR y.kind = 2, 'run', r))) ELSE a.found END),
+    a -> CASE WHEN a.at < r.stop THEN concat(a.found, array(named_struct('start', a.at, 'stop', r.stop, 'by_hex', a.hex, 'run', r))) ELSE a.found END)"""
+
+
 def scan(docs: DataFrame, keep: list[str] | None = None, allowed: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default doc_id), ``text`` (null as empty), base_spans, spans (both sorted arrays)."""
     keep = ["doc_id"] if keep is None else keep
@@ -114,9 +125,15 @@ def scan(docs: DataFrame, keep: list[str] | None = None, allowed: list[str] | No
     base = F.sort_array(F.concat(*[F.when(maybe[kind], _spans(t, pattern, group, least, k)).otherwise(_none())
                                    for k, (kind, pattern, group, least) in enumerate(PATTERNS)]))
     found = rows.select(*names, "t", base.alias("b"), F.when(t.rlike(CANDIDATE), _spans(t, CANDIDATE, 0, WINDOW, 3)).otherwise(_none()).alias("c"))
-    free = "NOT exists(b, y -> y.start < x.stop AND x.start < y.stop)"
-    run = "substring(t, x.start + 1, x.stop - x.start)"
-    more = F.expr(f"CASE WHEN size(c) = 0 THEN c ELSE filter(c, x -> CASE WHEN {free} AND {_not_allowed(run, allowed)} THEN {_strong(run, allowed)} ELSE false END) END")
+    found = found.withColumn("k", F.when(F.size("c") > 0, F.sort_array(F.concat("b", *[
+        F.when(t.rlike(p), _spans(t, p, 0, 1, len(KINDS))).otherwise(_none()) for p in allowed if not p.startswith("^")]))))
+    run, whole = "substring(t, x.start + 1, x.stop - x.start)", "substring(t, x.run.start + 1, x.run.stop - x.run.start)"
+    key, least = CLASSES["key"]
+    more = F.expr(f"""
+      CASE WHEN size(c) = 0 THEN c ELSE transform(
+        filter(flatten(transform(c, r -> {PIECES})), x -> CASE WHEN NOT ({_not_allowed(run, allowed)}) THEN false
+          WHEN x.stop - x.start >= {WINDOW} THEN {_strong(run, allowed)} WHEN x.by_hex THEN {entropy(whole, key)} >= {least}D ELSE false END),
+        x -> struct(x.start AS start, 3 AS kind, x.stop AS stop)) END""")
     return found.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("t").alias("text"), F.col("b").alias("base_spans"),
                         F.sort_array(F.concat("b", more)).alias("spans"))
 
