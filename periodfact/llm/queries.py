@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodfact.llm import bpe, chat, fingerprints, html_extract, neardup, packing, quality, secret_scan, token_counts, toxicity
+from periodfact.llm import (bpe, chat, fill_middle, fingerprints, html_extract, neardup, packing, quality, runs, secret_scan,
+                            token_counts, token_files, toxicity)
 from periodfact.llm.common import table
 from periodfact.llm.oracle import CHAT, NEARDUP
+from periodfact.session import scratch_path
 
 
 def vocabulary(name: str) -> str:
@@ -63,10 +65,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs.withColumn("doc_id", F.col("doc_id").cast("long")), model)
 
 
+def op11_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "op11")
+    token_files.write_files(table(spark, sf_dir, "documents"), folder, vocabulary(RANKS))
+    return token_files.digests(token_files.read_files(spark, folder))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_secret_scan, op3_quality_ledger, op4_token_counts, op5_bpe_round_trip,
-        op6_winnowing, op7_consensus_extraction, op8_min_max_neardup, op9_quotation_links, op10_toxicity)}
+        op6_winnowing, op7_consensus_extraction, op8_min_max_neardup, op9_quotation_links, op10_toxicity, op11_simple8b_files,
+        op12_fill_in_middle, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
