@@ -3,8 +3,8 @@
 One pass over the texts makes, for each document, its set of hashed shingles
 and from it a signature: under each permutation both the smallest and the
 largest hash are kept, so 64 evaluations give 128 values, each equal between
-two documents with the probability of their similarity.  25 bands of five
-values key the candidate search; two bits of each value make a 256-bit sketch.
+two documents with the probability of their similarity.  Bands of a few values
+(``Rule``) key the candidate search; two bits of each value make a 256-bit sketch.
 Documents with equal sets are one class from then on, so copies cost nothing.
 
 Candidate search.  (1) Rounds of stars: each bucket has a centre; a document
@@ -13,15 +13,16 @@ still be in reach and isn't in its component yet.  Such links are confirmed on
 the full sets and merged.  This joins large groups of near copies with about
 one comparison for a document and round.  (2) What is left: in buckets that
 still hold several components, documents whose own shingles rule every link out
-go; the others outside the centre's component meet the bucket's documents of
-other components.  Sizes and sketches that rule
-a link out are dropped within the join; the rest is confirmed on the full sets.
-So every pair that shares a bucket and may be linked is either confirmed,
-refuted or already in one component.
+go; the full sets of the others are sent to the bucket's blocks, where those
+outside the centre's component meet the bucket's documents of other components.
+A block holds a bounded number of shingles (a hot bucket has as many as it
+needs), compares exactly by bit rows, and returns only a forest of the links
+between components, so no pair leaves its block.  Every pair that shares a
+bucket and may be linked is either confirmed, refuted or already in one component.
 
-Bounds: two documents of similarity 0.85 share no bucket with probability
-4e-7, and the sketch drops such a pair with probability under 1e-6; both fall
-steeply above 0.85.  No caps: hot buckets are split by the skewed joins.
+Bounds of op8's rule: two documents of similarity 0.85 share no bucket with
+probability 4e-7, and the sketch drops such a pair with probability under 1e-6;
+both fall steeply above 0.85.  (Five words, 0.8: 5e-8 and 1e-6.)  No caps.
 
 Defined results: an empty or null text, or one without words, has an empty set
 and stands alone (component: itself).  A null ``doc_id`` is in no class
@@ -31,6 +32,8 @@ its class's component.  Columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,11 +42,30 @@ from pyspark.sql import functions as F
 from periodfact.llm.common import checkpointed, slices, text_of
 from periodfact.llm.graph import components
 
-SHINGLE, LINK = 3, 85
-PERMUTATIONS, BANDS, BAND_ROWS = 64, 25, 5
-#: Differing sketch fields (of 128) that a pair of similarity 0.85 stays under: mean 14.4, deviation 3.6.
-FAR = 36
+PERMUTATIONS = 64
 STAR_ROUNDS = 2
+
+
+@dataclass(frozen=True)
+class Rule:
+    """When two documents are linked: words of a shingle and least similarity in percent; and how pairs are found.
+
+    ``far``: differing sketch fields (of 128) that a pair of that similarity
+    stays under, six deviations from the mean (0.85: 14.4 and 3.6; 0.8: 19.2 and 4.0).
+    """
+    shingle: int
+    link: int
+    bands: int
+    band_rows: int
+    far: int
+
+
+CONTRACT = Rule(3, 85, 25, 5, 36)
+#: The rule of everything but op8's query.
+USUAL = Rule(5, 80, 32, 4, 44)
+#: Shingles of a block, each document counted with ``BLOCK_DOCUMENT`` more (bounds the bit rows).
+BLOCK_SHINGLES, BLOCK_DOCUMENT = 1 << 19, 200
+SLAB = 4096
 #: Up to so many ids (8 MB) are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -51,7 +73,7 @@ _RANDOM = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _A = _RANDOM.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
-_MIX = _RANDOM.integers(1, 2**63, BAND_ROWS + 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = _RANDOM.integers(1, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -85,7 +107,7 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return _mixed(np.add.reduceat(_BYTE[code] * _powers(int(size.max()))[place], at) + size.astype(np.uint64))
 
 
-def shingles(text: str, k: int = SHINGLE) -> np.ndarray:
+def shingles(text: str, k: int = CONTRACT.shingle) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles; fewer words are one shingle, none make an empty set."""
     words = word_hashes(text.encode("utf-8", "replace").lower())  # bytes.lower(): A-Z only
     if len(words) < k:
@@ -112,11 +134,11 @@ def signature(values: np.ndarray) -> np.ndarray:
     return np.concatenate([low, high])
 
 
-def bands(sig: np.ndarray) -> np.ndarray:
+def bands(sig: np.ndarray, rule: Rule = CONTRACT) -> np.ndarray:
     """One key for each band, different between bands; values in turn from both ends."""
-    used = sig.reshape(2, PERMUTATIONS).T.ravel()[:BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
-    key = np.arange(BANDS, dtype=np.uint64)
-    for j in range(BAND_ROWS):
+    used = sig.reshape(2, PERMUTATIONS).T.ravel()[:rule.bands * rule.band_rows].reshape(rule.bands, rule.band_rows)
+    key = np.arange(rule.bands, dtype=np.uint64)
+    for j in range(rule.band_rows):
         key = _mixed(key * _MIX[j + 2] + used[:, j])
     return key.view(np.int64)
 
@@ -131,17 +153,17 @@ SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()
                     ("keys", pa.list_(pa.int64())), ("s", pa.list_(pa.int64()))])
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """doc_id, n (set size), d1, d2 (digest of the set), keys, s (sketch)."""
     def run(batches):
         for batch in slices(batches):
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                values = shingles(text)
+                values = shingles(text, rule.shingle)
                 if len(values):
                     sig = signature(values)
                     digest = [int(_mixed(values + _MIX[j]).sum(dtype=np.uint64).view(np.int64)) for j in (0, 1)]
-                    out.append((doc_id, len(values), *digest, bands(sig), sketch(sig)))
+                    out.append((doc_id, len(values), *digest, bands(sig, rule), sketch(sig)))
                 else:
                     out.append((doc_id, 0, 0, 0, None, None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), SIGNED.types)], schema=SIGNED)
@@ -150,12 +172,12 @@ def signed(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n long, d1 long, d2 long, keys array<long>, s array<long>")
 
 
-def sets(docs: DataFrame) -> DataFrame:
+def sets(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """doc_id, values (its full set)."""
     def run(batches):
         for batch in slices(batches, 64):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([shingles(t).view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))],
+                [batch.column(0), pa.array([shingles(t, rule.shingle).view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))],
                 names=["doc_id", "values"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, values array<long>")
@@ -167,9 +189,9 @@ def far(a: str, b: str) -> Column:
     return F.expr(" + ".join(field.format(a=a, b=b, k=k) for k in range(4)))
 
 
-def in_reach(n: str, m: str, a: str, b: str, link: int = LINK) -> Column:
+def in_reach(n: str, m: str, a: str, b: str, rule: Rule = CONTRACT) -> Column:
     """False only for pairs that sizes or sketches rule out."""
-    return (F.expr(f"100 * least({n}, {m}) >= {link} * greatest({n}, {m})")) & (far(a, b) <= FAR)
+    return (F.expr(f"100 * least({n}, {m}) >= {rule.link} * greatest({n}, {m})")) & (far(a, b) <= rule.far)
 
 
 def _centres(banded: DataFrame, turn: int) -> DataFrame:
@@ -181,53 +203,139 @@ def _centres(banded: DataFrame, turn: int) -> DataFrame:
                                           F.col("c.n").alias("c_n"), F.col("c.s").alias("c_s")))
 
 
-def star_pairs(banded: DataFrame, turn: int) -> DataFrame:
+def star_pairs(banded: DataFrame, turn: int, rule: Rule = CONTRACT) -> DataFrame:
     """For each document the nearest centre of its buckets that is in reach and in another component."""
     met = (banded.join(_centres(banded, turn), "key")
-           .where((F.col("comp") != F.col("c_comp")) & in_reach("n", "c_n", "s", "c_s")))
+           .where((F.col("comp") != F.col("c_comp")) & in_reach("n", "c_n", "s", "c_s", rule)))
     return (met.groupBy("id").agg(F.min(F.struct(far("s", "c_s").alias("far"), F.col("c_id"))).alias("best"))
             .select(F.least("id", "best.c_id").alias("a"), F.greatest("id", "best.c_id").alias("b")).distinct())
 
 
-def rest_pairs(banded: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
-    """All pairs of a bucket in reach whose components differ.
-
-    A document with u shingles that no other document of these buckets has is
-    at most (n - u) / n like any of them; where that is too little it goes
-    first.  In a large group of loose copies this drops those that link to
-    nothing, which else would meet the whole group.
-    """
-    mixed = checkpointed(banded.join(_centres(banded, STAR_ROUNDS).select("key", "c_comp"), "key"))
-    ids = mixed.select("id", "n").distinct()
-    values = _texts_of(docs, ids.select(F.col("id").alias("doc_id"))).select("doc_id", F.explode("values").alias("value"))
-    alone = (values.groupBy("value").agg(F.count("*").alias("df"), F.min("doc_id").alias("id")).where("df = 1")
-             .groupBy("id").agg(F.count("*").alias("u")))
-    out_of_reach = checkpointed(ids.join(alone, "id").where(f"100 * (n - u) < {link} * n").select("id"))
-    mixed = mixed.join(out_of_reach, "id", "left_anti")
-    left = mixed.where("comp <> c_comp").select("key", *[F.col(c).alias(f"l_{c}") for c in ("id", "comp", "n", "s")])
-    met = mixed.join(left, "key").where(
-        (F.col("comp") != F.col("l_comp")) & ((F.col("comp") == F.col("c_comp")) | (F.col("l_id") < F.col("id")))
-        & in_reach("n", "l_n", "s", "l_s", link))
-    return met.select(F.least("id", "l_id").alias("a"), F.greatest("id", "l_id").alias("b")).distinct()
-
-
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, values (full set) of the documents with these distinct ids."""
     ids = checkpointed(ids)
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return sets(docs.join(ids, "doc_id", "left_semi"))
+    return sets(docs.join(ids, "doc_id", "left_semi"), rule)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """The pairs whose full sets are linked."""
     pairs = checkpointed(pairs)
-    full = _texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    full = _texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), rule)
     both = (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("values").alias("x")), "a")
             .join(full.select(F.col("doc_id").alias("b"), F.col("values").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
     return (both.select("a", "b", common.alias("common"), (F.size("x") + F.size("y") - common).alias("either"))
-            .where(f"100L * common >= {link}L * either").select("a", "b").distinct())
+            .where(f"100L * common >= {rule.link}L * either").select("a", "b").distinct())
+
+
+def rest_blocks(banded: DataFrame, docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
+    """key, i, j, asks, comp, n, values: the documents of the buckets with several components, in blocks.
+
+    A document with u shingles that no other document of these buckets has is
+    at most (n - u) / n like any of them; where that is too little it goes
+    first, and with it the buckets that are left with one component.  In block
+    (i, j) the i-th part of the documents outside the centre's component
+    (``asks``) meets the j-th part of all.
+    """
+    mixed = checkpointed(banded.join(_centres(banded, STAR_ROUNDS).select("key"), "key").select("key", "id", "comp", "n"))
+    ids = mixed.select("id", "n").distinct()
+    full = checkpointed(_texts_of(docs, ids.select(F.col("id").alias("doc_id")), rule))
+    alone = (full.select("doc_id", F.explode("values").alias("value")).groupBy("value")
+             .agg(F.count("*").alias("df"), F.min("doc_id").alias("id")).where("df = 1")
+             .groupBy("id").agg(F.count("*").alias("u")))
+    out_of_reach = checkpointed(ids.join(alone, "id").where(f"100 * (n - u) < {rule.link} * n").select("id"))
+    mixed = mixed.join(out_of_reach, "id", "left_anti")
+    weight = F.col("n") + BLOCK_DOCUMENT
+    buckets = (mixed.groupBy("key").agg(F.min_by("comp", F.xxhash64("id")).alias("home"), F.min("comp").alias("least"),
+                                        F.max("comp").alias("most"), F.sum(weight).alias("weight"))
+               .where("least < most").select("key", "home", F.ceil(F.col("weight") / BLOCK_SHINGLES).alias("parts")))
+    placed = mixed.join(buckets, "key").withColumn("outside", F.col("comp") != F.col("home"))
+    rows_out = placed.groupBy("key").agg(F.ceil(F.sum(F.when(F.col("outside"), weight)) / BLOCK_SHINGLES).alias("asking"))
+    placed = placed.join(rows_out, "key").withColumn("spot", F.xxhash64("id", F.lit(1)))
+    single = "parts = 1"
+    together = placed.where(single).select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("outside").alias("asks"),
+                                           F.lit(True).alias("answers"), "id", "comp", "n")
+    many = placed.where(f"NOT ({single})")
+    asking = many.where("outside").select(
+        "key", F.expr("cast(pmod(spot, asking) as int)").alias("i"), F.explode(F.expr("sequence(0, cast(parts as int) - 1)")).alias("j"),
+        F.lit(True).alias("asks"), F.lit(False).alias("answers"), "id", "comp", "n")
+    answering = many.select(
+        "key", F.explode(F.expr("sequence(0, cast(asking as int) - 1)")).alias("i"), F.expr("cast(pmod(spot, parts) as int)").alias("j"),
+        F.lit(False).alias("asks"), F.lit(True).alias("answers"), "id", "comp", "n")
+    rows = together.unionByName(asking).unionByName(answering)
+    return (rows.join(full.withColumnRenamed("doc_id", "id"), "id").drop("id")
+            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+
+
+def forest_of_block(asks: np.ndarray, answers: np.ndarray, comp: np.ndarray, n: np.ndarray, sizes: np.ndarray,
+                    values: np.ndarray, link: int) -> list[tuple[int, int]]:
+    """Links between components of a block's documents, a forest of them: (smaller, larger)."""
+    m, asking = len(comp), np.flatnonzero(asks)
+    _, place, count = np.unique(values, return_inverse=True, return_counts=True)
+    shared = count > 1  # a shingle of one document is in no intersection
+    rank = np.cumsum(shared) - 1
+    used = shared[place]
+    row, column = np.repeat(np.arange(m), sizes)[used], rank[place[used]]
+    common = np.zeros((len(asking), m), np.int32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(shared.sum()), SLAB):
+        part = slice(*np.searchsorted(column, (first, first + SLAB)))
+        bits = np.zeros((m, min(SLAB, -(-(int(shared.sum()) - first) // 64) * 64)), bool)
+        bits[row[part], column[part] - first] = True
+        words = np.packbits(bits, axis=1).view(np.uint64)
+        for k, i in enumerate(asking):
+            common[k] += np.bitwise_count(words & words[i]).sum(axis=1, dtype=np.int32)
+    linked = (100 * common.astype(np.int64) >= link * (n[asking][:, None] + n[None, :] - common)) & answers[None, :]
+    linked &= comp[asking][:, None] != comp[None, :]
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x] = root.get(root[x], root[x])
+        return x
+
+    out = []
+    for k, j in zip(*np.nonzero(linked)):
+        a, b = sorted((top(int(comp[asking[k]])), top(int(comp[j]))))
+        if a != b:
+            root[b] = a
+            out.append((a, b))
+    return out
+
+
+def links_in_blocks(blocks: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
+    """a, b: links between components, few for each block; a task holds one block at a time."""
+    def run(batches):
+        held, at = [], None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for first, stop in zip(cuts, cuts[1:]):
+                if first == stop:
+                    continue
+                block = tuple(keys[:, first])
+                if block != at:
+                    if held:
+                        yield _links(held, rule.link)
+                    held, at = [], block
+                held.append(batch.slice(first, stop - first))
+        if held:
+            yield _links(held, rule.link)
+
+    return blocks.mapInArrow(run, "a long, b long").distinct()
+
+
+def _links(held: list[pa.RecordBatch], link: int) -> pa.RecordBatch:
+    whole = pa.Table.from_batches(held).combine_chunks()
+    column = {c: whole.column(c).combine_chunks() for c in ("asks", "answers", "comp", "n", "values")}
+    plain = {c: column[c].to_numpy(zero_copy_only=False) for c in ("asks", "answers", "comp", "n")}
+    found = forest_of_block(**plain, sizes=column["values"].value_lengths().to_numpy(),
+                            values=column["values"].flatten().to_numpy(), link=link)
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
+                                      names=["a", "b"])
 
 
 def shared_buckets(classes: DataFrame) -> DataFrame:
@@ -237,41 +345,50 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     return checkpointed(keyed.join(several, "key"))
 
 
-def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
+def merged(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """The nodes (id, comp, ..) after links between components; only these links are searched, not those of earlier rounds."""
+    changed = components(links).select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+    return checkpointed(nodes.join(changed, "comp", "left").withColumn("comp", F.coalesce("to", "comp")).drop("to"))
+
+
+def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    made = checkpointed(signed(texts))
+    made = checkpointed(signed(texts, rule))
     classes = checkpointed(
         made.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n")
         .agg(F.min("doc_id").alias("id"), F.any_value("keys").alias("keys"), F.any_value("s").alias("s")))
-    nodes, buckets = classes.select("id", "n", "s"), shared_buckets(classes)
-    labels = links = None
+    buckets = shared_buckets(classes)
+    nodes = classes.select("id", "n", "s", F.col("id").alias("comp")).join(buckets.select("id").distinct(), "id")
+    nodes = checkpointed(nodes)
     for turn in range(STAR_ROUNDS + 1):
-        marked = nodes.withColumn("comp", F.col("id")) if labels is None else (
-            nodes.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
-        banded = buckets.join(marked, "id").select("key", "id", "comp", "n", "s")
-        pairs = star_pairs(banded, turn) if turn < STAR_ROUNDS else rest_pairs(banded, texts, link)
-        found = checkpointed(confirmed(pairs, texts, link))
-        links = found if links is None else links.unionByName(found)
-        if found.isEmpty():
-            continue
-        labels = components(links)
+        banded = buckets.join(nodes, "id").select("key", "id", "comp", "n", "s")
+        if turn < STAR_ROUNDS:
+            comp = nodes.select("id", "comp")
+            links = (confirmed(star_pairs(banded, turn, rule), texts, rule)
+                     .join(comp.select(F.col("id").alias("a"), F.col("comp").alias("x")), "a")
+                     .join(comp.select(F.col("id").alias("b"), F.col("comp").alias("y")), "b")
+                     .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct())
+        else:
+            links = links_in_blocks(rest_blocks(banded, texts, rule), rule)
+        links = checkpointed(links)
+        if not links.isEmpty():
+            nodes = merged(nodes, links)
+    labels = nodes.select("id", "comp")
     placed = classes.select("d1", "d2", "n", "id")
-    placed = placed.withColumn("comp", F.col("id")) if labels is None else (
-        placed.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
-    placed = placed.drop("id")
+    placed = placed.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")).drop("id")
     out = made.select("doc_id", "n", "d1", "d2").join(placed, ["d1", "d2", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def keep_one(docs: DataFrame, link: int = LINK) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = USUAL) -> DataFrame:
     """The rows that stand for their group, with all columns: one for each group, also where a row repeats.
 
     A null ``doc_id`` is kept.  Only the ids that go are joined to the texts.
     """
-    found = checkpointed(near_duplicates(docs, link))
+    found = checkpointed(near_duplicates(docs, rule))
     gone = found.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
     repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__gone"))
     staying = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

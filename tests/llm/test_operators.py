@@ -330,15 +330,15 @@ def test_open_or_self_closed_elements_cut_nothing():
 
 # -- 8 near-duplicates ------------------------------------------------------
 
-def plain_components(texts):
+def plain_components(texts, k=3, least=85):
     sets = {}
     for i, t in texts.items():
         words = re.findall(rb"[^\x20\x09-\x0d]+", t.encode().lower())
-        sets[i] = {tuple(words[k:k + 3]) for k in range(len(words) - 2)} if len(words) > 2 else {tuple(words)} if words else set()
+        sets[i] = {tuple(words[j:j + k]) for j in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} if words else set()
     comp = {i: i for i in texts}
     for a in sorted(sets):
         for b in sorted(sets):
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
                 x, y = comp[a], comp[b]
                 comp = {k: min(x, y) if v in (x, y) else v for k, v in comp.items()}
     return sets, comp
@@ -356,12 +356,45 @@ def test_near_duplicates(spark, docs, small, none):
             assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(sets[r["doc_id"]]), comp[r["doc_id"]], comp[r["doc_id"]] == r["doc_id"])
     null = [r for r in neardup.near_duplicates(docs).collect() if r["doc_id"] is None]
     assert len(null) == 1 and null[0]["component_id"] is None and null[0]["kept"]
+    for frame in (small, group):  # the usual rule: five words, 0.8
+        _, comp = plain_components(texts_of(frame), 5, 80)
+        assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame, neardup.USUAL).collect()} == comp
     kept = neardup.keep_one(docs)
     ids = [r["doc_id"] for r in kept.collect()]
     assert kept.columns == docs.columns and ids.count(5) == 1 and 6 not in ids and None in ids
     assert neardup.near_duplicates(none).count() == 0 and neardup.keep_one(none).count() == 0
 
 
+def test_large_loose_group(spark, monkeypatch):
+    """Hundreds of copies with up to nine changed words each: most links fail by little, some hold between copies of copies only."""
+    rng = np.random.default_rng(8)
+    base = [f"w{k}" for k in rng.integers(0, 10**6, 150)]
+
+    def changed(words, times):
+        words = list(words)
+        for k in rng.choice(len(words), times, replace=False):
+            words[k] = f"e{rng.integers(10**9)}"
+        return words
+
+    copies = [changed(base, int(rng.integers(0, 10))) for _ in range(350)]
+    copies += [changed(copies[int(rng.integers(0, 350))], int(rng.integers(0, 3))) for _ in range(150)]
+    texts = {100 + i: " ".join(w) for i, w in enumerate(copies)}
+    group = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    made = []
+    rest, links = neardup.rest_blocks, neardup.links_in_blocks
+    monkeypatch.setattr(neardup, "rest_blocks", lambda *a, **k: made.append(rest(*a, **k).persist()) or made[-1])
+    monkeypatch.setattr(neardup, "links_in_blocks", lambda *a, **k: made.append(links(*a, **k).persist()) or made[-1])
+    for least_block in (neardup.BLOCK_SHINGLES, 20_000):  # one block for each bucket, and many
+        monkeypatch.setattr(neardup, "BLOCK_SHINGLES", least_block)
+        _, comp = plain_components(texts)
+        assert 20 < len(set(comp.values())) < 480
+        assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(group).collect()} == comp
+        blocks, found = made[-2:]
+        parts = blocks.select("key", "j").distinct().groupBy("key").count().agg({"count": "max"}).first()[0] or 1
+        assert blocks.count() <= 2 * parts * neardup.CONTRACT.bands * len(texts)  # a row for a document, bucket and block
+        assert found.count() <= len(texts)  # a forest, not the pairs
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 100), (500, 501)]
     found = {r["id"]: r["comp"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -430,7 +463,7 @@ def test_pipeline(spark, small):
     left = {i: t for i, t in texts_of(small).items() if i not in toxic}
     good = {r["doc_id"] for r in quality.verdicts(small).where("kept").collect()}
     left = {i: t for i, t in left.items() if i in good}
-    _, comp = plain_components(left)
+    _, comp = plain_components(left, 5, 80)  # the usual rule
     left = {i: t for i, t in left.items() if comp[i] == i}
     shown = {r["doc_id"]: r["text"] for r in secret_scan.redact(small).collect()}
     assert {r["doc_id"] for r in rows} == set(left)
