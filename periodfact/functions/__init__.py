@@ -124,8 +124,53 @@ def exact_mean(c: ColumnOrName, scale: int = 2) -> Column:
     return exact_sum(c, scale) / F.count(_col(c))
 
 
+#: Bits of a limb and the exponent of the lowest one's unit; the top limb has no upper bound of its own.
+_LIMB_BITS, _LIMBS, _LOWEST = 26, 6, -90
+
+
+def order_free_sum(c: ColumnOrName) -> Column:
+    """Sum of arbitrary doubles with the same bits under any order and partitioning.
+
+    Each value is cut into fixed-point limbs of 26 bits (units 2^40, 2^14, ..
+    2^-90), which are summed as longs; integers add up to the same whatever the
+    order.  The sums are carried into each other and turned into one double at
+    the end.  A value's bits under 2^-90 (8e-28) are cut off value by value; a
+    group may hold 10^11 values under 2^90 (ANSI mode raises beyond).  Infinities
+    and NaN sum as usual.  Without values: null.
+    """
+    x = _col(c).cast("double")
+    special = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    size = F.when(~special, F.abs(x))
+    sums = []
+    for k in range(_LIMBS):  # from the lowest limb
+        unit = 2.0 ** (_LOWEST + _LIMB_BITS * k)
+        rest = size if k == _LIMBS - 1 else size % F.lit(unit * 2 ** _LIMB_BITS)  # exact, like the division by a power of two
+        limb = F.floor(rest / F.lit(unit))
+        sums.append(F.coalesce(F.sum(F.when(x < 0, -limb).otherwise(limb)), F.lit(0).cast("long")))
+    mask = F.lit((1 << _LIMB_BITS) - 1)
+
+    def carried(parts: Column) -> Column:
+        """(carry out of the last limb, the limbs below it as a double)."""
+        start = F.struct(F.lit(0).cast("long").alias("carry"), F.lit(0.0).alias("low"), F.lit(2.0 ** _LOWEST).alias("unit"))
+
+        def step(state: Column, part: Column) -> Column:
+            whole = part + state["carry"]
+            return F.struct(F.shiftright(whole, _LIMB_BITS).alias("carry"),
+                            (state["low"] + whole.bitwiseAND(mask) * state["unit"]).alias("low"),
+                            (state["unit"] * F.lit(float(1 << _LIMB_BITS))).alias("unit"))
+
+        return F.aggregate(parts, start, step)
+
+    lower, top = F.array(*sums[:-1]), sums[-1]
+    negative = (top + carried(lower)["carry"]) < 0  # then the sum of the negated limbs is taken
+    sign = F.when(negative, F.lit(-1).cast("long")).otherwise(F.lit(1).cast("long"))
+    found = carried(F.transform(lower, lambda v: v * sign))
+    exact = sign * (found["low"] + (top * sign + found["carry"]) * F.lit(2.0 ** (_LOWEST + _LIMB_BITS * (_LIMBS - 1))))
+    return F.when(F.count(x) > 0, F.coalesce(F.sum(F.when(special, x)), exact))
+
+
 __all__ = [
     "parse_locale_number", "is_rejected_number", "period_from_code",
     "percent_change", "share", "casefold_key", "strip_prefix", "normalise_label",
-    "exact_sum", "exact_mean", "scaled_long",
+    "exact_sum", "exact_mean", "scaled_long", "order_free_sum",
 ]

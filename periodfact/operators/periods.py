@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from periodfact.functions import exact_sum, percent_change, scaled_long
+from periodfact.functions import exact_sum, order_free_sum, percent_change, scaled_long
 from periodfact.operators.columns import numeric_columns, q
 
 
@@ -69,10 +69,9 @@ def part_columns(outs: Sequence[str]) -> list[str]:
 
 
 def _mean(c: str, exact_scale: int | None) -> Column:
-    if exact_scale is None:
-        return F.avg(F.col(q(c)))
     # exact sum / count: the same value whatever the partitioning
-    return exact_sum(q(c), exact_scale) / F.count(F.col(q(c)))
+    total = order_free_sum(F.col(q(c))) if exact_scale is None else exact_sum(q(c), exact_scale)
+    return total / F.count(F.col(q(c)))
 
 
 def mean_by_period(df: DataFrame, cols: Sequence[str] | dict[str, str],
@@ -81,8 +80,8 @@ def mean_by_period(df: DataFrame, cols: Sequence[str] | dict[str, str],
     """A1 (+P1, X3): one row per period with the mean of each measure.
 
     ``cols`` is a list of measures (output keeps the name) or a mapping
-    ``{output: measure}``.  Nulls are ignored.  With ``exact_scale`` the sum
-    is taken in decimal, which makes the mean independent of row order.
+    ``{output: measure}``.  Nulls are ignored.  Sums don't depend on row order:
+    with ``exact_scale`` they are sums of scaled longs, else of fixed-point limbs.
     """
     keys = [period] if isinstance(period, str) else list(period)
     mapping = cols if isinstance(cols, dict) else {c: c for c in cols}
@@ -93,6 +92,12 @@ def mean_by_period(df: DataFrame, cols: Sequence[str] | dict[str, str],
     return df.groupBy(*[F.col(q(k)) for k in keys]).agg(*aggs)
 
 
+def _sum(df: DataFrame, c: str) -> Column:
+    """The sum in the column's own type; that of doubles doesn't depend on row order."""
+    inexact = dict(df.dtypes)[c] in ("double", "float")
+    return order_free_sum(F.col(q(c))) if inexact else F.sum(F.col(q(c)))
+
+
 def sum_all_by_period(df: DataFrame, period: str = "period", cols: Sequence[str] | None = None,
                       exclude: Iterable[str] = (), exact_scale: int | None = None) -> DataFrame:
     """A2 (+P3): sum of every numeric non-key column per period, names kept.
@@ -103,7 +108,7 @@ def sum_all_by_period(df: DataFrame, period: str = "period", cols: Sequence[str]
     aggs = []
     for c in measures:
         if exact_scale is None:
-            aggs.append(F.sum(F.col(q(c))).alias(c))
+            aggs.append(_sum(df, c).alias(c))
         else:
             aggs.append(exact_sum(q(c), exact_scale).alias(c))
     return df.groupBy(F.col(q(period))).agg(*aggs)
@@ -119,7 +124,7 @@ def row_total(df: DataFrame, period: str = "period", cols: Sequence[str] | None
     measures = list(cols) if cols is not None else numeric_columns(df, [period, *exclude])
     if exact_scale is None:
         parts = [F.coalesce(F.col(q(c)).cast("double"), F.lit(0.0)) for c in measures]
-        total = F.sum(sum(parts[1:], parts[0]))
+        total = order_free_sum(sum(parts[1:], parts[0]))
     else:
         parts = [F.coalesce(scaled_long(q(c), exact_scale), F.lit(0).cast("long")) for c in measures]
         total = F.sum(sum(parts[1:], parts[0])) / F.lit(float(10 ** exact_scale))
