@@ -149,8 +149,9 @@ def winner_of_columns(wide: DataFrame, columns: Sequence[tuple[str, str]],
     earlier one and a row without any positive votes has no winner.  This is
     a row-wise expression (no aggregation, no shuffle).
     """
-    best = F.greatest(*[F.struct(F.col(q(c)).alias("v"), F.lit(-i).alias("r"), F.lit(label).alias("c"))
-                        for i, (c, label) in enumerate(columns)])
+    ranked = [F.struct(F.col(q(c)).alias("v"), F.lit(-i).alias("r"), F.lit(label).alias("c"))
+              for i, (c, label) in enumerate(columns)]
+    best = F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
     return wide.withColumn(out, F.when(best["v"] > 0, best["c"]))
 
 

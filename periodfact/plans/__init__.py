@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from periodfact.plans import queries as Q
-from periodfact.plans.oracle import oracle_sql
 
 FLAGSHIP = "period_fact"
 
@@ -17,9 +16,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in dir(Q):
         if name.startswith("q_"):
             out[name[2:]] = getattr(Q, name)
-    from periodfact.plans import learning
+    from periodfact.plans import facts, learning
     out.update(learning.queries())
+    out.update(facts.queries())
     return out
 
 
+def oracle_sql() -> dict[str, str]:
+    from periodfact.plans import oracle, oracle_facts
+    return oracle.oracle_sql() | oracle_facts.oracle_sql()
+
+
 __all__ = ["queries", "oracle_sql", "FLAGSHIP"]

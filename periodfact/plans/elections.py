@@ -10,10 +10,13 @@ absent are simply not matched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from periodfact.functions import strip_prefix
 from periodfact.operators import BlockLayout
+from periodfact.operators.contract import Contract, conform
 from periodfact.plans.families import Family, Lookup, families_fact
 from periodfact.plans.mart import Indicator, indicator_mart
 
@@ -60,6 +63,25 @@ SCENARIOS = [[450, 350, 3, 2, 5, 3, 5, 500000],
              [350, 301, 0.3, -0.1, 10, 15, 25, 8000000],
              [275, 250, 10, 8.2, 8, 13, 2, 8500000]]
 
+# The stored fact table, its columns in order and their types; each column's name in the built fact.
+_MEASURE = "decimal(10,2)"
+FACT_TABLE = Contract([
+    ("Annee", "int"), ("Orientation_politique_gagnante", "varchar(255)"),
+    *[(name, _MEASURE) for name in (
+        "total_vote_extreme_gauche", "total_vote_gauche_radicale", "total_vote_gauche", "total_vote_ecologie",
+        "total_vote_centre", "total_vote_droite", "total_vote_extreme_droite", "total_vote_divers",
+        "moyenne_smic_horaire_brut", "moyenne_ipc", "moyenne_pouvoir_achat_unite_conso",
+        "moyenne_pouvoir_achat_revenu_brute", "moyenne_ensemble_chomage", "taux_insecurite_femmes",
+        "taux_insecurite_hommes", "population_etrangere", "population_immigres", "population_totale_etrangere",
+        "preoccupation_terrorisme", "preoccupation_chomage", "preoccupation_pauvrete", "preoccupation_sante",
+        "preoccupation_deliquance", "preoccupation_racisme", "preoccupation_ecologie",
+        "preoccupation_securite_routiere", "nombre_incivilite")]])
+FACT_SOURCES = {"Annee": "period", "Orientation_politique_gagnante": "winner",
+                **{f"total_vote_{name}": f"share_{name}" for name in (
+                    "extreme_gauche", "gauche_radicale", "gauche", "ecologie", "centre", "droite", "extreme_droite", "divers")}}
+#: The concern file's measures, in the order of its columns.
+CONCERNS = [name for name, _ in FACT_TABLE.columns if name.startswith("preoccupation_")]
+
 # Indicator files and the header names of their measures.
 INDICATORS = {
     "base": ("indicateurs/indicateur_evoluation_smic_ipc.csv",
@@ -82,7 +104,7 @@ INDICATORS = {
                    {"population_etrangere": "Etrangers", "population_immigres": "Immigres",
                     "population_totale_etrangere": "Population totale"}, {"reduce": "none"}),
     "concern": ("indicateurs/indicateur_preocuppation.csv", None,
-                {"reduce": "none", "optional": True}),
+                {"reduce": "none", "optional": True, "names": CONCERNS}),
     "incidents": ("indicateurs/indicateur_nombre_incivilite.csv", None,
                   {"reduce": "row_total", "period_code": (2, 4), "out": "nombre_incivilite",
                    "optional": True}),
@@ -127,15 +149,28 @@ def election_fact(spark: SparkSession, root: str, n_cols: int | None = None,
                          mart=mart, aliases=ALIASES, indicator_cols=cols, total_cols=totals)
 
 
-def learn_from_fact(spark: SparkSession, fact: DataFrame, seed: int = 42, test_size: float = 0.4):
+def stored_fact(fact: DataFrame, rejects: Observation | None = None) -> DataFrame:
+    """The fact with exactly the columns and types of the stored table; a column that the fact lacks fails.
+
+    ``rejects`` counts, while the table is written, the values that their type
+    can't hold (a year's incidents beyond 99,999,999.99, say).
+    """
+    return conform(fact, FACT_TABLE, FACT_SOURCES, rejects=rejects)
+
+
+def learn_from_fact(spark: SparkSession, fact: DataFrame, seed: int = 42, test_size: float = 0.4,
+                    absent: Sequence[str] = ()):
     """Score table and scenario predictions for the winner, from the fact's indicators.
 
-    Features missing from the fact (their source file is absent) are 0, as
-    the reference fills missing features.
+    A feature that the fact lacks is an error; ``absent`` names those that are
+    0 because their source file is known to be missing.
     """
     from pyspark.sql import functions as F
 
     from periodfact.plans.learning import model_report
+    lacking = [c for c in FEATURES if c not in fact.columns and c not in absent]
+    if lacking:
+        raise ValueError(f"features that the fact lacks: {lacking}")
     data = fact.withColumns({c: F.col(c).cast("double") if c in fact.columns else F.lit(0.0)
                              for c in FEATURES})
     data = data.withColumn("row_key", F.concat_ws("|", "period", "family")).where(

@@ -3,9 +3,10 @@
 A family is declared once: where its per-period files are, their block
 layouts (which may change by period), the column holding the valid-vote
 total, and the lookup chain from a block's key to a category.  All files of
-a family are read in one scan with a positional schema as wide as the
-widest file (shorter rows get nulls, which the null-key filter drops), the
-period comes from each file's name, and every step after that is a
+a family are read in one scan: with a declared width by a positional schema as
+wide as the widest file (shorter rows get nulls, which the null-key filter
+drops), else as ragged rows cut by a layout table under each file's own header.
+The period comes from each file's name, and every step after that is a
 DataFrame operator: unpivot, tally, first-match lookups, zero-filled
 pivot, shares and winner.
 """
@@ -16,14 +17,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from periodfact.functions import casefold_key, normalise_label, parse_locale_number
 from periodfact.operators import (BlockLayout, assemble_fact, lookup_first, pivot_categories,
                                   shares, tally, union_families, unpivot_blocks, winner_item,
                                   winner_of_columns)
-from periodfact.sources import files_exist, positional_schema, read_delimited, read_period_files
+from periodfact.operators.ragged import counted_cells, layout_report, layout_table, tally_cells
+from periodfact.sources import files_exist, positional_schema, read_delimited, read_lines, read_period_files
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,8 @@ class Family:
     item: Sequence[str]
     lookups: Sequence[Lookup]
     winner: str = "category"          # or "item": category of the single biggest item
+    unmatched: str = "keep"           # items without a category: keep (residual), bucket, drop or error
+    bucket: str | None = None         # the category that takes them
     options: Mapping[str, str] = field(default_factory=dict)
 
 
@@ -87,7 +91,7 @@ def family_partials(spark: SparkSession, fam: Family, wide: DataFrame) -> DataFr
     pseudo-block next to the vote blocks.
     """
     names = positional_schema(fam.n_cols).names
-    pos = fam.total_col if isinstance(fam.total_col, int) else header_position(spark, fam, fam.total_col)
+    pos = fam.total_col
     explicit = [p for periods, _ in fam.layouts if periods for p in periods]
     parts = []
     for periods, layout in fam.layouts:
@@ -112,13 +116,6 @@ def family_partials(spark: SparkSession, fam: Family, wide: DataFrame) -> DataFr
             .agg(F.sum(parse_locale_number("votes")).alias("votes")))
 
 
-def header_position(spark: SparkSession, fam: Family, name: str) -> int:
-    """Position of a named column, read from the header line of the family's files."""
-    sep = dict(fam.options).get("sep", ";")
-    header = spark.read.option("header", True).option("sep", sep).csv(fam.glob).columns
-    return _position(header, name, fam.glob)
-
-
 def _lookup_frame(spark: SparkSession, lk: Lookup) -> DataFrame:
     schema = positional_schema(lk.n_cols)
     df = (read_period_files(spark, lk.path, lk.period_pattern, schema=schema) if lk.period_pattern
@@ -132,49 +129,69 @@ def _lookup_frame(spark: SparkSession, lk: Lookup) -> DataFrame:
     return df.select(key.alias("__lk"), F.col(f"c{lk.value}").alias("__value"), "__ordinal")
 
 
+def is_ragged(fam: Family) -> bool:
+    """Whether the files' own headers give width or total."""
+    return fam.n_cols is None or isinstance(fam.total_col, str)
+
+
+def ragged_tally(spark: SparkSession, fam: Family) -> DataFrame:
+    """Everything the family's lines may add, summed in one scan; see :mod:`periodfact.operators.ragged`."""
+    options = dict(fam.options)
+    fields, key, transforms = _shared_parts(fam)
+    lines = read_lines(spark, fam.glob, fam.period_pattern, header=not isinstance(fam.total_col, str),
+                       encoding=options.get("encoding", "UTF-8"))
+    return tally_cells(lines, layout_table(spark, fam.layouts), fields, fam.total_col, sep=options.get("sep", ";"),
+                       key=key, transforms=transforms)
+
+
+def _shared_parts(fam: Family) -> tuple[list[str], tuple, Mapping]:
+    """Fields, key and transforms, which all layouts of a ragged family have in common."""
+    parts = [(sorted(lay.fields), tuple(lay.key), dict(lay.transforms)) for _, lay in fam.layouts]
+    if any(p != parts[0] for p in parts):
+        raise ValueError(f"the layouts of {fam.name} differ in fields, key or transforms")
+    return parts[0]
+
+
+def ragged_partials(spark: SparkSession, fam: Family, tallied: DataFrame | None = None) -> DataFrame:
+    """:func:`family_partials` of files whose headers differ, from one scan (or from a tally made before)."""
+    tallied = ragged_tally(spark, fam) if tallied is None else tallied
+    return counted_cells(tallied, layout_table(spark, fam.layouts), fam.item, fam.total_col, width=fam.n_cols)
+
+
+def family_layout_report(spark: SparkSession, fam: Family, tallied: DataFrame | None = None) -> DataFrame:
+    """Short rows, unfinished blocks and surplus cells of each file of a ragged family."""
+    tallied = ragged_tally(spark, fam) if tallied is None else tallied
+    return layout_report(tallied, layout_table(spark, fam.layouts), fam.total_col, fam.n_cols)
+
+
 def family_fact(spark: SparkSession, fam: Family, categories: Sequence[str],
-                aliases: Mapping[str, str] | None = None) -> DataFrame:
+                aliases: Mapping[str, str] | None = None, misses: Observation | None = None) -> DataFrame:
     """Shares (+ residual), winner and total of one family, one row per period.
 
     Files of a family may differ by year in width and in the place of the
     total: with a total given by name, or no declared width, each file's own
-    header decides, and files that agree are read in one scan.
+    header decides, all files being read in one scan.  ``misses`` gathers the
+    items without a category in the same pass.
     """
-    parts = [family_partials(spark, f, read_family(spark, f)) for f in header_groups(spark, fam)]
-    return family_fact_from_partials(spark, fam, reduce(lambda a, b: a.unionByName(b), parts),
-                                     categories, aliases)
-
-
-def header_groups(spark: SparkSession, fam: Family) -> list[Family]:
-    """The family once for each (width, position of the total) among its files' headers."""
-    if fam.n_cols is not None and isinstance(fam.total_col, int):
-        return [fam]
-    listed = spark.read.format("binaryFile").load(fam.glob).select("path").collect()  # names only
-    sep = dict(fam.options).get("sep", ";")
-    groups: dict[tuple[int, int], list[str]] = {}
-    for path in sorted(r["path"] for r in listed):
-        header = spark.read.option("header", True).option("sep", sep).csv(path).columns  # first line
-        total = fam.total_col if isinstance(fam.total_col, int) else _position(header, fam.total_col, path)
-        groups.setdefault((len(header), total), []).append(path)
-    return [replace(fam, glob=paths, n_cols=width, total_col=total) for (width, total), paths in groups.items()]
-
-
-def _position(header: Sequence[str], name: str, path: str) -> int:
-    folded = [h.strip().lower() for h in header]
-    if name.strip().lower() not in folded:
-        raise ValueError(f"column {name!r} not in the header of {path}")
-    return folded.index(name.strip().lower())
+    partials = ragged_partials(spark, fam) if is_ragged(fam) else family_partials(spark, fam, read_family(spark, fam))
+    return family_fact_from_partials(spark, fam, partials, categories, aliases, misses)
 
 
 def family_fact_from_partials(spark: SparkSession, fam: Family, partials: DataFrame,
                               categories: Sequence[str],
-                              aliases: Mapping[str, str] | None = None) -> DataFrame:
+                              aliases: Mapping[str, str] | None = None,
+                              misses: Observation | None = None) -> DataFrame:
     """The fact of a family from its (possibly repeated per file or batch) partials.
 
     Every frame is used once, so the files are read once: total rows travel
     through the lookups with null keys, and one aggregation per period gives
     the category sums, the valid-vote total and (item mode) the category of
     the biggest item.
+
+    ``unmatched_items`` and ``unmatched_votes`` count what the lookups missed, by
+    period; the family's policy tells what becomes of it: it stays in the total
+    (``keep``), goes to a category (``bucket``), leaves tally and total
+    (``drop``), or fails the job (``error``).
     """
     cur = tally(partials, ["kind", "period", *fam.item], "votes")
     cur = cur.withColumn("__code", F.lit(None).cast("string"))
@@ -184,16 +201,23 @@ def family_fact_from_partials(spark: SparkSession, fam: Family, partials: DataFr
                            "__lk", "__lk", ["__value"], "__ordinal", unique=lk.unique).drop("__lk")
         cur = cur.withColumn("__code", F.col("__value")).drop("__value")
     is_item = F.col("kind") == "item"
-    cur = cur.withColumn("category", F.when(is_item, normalise_label("__code", categories, aliases)))
+    missed = is_item & F.col("__code").isNull()
+    if misses is not None:
+        cur = cur.observe(misses, F.count_if(missed).alias("items"), F.coalesce(F.sum(F.when(missed, F.col("votes"))), F.lit(0.0)).alias("votes"))
+    label = F.when(missed, _missed(fam, categories)).otherwise(normalise_label("__code", categories, aliases))
+    cur = cur.withColumn("category", F.when(is_item, label))
     names = {c: f"votes_{i}" for i, c in enumerate(categories)}
-    extra = []
+    extra = [F.count_if(missed).alias("unmatched_items"),
+             F.coalesce(F.sum(F.when(missed, F.col("votes"))), F.lit(0.0)).alias("unmatched_votes")]
     if fam.winner == "item":
         # the category of the single biggest item; ties -> the lowest item key
         order = F.struct(-F.col("votes"), *[F.col(c) for c in fam.item])
-        extra = [F.min_by(F.col("category"), F.when(is_item & F.col("votes").isNotNull(), order))
-                 .alias("winner")]
+        known = is_item & F.col("votes").isNotNull() & (~missed if fam.unmatched == "drop" else F.lit(True))
+        extra.append(F.min_by(F.col("category"), F.when(known, order)).alias("winner"))
     wide = pivot_categories(cur, ["period"], "category", "votes", categories, names=names,
                             total="total", total_filter=~is_item, extra=extra)
+    if fam.unmatched == "drop":
+        wide = wide.withColumn("total", F.col("total") - F.col("unmatched_votes"))
     cols = list(names.values())
     out = shares(wide, "total", cols)
     if fam.winner != "item":
@@ -202,21 +226,37 @@ def family_fact_from_partials(spark: SparkSession, fam: Family, partials: DataFr
     return out.withColumnsRenamed(renamed).drop(*cols)
 
 
+def _missed(fam: Family, categories: Sequence[str]) -> Column:
+    """The category of an item without one, by the family's policy."""
+    if fam.unmatched == "bucket":
+        if fam.bucket not in categories:
+            raise ValueError(f"the bucket {fam.bucket!r} is no category")
+        return F.lit(fam.bucket)
+    if fam.unmatched == "error":
+        item = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fam.item])
+        return F.raise_error(F.concat(F.lit(f"no category in {fam.name}, "), F.col("period").cast("string"), F.lit(", for "), item)).cast("string")
+    if fam.unmatched not in ("keep", "drop"):
+        raise ValueError(f"unknown policy {fam.unmatched!r}")
+    return F.lit(None).cast("string")
+
+
 def _slug(label: str) -> str:
     return "_".join(label.lower().split())
 
 
 def families_fact(spark: SparkSession, families: Sequence[Family], categories: Sequence[str],
                   mart: DataFrame | None = None, aliases: Mapping[str, str] | None = None,
-                  indicator_cols: Sequence[str] = (), total_cols: Sequence[str] = ()) -> DataFrame:
+                  indicator_cols: Sequence[str] = (), total_cols: Sequence[str] = (),
+                  misses: Mapping[str, Observation] | None = None) -> DataFrame:
     """K2 + B1 + J5: all families' rows, tagged with the family, with the period's indicators.
 
     A family whose files are all absent is skipped (like a missing year).
+    ``misses`` holds an observation for each family whose misses are wanted.
     """
     present = [f for f in families if files_exist(spark, f.glob)]
     if not present:
         raise ValueError("no family has any file")
-    return assemble_families({f.name: family_fact(spark, f, categories, aliases) for f in present},
+    return assemble_families({f.name: family_fact(spark, f, categories, aliases, (misses or {}).get(f.name)) for f in present},
                              categories, mart, indicator_cols, total_cols)
 
 

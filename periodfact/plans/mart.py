@@ -46,6 +46,7 @@ class Indicator:
     exact_scale: int | None = None   # sum in scaled longs when values carry <= this many decimals
     out: str = "row_total"
     optional: bool = False
+    names: Sequence[str] | None = None   # with measures None: output names of the columns, in file order
 
 
 def indicator_frame(spark: SparkSession, spec: Indicator, period: str = "period") -> DataFrame:
@@ -57,6 +58,10 @@ def indicator_frame(spark: SparkSession, spec: Indicator, period: str = "period"
     keep_col = spec.keep[0] if spec.keep else None
     measures = dict(spec.measures) if spec.measures is not None else {
         c: c for c in df.columns if c not in (spec.period_col, keep_col)}
+    if spec.measures is None and spec.names is not None:
+        if len(spec.names) != len(measures):
+            raise ValueError(f"{spec.path} has {len(measures)} measures, not {len(spec.names)}")
+        measures = dict(zip(spec.names, measures.values()))
     df = df.select(p.alias(period),
                    *[parse_locale_number(q(src)).alias(out) for out, src in measures.items()])
     if spec.reduce == "mean":

@@ -40,6 +40,18 @@ def append_facts(facts: DataFrame, target: str, fmt: str = "parquet",
     save_table(facts, target, mode="append", fmt=fmt, partition_by=partition_by)
 
 
+def replace_facts(facts: DataFrame, target: str, fmt: str = "parquet",
+                  keys: Sequence[str] = ("family", "period")) -> None:
+    """K3, repeatable: the rows of every (family, period) in ``facts`` take the place of those stored before.
+
+    Partitions that ``facts`` doesn't touch stay, so the same append can run
+    again (after a failure, or with corrected files) without doubling a row.
+    One task writes each partition, whose rows are few.
+    """
+    (facts.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .format(fmt).partitionBy(*keys).save(target))
+
+
 def save_results(scores: DataFrame, predictions: DataFrame, target_dir: str,
                  fmt: str = "parquet") -> None:
     """K4: replace the model-score and prediction tables."""

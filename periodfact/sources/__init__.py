@@ -77,6 +77,17 @@ def read_period_files(spark: SparkSession, glob: str | list[str], period_pattern
     return df.withColumn(period, period_from_path(period_pattern))
 
 
+def read_lines(spark: SparkSession, glob: str | list[str], period_pattern: str, header: bool = False,
+               encoding: str = "UTF-8") -> DataFrame:
+    """S3 for ragged files: file, period, line of every line, whatever its width, in one scan.
+
+    With ``header`` the first line of each file is left out; without, header
+    lines are rows like others (see :mod:`periodfact.operators.ragged`).
+    """
+    lines = read_delimited(spark, glob, "line string", sep="\x01", encoding=encoding, header=header, quote="", escape="\x01")
+    return lines.select(F.col("_metadata.file_path").alias("file"), period_from_path(period_pattern).alias("period"), "line")
+
+
 def read_table(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None,
                partition_column: str | None = None, lower_bound: int | None = None,
                upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:
