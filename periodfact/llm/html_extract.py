@@ -9,6 +9,14 @@ shuffled, and keeps the winner of each host.  Second pass: each page is read
 again and the blocks below its host's winning path are its text; a page without
 that path falls back on its own best container.
 
+What goes before any scoring: menus, page headers, footers and the like by their
+tag, hidden parts, and containers whose class or id says so.  A name counts by
+its whole tokens: one that is made of such words only (``comments-area``) cuts
+unless most of the page is in it, one that merely holds such a word
+(``has-sidebar``) only where the part is small or mostly links.  Nothing cuts
+html, body, main, the page's main articles, or what holds them, and the header
+of an article is part of it.
+
 Defined results: null or empty html gives an empty text; a null url counts as
 the host "".  Repeated rows give a row each.  Only ``page_id``, ``url`` and
 ``html`` are read.
@@ -18,6 +26,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from dataclasses import dataclass
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -41,13 +50,25 @@ BOILERPLATE = frozenset("nav header footer aside form dialog menu fieldset".spli
 RAW = "script|style|textarea|title"
 #: Elements that go with all they hold if their end tag is there; of others only the tag goes.
 DROPPED = frozenset("noscript template select button svg iframe object".split())
-BOILERPLATE_NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|popup|modal|sidebar|side|menu|nav\w*|"
-    r"breadcrumbs?|header|footer|masthead|comments?|replies|disqus|respond|share|social|related|recommend\w*|newsletter|subscribe|"
-    r"signup|login|search|widget|toolbar|pagination|pager|tags?|byline|hidden)(?:$|[-_ \d])", re.I)
-
-_PARTS = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*>"
-                    r"|<(/?[a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+#: Words of a class or id token that speak of what isn't article text.
+NAME_WORDS = frozenset("""ad ads banner cookie cookies consent notice notices alert popup modal sidebar side menu nav navbar navigation
+    breadcrumb breadcrumbs header footer masthead comment comments replies disqus respond share sharing social related newsletter
+    subscribe signup login search widget widgets toolbar pagination pager tag tags byline hidden""".split())
+NAME_STEMS = ("advert", "sponsor", "promo", "recommend")
+COMMENT_WORDS = frozenset("comment comments replies disqus respond".split())
+HEAD_WORDS = frozenset("header masthead byline".split())
+#: Words that may stand beside them in a token without changing its sense.
+FRAME_WORDS = frozenset("""area list box block wrap wrapper container section posts post links link bar item items inner outer form button
+    buttons icons left right top bottom main site page primary secondary global slot unit thread body entry row col column group""".split())
+#: Steps of a path; containers further down count for the one at that depth.
+DEEPEST = 64
+#: A part of at least this share of the page's text is kept in spite of its name; a part named in passing goes up to this share.
+MOST, LITTLE = 0.6, 0.1
+
+# A tag ends at the next "<" at the latest, and quotes in it are taken whole: no stretch is scanned for many tags.
+_INSIDE = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+'){0,2000}+"
+_PARTS = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({RAW})(?=[\s/>]){_INSIDE}>.*?(?:</\1\s*>|$)|<[!?][^<>]*+>"
+                    rf"|<(/?[a-zA-Z][a-zA-Z0-9:-]*+)({_INSIDE})>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 _DIGITS = re.compile(r"\d+")
@@ -60,15 +81,77 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def _named(tag: str, attributes: str) -> tuple[str, bool]:
-    """(generalised step of the path, whether it is boilerplate)"""
+def _words(token: str) -> list[str]:
+    return [w for w in (w.rstrip("0123456789") for w in re.split(r"[-_]+", token.lower())) if w]
+
+
+def _speaks(word: str) -> bool:
+    return word in NAME_WORDS or word.startswith(NAME_STEMS)
+
+
+@dataclass
+class Node:
+    """A container of the page: what its tag and attributes say, and the text below it."""
+    tag: str
+    step: str  # generalised step of the path
+    parent: int
+    hidden: bool
+    strong: frozenset  # words of tokens that consist of such words only
+    weak: bool  # some token holds such a word
+    in_article: bool
+    length: int = 0
+    links: int = 0
+
+    @property
+    def weight(self) -> int:
+        return max(0, self.length - 2 * self.links)
+
+
+def _node(tag: str, attributes: str, parent: int, above: Node | None) -> Node:
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
-    names = f"{found.get('class', '')} {found.get('id', '')}".strip()
-    out = tag in BOILERPLATE or bool(names and BOILERPLATE_NAMES.search(names)) or "hidden" in found \
-        or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "") \
+    strong, weak = set(), False
+    for token in f"{found.get('class', '')} {found.get('id', '')}".split():
+        words = _words(token)
+        named = [w for w in words if _speaks(w)]
+        if named and all(w in FRAME_WORDS or _speaks(w) for w in words):
+            strong.update(named)
+        weak = weak or bool(named)
+    hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "") \
         or found.get("role", "") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog")
     first = ".".join(found.get("class", "").split()[:2])
-    return _DIGITS.sub("#", f"{tag}.{first}" if first else tag), out
+    inside = above is not None and (above.in_article or above.tag in ("article", "main"))
+    return Node(tag, _DIGITS.sub("#", f"{tag}.{first}" if first else tag), parent, hidden, frozenset(strong), weak, inside)
+
+
+def _cut(nodes: list[Node], total: int) -> list[bool]:
+    """For each container, whether it or one above it goes."""
+    comment_above = [False] * len(nodes)
+    for i, node in enumerate(nodes):
+        comment_above[i] = bool(node.strong & COMMENT_WORDS) or (node.parent >= 0 and comment_above[node.parent])
+    articles = [i for i, n in enumerate(nodes) if n.tag == "article" and not comment_above[i]]
+    heaviest = max((nodes[i].weight for i in articles), default=0)
+    kept = [n.tag in ("html", "body", "main") for n in nodes]
+    for i in [i for i, n in enumerate(nodes) if n.tag == "main"] + [i for i in articles if 0 < heaviest <= 2 * nodes[i].weight]:
+        while i >= 0:
+            kept[i] = True
+            i = nodes[i].parent
+    gone: list[bool] = []
+    for i, n in enumerate(nodes):
+        most, linked = n.length >= MOST * total, 2 * n.links > n.length
+        if kept[i]:
+            bad = False
+        elif n.hidden:
+            bad = True
+        elif n.tag in BOILERPLATE:
+            bad = not (n.tag == "header" and n.in_article) and not (n.tag == "form" and most)
+        elif n.tag == "article":
+            bad = bool(n.strong & COMMENT_WORDS)
+        elif n.strong:
+            bad = not (n.in_article and n.strong <= HEAD_WORDS) and (bool(n.strong & COMMENT_WORDS) or not most)
+        else:
+            bad = n.weak and (linked or (not n.in_article and n.length <= LITTLE * total))
+        gone.append(bad or (n.parent >= 0 and gone[n.parent]))
+    return gone
 
 
 def _parts(page: str) -> list[tuple[int, int, str, str]]:
@@ -93,17 +176,23 @@ def _parts(page: str) -> list[tuple[int, int, str, str]]:
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     """(path of containers, text, characters in links) of each block outside boilerplate, in page order."""
-    stack: list[tuple[str, str, bool]] = []  # tag, step, boilerplate here or above
-    out: list[tuple[tuple[str, ...], str, int]] = []
+    nodes: list[Node] = []
+    stack: list[int] = []
+    paths: list[tuple[str, ...]] = [()]  # of nothing, and of each container on the stack
+    out: list[tuple[int, tuple[str, ...], str, int]] = []
     held: list[str] = []
     links, in_link, path = 0, False, ()
 
     def close() -> None:
         nonlocal links
-        if held and not (stack and stack[-1][2]):
+        if held:
             text = " ".join(entities.unescape("".join(held)).split())
             if text:
-                out.append((path, text, min(links, len(text))))
+                here = stack[-1] if stack else -1
+                out.append((here, path, text, min(links, len(text))))
+                if here >= 0:
+                    nodes[here].length += len(text)
+                    nodes[here].links += min(links, len(text))
         held.clear()
         links = 0
 
@@ -116,16 +205,19 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         at = end
         if tag in CONTAINERS:
             close()
-            step, bad = _named(tag, attributes)
-            stack.append((tag, step, bad or bool(stack and stack[-1][2])))
-            path = tuple(s for _, s, _ in stack)
+            above = stack[-1] if stack else -1
+            nodes.append(_node(tag, attributes, above, nodes[above] if above >= 0 else None))
+            stack.append(len(nodes) - 1)
+            path = (*path, nodes[-1].step) if len(path) < DEEPEST else path
+            paths.append(path)
             in_link = False
         elif tag[:1] == "/" and tag[1:] in CONTAINERS:
             close()
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag[1:]), None)
+            depth = next((k for k in range(len(stack) - 1, -1, -1) if nodes[stack[k]].tag == tag[1:]), None)
             if depth is not None:
                 del stack[depth:]
-                path = tuple(s for _, s, _ in stack)
+                del paths[depth + 1:]
+                path = paths[-1]
             in_link = False
         elif tag.removeprefix("/") in BLOCKS:
             close()
@@ -137,7 +229,12 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     if at < len(page):
         held.append(page[at:])
     close()
-    return out
+    for node in reversed(nodes):  # a container stands before what it holds
+        if node.parent >= 0:
+            nodes[node.parent].length += node.length
+            nodes[node.parent].links += node.links
+    gone = _cut(nodes, sum(len(text) for _, _, text, _ in out))
+    return [(path, text, links) for here, path, text, links in out if here < 0 or not gone[here]]
 
 
 def holders(own: dict[tuple[str, ...], float]) -> dict[tuple[str, ...], tuple[str, ...]]:

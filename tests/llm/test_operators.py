@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -315,6 +317,56 @@ def test_an_article_is_not_lost_to_a_part_of_it(spark):
     assert html_extract.main_text(boxes, None) == "m" * 250
 
 
+HOSTILE = ["post-12 post type-post tag-news", "has-sidebar", "no-sidebar", "header-fixed", "comments-open", "no-js hidden-scroll", "side-by-side",
+           "page-search", "with-banner", "category-menu-design", "is-login", "no-comments"]
+
+
+def test_names_lose_no_article():
+    body = "<h1>Title</h1><p>" + "first words " * 20 + "</p><p>" + "second words " * 20 + "</p>"
+    want = "Title" + ("firstwords" * 20) + ("secondwords" * 20)
+    rest = "<nav>menu</nav><div class='ads'>buy</div><footer>us</footer>"
+    for name in HOSTILE:
+        for page in ("<html><body>{r}<article class='{n}'>{b}</article></body></html>", "<html><body class='{n}'>{r}<article>{b}</article></body></html>",
+                     "<html class='{n}'><body>{r}<div>{b}</div></body></html>", "<html><body>{r}<main class='{n}'>{b}</main></body></html>",
+                     "<html><body>{r}<div id='{n}'><article>{b}</article></div></body></html>", "<html><body>{r}<div id='{n}'>{b}</div></body></html>",
+                     "<html><body><form id='all'>{r}<article class='{n}'>{b}</article></form></body></html>",
+                     "<html><body style='display:none'>{r}<article><header class='entry-header'><h1>Title</h1></header>{c}</article></body></html>"):
+            page = page.format(r=rest, n=name, b=body, c=body.replace("<h1>Title</h1>", ""))
+            assert "".join(html_extract.main_text(page, None).split()) == want, page
+
+
+def test_generated_pages_against_their_known_articles():
+    rng = random.Random(11)
+
+    def words(least, most):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(least, most)))
+
+    for _ in range(150):
+        article, shown = [], []
+        for _ in range(rng.randint(3, 9)):
+            text = words(15, 60)
+            shown.append(text)
+            form = rng.choice(["<p>{}</p>", "<h2>{}</h2>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<div class='{n}'><p>{}</p></div>",
+                               "<section class='part-{n}'>{}</section>", "<header><h3>{}</h3></header>"])
+            article.append(form.format(text, n=rng.choice([n for n in HOSTILE if n != "page-search"])))  # a small part of that name is a search box
+        junk = [f"<div class='{c}'><p>{words(2, 12)}</p></div>" for c in ("ad", "sidebar", "cookie-notice", "widget-area", "share-buttons", "breadcrumbs")]
+        junk += [f"<nav>{words(2, 9)}</nav>", f"<form>{words(1, 5)}</form>", f"<aside>{words(3, 20)}</aside>",
+                 f"<div id='comments' class='comments-area'><article class='comment'><p>{words(20, 90)}</p></article></div>"]
+        rng.shuffle(junk)
+        tag = rng.choice(["article", "main", "article"])
+        page = (f"<!DOCTYPE html><html class='{rng.choice(HOSTILE)}'><head><title>t</title></head><body class='{rng.choice(HOSTILE)}'><header>{words(2, 9)}</header>"
+                + "".join(junk[:5]) + f"<div class='{rng.choice(HOSTILE)}'><{tag} class='{rng.choice(HOSTILE)}'>" + "".join(article) + f"</{tag}></div>"
+                + "".join(junk[5:]) + f"<footer>{words(2, 9)}</footer></body></html>")
+        assert html_extract.main_text(page, None) == "\n\n".join(shown), page
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a \"", "<script ", "<!", "<div>x", "<p class='", "</", "<a b='\"' "])
+def test_a_megabyte_of_odd_markup_takes_no_time(part):
+    start = time.perf_counter()
+    html_extract.blocks("<p>x</p>" + part * (1_000_000 // len(part)))
+    assert time.perf_counter() - start < 5
+
+
 def test_open_or_self_closed_elements_cut_nothing():
     body = "<body><article><p>before</p>{}<p>after</p></article></body></html>"
     for odd, shown in [("<svg width='1' />", ""), ("<svg/>", ""), ("<svg><svg><text>x</text></svg><text>y</text></svg>", ""), ("<button>b", "b"),
