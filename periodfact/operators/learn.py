@@ -1,13 +1,12 @@
 """Learning and scoring on Spark.
 
 The hold-out, oversampling, KNN and all scores are DataFrame plans; the
-driver only sees bounded values: a row count, per-class counts, hash-prefix
-histograms (at most 65,536 buckets per class), the label list and scores.
+driver only sees bounded values: per seed and class a row count and a cut, the
+label list and scores.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,15 +15,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodfact.operators.columns import q
+from periodfact.session import ensure_checkpoint_dir
 
 HASH = "__h"
-HEX_STEP = 4            # hex digits added per refinement round (65,536 buckets)
-MAX_BOUNDARY_ROWS = 4096  # rows of one boundary bucket collected to finish a cut
+HEX_DIGITS = 4            # of the histogram's prefixes (65,536 buckets)
 
 
 # M1 P6 X8 -------------------------------------------------------------------
@@ -55,97 +54,99 @@ def hash_key(key: Column, seed: int | str, salt: str = "") -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def _prefix_condition(group: Column | None, prefixes: dict) -> Column:
-    cond = None
-    for g, p in prefixes.items():
-        c = F.startswith(F.col(HASH), F.lit(p)) if p else F.lit(True)
-        if group is not None:
-            c = group.eqNullSafe(F.lit(g)) & c
-        cond = c if cond is None else cond | c
-    return cond
+def seeded_rows(df: DataFrame, key: str, seeds: Sequence[int | str], group: str | None = None, salt: str = "") -> DataFrame:
+    """seed, g, k, HASH of every row under every seed (never stored: histograms and cuts are taken from it)."""
+    k = F.col(q(key))
+    parts = [F.lit(salt)] if salt else []
+    rows = df.select(k.alias("k"), (F.col(q(group)) if group else F.lit(0)).alias("g"),
+                     F.explode(F.array(*[F.lit(str(s)) for s in seeds])).alias("seed"))
+    return rows.withColumn(HASH, F.md5(F.concat_ws("|", "seed", *parts, F.col("k").cast("string"))))
 
 
-def smallest_k_cuts(df: DataFrame, key: str, k: dict, group: str | None = None) -> dict:
-    """Per group, the ``(hash, key)`` of the k-th smallest row in ``(HASH, key)`` order.
+def smallest_k_cuts(rows: DataFrame, need: Callable[[Column, Column], Column]) -> dict:
+    """For each (seed, group) of :func:`seeded_rows`: its row count and the ``(hash, key)`` of its k-th smallest row.
 
-    No global sort and no whole group in one task: each round counts rows
-    per hash prefix (a partial aggregation, at most 65,536 buckets per
-    group), keeps the bucket that holds the k-th row and refines its prefix
-    by four hex digits.  When the boundary bucket has at most
-    ``MAX_BOUNDARY_ROWS`` rows, or is one whole hash, its distinct keys are
-    collected with their counts and the cut is read off.  ``df`` must carry the ``HASH`` column.
+    ``need`` gives k from the group's row count and the largest count of the
+    seed's groups; without a k-th row the cut is None.  Two reads for any number
+    of seeds and groups: one histogram of rows per hash prefix (at most 65,536
+    buckets each, reduced before it is shuffled) tells the bucket that holds the
+    k-th row, and only the rows of those buckets are ranked.  The driver gets
+    one row for each seed and group.
     """
-    gcol = F.col(q(group)) if group else None
-    state = {g: ("", need) for g, need in k.items() if need > 0}
-    cuts: dict = {}
-    while state:
-        width = len(next(iter(state.values()))[0]) + HEX_STEP
-        sub = df.where(_prefix_condition(gcol, {g: p for g, (p, _) in state.items()}))
-        keys = ([gcol.alias("g")] if gcol is not None else [F.lit(0).alias("g")])
-        buckets = (sub.groupBy(*keys, F.substring(F.col(HASH), 1, width).alias("b"))
-                   .count().collect())
-        by_group: dict = {}
-        for r in buckets:
-            by_group.setdefault(r["g"] if gcol is not None else next(iter(state)), []).append(
-                (r["b"], r["count"]))
-        small: dict = {}
-        for g, (_, need) in list(state.items()):
-            run = 0
-            for b, n in sorted(by_group.get(g, [])):
-                if run + n >= need:
-                    state[g] = (b, need - run)
-                    if n <= MAX_BOUNDARY_ROWS or width >= 32:
-                        small[g] = state.pop(g)
-                    break
-                run += n
-            else:  # fewer rows than asked: everything is selected
-                cuts[g] = None
-                state.pop(g)
-        if small:
-            # distinct keys with their counts: a key that repeats is one row here
-            rows = (df.where(_prefix_condition(gcol, {g: p for g, (p, _) in small.items()}))
-                    .groupBy(gcol.alias("g") if gcol is not None else F.lit(0).alias("g"),
-                             F.col(HASH).alias("h"), F.col(q(key)).alias("k"))
-                    .count().collect())
-            per: dict = {}
-            for r in rows:
-                per.setdefault(r["g"] if gcol is not None else next(iter(small)), []).append(
-                    (r["h"], r["k"], r["count"]))
-            for g, (_, need) in small.items():
-                for h, k_, n in sorted(per[g]):
-                    need -= n
-                    if need <= 0:
-                        cuts[g] = (h, k_)
-                        break
-    return cuts
+    prefix = F.substring(F.col(HASH), 1, HEX_DIGITS)
+    ensure_checkpoint_dir(rows.sparkSession)
+    buckets = rows.groupBy("seed", "g", prefix.alias("b")).agg(F.count("*").alias("n")).checkpoint()
+    whole = Window.partitionBy("seed", "g")
+    totals = buckets.groupBy("seed", "g").agg(F.sum("n").alias("all"))
+    totals = totals.withColumn("k_wanted", need(F.col("all"), F.max("all").over(Window.partitionBy("seed"))))
+    upto = F.sum("n").over(whole.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    t = totals.select("seed", F.col("g").alias("tg"), "k_wanted")
+    same = (F.col("x.seed") == F.col("t.seed")) & F.col("x.g").eqNullSafe(F.col("t.tg"))
+    edges = (buckets.withColumn("upto", upto).alias("x").join(t.alias("t"), same)
+             .where((F.col("upto") >= F.col("k_wanted")) & (F.col("upto") - F.col("n") < F.col("k_wanted")))
+             .select("x.seed", F.col("x.g").alias("eg"), F.col("x.b").alias("eb"), (F.col("k_wanted") - F.col("upto") + F.col("n")).alias("rest")))
+    hit = (F.col("x.seed") == F.col("e.seed")) & F.col("x.g").eqNullSafe(F.col("e.eg")) & (prefix == F.col("e.eb"))
+    near = rows.alias("x").join(F.broadcast(edges).alias("e"), hit)  # a row for each seed and group
+    place = F.row_number().over(Window.partitionBy("x.seed", "x.g").orderBy(HASH, "k"))
+    cuts = (near.select("x.seed", "x.g", HASH, "k", "rest", place.alias("place")).where("place = rest")
+            .select("seed", "g", HASH, "k").collect())
+    found = {(r["seed"], r["g"]): (r[HASH], r["k"]) for r in cuts}
+    return {(r["seed"], r["g"]): (r["all"], found.get((r["seed"], r["g"]))) for r in totals.collect()}
 
 
 def _within_cut(key: str, cut) -> Column:
     if cut is None:
-        return F.lit(True)
+        return F.lit(False)
     h, k = cut
     return (F.col(HASH) < F.lit(h)) | ((F.col(HASH) == F.lit(h)) & (F.col(q(key)) <= F.lit(k)))
 
 
 # M2 ---------------------------------------------------------------------------
+def _test_rows(test_size: float | int) -> Callable[[Column, Column], Column]:
+    if isinstance(test_size, int):
+        return lambda n, _: F.least(n, F.lit(test_size))
+    return lambda n, _: F.ceil(n.cast("double") * F.lit(test_size))
+
+
 def holdout(df: DataFrame, key: str, test_size: float | int, seed: int = 42,
-            out: str = "is_test", n_rows: int | None = None) -> DataFrame:
+            out: str = "is_test") -> DataFrame:
     """M2: exact, reproducible test/train split by hash order.
 
     The test side is the ``ceil(n * test_size)`` rows (or ``test_size`` rows
     for an int) with the smallest ``md5(seed|key)``; it does not depend on
-    partitioning.  Keys must be unique.  ``n_rows`` skips the row count when
-    the caller already knows it (e.g. many seeds over one frame).  The input
-    is read once per refinement round (two or three rounds): checkpoint an
-    expensive input first, as the learning plans do.
+    partitioning.  Keys must be unique.  The input is read twice before it is
+    used: checkpoint an expensive input first, as the learning plans do.
     """
-    h = df.withColumn(HASH, hash_key(F.col(q(key)), seed))
-    n = h.count() if n_rows is None else n_rows
-    k = test_size if isinstance(test_size, int) else math.ceil(n * test_size)
-    if k <= 0:
-        return df.withColumn(out, F.lit(False))
-    cut = smallest_k_cuts(h, key, {0: k}).get(0)
-    return h.withColumn(out, _within_cut(key, cut)).drop(HASH)
+    return holdouts(df, key, test_size, [seed], out)[seed]
+
+
+def holdouts(df: DataFrame, key: str, test_size: float | int, seeds: Sequence[int], out: str = "is_test") -> dict[int, DataFrame]:
+    """:func:`holdout` for many seeds: all cuts from the same two reads."""
+    cuts = smallest_k_cuts(seeded_rows(df, key, seeds), _test_rows(test_size))
+    return {s: df.withColumn(HASH, hash_key(F.col(q(key)), s)).withColumn(out, _within_cut(key, cuts.get((str(s), 0), (0, None))[1])).drop(HASH)
+            for s in seeds}
+
+
+def seeded_holdout(df: DataFrame, key: str, test_size: float | int, seeds: Sequence[int]) -> DataFrame:
+    """The test rows of every seed in one frame, with their ``seed``: scores of all seeds then take one more read."""
+    cuts = smallest_k_cuts(seeded_rows(df, key, seeds), _test_rows(test_size))
+    return _below_cuts(_with_seeds(df, key, seeds), {s: cut for (s, _), (_, cut) in cuts.items()}, key, below=True)
+
+
+def _with_seeds(df: DataFrame, key: str, seeds: Sequence[int]) -> DataFrame:
+    return (df.withColumn("seed", F.explode(F.array(*[F.lit(str(s)) for s in seeds])))
+            .withColumn(HASH, F.md5(F.concat_ws("|", "seed", F.col(q(key)).cast("string")))))
+
+
+def _below_cuts(rows: DataFrame, cuts: dict, key: str, below: bool) -> DataFrame:
+    """Rows (with ``seed`` and HASH) on one side of their seed's cut; the cuts travel as one literal map."""
+    known = {s: c for s, c in cuts.items() if c is not None}
+    if not known:
+        return rows.where(F.lit(not below)).drop(HASH)
+    table = F.create_map(*[x for s, (h, k) in known.items() for x in (F.lit(s), F.struct(F.lit(h).alias("h"), F.lit(k).alias("k")))])
+    cut = F.element_at(table, F.col("seed"))
+    within = (F.col(HASH) < cut["h"]) | ((F.col(HASH) == cut["h"]) & (F.col(q(key)) <= cut["k"]))
+    return rows.where(within if below else ~within).drop(HASH)
 
 
 # M3 ---------------------------------------------------------------------------
@@ -164,23 +165,24 @@ def oversample(train: DataFrame, label: str, key: str, seed: int = 42,
     huge one), its copies are cut into chunks that are spread over tasks
     before they are generated.
     """
-    limit = max_copies_per_task or MAX_COPIES_PER_TASK
-    counts = {r[label]: r["count"] for r in train.groupBy(F.col(q(label))).count().collect()}
-    if not counts:
+    cuts = smallest_k_cuts(seeded_rows(train, key, [seed], label, "os"), lambda n, m: m % n)
+    return _copied(train, label, key, seed, {g: c for (_, g), c in cuts.items()}, copy_col, max_copies_per_task or MAX_COPIES_PER_TASK)
+
+
+def _copied(train: DataFrame, label: str, key: str, seed: int, classes: dict, copy_col: str, limit: int) -> DataFrame:
+    """The rows with their copies; ``classes``: class -> (rows, cut of the rows with one copy more)."""
+    if not classes:
         return train.withColumn(copy_col, F.lit(1))
-    m = max(counts.values())
+    m = max(n for n, _ in classes.values())
     h = train.withColumn(HASH, hash_key(F.col(q(key)), seed, "os"))
-    extra = {g: m % n for g, n in counts.items()}
-    cuts = smallest_k_cuts(h, key, extra, group=label)
-    base = F.lit(0)
-    bonus = F.lit(0)
-    for g, n in counts.items():
+    base = bonus = F.lit(0)
+    for g, (n, cut) in classes.items():
         is_g = F.col(q(label)).eqNullSafe(F.lit(g))
         base = F.when(is_g, F.lit(m // n)).otherwise(base)
-        if extra[g]:
-            bonus = F.when(is_g & _within_cut(key, cuts.get(g)), F.lit(1)).otherwise(bonus)
+        if m % n:
+            bonus = F.when(is_g & _within_cut(key, cut), F.lit(1)).otherwise(bonus)
     h = h.withColumn("__copies", base + bonus)
-    most = max(m // n + (1 if m % n else 0) for n in counts.values())
+    most = max(m // n + (1 if m % n else 0) for n, _ in classes.values())
     if most <= limit:
         out = h.withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     else:
@@ -215,6 +217,46 @@ def fit_linear_svm(train: DataFrame, label_col: str, features: str = "features",
     return _with_labels(svc, label_col).fit(train)
 
 
+def pair_votes(decisions: DataFrame, classes: Sequence[str], pairs: dict[tuple[str, str], str], out: str = "predicted") -> DataFrame:
+    """One-vs-one: each pair's column names its winner (null: no vote); most votes win, of equals the class listed first."""
+    votes = [sum([F.when(F.col(q(c)) == F.lit(name), 1).otherwise(0) for pair, c in pairs.items() if name in pair], F.lit(0)) for name in classes]
+    best = F.greatest(*[F.struct(v.alias("v"), F.lit(-i).alias("r"), F.lit(name).alias("c")) for i, (name, v) in enumerate(zip(classes, votes))]) \
+        if len(classes) > 1 else F.struct(F.lit(1).alias("v"), F.lit(0).alias("r"), F.lit(classes[0]).alias("c"))
+    return decisions.withColumn(out, best["c"])
+
+
+def fit_pairwise_svm(train: DataFrame, label_col: str, features: str = "features", max_iter: int = 20, reg: float = 1e-3,
+                     parallelism: int = 4) -> "_PairwiseModel":
+    """M6: a linear SVM for each pair of classes, fitted on the rows of the two, and a vote of all pairs.
+
+    The number of models grows with the square of the number of classes (a
+    label list of a few dozen at most); they are fitted concurrently.
+    """
+    classes = sorted(r[0] for r in train.select(label_col).where(F.col(q(label_col)).isNotNull()).distinct().collect())
+    pairs = [(a, b) for i, a in enumerate(classes) for b in classes[i + 1:]]
+
+    def fit(pair):
+        two = train.where(F.col(q(label_col)).isin(*pair)).withColumn("label", (F.col(q(label_col)) == F.lit(pair[1])).cast("double"))
+        return LinearSVC(featuresCol=features, labelCol="label", maxIter=max_iter, regParam=reg,
+                         rawPredictionCol="raw", predictionCol="side").fit(two)
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return _PairwiseModel(classes, dict(zip(pairs, pool.map(fit, pairs))))
+
+
+class _PairwiseModel:
+    def __init__(self, classes: list[str], models: dict):
+        self.classes, self.models = classes, models
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        columns = {}
+        out = df
+        for i, ((a, b), model) in enumerate(self.models.items()):
+            columns[a, b] = f"__pair{i}"
+            out = model.transform(out).withColumn(columns[a, b], F.when(F.col("side") > 0, F.lit(b)).otherwise(F.lit(a))).drop("raw", "side")
+        return pair_votes(out, self.classes, columns).drop(*columns.values())
+
+
 def _with_labels(estimator, label_col: str) -> "_LabelledEstimator":
     indexer = label_indexer(label_col)
     return _LabelledEstimator(indexer, estimator)
@@ -395,13 +437,26 @@ def confusion(pred: DataFrame, classes: Sequence[str], label: str = "label",
 
 
 # M10 M11 M12 B2 ---------------------------------------------------------------
-def split_and_balance(df: DataFrame, key: str, label: str, test_size: float, seed: int,
-                      n_rows: int | None = None):
+def split_and_balance(df: DataFrame, key: str, label: str, test_size: float, seed: int):
     """The reference's protocol: hold out, then oversample the train side only."""
-    h = holdout(df, key, test_size, seed, n_rows=n_rows)
-    train = oversample(h.where(~F.col("is_test")), label, key, seed)
-    test = h.where(F.col("is_test"))
-    return train, test
+    return splits(df, key, label, test_size, [seed])[seed]
+
+
+def splits(df: DataFrame, key: str, label: str, test_size: float, seeds: Sequence[int]) -> dict[int, tuple[DataFrame, DataFrame]]:
+    """seed -> (balanced train side, test side): the cuts of all seeds and classes take four reads together."""
+    cuts = smallest_k_cuts(seeded_rows(df, key, seeds), _test_rows(test_size))
+    sides = {s: cuts.get((str(s), 0), (0, None))[1] for s in seeds}
+    left = _below_cuts(_with_seeds(df.select(key, label), key, seeds), {str(s): c for s, c in sides.items()}, key, below=False)
+    hashed = left.select("seed", F.col(q(label)).alias("g"), F.col(q(key)).alias("k")).withColumn(
+        HASH, F.md5(F.concat_ws("|", "seed", F.lit("os"), F.col("k").cast("string"))))
+    classes = smallest_k_cuts(hashed, lambda n, m: m % n)
+    out = {}
+    for s, cut in sides.items():
+        marked = df.withColumn(HASH, hash_key(F.col(q(key)), s)).withColumn("is_test", _within_cut(key, cut)).drop(HASH)
+        mine = {g: c for (seed, g), c in classes.items() if seed == str(s)}
+        train = _copied(marked.where(~F.col("is_test")), label, key, s, mine, "copy", MAX_COPIES_PER_TASK)
+        out[s] = (train, marked.where(F.col("is_test")))
+    return out
 
 
 def seed_search(fit_and_score: Callable[[int], float], seeds: Sequence[int],

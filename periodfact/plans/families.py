@@ -36,8 +36,7 @@ class Lookup:
     matter).  ``period_pattern`` makes it a per-period lookup whose files
     carry the period in their name (e.g. one candidate list per year).
     ``ordinal`` is the position of a numeric column giving the match order;
-    without it the order is the read order, which is file order only for a
-    single small file.  ``unique`` declares the key a primary key (no
+    without it the order is that of the rows in their files.  ``unique`` declares the key a primary key (no
     first-match deduplication needed).
     """
 
@@ -120,10 +119,11 @@ def _lookup_frame(spark: SparkSession, lk: Lookup) -> DataFrame:
     schema = positional_schema(lk.n_cols)
     df = (read_period_files(spark, lk.path, lk.period_pattern, schema=schema) if lk.period_pattern
           else read_delimited(spark, lk.path, schema))
-    # match order: a declared column, else the read order made explicit
-    # right after the read (ids grow with the position in a single file)
+    # match order: a declared column, else the place in the files (file, start of the split,
+    # and the row within it, which the id tells), however a file is split and tasks are packed
     order = (F.col(f"c{lk.ordinal}").cast("long") if lk.ordinal is not None
-             else F.monotonically_increasing_id())
+             else F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                           F.monotonically_increasing_id().alias("row")))
     df = df.withColumn("__ordinal", order)
     key = _key([F.col(f"c{i}") for i in lk.key], F.col("period") if lk.period_pattern else None)
     return df.select(key.alias("__lk"), F.col(f"c{lk.value}").alias("__value"), "__ordinal")

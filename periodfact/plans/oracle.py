@@ -515,6 +515,31 @@ FROM a
 """
 
 
+def _pairwise_votes() -> str:
+    from periodfact.plans.learning import LANGS
+    pairs = [(a, b) for i, a in enumerate(LANGS) for b in LANGS[i + 1:]]
+    cols = ", ".join(f"CASE WHEN {a}_marks >= {b}_marks THEN '{a}' ELSE '{b}' END AS {a}_{b}" for a, b in pairs)
+    names = [f"{a}_{b}" for a, b in pairs]
+    return f"""
+WITH m AS (SELECT doc_id, {_marks()}, 0 AS en_marks FROM documents),
+d AS (SELECT doc_id, {cols} FROM m),
+v AS (SELECT doc_id, winner, count(*) AS n FROM (SELECT doc_id, unnest([{', '.join(names)}]) AS winner FROM d) GROUP BY ALL),
+w AS (SELECT doc_id, winner, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, winner) AS rn FROM v)
+SELECT d.*, w.winner AS predicted FROM d JOIN w ON d.doc_id = w.doc_id AND rn = 1
+"""
+
+
+def _scenario_models() -> str:
+    from periodfact.plans.learning import FEATURES, SCENARIOS
+    rows = ", ".join(f"({2025 + i}, {', '.join(f'CAST({v} AS DOUBLE)' for v in r)})" for i, r in enumerate(SCENARIOS))
+    return f"""({_scenario_knn()})
+UNION ALL
+SELECT 'Marker Rule', CAST(yr AS INTEGER), CASE WHEN fr_rate >= de_rate AND fr_rate >= es_rate AND fr_rate > 0 THEN 'fr'
+    WHEN de_rate >= es_rate AND de_rate > 0 THEN 'de' WHEN es_rate > 0 THEN 'es' ELSE 'en' END
+FROM (VALUES {rows}) v(yr, {', '.join(FEATURES)})
+"""
+
+
 def _support() -> str:
     from periodfact.plans.learning import FINAL_TEST_SIZE
     return (f"SELECT lang, count(*) AS n_rows, count(*) AS n_listed FROM "
@@ -576,6 +601,8 @@ FROM rep""",
         "seed_search_rule": _seed_search(),
         "score_table_rules": _score_row("predicted", "Marker Rule") + " UNION ALL " + _score_row("'en'", "Always English"),
         "scenario_knn": _scenario_knn(),
+        "scenario_models": _scenario_models(),
+        "pairwise_votes": _pairwise_votes(),
         "forest_support": _support(),
         "svm_support": _support(),
         "confusion": f"WITH {_rule()}\nSELECT label AS actual, {conf} FROM p GROUP BY 1",

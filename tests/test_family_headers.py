@@ -5,8 +5,8 @@ import pytest
 from periodfact.operators.fact import spine_join
 from periodfact.operators.periods import mean_by_period, row_total, sum_all_by_period
 from periodfact.operators.reshape import BlockLayout
-from periodfact.operators.tally import lookup_first
-from periodfact.plans.families import Family, Lookup, family_fact
+from periodfact.operators.tally import first_by_key, lookup_first
+from periodfact.plans.families import Family, Lookup, _lookup_frame, family_fact
 
 
 def write(path, header, row):
@@ -61,3 +61,20 @@ def test_repeated_period_on_the_spine_fails(spark):
     side = spark.createDataFrame([(1, 2.0), (1, 3.0)], "period int, v double")
     with pytest.raises(Exception, match="not unique"):
         spine_join(base, [side]).collect()
+
+
+def test_first_match_in_a_split_file(spark, tmp_path):
+    """Match order is the order of the rows in their file, however it is split."""
+    rows = [f"k{i % 50};v{i}" for i in range(4000)]
+    (tmp_path / "codes.csv").write_text("code;cat\n" + "\n".join(rows) + "\n")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        frame = _lookup_frame(spark, Lookup(f"{tmp_path}/codes.csv", key=[0], value=1, n_cols=2))
+        assert frame.rdd.getNumPartitions() > 5
+        first = first_by_key(frame.repartition(7), "__lk", ["__value"], "__ordinal")
+        assert {r["__key"]: r["__value"] for r in first.collect()} == {f"k{i}": f"v{i}" for i in range(50)}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)

@@ -15,8 +15,9 @@ def test_holdout_exact_disjoint_reproducible(spark):
     assert a.where("not is_test").count() == 600
 
 
-def test_cut_refinement_with_small_boundary(spark, monkeypatch):
-    monkeypatch.setattr(L, "MAX_BOUNDARY_ROWS", 2)
+@pytest.mark.parametrize("digits", [1, 4, 8])
+def test_cut_refinement_with_small_boundary(spark, monkeypatch, digits):
+    monkeypatch.setattr(L, "HEX_DIGITS", digits)
     df = spark.range(5000).withColumnRenamed("id", "key")
     h = L.holdout(df, "key", 1234, seed=1)
     assert h.where("is_test").count() == 1234
@@ -85,3 +86,56 @@ def test_scores_hand_computed(spark):
 def test_seed_search_first_best_wins():
     best, res = L.seed_search(lambda s: {0: 0.5, 1: 0.9, 2: 0.9}[s], [0, 1, 2], parallelism=2)
     assert best == 1 and len(res) == 3
+
+
+def test_many_seeds_cut_like_one_and_read_thrice(spark):
+    rows = [(i, ["a", "b", "b", "c", "c", "c", None][i % 7]) for i in range(700)]
+    df = spark.createDataFrame(rows, "key long, y string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    seeds = list(range(50))
+    tests = L.seeded_holdout(df.mapInPandas(counted, "key long, y string"), "key", 0.2, seeds)
+    got = {}
+    for r in tests.collect():
+        got.setdefault(int(r.seed), set()).add(r.key)
+    assert seen.value <= 3 * 700
+    for s in (0, 17, 49):
+        assert got[s] == {r.key for r in L.holdout(df, "key", 0.2, s).where("is_test").collect()} and len(got[s]) == 140
+    sides = L.splits(df, "key", "y", 0.2, seeds[:4])
+    for s, (train, test) in sides.items():
+        assert {r.key for r in test.collect()} == got[s]
+        counts = {r.y: r["count"] for r in train.groupBy("y").count().collect()}
+        assert len(set(counts.values())) == 1 and len(counts) == 4
+        one = L.oversample(L.holdout(df, "key", 0.2, s).where("not is_test"), "y", "key", s)
+        assert sorted((r.key, r.copy) for r in train.select("key", "copy").collect()) == sorted((r.key, r.copy) for r in one.select("key", "copy").collect())
+
+
+def test_holdout_of_nothing_and_of_all(spark):
+    df = spark.createDataFrame([(i,) for i in range(10)], "key long")
+    assert L.holdout(df.where("key < 0"), "key", 0.5).count() == 0
+    for size, n in ((0, 0), (10, 10), (99, 10), (1.0, 10), (0.0, 0)):
+        assert L.holdout(df, "key", size).where("is_test").count() == n
+
+
+def test_pair_votes_break_ties_by_the_list(spark):
+    rows = [("a", "a", "b"), ("b", "c", "b"), ("a", "c", "b"), (None, None, "c"), (None, None, None)]
+    df = spark.createDataFrame(rows, "ab string, ac string, bc string")
+    out = L.pair_votes(df, ["a", "b", "c"], {("a", "b"): "ab", ("a", "c"): "ac", ("b", "c"): "bc"})
+    assert [r.predicted for r in out.collect()] == ["a", "b", "a", "c", "a"]
+
+
+def test_models_learn_more_than_the_split(spark):
+    """Accuracy floors of forest and both SVMs on held-out documents, far above the largest class."""
+    from periodfact.plans import learning as P
+    train, test = P._split(spark, "/root/testdata/sf0.001", 42, 0.4)
+    train, test = train.cache(), test.cache()
+    largest = max(r["count"] for r in test.groupBy("lang").count().collect()) / test.count()
+    for fit, floor in ((L.fit_forest, 0.9), (L.fit_pairwise_svm, 0.8), (L.fit_linear_svm, 0.8)):
+        pred = fit(train, "lang").transform(test).select(F.col("lang").alias("label"), "predicted")
+        accuracy = L.score(pred).first()["accuracy"]
+        assert accuracy >= floor > largest, (fit.__name__, accuracy, largest)
