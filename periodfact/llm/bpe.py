@@ -8,7 +8,9 @@ which leads to its ids: a transducer from words to id lists.  It is one block
 of bytes (bounded by the number of words), broadcast, written by each Python
 worker to an unnamed file and memory-mapped.  A word that it lacks is merged
 exactly by the vocabulary's ranks.  A bounded memo of recent words stands
-in front of both.
+in front of both.  How a text falls into words depends on tables of characters:
+a text that holds one of the few that this pattern module classes otherwise than
+the library (``OTHER_CLASS``) is cut by the vocabulary's own merge code instead.
 
 Defined results: a null text is empty (no ids; the digests are those of the
 empty string).  Null or repeated ``doc_id``: one row out for each row in.  The
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import mmap
+import re
 import struct
 import tempfile
 from array import array
@@ -31,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from periodfact.llm.common import slices, text_of
-from periodfact.llm.vocab import SPECIAL, SPECIAL_ID, merge_core
+from periodfact.llm.common import checkpointed, slices, text_of
+from periodfact.llm.vocab import SPECIAL, SPECIAL_ID, id_encoder, merge_core
 
 #: Words in the lexicon (a bound on what is collected and broadcast, about 3 MB).
 LEXICON_WORDS = 65_536
@@ -44,6 +47,20 @@ MEMO_ENTRIES = 350_000
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Characters (hexadecimal) newer than the library's tables, so that the module here classes them otherwise.
+OTHER_CLASS = """558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959
+    10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6
+    187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81
+    1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E
+    2CEA2-2CEAD 323B0-33479 3D000-3FC3F"""
+
+
+def other_class():
+    """Finds a character of ``OTHER_CLASS``."""
+    spans = [part.partition("-") for part in OTHER_CLASS.split()]
+    return re.compile("[" + "".join(f"{chr(int(a, 16))}-{chr(int(b or a, 16))}" for a, _, b in spans) + "]")
+
+
 def words_pattern():
     import regex
     return regex.compile(WORDS)
@@ -157,15 +174,28 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, words: int = LEXICON_WORDS) -> list[bytes]:
-    """The most frequent words of all texts (ties by word): at most ``words`` rows reach the driver."""
-    counted = (docs.select(F.explode(F.split(text_of(), "[ \\t-\\r]+")).alias("word"))
-               .where(F.octet_length("word").between(1, LEXICON_BYTES))
-               .groupBy("word").agg(F.count("*").alias("n")))
+    """The most frequent words of all texts that occur twice or more: at most ``words`` rows reach the driver.
+
+    A histogram of the counts (sixteen steps for each doubling) tells from which
+    step on no more than ``words`` words are left; only those are collected.
+    """
+    counted = checkpointed(docs.select(F.explode(F.split(text_of(), "[ \\t-\\r]+")).alias("word"))
+                           .where(F.octet_length("word").between(1, LEXICON_BYTES))
+                           .groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+                           .withColumn("step", F.floor(F.log2("n") * 16)))
+    left, least = words, None
+    for row in sorted(counted.groupBy("step").agg(F.count("*").alias("n")).collect(), reverse=True):  # at most 1,024 rows
+        left -= row["n"]
+        if left < 0:
+            break
+        least = row["step"]
+    if least is None:
+        return []
     cut, found = words_pattern().findall, {}
-    for row in counted.orderBy(F.desc("n"), "word").limit(words).collect():
-        for word in cut(" " + row["word"]):
-            found[word.encode()] = None
-    return list(found)
+    for word in counted.where(F.col("step") >= least).select("word").toArrow().column(0).to_pylist():
+        for part in cut(" " + word):
+            found[part.encode()] = None
+    return sorted(found)
 
 
 # -- encoding ---------------------------------------------------------------
@@ -180,6 +210,7 @@ class Codec:
     def __init__(self, ranks_path: str, block: bytes) -> None:
         core = merge_core(ranks_path)
         self.merge, self.lexicon, self.cut = merger(ranks_path), Lexicon(block), words_pattern().findall
+        self.other, self.plain = other_class().search, id_encoder(ranks_path)
         tokens = [core.decode_single_token_bytes(k) for k in range(SPECIAL_ID + 1)]
         self.token_size = np.fromiter(map(len, tokens), np.int64)
         self.token_start = np.cumsum(self.token_size) - self.token_size
@@ -195,6 +226,12 @@ class Codec:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.memo) > MEMO_ENTRIES:
             self.memo = {}
+        other = [i for i, text in enumerate(texts) if not text.isascii() and self.other(text)]
+        if other:
+            out = self.encode([text if i not in other else "" for i, text in enumerate(texts)])
+            for i in other:
+                out[i] = self.plain(texts[i])
+            return out
         cut = [[self.cut(part) for part in text.split(SPECIAL)] for text in texts]
         new = list(set(chain.from_iterable(chain.from_iterable(cut))).difference(self.memo))
         self.learn(new)

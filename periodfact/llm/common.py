@@ -40,7 +40,8 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in ``spark.checkpoint.dir``, removed by Spark's cleaner."""
+    """Reliable checkpoint in ``spark.checkpoint.dir``; Spark's cleaner removes it where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set (as this package's sessions do), else it stays."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
