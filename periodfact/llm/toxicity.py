@@ -39,6 +39,8 @@ SAMPLE = 4000
 FEATURES = 3000
 LEAST_ROWS = 5
 MARKS = (6, 18)
+#: Partitions of the sample, whose size is bounded.
+SAMPLE_PARTS = 16
 SLOTS = 1 << 24
 MEMO_ENTRIES = 300_000
 
@@ -145,13 +147,13 @@ def _sigmoid(v: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = checkpointed(labelled_features(docs, labels))
+    rows = checkpointed(labelled_features(docs, labels).repartition(SAMPLE_PARTS, "doc_id"))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy((F.col("grade") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Model()
     toxic, clean = F.count_if(F.col("grade") > 0), F.count_if(F.col("grade") <= 0)
     rate = (F.log((F.col("t") + 0.5) / (sizes[True] + 1)) - F.log((F.col("c") + 0.5) / (sizes[False] + 1))).alias("rate")
-    seen = (rows.select("grade", F.explode("slots").alias("slot")).groupBy("slot").agg(toxic.alias("t"), clean.alias("c"))
+    seen = (rows.select("grade", F.explode("slots").alias("slot")).groupBy("slot").agg(toxic.alias("t"), clean.alias("c")).coalesce(SAMPLE_PARTS)
             .where(F.col("t") + F.col("c") >= LEAST_ROWS).select("slot", "t", "c", rate))
     telling = F.abs("rate") * F.sqrt(F.col("t") + F.col("c"))
     kept = seen.orderBy(F.desc(telling), "slot").limit(FEATURES).collect()
