@@ -1,19 +1,26 @@
 """Operator 9: chat formatting by quotation linking.  DataFrame functions only.
 
-A line's quote level is the number of ``>`` marks that it begins with (spaces
-between them don't count).  Quoted lines, normalised (marks off, lower case,
-runs of other than letters and digits as one space), are joined by their hash
-to the first earlier message of the conversation that has the line as its own;
-only conversations with quotes take part, and each line has one origin, so no
-pairs multiply.  A message answers the origin of most of its quoted characters
-(of equals the later one).  Its own text is what is left without quoted lines
-and the attribution lines above them.  ``thread_path`` (turns from the thread's
-first message down) sorts a conversation in reply order.
+A line's quote level is the number of ``>`` marks that it begins with (blanks
+between them don't count).  Lines that follow each other at one level are a
+passage; its text, without marks, is normalised (lower case, runs of other than
+letters and digits as one space) and cut into sliding windows of ``WINDOW``
+words, so wrapping it anew or quoting a part of it changes nothing; a shorter
+passage is one unit.  The windows of every message's own text, and its short
+lines and sentences, are joined to them by hash within the conversation; the
+origin of a unit is the first message that has it as its own, so no pairs
+multiply, and only conversations with quotes take part.
+
+A message answers the origin of most units of its outermost level; inner levels,
+which quote what the quoted message quoted, decide only where an outer one links
+to nothing (of equals the later message).  Its own text is what is left without
+quoted lines and the attribution lines above them.  ``thread_root`` and ``depth``
+(found by doubling, a few rows a message whatever the length of a thread) order a
+conversation by replies.
 
 Defined results: a null or empty text has no lines and an empty own text.  A
-message without a linked quote starts a thread.  Rows that repeat a
-conversation and turn are linked alike.  Null ``conv_id`` or ``turn``: the
-message is formatted but never linked.  Other columns are not read.
+message without a linked quote starts a thread (its own turn, depth 0).  Rows
+that repeat a conversation and turn are linked alike.  Null ``conv_id`` or
+``turn``: the message is formatted but never linked.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,89 +30,118 @@ from pyspark.sql import functions as F
 
 from periodfact.llm.common import checkpointed, text_of
 
-QUOTED = r"^[ \t]*>"
-MARKS = r"^[ \t]*(>[ \t]*)+"
+WINDOW = 5
+#: The marks before a quoted line; no group is repeated, so a line of any number of marks is matched in a loop.
+MARKS = r"^[ \t]*+>[> \t]*+"
+#: Lines that announce a quotation; longer ones are text.
 ATTRIBUTION = r"(?i)^[ \t]*(on .+ wrote|.+ (wrote|writes|said)|(am|le) .+ (schrieb|a écrit).*|el .+ escribió)[ \t]*:[ \t]*$"
+ATTRIBUTION_CHARS = 300
 NOT_WORD = r"[^\p{L}\p{N}]+"
-#: Digits of a turn in a path.
-PLACES = 10
+_NEXT, _AFTER = "\x01", "\x02"  # before a passage, after its level
 
 
-def normalised(line: Column) -> Column:
-    return F.trim(F.lower(F.regexp_replace(F.regexp_replace(line, MARKS, ""), NOT_WORD, " ")))
+def normalised(text: Column) -> Column:
+    return F.trim(F.lower(F.regexp_replace(text, NOT_WORD, " ")))
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, own_text, n_quoted (lines), quote_level (deepest), lines (when any line is quoted in it or it may be an origin)."""
+    """conv_id, turn, role, own_text, passages (level, words as one text), n_quoted (lines), quote_level (deepest)."""
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", text_of().alias("t"))
-    plain = ~F.col("t").rlike(r"(?m)^[ \t]*>")
-    lines = F.split("t", "\n")
-    quoted = F.expr(f"transform(split(t, '\\n'), l -> rlike(l, r'{QUOTED}'))")
-    level = F.expr(f"array_max(transform(split(t, '\\n'), l -> length(regexp_replace(regexp_extract(l, r'{MARKS}', 0), '[ \\t]', ''))))")
-    found = rows.select("conv_id", "turn", "role", "t", plain.alias("plain"), F.when(~plain, lines).alias("l"), F.when(~plain, quoted).alias("q"),
-                        F.when(plain, 0).otherwise(level).cast("long").alias("quote_level"))
-    own = F.expr(f"array_join(filter(l, (x, i) -> NOT q[i] AND NOT (rlike(x, r'{ATTRIBUTION}') AND i + 1 < size(l) AND q[least(i + 1, size(l) - 1)])), '\\n')")
-    return found.select("conv_id", "turn", "role", "t", "quote_level",
-                        F.btrim(F.when(F.col("plain"), F.col("t")).otherwise(own), F.lit(" \t\n\r")).alias("own_text"),
-                        F.when(F.col("plain"), 0).otherwise(F.size(F.filter("q", lambda x: x))).cast("long").alias("n_quoted"))
+    plain = ~F.col("t").rlike(r"(?m)^[ \t]*+>")
+    rows = rows.withColumn("lines", F.when(~plain, F.split(F.translate("t", _NEXT + _AFTER, "  "), "\n", -1)))
+    rows = rows.withColumn("levels", F.transform("lines", lambda x: F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 0), r"[ \t]", ""))))
+    level = F.col("levels")
+    own = F.filter("lines", lambda x, i: (level[i] == 0) & ~(
+        (i + 1 < F.size("lines")) & (F.coalesce(F.get(level, i + 1), F.lit(0)) > 0)
+        & (F.length(x) <= ATTRIBUTION_CHARS) & F.rlike(x, F.lit(ATTRIBUTION))))
+    joined = F.array_join(F.transform("lines", lambda x, i: F.concat(
+        F.when((i > 0) & (F.get(level, i - 1) == level[i]), F.lit(" ")).otherwise(F.concat(F.lit(_NEXT), level[i].cast("string"), F.lit(_AFTER))),
+        F.regexp_replace(x, MARKS, ""))), "")
+    passages = F.transform(F.filter(F.split(joined, _NEXT), lambda p: ~p.startswith("0" + _AFTER) & (p != "")), lambda p: F.struct(
+        F.split_part(p, F.lit(_AFTER), F.lit(1)).cast("int").alias("level"), normalised(F.split_part(p, F.lit(_AFTER), F.lit(2))).alias("words")))
+    return rows.select(
+        "conv_id", "turn", "role", F.btrim(F.when(plain, F.col("t")).otherwise(F.array_join(own, "\n")), F.lit(" \t\n\r")).alias("own_text"),
+        F.when(~plain, passages).alias("passages"), F.coalesce(F.size(F.filter("levels", lambda x: x > 0)), F.lit(0)).cast("long").alias("n_quoted"),
+        F.coalesce(F.array_max("levels"), F.lit(0)).cast("long").alias("quote_level")).withColumn(
+        "n_quoted", F.when(F.col("passages").isNull(), 0).otherwise(F.col("n_quoted")).cast("long"))
+
+
+def _windows(words: Column, short: bool) -> Column:
+    """Hashes of the windows of a normalised text; of a shorter one, the whole if ``short``, else nothing."""
+    w = F.split(words, " ")
+    windows = F.transform(F.sequence(F.lit(1), F.size(w) - WINDOW + 1), lambda i: F.md5(F.array_join(F.slice(w, i, WINDOW), " ")))
+    whole = F.array(F.md5(words)) if short else F.array().cast("array<string>")
+    return F.when(words == "", F.array().cast("array<string>")).when(F.size(w) >= WINDOW, windows).otherwise(whole)
 
 
 def links(rows: DataFrame) -> DataFrame:
-    """conv_id, turn, parent_turn of each message with a linked quote (one row for each)."""
+    """conv_id, turn, parent_turn of each message with a linked quotation (one row for each)."""
     asked = rows.where("n_quoted > 0 AND conv_id IS NOT NULL AND turn IS NOT NULL")
-    quoted = (asked.select("conv_id", "turn", F.explode(F.split("t", "\n")).alias("line")).where(F.col("line").rlike(QUOTED))
-              .select("conv_id", "turn", normalised(F.col("line")).alias("line")).where("line <> ''").distinct())
-    needed = quoted.select("conv_id", F.sha2("line", 256).alias("h")).distinct()
-    said = (rows.join(asked.select("conv_id").distinct(), "conv_id", "left_semi").where("turn IS NOT NULL")
-            .select("conv_id", "turn", F.explode(F.split("own_text", "\n")).alias("line"))
-            .select("conv_id", "turn", F.sha2(normalised(F.col("line")), 256).alias("h"))
-            .join(needed, ["conv_id", "h"], "left_semi")
+    quoted = (asked.select("conv_id", "turn", F.inline("passages")).where("words <> ''")
+              .select("conv_id", "turn", "level", F.explode(_windows(F.col("words"), True)).alias("h")).distinct())
+    needed = quoted.select("conv_id", "h").distinct()
+    talked = rows.join(asked.select("conv_id").distinct(), "conv_id", "left_semi").where("turn IS NOT NULL")
+    short = F.filter(F.transform(F.concat(F.split("own_text", "\n"), F.split("own_text", r"[.!?\n]+"), F.array("own_text")), normalised),
+                     lambda x: (x != "") & (F.size(F.split(x, " ")) < WINDOW))
+    units = F.concat(_windows(normalised(F.col("own_text")), False), F.transform(short, lambda x: F.md5(x)))
+    said = (talked.select("conv_id", "turn", F.explode(units).alias("h")).join(needed, ["conv_id", "h"], "left_semi")
             .groupBy("conv_id", "h").agg(F.min("turn").alias("parent_turn")))
-    met = (quoted.select("conv_id", "turn", F.length("line").alias("n"), F.sha2("line", 256).alias("h"))
-           .join(said, ["conv_id", "h"]).where("parent_turn < turn")
-           .groupBy("conv_id", "turn", "parent_turn").agg(F.sum("n").alias("n")))
-    return met.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "parent_turn")).alias("best")).select(
+    met = (quoted.join(said, ["conv_id", "h"]).where("parent_turn < turn")
+           .groupBy("conv_id", "turn", "level", "parent_turn").agg(F.count("*").alias("n")))
+    return met.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), "n", "parent_turn")).alias("best")).select(
         "conv_id", "turn", F.col("best.parent_turn").alias("parent_turn"))
 
 
-def _place(turn: str) -> Column:
-    return F.lpad(F.col(turn).cast("string"), PLACES, "0")
-
-
-def paths(parents: DataFrame) -> DataFrame:
-    """conv_id, turn, thread_path of each message with a parent: paths double each round until they reach a first message."""
-    now = checkpointed(parents.select("conv_id", "turn", F.col("parent_turn").alias("up"),
-                                      F.concat_ws("/", _place("parent_turn"), _place("turn")).alias("thread_path")))
+def threads(parents: DataFrame) -> DataFrame:
+    """conv_id, turn, thread_root, depth of each message with a parent: the way up doubles each round."""
+    now = checkpointed(parents.select("conv_id", "turn", F.col("parent_turn").alias("up"), F.lit(1).cast("long").alias("depth")))
     while not now.isEmpty():
-        above = now.select(F.col("conv_id"), F.col("turn").alias("up"), F.col("up").alias("further"), F.col("thread_path").alias("upper"))
-        met = now.join(above, ["conv_id", "up"], "left")
-        longer = met.select("conv_id", "turn", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved"),
-                            F.when(F.col("further").isNull(), F.col("thread_path")).otherwise(
-                                F.concat("upper", F.expr(f"substring(thread_path, {PLACES + 1})"))).alias("thread_path"))
-        longer = checkpointed(longer)
-        now = longer.drop("moved")
-        if longer.where("moved").isEmpty():
+        above = now.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
+        now = checkpointed(now.join(above, ["conv_id", "up"], "left").select(
+            "conv_id", "turn", F.coalesce("further", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            F.col("further").isNotNull().alias("moved")))
+        done = now.where("moved").isEmpty()
+        now = now.drop("moved")
+        if done:
             break
-    return now.select("conv_id", "turn", "thread_path")
+    return now.select("conv_id", "turn", F.col("up").alias("thread_root"), "depth")
 
 
 def chats(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, parent_turn, thread_path, quote_level, n_quoted, content: a row for each message, quotes removed."""
+    """conv_id, turn, role, parent_turn, thread_root, depth, quote_level, n_quoted, content: a row for each message, quotes removed."""
     rows = parsed(messages)
     parents = checkpointed(links(rows))
-    placed = parents.join(paths(parents), ["conv_id", "turn"])
-    out = rows.drop("t")
-    out = out.join(placed, ["conv_id", "turn"], "left")
-    return out.select("conv_id", "turn", "role", "parent_turn", F.coalesce("thread_path", _place("turn")).alias("thread_path"),
-                      "quote_level", "n_quoted", F.col("own_text").alias("content"))
+    placed = parents.join(threads(parents), ["conv_id", "turn"])
+    out = rows.drop("passages").join(placed, ["conv_id", "turn"], "left")
+    return out.select("conv_id", "turn", "role", "parent_turn", F.coalesce("thread_root", "turn").alias("thread_root"),
+                      F.coalesce("depth", F.lit(0)).alias("depth"), "quote_level", "n_quoted", F.col("own_text").alias("content"))
 
 
 def formatted(rows: DataFrame) -> DataFrame:
-    """The messages of ``chats`` with their chat markup, to be written ordered by conv_id and thread_path."""
+    """The messages of ``chats`` with their chat markup, to be written ordered by conv_id, thread_root, depth, parent_turn and turn."""
     return rows.withColumn("markup", F.concat(F.lit("<|"), F.coalesce("role", F.lit("user")), F.lit("|>\n"), "content", F.lit("\n")))
 
 
 def digests(messages: DataFrame) -> DataFrame:
     rows = chats(messages)
-    return rows.select("conv_id", "turn", "role", "parent_turn", "thread_path", "quote_level", "n_quoted",
+    return rows.select("conv_id", "turn", "role", "parent_turn", "thread_root", "depth", "quote_level", "n_quoted",
                        F.length("content").cast("long").alias("n_chars"), F.md5(F.col("content").cast("binary")).alias("content_md5"))
+
+
+def with_quotations(messages: DataFrame) -> DataFrame:
+    """The conversations as if every message quoted what it answers: odd turns the one before, wrapped anew below an
+    attribution; even turns the two before, one level deeper the older one."""
+    base = (messages.where("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn")
+            .agg(F.min("role").alias("role"), F.min(text_of()).alias("text")))
+    before = [base.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("text").alias(f"text{k}")) for k in (1, 2)]
+    rows = base.join(before[0], ["conv_id", "turn"], "left").join(before[1], ["conv_id", "turn"], "left")
+
+    def quote(text: Column, marks: str) -> Column:
+        return F.concat(F.lit(marks), F.replace(text, F.lit("\n"), F.lit("\n" + marks)), F.lit("\n"))
+
+    wrapped = F.regexp_replace("text1", r"((?:\S+ ){6})", "$1\n")
+    odd = F.concat(F.lit("On Monday, A wrote:\n"), quote(wrapped, "> "), F.col("text"))
+    even = F.concat(quote(F.col("text2"), "> > "), quote(F.col("text1"), "> "), F.col("text"))
+    text = F.when((F.col("turn") % 2 == 1) & F.col("text1").isNotNull(), odd).when(
+        (F.col("turn") % 2 == 0) & F.col("text1").isNotNull() & F.col("text2").isNotNull(), even).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", "role", text.alias("text"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from periodfact.llm import (bpe, chat, fill_middle, fingerprints, html_extract, neardup, packing, quality, runs, secret_scan,
                             token_counts, token_files, toxicity)
 from periodfact.llm.common import table
-from periodfact.llm.oracle import CHAT, NEARDUP
+from periodfact.llm.oracle import CHAT, NEARDUP, QUOTED_REPLIES
 from periodfact.session import scratch_path
 
 
@@ -59,6 +59,11 @@ def op9_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(table(spark, sf_dir, "conversations"))
 
 
+def quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9's operator on the conversations with quotations put into them."""
+    return chat.digests(chat.with_quotations(table(spark, sf_dir, "conversations")))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -83,8 +88,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_secret_scan, op3_quality_ledger, op4_token_counts, op5_bpe_round_trip,
         op6_winnowing, op7_consensus_extraction, op8_min_max_neardup, op9_quotation_links, op10_toxicity, op11_simple8b_files,
-        op12_fill_in_middle, op13_periodic_runs)}
+        op12_fill_in_middle, op13_periodic_runs, quoted_replies)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_ledger": quality.ORACLE, "op8_min_max_neardup": NEARDUP, "op9_quotation_links": CHAT}
+    return {"op3_quality_ledger": quality.ORACLE, "op8_min_max_neardup": NEARDUP, "op9_quotation_links": CHAT,
+            "quoted_replies": QUOTED_REPLIES}

@@ -13,9 +13,10 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from periodfact.llm import bpe, chat, fingerprints, html_extract, neardup, packing, quality, secret_scan, token_counts, toxicity
+from periodfact.llm import bpe, chat, fingerprints, html_extract, neardup, packing, quality, secret_scan, token_counts, toxicity, vocab
 from periodfact.llm.common import table
 from periodfact.llm.graph import components
 SF_SMALL = "/root/testdata/sf0.001"
@@ -231,6 +232,24 @@ def test_lexicon_finds_its_words_only(words, others):
     assert lexicon.states() <= 1 + sum(map(len, known))
 
 
+def test_every_code_point_has_the_library_s_ids():
+    """Each one between letters, digits and a CJK character, for op5's codec and the encoder of op1 and op11."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    code, plain = bpe.Codec(RANKS, bpe.compile_lexicon([b" the"], bpe.merger(RANKS))), vocab.id_encoder(RANKS)
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for at in range(0, len(points), 8192):
+        text = "".join(f"a{chr(c)}1{chr(c)}\u8619{chr(c)}!\n" for c in points[at:at + 8192])
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert plain(text) == ids
+        assert code.encode([text, "a"])[0] == ids
+
+
+def test_frequent_words_are_bounded(spark):
+    docs = spark.createDataFrame([(i, "common " * 9 + f"w{i % 40} w{i % 40} once{i}") for i in range(200)], "doc_id long, text string")
+    assert bpe.frequent_words(docs, 1) == [b" common"]
+    assert len(bpe.frequent_words(docs, 40)) == 1 and len(bpe.frequent_words(docs, 41)) >= 41  # words of one count come together
+
+
 def test_lexicon_shares_suffixes():
     words = [a + b"ing" for a in (b"walk", b"talk", b"sing")]
     assert bpe.Lexicon(bpe.compile_lexicon(words, lambda w: [1])).states() < 1 + 7 + 4 + 4
@@ -474,12 +493,54 @@ def test_chat(spark):
     assert found.count() == len(rows)
     assert by[1, 2]["parent_turn"] == 0 and by[1, 2]["content"] == "I found it." and by[1, 2]["n_quoted"] == 2
     assert by[1, 3]["parent_turn"] == 1 and by[1, 3]["quote_level"] == 2 and by[1, 4]["parent_turn"] == 2 and by[1, 5]["parent_turn"] is None
-    assert by[1, 4]["thread_path"] == "/".join(f"{t:010d}" for t in (0, 2, 4))
+    assert (by[1, 4]["thread_root"], by[1, 4]["depth"]) == (0, 2) and (by[1, 5]["thread_root"], by[1, 5]["depth"]) == (5, 0)
     assert by[2, 0]["content"] == "" and by[None, 1]["parent_turn"] is None and by[None, 1]["content"] == "y"
     assert "<|user|>\nThanks!\n" in {r["markup"] for r in chat.formatted(found).collect()}
     assert chat.chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+CHAT_ROWS = "conv_id long, turn long, role string, text string"
+
+
+def parents(spark, texts):
+    rows = [(1, turn, "user", text) for turn, text in texts.items()]
+    return {r["turn"]: (r["parent_turn"], r["thread_root"], r["depth"]) for r in chat.chats(spark.createDataFrame(rows, CHAT_ROWS)).collect()}
+
+
+def test_the_outermost_level_decides(spark):
+    long = "This is the very long first message with a lot of words that everybody quotes again and again."
+    found = parents(spark, {0: long, 1: "> " + long + "\nShort answer here.", 2: "> > " + long + "\n> Short answer here.\nFine."})
+    assert found == {0: (None, 0, 0), 1: (0, 0, 1), 2: (1, 0, 2)}
+
+
+def test_wrapping_and_parts_of_a_passage_still_link(spark):
+    first = "One two three four five six seven eight nine ten.\nEleven twelve thirteen fourteen, fifteen sixteen!"
+    wrapped = "> One two three four\n> five six seven\n> eight nine ten. Eleven twelve\n> thirteen fourteen, fifteen sixteen!\nyes"
+    part = "> four five six seven eight nine\nno"
+    spread = "> ONE   two three, four five six\n\nwhat?"
+    found = parents(spark, {0: first, 1: "Something else that nobody ever quotes in here", 2: wrapped, 3: part, 4: spread, 5: "> never said by anybody at all\nhm"})
+    assert [found[k][0] for k in range(6)] == [None, None, 0, 0, 0, None]
+
+
+def test_any_number_of_marks_and_any_turn(spark):
+    hostile = {0: "Hello there", 1: ">" * 200_000 + " Hello there\nok", 2: "> " * 100_000 + "x", 3: " " * 50_000 + ">", 4: "a: " * 3000 + ":\n> Hello there"}
+    found = parents(spark, hostile)
+    assert found[1][0] == 0 and found[4][0] == 0
+    assert parents(spark, {-1: "Minus one", 12345678901: "> Minus one\nA question", 12345678902: "> A question\nAn answer"}) == {
+        -1: (None, -1, 0), 12345678901: (-1, -1, 1), 12345678902: (12345678901, -1, 2)}
+
+
+def test_a_long_chain_of_replies(spark):
+    texts = {k: (f"> word{k - 1} again\n" if k else "") + f"word{k} again" for k in range(60)}
+    found = parents(spark, texts)
+    assert all(found[k] == (k - 1 if k else None, 0, k) for k in texts)
+
+
+def test_quoted_conversations_link_mostly_to_the_turn_before(spark):
+    rows = chat.chats(chat.with_quotations(table(spark, SF_SMALL, "conversations"))).where("n_quoted > 0").collect()
+    assert len(rows) > 10 and sum(r["parent_turn"] == r["turn"] - 1 for r in rows) > 0.9 * len(rows)
+
+
 # -- 10 toxicity ------------------------------------------------------------
 
 def test_ordinal_fit_orders_grades():
