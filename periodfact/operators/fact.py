@@ -38,13 +38,6 @@ def _one_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.when(F.count("*") > 1, several.cast(types[c])).otherwise(F.any_value(F.col(q(c)))).alias(c) for c in rest])
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail if a key repeats (one aggregation job; used to guard spine sides)."""
-    dup = df.groupBy(*[F.col(q(k)) for k in keys]).count().where("count > 1").limit(1).count()
-    if dup:
-        raise ValueError(f"keys {list(keys)} are not unique")
-
-
 def to_decimal(df: DataFrame, cols: Sequence[str], precision: int = 10, scale: int = 2,
                overflow: str = "null") -> DataFrame:
     """K2: store measures as ``DECIMAL(precision, scale)``.

@@ -1,4 +1,4 @@
-"""Tallies, first-match lookups, shares and winners."""
+"""Tallies, first-match lookups, shares and winners."""
 
 from __future__ import annotations
 
@@ -10,20 +10,6 @@ from pyspark.sql import functions as F
 from periodfact.functions import casefold_key, exact_sum, share
 from periodfact.operators.columns import q
 
-# Largest lookup (distinct keys) that is shipped to every task.  Beyond it the
-# join is a shuffle join and AQE decides at run time.
-MAX_BROADCAST_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check is a bounded job (``limit(max_rows + 1).count()``).  Larger
-    frames are returned unchanged, so the join stays a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def tally(df: DataFrame, keys: Sequence[str], measure: str, out: str = "votes",
           exact_scale: int | None = None) -> DataFrame:
@@ -37,12 +23,6 @@ def tally(df: DataFrame, keys: Sequence[str], measure: str, out: str = "votes",
     return df.groupBy(*[F.col(q(k)) for k in keys]).agg(agg.alias(out))
 
 
-def total(df: DataFrame, keys: Sequence[str], measure: str, out: str = "total",
-          exact_scale: int | None = None) -> DataFrame:
-    """A3: the share denominator (all valid votes) per group, kept as a frame."""
-    return tally(df, keys, measure, out, exact_scale)
-
-
 def first_by_key(dim: DataFrame, key: str, values: Sequence[str], ordinal: str,
                  casefold: bool = False, key_out: str = "__key") -> DataFrame:
     """One row per lookup key: the values of the row with the lowest ordinal.
@@ -59,8 +39,7 @@ def first_by_key(dim: DataFrame, key: str, values: Sequence[str], ordinal: str,
 
 def lookup_first(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
                  values: Sequence[str], ordinal: str, casefold: bool = False,
-                 how: str = "left", max_broadcast_rows: int | None = None,
-                 unique: bool = False) -> DataFrame:
+                 how: str = "left", unique: bool = False) -> DataFrame:
     """J3 (+O2, X6): attach the first matching lookup row to every row.
 
     One deduplicated lookup and one join replace a job per key.  By default
@@ -68,8 +47,7 @@ def lookup_first(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
     a side whose estimated size (an upper bound after aggregation) is under
     ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks the actual
     size at run time; anything larger stays a sort-merge join with AQE skew
-    splitting.  ``max_broadcast_rows`` forces a broadcast behind an explicit
-    bounded row count instead.
+    splitting.
 
     ``unique=True`` declares ``right_on`` a primary key of ``dim`` (at most
     one row per key): the first-match deduplication, a sort-based
@@ -80,8 +58,6 @@ def lookup_first(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
         first = dim.where(k.isNotNull()).select(k.alias("__key"), *[F.col(q(v)) for v in values])
     else:
         first = first_by_key(dim, right_on, values, ordinal, casefold)
-    if max_broadcast_rows is not None:
-        first = bounded_broadcast(first, max_broadcast_rows)
     lk = casefold_key(F.col(q(left_on))) if casefold else F.col(q(left_on))
     return df.join(first, lk == first["__key"], how).drop("__key")
 

@@ -13,12 +13,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from periodfact.functions import strip_prefix
-from periodfact.operators import BlockLayout
+from periodfact.operators import BlockLayout, lag_change, measure_gap
 from periodfact.operators.contract import Contract, conform
 from periodfact.plans.families import Family, Lookup, families_fact
-from periodfact.plans.mart import Indicator, indicator_mart
+from periodfact.plans.mart import Indicator, indicator_frame, indicator_mart
+from periodfact.sinks import save_table
+from periodfact.sources import files_exist
 
 # The eight orientations, in the order used for ties and columns.
 ORIENTATIONS = ["Extreme gauche", "Gauche radicale", "Gauche", "Ecologie", "Centre", "Droite",
@@ -165,15 +168,47 @@ def learn_from_fact(spark: SparkSession, fact: DataFrame, seed: int = 42, test_s
     A feature that the fact lacks is an error; ``absent`` names those that are
     0 because their source file is known to be missing.
     """
-    from pyspark.sql import functions as F
-
     from periodfact.plans.learning import model_report
+    return model_report(spark, _learnable(fact, absent), "row_key", "winner", FEATURES, seed=seed, test_size=test_size,
+                        scenarios=SCENARIOS)
+
+
+def learn_by_best_seed(spark: SparkSession, fact: DataFrame, seeds: Sequence[int] = tuple(range(50)), absent: Sequence[str] = ()) -> dict:
+    """The reference's whole learning run on the fact: see :func:`periodfact.plans.learning.learning_protocol`."""
+    from periodfact.plans.learning import learning_protocol
+    return learning_protocol(spark, _learnable(fact, absent), "row_key", "winner", FEATURES, seeds, SCENARIOS)
+
+
+def _learnable(fact: DataFrame, absent: Sequence[str]) -> DataFrame:
     lacking = [c for c in FEATURES if c not in fact.columns and c not in absent]
     if lacking:
         raise ValueError(f"features that the fact lacks: {lacking}")
-    data = fact.withColumns({c: F.col(c).cast("double") if c in fact.columns else F.lit(0.0)
-                             for c in FEATURES})
-    data = data.withColumn("row_key", F.concat_ws("|", "period", "family")).where(
-        F.col("winner").isNotNull())
-    return model_report(spark, data, "row_key", "winner", FEATURES, seed=seed, test_size=test_size,
-                        scenarios=SCENARIOS)
+    data = fact.withColumns({c: F.col(c).cast("double") if c in fact.columns else F.lit(0.0) for c in FEATURES})
+    return data.withColumn("row_key", F.concat_ws("|", "period", "family")).where(F.col("winner").isNotNull())
+
+
+#: The indicator tables that are stored beside the fact.
+INDICATOR_TABLES = {"taux_chomage": "unemployment", "pouvoir_achat": "purchasing", "infractions_criminalite": "incidents",
+                    "population_etrangere": "population", "insecurite_france": "insecurity"}
+
+
+def indicator_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Each stored indicator table, and ``evolution_smic_inflation``: wage and price index, their gap and their yearly changes.
+
+    A file that is absent has no table.
+    """
+    specs = {k: Indicator(f"{root}/{path}", measures, **extra) for k, (path, measures, extra) in INDICATORS.items()}
+    found = {name: indicator_frame(spark, specs[k]) for name, k in INDICATOR_TABLES.items() if files_exist(spark, specs[k].path)}
+    if files_exist(spark, specs["base"].path):
+        wage, prices = specs["base"].measures
+        gap = measure_gap(indicator_frame(spark, specs["base"]), wage, prices, "resultat_soustraction")
+        found["evolution_smic_inflation"] = lag_change(gap, {"smic_evolution": wage, "prix_conso_evolution": prices}, per_period=True)
+    return found
+
+
+def save_indicator_tables(spark: SparkSession, root: str, target_dir: str) -> list[str]:
+    """K1 for each of :func:`indicator_tables`; the names of the tables written."""
+    tables = indicator_tables(spark, root)
+    for name, table in tables.items():
+        save_table(table, f"{target_dir.rstrip('/')}/{name}")
+    return sorted(tables)

@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from periodfact.operators import BlockLayout, spine_join, sum_all_by_period, tally
+from periodfact.operators import (BlockLayout, drop_columns, lag_change, mean_by_period, measure_gap, spine_join,
+                                  sum_all_by_period, tally)
 from periodfact.operators.contract import conform
 from periodfact.operators.fact import to_decimal
 from periodfact.plans.elections import FACT_TABLE
@@ -187,7 +188,16 @@ def sum_discounted_by_period(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select("period", *[F.round(c, 4).alias(c) for c in ("discounted", "charged")])
 
 
+# A1 P1 P5 P7 W1 -------------------------------------------------------------
+def evolution_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Two yearly means, their gap and both changes against the year before, without the columns that the table doesn't keep."""
+    means = mean_by_period(lineitem(spark, sf), {"avg_price": "l_extendedprice", "avg_quantity": "l_quantity", "avg_tax": "l_tax"}, exact_scale=2)
+    table = measure_gap(means, "avg_price", "avg_quantity", "gap")
+    changes = {"price_change": "avg_price", "quantity_change": "avg_quantity"}
+    return drop_columns(lag_change(table, changes, per_period=True), ["avg_tax"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found: Sequence[Callable] = (wide_files_layouts_fact, wide_files_layout_report, fact_unmatched_bucket, fact_unmatched_drop,
-                                 fact_unmatched_error, stored_fact_table, fact_appended_twice, sum_discounted_by_period)
+                                 fact_unmatched_error, stored_fact_table, fact_appended_twice, sum_discounted_by_period, evolution_table)
     return {f.__name__: f for f in found}

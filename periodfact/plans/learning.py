@@ -6,6 +6,8 @@ language-specific letters in the whole text; ``embeddings`` drives KNN.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -221,6 +223,29 @@ def model_report(spark: SparkSession, data: DataFrame, key: str, label: str, fea
     return scores, preds
 
 
+def learning_protocol(spark: SparkSession, data: DataFrame, key: str, label: str, features: list[str],
+                      seeds: Sequence[int] = tuple(range(N_SEEDS)), scenarios: list | None = None, first_period: int = 2025) -> dict:
+    """The whole protocol: a first report on a small hold-out, the seed whose forest scores best on the large one (the
+    cuts of all seeds from four reads), and the report and scenario predictions of that seed.
+
+    Returns ``first`` and ``final`` score tables, ``seed``, ``accuracies`` by seed and ``predictions`` (None without scenarios).
+    """
+    from periodfact.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    prepared = L.assemble_features(data.select(key, label, *features).checkpoint(), features)
+    first, _ = model_report(spark, prepared, key, label, features, SEED, TEST_SIZE)
+    sides = L.splits(prepared, key, label, FINAL_TEST_SIZE, list(seeds))
+
+    def accuracy(seed: int) -> float:
+        train, test = sides[seed]
+        pred = L.fit_forest(train, label, seed=seed).transform(test)
+        return L.score(pred.select(F.col(label).alias("label"), "predicted")).first()["accuracy"]
+
+    best, accuracies = L.seed_search(accuracy, list(seeds))
+    final, predictions = model_report(spark, prepared, key, label, features, best, FINAL_TEST_SIZE, scenarios, first_period)
+    return {"first": first, "seed": best, "accuracies": dict(accuracies), "final": final, "predictions": predictions}
+
+
 def fitted_models(spark: SparkSession, sf: str, seed: int = SEED, test_size: float = FINAL_TEST_SIZE):
     train, test = _split(spark, sf, seed, test_size)
     return {"Random Forest": L.fit_forest(train, "lang", seed=seed),

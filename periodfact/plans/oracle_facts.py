@@ -95,9 +95,23 @@ GROUP BY 1
 """
 
 
+def _changed(c: str) -> str:
+    return O.R(f"({c} - lag({c}) OVER w) / nullif(lag({c}) OVER w, 0) * 100")
+
+
+EVOLUTION = f"""
+WITH m AS (SELECT {O.P('l_shipdate')} AS period, {O.R(O.EM('l_extendedprice'))} AS avg_price, {O.R(O.EM('l_quantity'))} AS avg_quantity
+           FROM lineitem GROUP BY 1)
+SELECT period, avg_price, avg_quantity, avg_price - avg_quantity AS gap, {_changed('avg_price')} AS price_change,
+       {_changed('avg_quantity')} AS quantity_change
+FROM m WINDOW w AS (ORDER BY period)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     known = "p_brand < 'Brand#3'"
     return {"wide_files_layouts_fact": LAYOUTS_FACT, "wide_files_layout_report": LAYOUT_REPORT,
             "fact_unmatched_bucket": _misses("bucket", known), "fact_unmatched_drop": _misses("drop", known),
             "fact_unmatched_error": _misses("error", "TRUE"), "stored_fact_table": _stored_fact(),
-            "fact_appended_twice": O.FAMILY_UNION, "sum_discounted_by_period": SUM_DISCOUNTED}
+            "fact_appended_twice": O.FAMILY_UNION, "sum_discounted_by_period": SUM_DISCOUNTED,
+            "evolution_table": EVOLUTION}
