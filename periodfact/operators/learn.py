@@ -1,12 +1,13 @@
 """Learning and scoring on Spark.
 
 The hold-out, oversampling, KNN and all scores are DataFrame plans; the
-driver only sees bounded values: per seed and class a row count and a cut, the
-label list and scores.
+driver only sees bounded values: per seed and class a histogram of at most 4,096
+counts and a cut, the label list and scores.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodfact.operators.columns import q
-from periodfact.session import ensure_checkpoint_dir
 
 HASH = "__h"
-HEX_DIGITS = 4            # of the histogram's prefixes (65,536 buckets)
+HEX_DIGITS = 3            # of the histogram's prefixes (4,096 buckets)
+INLINE_CUTS = 32          # up to so many boundary buckets are a condition, more a join
+MAX_BOUNDARY_ROWS = 8192  # rows of boundary buckets that are sorted on the driver, more are ranked in Spark
 
 
 # M1 P6 X8 -------------------------------------------------------------------
@@ -63,35 +65,55 @@ def seeded_rows(df: DataFrame, key: str, seeds: Sequence[int | str], group: str
     return rows.withColumn(HASH, F.md5(F.concat_ws("|", "seed", *parts, F.col("k").cast("string"))))
 
 
-def smallest_k_cuts(rows: DataFrame, need: Callable[[Column, Column], Column]) -> dict:
+def smallest_k_cuts(rows: DataFrame, need: Callable[[int, int], int]) -> dict:
     """For each (seed, group) of :func:`seeded_rows`: its row count and the ``(hash, key)`` of its k-th smallest row.
 
     ``need`` gives k from the group's row count and the largest count of the
     seed's groups; without a k-th row the cut is None.  Two reads for any number
-    of seeds and groups: one histogram of rows per hash prefix (at most 65,536
-    buckets each, reduced before it is shuffled) tells the bucket that holds the
-    k-th row, and only the rows of those buckets are ranked.  The driver gets
-    one row for each seed and group.
+    of seeds and groups: one histogram of rows per hash prefix (reduced before
+    it is shuffled) tells the bucket that holds the k-th row, and only the rows
+    of those buckets are ranked, each bucket by itself.
     """
-    prefix = F.substring(F.col(HASH), 1, HEX_DIGITS)
-    ensure_checkpoint_dir(rows.sparkSession)
-    buckets = rows.groupBy("seed", "g", prefix.alias("b")).agg(F.count("*").alias("n")).checkpoint()
-    whole = Window.partitionBy("seed", "g")
-    totals = buckets.groupBy("seed", "g").agg(F.sum("n").alias("all"))
-    totals = totals.withColumn("k_wanted", need(F.col("all"), F.max("all").over(Window.partitionBy("seed"))))
-    upto = F.sum("n").over(whole.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    t = totals.select("seed", F.col("g").alias("tg"), "k_wanted")
-    same = (F.col("x.seed") == F.col("t.seed")) & F.col("x.g").eqNullSafe(F.col("t.tg"))
-    edges = (buckets.withColumn("upto", upto).alias("x").join(t.alias("t"), same)
-             .where((F.col("upto") >= F.col("k_wanted")) & (F.col("upto") - F.col("n") < F.col("k_wanted")))
-             .select("x.seed", F.col("x.g").alias("eg"), F.col("x.b").alias("eb"), (F.col("k_wanted") - F.col("upto") + F.col("n")).alias("rest")))
-    hit = (F.col("x.seed") == F.col("e.seed")) & F.col("x.g").eqNullSafe(F.col("e.eg")) & (prefix == F.col("e.eb"))
-    near = rows.alias("x").join(F.broadcast(edges).alias("e"), hit)  # a row for each seed and group
-    place = F.row_number().over(Window.partitionBy("x.seed", "x.g").orderBy(HASH, "k"))
-    cuts = (near.select("x.seed", "x.g", HASH, "k", "rest", place.alias("place")).where("place = rest")
-            .select("seed", "g", HASH, "k").collect())
-    found = {(r["seed"], r["g"]): (r[HASH], r["k"]) for r in cuts}
-    return {(r["seed"], r["g"]): (r["all"], found.get((r["seed"], r["g"]))) for r in totals.collect()}
+    prefix = F.conv(F.substring(F.col(HASH), 1, HEX_DIGITS), 16, 10).cast("long")
+    counted = rows.groupBy("seed", "g", prefix.alias("b")).agg(F.count("*").alias("n")).toArrow().to_pylist()
+    buckets: dict = {}
+    for r in counted:
+        buckets.setdefault((r["seed"], r["g"]), []).append((r["b"], r["n"]))
+    totals = {at: sum(n for _, n in found) for at, found in buckets.items()}
+    largest: dict = {}
+    for (seed, _), n in totals.items():
+        largest[seed] = max(n, largest.get(seed, 0))
+    edges = []  # seed, group, the bucket of the k-th row, its place there
+    for (seed, g), found in buckets.items():
+        left = need(totals[seed, g], largest[seed])
+        for b, n in sorted(found) if 0 < left <= totals[seed, g] else ():
+            if left <= n:
+                edges.append((seed, g, b, left))
+                break
+            left -= n
+    cuts: dict = {}
+    if edges:
+        schema = T.StructType([rows.schema["seed"], T.StructField("eg", rows.schema["g"].dataType), T.StructField("eb", T.LongType()),
+                               T.StructField("rest", T.LongType())])
+        table = rows.sparkSession.createDataFrame(edges, schema).withColumnRenamed("seed", "es")
+        placed = rows.withColumn("b", prefix)
+        if len(edges) <= INLINE_CUTS:
+            hit = F.lit(False)
+            for seed, g, b, _ in edges:
+                hit = hit | ((F.col("seed") == F.lit(seed)) & F.col("g").eqNullSafe(F.lit(g)) & (F.col("b") == F.lit(b)))
+            placed = placed.where(hit)
+            sizes = {(seed, g): dict(buckets[seed, g])[b] for seed, g, b, _ in edges}
+            if sum(sizes.values()) <= MAX_BOUNDARY_ROWS:
+                near: dict = {}
+                for r in placed.select("seed", "g", HASH, "k").toArrow().to_pylist():
+                    near.setdefault((r["seed"], r["g"]), []).append((r[HASH], r["k"]))
+                cuts = {(seed, g): sorted(near[seed, g])[left - 1] for seed, g, _, left in edges}
+                return {at: (n, cuts.get(at)) for at, n in totals.items()}
+        same = (F.col("seed") == F.col("es")) & F.col("g").eqNullSafe(F.col("eg")) & (F.col("b") == F.col("eb"))
+        place = F.row_number().over(Window.partitionBy("seed", "g").orderBy(HASH, "k"))
+        ranked = placed.join(F.broadcast(table), same).withColumn("place", place)  # the table: a row for each seed and group
+        cuts = {(r["seed"], r["g"]): (r[HASH], r["k"]) for r in ranked.where("place = rest").select("seed", "g", HASH, "k").collect()}
+    return {at: (n, cuts.get(at)) for at, n in totals.items()}
 
 
 def _within_cut(key: str, cut) -> Column:
@@ -102,10 +124,8 @@ def _within_cut(key: str, cut) -> Column:
 
 
 # M2 ---------------------------------------------------------------------------
-def _test_rows(test_size: float | int) -> Callable[[Column, Column], Column]:
-    if isinstance(test_size, int):
-        return lambda n, _: F.least(n, F.lit(test_size))
-    return lambda n, _: F.ceil(n.cast("double") * F.lit(test_size))
+def _test_rows(test_size: float | int) -> Callable[[int, int], int]:
+    return lambda n, _: min(n, test_size) if isinstance(test_size, int) else math.ceil(n * test_size)
 
 
 def holdout(df: DataFrame, key: str, test_size: float | int, seed: int = 42,

@@ -15,9 +15,10 @@ def test_holdout_exact_disjoint_reproducible(spark):
     assert a.where("not is_test").count() == 600
 
 
-@pytest.mark.parametrize("digits", [1, 4, 8])
+@pytest.mark.parametrize("digits", [1, 3])
 def test_cut_refinement_with_small_boundary(spark, monkeypatch, digits):
     monkeypatch.setattr(L, "HEX_DIGITS", digits)
+    monkeypatch.setattr(L, "MAX_BOUNDARY_ROWS", 1000 * (digits % 3))  # 1: on the driver, 3: ranked in Spark
     df = spark.range(5000).withColumnRenamed("id", "key")
     h = L.holdout(df, "key", 1234, seed=1)
     assert h.where("is_test").count() == 1234
