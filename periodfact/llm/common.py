@@ -31,12 +31,27 @@ def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.
             yield batch.slice(at, size)
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write to a shared path and read back: cuts the lineage, survives lost executors."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(path: str):
+    """(pyarrow's file system, the place in it) of a path as Spark writes it."""
+    from pyarrow.fs import FileSystem
+    return FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)
+
+
+def remove(path: str) -> None:
+    """Delete a folder that ``written`` made and nothing reads any more."""
+    fs, folder = file_system(path)
+    fs.delete_dir(folder)
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``written`` to a fresh folder of the shared scratch space."""
+    return written(df, scratch_path(df.sparkSession, name))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

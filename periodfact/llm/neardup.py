@@ -11,13 +11,13 @@ Candidate search.  (1) Rounds of stars: each bucket has a centre; a document
 takes, of its buckets' centres, the one of the nearest sketch, if that may
 still be in reach and isn't in its component yet.  Such links are confirmed on
 the full sets and merged.  This joins large groups of near copies with about
-one comparison for a document and round.  (2) What is left: in buckets that
-still hold several components, documents whose own shingles rule every link out
-go; the full sets of the others are sent to the bucket's blocks, where those
-outside the centre's component meet the bucket's documents of other components.
-A block holds a bounded number of shingles (a hot bucket has as many as it
-needs), compares exactly by bit rows, and returns only a forest of the links
-between components, so no pair leaves its block.  Every pair that shares a
+one comparison for a document and round.  (2) What is left, in buckets that still
+hold several components: blocks of bounded size (a hot bucket has as many as it
+needs) bring the documents outside a bucket's home component together with those
+of other components.  First sketches alone are compared; documents without a
+partner in reach go, then those whose own shingles rule every link out.  The full
+sets of the others are compared exactly, by bit rows, and a block returns only a
+forest of the links between components, so no pair leaves its block.  Every pair that shares a
 bucket and may be linked is either confirmed, refuted or already in one component.
 
 Bounds of op8's rule: two documents of similarity 0.85 share no bucket with
@@ -66,6 +66,8 @@ USUAL = Rule(5, 80, 32, 4, 44)
 #: Shingles of a block, each document counted with ``BLOCK_DOCUMENT`` more (bounds the bit rows).
 BLOCK_SHINGLES, BLOCK_DOCUMENT = 1 << 19, 200
 SLAB = 4096
+#: Documents of a block that compares sketches.
+SKETCH_BLOCK = 4096
 #: Up to so many ids (8 MB) are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -230,43 +232,95 @@ def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule = CONTRACT) -> DataF
             .where(f"100L * common >= {rule.link}L * either").select("a", "b").distinct())
 
 
+def _in_blocks(mixed: DataFrame, weight: Column, limit: int) -> DataFrame:
+    """key, i, j, asks, answers, id, comp, ..: the documents of the buckets with several components, in blocks of bounded weight.
+
+    In block (i, j) the i-th part of the documents outside the bucket's home
+    component (``asks``) meets the j-th part of all.  A bucket within the limit
+    is one block, and each of its documents there once.
+    """
+    more = [c for c in mixed.columns if c not in ("key", "id", "comp")]
+    buckets = (mixed.groupBy("key").agg(F.min_by("comp", F.xxhash64("id")).alias("home"), F.min("comp").alias("least"),
+                                        F.max("comp").alias("most"), F.sum(weight).alias("weight"))
+               .where("least < most").select("key", "home", F.ceil(F.col("weight") / limit).cast("int").alias("parts")))
+    placed = mixed.join(buckets, "key").withColumn("outside", F.col("comp") != F.col("home"))
+    asking = placed.groupBy("key").agg(F.ceil(F.sum(F.when(F.col("outside"), weight)) / limit).cast("int").alias("asking"))
+    placed = placed.join(asking, "key").withColumn("spot", F.xxhash64("id", F.lit(1)))
+    zero, own = F.lit(0), F.expr("cast(pmod(spot, parts) as int)")
+    spots = F.when(F.col("parts") == 1, F.array(F.struct(zero.alias("i"), zero.alias("j"), F.col("outside").alias("asks"), F.lit(True).alias("answers")))).otherwise(
+        F.concat(F.transform(F.sequence(zero, F.col("asking") - 1), lambda i: F.struct(i.alias("i"), own.alias("j"), F.lit(False).alias("asks"), F.lit(True).alias("answers"))),
+                 F.when(F.col("outside"), F.transform(F.sequence(zero, F.col("parts") - 1), lambda j: F.struct(
+                     F.expr("cast(pmod(spot, asking) as int)").alias("i"), j.alias("j"), F.lit(True).alias("asks"), F.lit(False).alias("answers"))))
+                 .otherwise(F.array().cast("array<struct<i:int,j:int,asks:boolean,answers:boolean>>"))))
+    return placed.select("key", F.explode(spots).alias("at"), "id", "comp", *more).select("key", "at.*", "id", "comp", *more)
+
+
+def _per_block(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on each block's rows (one Arrow table); a task holds one block at a time."""
+    def run(batches):
+        held, at = [], None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for first, stop in zip(cuts, cuts[1:]):
+                if first == stop:
+                    continue
+                block = tuple(keys[:, first])
+                if block != at:
+                    if held:
+                        yield work(pa.Table.from_batches(held).combine_chunks())
+                    held, at = [], block
+                held.append(batch.slice(first, stop - first))
+        if held:
+            yield work(pa.Table.from_batches(held).combine_chunks())
+
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, schema)
+
+
+def _column(block: pa.Table, name: str) -> np.ndarray:
+    return block.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def near_in_sketch(banded: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
+    """key, id, comp, n of the documents that a bucket brings together with another component, in reach by size and sketch.
+
+    Sketches alone travel here, and a row for a document and bucket comes back at most.
+    """
+    mixed = banded.join(_centres(banded, STAR_ROUNDS).select("key"), "key").select("key", "id", "comp", "n", "s")
+    field = np.uint64(6148914691236517205)
+
+    def work(block: pa.Table) -> pa.RecordBatch:
+        comp, n, answers = _column(block, "comp"), _column(block, "n"), _column(block, "answers")
+        s = block.column("s").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(comp), 4)
+        found = np.zeros(len(comp), bool)
+        for i in np.flatnonzero(_column(block, "asks")):
+            met = answers & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= rule.link * np.maximum(n, n[i]))
+            apart = s[met] ^ s[i]
+            near = np.flatnonzero(met)[np.bitwise_count((apart | apart >> np.uint64(1)) & field).sum(axis=1) <= rule.far]
+            if len(near):
+                found[near] = found[i] = True
+        kept = pa.array(found)
+        return pa.RecordBatch.from_arrays([block.column(c).combine_chunks().filter(kept) for c in ("key", "id", "comp", "n")], names=["key", "id", "comp", "n"])
+
+    return _per_block(_in_blocks(mixed, F.lit(1), SKETCH_BLOCK), work, "key long, id long, comp long, n long").distinct()
+
+
 def rest_blocks(banded: DataFrame, docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
-    """key, i, j, asks, comp, n, values: the documents of the buckets with several components, in blocks.
+    """Blocks (see ``_in_blocks``) with n and values (full set) of the documents that may still link.
 
     A document with u shingles that no other document of these buckets has is
     at most (n - u) / n like any of them; where that is too little it goes
-    first, and with it the buckets that are left with one component.  In block
-    (i, j) the i-th part of the documents outside the centre's component
-    (``asks``) meets the j-th part of all.
+    first, and with it the buckets that are left with one component.
     """
-    mixed = checkpointed(banded.join(_centres(banded, STAR_ROUNDS).select("key"), "key").select("key", "id", "comp", "n"))
+    mixed = checkpointed(near_in_sketch(banded, rule))
     ids = mixed.select("id", "n").distinct()
     full = checkpointed(_texts_of(docs, ids.select(F.col("id").alias("doc_id")), rule))
     alone = (full.select("doc_id", F.explode("values").alias("value")).groupBy("value")
              .agg(F.count("*").alias("df"), F.min("doc_id").alias("id")).where("df = 1")
              .groupBy("id").agg(F.count("*").alias("u")))
     out_of_reach = checkpointed(ids.join(alone, "id").where(f"100 * (n - u) < {rule.link} * n").select("id"))
-    mixed = mixed.join(out_of_reach, "id", "left_anti")
-    weight = F.col("n") + BLOCK_DOCUMENT
-    buckets = (mixed.groupBy("key").agg(F.min_by("comp", F.xxhash64("id")).alias("home"), F.min("comp").alias("least"),
-                                        F.max("comp").alias("most"), F.sum(weight).alias("weight"))
-               .where("least < most").select("key", "home", F.ceil(F.col("weight") / BLOCK_SHINGLES).alias("parts")))
-    placed = mixed.join(buckets, "key").withColumn("outside", F.col("comp") != F.col("home"))
-    rows_out = placed.groupBy("key").agg(F.ceil(F.sum(F.when(F.col("outside"), weight)) / BLOCK_SHINGLES).alias("asking"))
-    placed = placed.join(rows_out, "key").withColumn("spot", F.xxhash64("id", F.lit(1)))
-    single = "parts = 1"
-    together = placed.where(single).select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("outside").alias("asks"),
-                                           F.lit(True).alias("answers"), "id", "comp", "n")
-    many = placed.where(f"NOT ({single})")
-    asking = many.where("outside").select(
-        "key", F.expr("cast(pmod(spot, asking) as int)").alias("i"), F.explode(F.expr("sequence(0, cast(parts as int) - 1)")).alias("j"),
-        F.lit(True).alias("asks"), F.lit(False).alias("answers"), "id", "comp", "n")
-    answering = many.select(
-        "key", F.explode(F.expr("sequence(0, cast(asking as int) - 1)")).alias("i"), F.expr("cast(pmod(spot, parts) as int)").alias("j"),
-        F.lit(False).alias("asks"), F.lit(True).alias("answers"), "id", "comp", "n")
-    rows = together.unionByName(asking).unionByName(answering)
-    return (rows.join(full.withColumnRenamed("doc_id", "id"), "id").drop("id")
-            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    rows = _in_blocks(mixed.join(out_of_reach, "id", "left_anti"), F.col("n") + BLOCK_DOCUMENT, BLOCK_SHINGLES)
+    return rows.join(full.withColumnRenamed("doc_id", "id"), "id").drop("id")
 
 
 def forest_of_block(asks: np.ndarray, answers: np.ndarray, comp: np.ndarray, n: np.ndarray, sizes: np.ndarray,
@@ -307,35 +361,15 @@ def forest_of_block(asks: np.ndarray, answers: np.ndarray, comp: np.ndarray, n:
 
 
 def links_in_blocks(blocks: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
-    """a, b: links between components, few for each block; a task holds one block at a time."""
-    def run(batches):
-        held, at = [], None
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
-            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for first, stop in zip(cuts, cuts[1:]):
-                if first == stop:
-                    continue
-                block = tuple(keys[:, first])
-                if block != at:
-                    if held:
-                        yield _links(held, rule.link)
-                    held, at = [], block
-                held.append(batch.slice(first, stop - first))
-        if held:
-            yield _links(held, rule.link)
-
-    return blocks.mapInArrow(run, "a long, b long").distinct()
-
-
-def _links(held: list[pa.RecordBatch], link: int) -> pa.RecordBatch:
-    whole = pa.Table.from_batches(held).combine_chunks()
-    column = {c: whole.column(c).combine_chunks() for c in ("asks", "answers", "comp", "n", "values")}
-    plain = {c: column[c].to_numpy(zero_copy_only=False) for c in ("asks", "answers", "comp", "n")}
-    found = forest_of_block(**plain, sizes=column["values"].value_lengths().to_numpy(),
-                            values=column["values"].flatten().to_numpy(), link=link)
-    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
-                                      names=["a", "b"])
+    """a, b: links between components, few for each block."""
+    def work(block: pa.Table) -> pa.RecordBatch:
+        values = block.column("values").combine_chunks()
+        found = forest_of_block(**{c: _column(block, c) for c in ("asks", "answers", "comp", "n")},
+                                sizes=values.value_lengths().to_numpy(), values=values.flatten().to_numpy(), link=rule.link)
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
+                                          names=["a", "b"])
+
+    return _per_block(blocks, work, "a long, b long").distinct()
 
 
 def shared_buckets(classes: DataFrame) -> DataFrame:

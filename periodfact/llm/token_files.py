@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
                                     WriterCommitMessage)
 
-from periodfact.llm.common import slices, text_of
+from periodfact.llm.common import file_system, slices, text_of
 from periodfact.llm.vocab import id_encoder
 
 CLOSING_ID = 2
@@ -190,11 +190,6 @@ class FileReader:
             start = end
 
 
-def _folder(path: str):
-    from pyarrow.fs import FileSystem
-    return FileSystem.from_uri(path)
-
-
 @dataclass
 class Written(WriterCommitMessage):
     part: int
@@ -230,7 +225,7 @@ class TokenFileWriter(DataSourceArrowWriter):
 
     def write(self, iterator):
         """Rows (doc_id, ids as little-endian unsigned 32-bit integers) in their order."""
-        fs, root = _folder(self.path)
+        fs, root = file_system(self.path)
         fs.create_dir(root, recursive=True)
         part, done, writer = TaskContext.get().partitionId(), [], None
 
@@ -257,13 +252,13 @@ class TokenFileWriter(DataSourceArrowWriter):
             for name, docs, ids in message.files:
                 listed.append({"name": name, "documents": docs, "ids": ids, "first": first})
                 first += ids
-        fs, root = _folder(self.path)
+        fs, root = file_system(self.path)
         fs.create_dir(root, recursive=True)
         with fs.open_output_stream(f"{root}/{LISTING}") as out:
             out.write(json.dumps(listed).encode())
 
     def abort(self, messages) -> None:
-        fs, root = _folder(self.path)
+        fs, root = file_system(self.path)
         for message in messages:
             for name, _, _ in message.files if message is not None else ():
                 fs.delete_file(f"{root}/{name}")
@@ -274,7 +269,7 @@ class TokenFileReader(DataSourceReader):
         self.path = path
 
     def partitions(self):
-        fs, root = _folder(self.path)
+        fs, root = file_system(self.path)
         with fs.open_input_stream(f"{root}/{LISTING}") as listed:
             files = json.loads(listed.read())
         return [OneFile(f["name"], f["first"]) for f in files] or [OneFile("", 0)]
@@ -282,7 +277,7 @@ class TokenFileReader(DataSourceReader):
     def read(self, partition):
         if not partition.name:
             return
-        fs, root = _folder(self.path)
+        fs, root = file_system(self.path)
         with fs.open_input_file(f"{root}/{partition.name}") as file:
             rows, held = [], 0
             for doc_id, start, ids in FileReader(file).documents():
