@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its rows are
 written as Parquet and read again as the next stage's ``docs``.  All stages but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``.  A stage's file goes once the next
+stage is written; the last one, which the returned plan reads, stays.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from periodfact.llm import neardup, packing, quality, secret_scan, toxicity
-from periodfact.llm.common import shared_table, table
+from periodfact.llm.common import remove, table, written
 from periodfact.llm.queries import RANKS, vocabulary
-from periodfact.session import ensure_checkpoint_dir, ship_package
+from periodfact.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = shared_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), path)
+        if before is not None:
+            remove(before)  # the stage that read it has been written
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
