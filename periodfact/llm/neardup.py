@@ -14,8 +14,8 @@ the full sets and merged.  This joins large groups of near copies with about
 one comparison for a document and round.  (2) What is left, in buckets that still
 hold several components: blocks of bounded size (a hot bucket has as many as it
 needs) bring the documents outside a bucket's home component together with those
-of other components.  First sketches alone are compared; documents without a
-partner in reach go, then those whose own shingles rule every link out.  The full
+of other components.  Where the rule says so, sketches alone are compared first and
+documents without a partner in reach go; then those whose own shingles rule every link out.  The full
 sets of the others are compared exactly, by bit rows, and a block returns only a
 forest of the links between components, so no pair leaves its block.  Every pair that shares a
 bucket and may be linked is either confirmed, refuted or already in one component.
@@ -58,11 +58,12 @@ class Rule:
     bands: int
     band_rows: int
     far: int
+    sketch_blocks: bool  # whether the rest's sketches are compared before its sets travel: worth it for many loose buckets
 
 
-CONTRACT = Rule(3, 85, 25, 5, 36)
+CONTRACT = Rule(3, 85, 25, 5, 36, False)
 #: The rule of everything but op8's query.
-USUAL = Rule(5, 80, 32, 4, 44)
+USUAL = Rule(5, 80, 32, 4, 44, True)
 #: Shingles of a block, each document counted with ``BLOCK_DOCUMENT`` more (bounds the bit rows).
 BLOCK_SHINGLES, BLOCK_DOCUMENT = 1 << 19, 200
 SLAB = 4096
@@ -312,7 +313,10 @@ def rest_blocks(banded: DataFrame, docs: DataFrame, rule: Rule = CONTRACT) -> Da
     at most (n - u) / n like any of them; where that is too little it goes
     first, and with it the buckets that are left with one component.
     """
-    mixed = checkpointed(near_in_sketch(banded, rule))
+    if rule.sketch_blocks:
+        mixed = checkpointed(near_in_sketch(banded, rule))
+    else:
+        mixed = checkpointed(banded.join(_centres(banded, STAR_ROUNDS).select("key"), "key").select("key", "id", "comp", "n"))
     ids = mixed.select("id", "n").distinct()
     full = checkpointed(_texts_of(docs, ids.select(F.col("id").alias("doc_id")), rule))
     alone = (full.select("doc_id", F.explode("values").alias("value")).groupBy("value")
