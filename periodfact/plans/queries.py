@@ -19,7 +19,7 @@ from periodfact.operators import (BlockLayout, assemble_fact, drop_null_keys, fi
                                   sum_all_by_period, tally, to_blocks, union_families, unmatched,
                                   unpivot_blocks, unpivot_layouts, winner_category, winner_item,
                                   winner_of_columns, with_period)
-from periodfact.plans.tables import (CATEGORIES, SEGMENT_CATEGORY, col_name, lineitem,
+from periodfact.plans.tables import (CATEGORIES, SEGMENT_CATEGORY, col_name, dealt, lineitem,
                                      literal_table, orders, read)
 
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -193,9 +193,11 @@ def numbered_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
     Line numbers repeat within an order; numbering the rows keeps every item.
     """
     li = read(spark, sf, "lineitem")
-    widest = li.groupBy("l_orderkey").count().agg(F.max("count")).first()[0] or 1
+    n_lines = li.count()
+    widest = dealt(li.select("l_orderkey"), n_lines, "l_orderkey").groupBy("l_orderkey").count().agg(F.max("count")).first()[0] or 1
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    return li.withColumn("block", F.row_number().over(w)), widest
+    cells = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    return dealt(cells, n_lines, "l_orderkey").withColumn("block", F.row_number().over(w)), widest
 
 
 def wide_orders(spark: SparkSession, sf: str) -> DataFrame:

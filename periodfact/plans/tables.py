@@ -64,3 +64,18 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_period(read(spark, sf_dir, "orders"), "o_orderdate")
+
+
+#: Rows that one task sorts and gathers.
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over tasks of about ``TASK_ROWS`` of its ``rows``.
+
+    Up to a task for each core is left to Spark; beyond, a fixed number of
+    shuffle partitions would let the memory of a task grow with the table.
+    """
+    spark = df.sparkSession
+    tasks, width = -(-rows // TASK_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df if tasks <= min(width, spark.sparkContext.defaultParallelism) else df.repartition(max(tasks, width), *keys)
