@@ -117,13 +117,23 @@ def tally_cells(rows: DataFrame, layouts: DataFrame, fields: Sequence[str], tota
             .agg(F.sum(parse_locale_number("cell")).alias(votes), F.count("*").alias("n")))
 
 
-def _with_headers(tallied: DataFrame, layouts: DataFrame, total: str | int, width: int | None) -> DataFrame:
-    """Tallied rows with their file's header: width and place of the total, and whether it ends inside a block."""
-    whole = Window.partitionBy("file")
+def _with_headers(tallied: DataFrame, layouts: DataFrame, total: str | int, width: int | None, stored: bool = False) -> DataFrame:
+    """Tallied rows with their file's header: width and place of the total, and whether it ends inside a block.
+
+    The headers of a ``stored`` tally, a row for each file, come from a second read of it and travel to its rows; else one
+    pass over all is kept and a task gathers the rows of whole files.
+    """
     is_header = F.col("kind") == HEADER
-    rows = with_layout(tallied, layouts).withColumns({
-        "header_width": F.max(F.when(is_header, F.col("place"))).over(whole) if isinstance(total, str) else F.lit(width).cast("int"),
-        "total_at": F.max(F.when(is_header, F.col("at"))).over(whole) if isinstance(total, str) else F.lit(total)})
+    rows = with_layout(tallied, layouts)
+    if not isinstance(total, str):
+        rows = rows.withColumns({"header_width": F.lit(width).cast("int"), "total_at": F.lit(total)})
+    elif stored:
+        heads = tallied.where(is_header).groupBy("file").agg(F.max("place").alias("header_width"), F.max("at").alias("total_at"))
+        rows = rows.join(F.broadcast(heads), "file", "left")
+    else:
+        whole = Window.partitionBy("file")
+        rows = rows.withColumns({"header_width": F.max(F.when(is_header, F.col("place"))).over(whole),
+                                 "total_at": F.max(F.when(is_header, F.col("at"))).over(whole)})
     return rows.withColumn("header_partial", _inside_block(F.col("header_width")))
 
 
@@ -134,13 +144,13 @@ def _inside_block(width: Column) -> Column:
 
 
 def counted_cells(tallied: DataFrame, layouts: DataFrame, items: Sequence[str], total: str | int, votes: str = "votes",
-                  width: int | None = None) -> DataFrame:
+                  width: int | None = None, stored: bool = False) -> DataFrame:
     """kind ('item' or 'total'), period, <item fields>, votes: what counts under each file's header.
 
     A file without a header that names the total, and a header that ends inside
     a block where the layout is strict, fail the job.
     """
-    rows = _with_headers(tallied, layouts, total, width)
+    rows = _with_headers(tallied, layouts, total, width, stored)
     wrong = F.when(F.col("total_at").isNull(), F.concat(F.lit(f"column {total!r} not in the header of "), "file")).when(
         F.col("header_partial") & F.col("layout.strict"), F.concat(F.lit("the layout leaves a partial block in "), "file"))
     last = F.col("layout.start") + F.col("place") * F.col("layout.step") + F.col("layout.span")

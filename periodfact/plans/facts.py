@@ -14,7 +14,7 @@ from periodfact.operators.fact import to_decimal
 from periodfact.plans.elections import FACT_TABLE
 from periodfact.plans.families import (Family, Lookup, families_fact, family_fact_from_partials, family_layout_report)
 from periodfact.plans.queries import lineitem_shares, order_means, q_family_union
-from periodfact.plans.tables import CATEGORIES, col_name, lineitem, orders, read
+from periodfact.plans.tables import CATEGORIES, TASK_ROWS, col_name, dealt, lineitem, orders, read
 from periodfact.session import scratch_path
 from periodfact.sinks import replace_facts
 
@@ -25,7 +25,7 @@ GEOMETRIES = [
     (["zone", "inscrits", "votants", TOTAL, "nuls"], BlockLayout(5, 4, {"item": 1, "votes": 3}, key=("item",)), 7, [1997, 1998]),
     (["zone", "a", "b", "c", TOTAL, "d"], BlockLayout(6, 3, {"item": 0, "votes": 2}, stop="first_missing", key=("item",)), 66, None),
 ]
-#: Files of a year.
+#: Files of a year, at least.
 FILES = 4
 
 
@@ -57,15 +57,18 @@ def _block_cells(layout: BlockLayout) -> Callable:
 def ragged_orders(spark: SparkSession, sf: str, base: str) -> Family:
     """lineitem as ragged result files: three geometries by year, the widest of 204 columns; rows end where their blocks end."""
     li = lineitem(spark, sf).where(F.col("period").isNotNull())
+    n_lines = li.count()
+    files = max(FILES, -(-n_lines // (4 * TASK_ROWS)))  # one task writes a file
     order = Window.partitionBy("period", "l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     many = F.lit(GEOMETRIES[-1][2])
     for _, _, n, years in reversed(GEOMETRIES[:-1]):
         many = F.when(F.col("period").isin(years), n).otherwise(many)
-    numbered = li.withColumn("place", F.row_number().over(order) - 1).withColumn("many", many)
+    cells = li.select("period", "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    numbered = dealt(cells, n_lines, "period", "l_suppkey").withColumn("place", F.row_number().over(order) - 1).withColumn("many", many)
     rows = (numbered.withColumn("row", F.floor(F.col("place") / F.col("many")))
             .groupBy("period", "l_suppkey", "row")  # at most 66 lines each
             .agg(F.sort_array(F.collect_list(F.struct("place", "l_partkey", "l_quantity"))).alias("blocks"), F.sum("l_quantity").alias("total"))
-            .withColumn("bucket", F.pmod(F.hash("l_suppkey", "row"), F.lit(FILES))))
+            .withColumn("bucket", F.pmod(F.hash("l_suppkey", "row"), F.lit(files))))
     line = header = None
     for lead, layout, n, years in reversed(GEOMETRIES):
         row = F.concat(F.array(*[F.col("total").cast("string") if c == TOTAL else F.lit("0") for c in lead]),
@@ -74,7 +77,7 @@ def ragged_orders(spark: SparkSession, sf: str, base: str) -> Family:
         here = F.col("period").isin(years) if years else None
         line = F.concat_ws(";", row) if here is None else F.when(here, F.concat_ws(";", row)).otherwise(line)
         header = names if here is None else F.when(here, names).otherwise(header)
-    heads = li.select("period").distinct().select("period", F.explode(F.array(*[F.lit(k) for k in range(FILES)])).alias("bucket"))
+    heads = li.select("period").distinct().select("period", F.explode(F.array(*[F.lit(k) for k in range(files)])).alias("bucket"))
     _write_lines(rows.select("period", "bucket", line.alias("line")), heads.select("period", "bucket", header.alias("line")), f"{base}/wide")
     return Family("orders", f"{base}/wide/period=*/bucket=*/*.txt", r"period=(\d{4})", n_cols=None, total_col=TOTAL,
                   layouts=[(years, layout) for _, layout, _, years in GEOMETRIES], item=["item"],

@@ -25,6 +25,7 @@ from periodfact.operators import (BlockLayout, assemble_fact, lookup_first, pivo
                                   shares, tally, union_families, unpivot_blocks, winner_item,
                                   winner_of_columns)
 from periodfact.operators.ragged import counted_cells, layout_report, layout_table, tally_cells
+from periodfact.session import scratch_path
 from periodfact.sources import files_exist, positional_schema, read_delimited, read_lines, read_period_files
 
 
@@ -152,10 +153,18 @@ def _shared_parts(fam: Family) -> tuple[list[str], tuple, Mapping]:
     return parts[0]
 
 
-def ragged_partials(spark: SparkSession, fam: Family, tallied: DataFrame | None = None) -> DataFrame:
-    """:func:`family_partials` of files whose headers differ, from one scan (or from a tally made before)."""
+def stored_tally(spark: SparkSession, fam: Family) -> DataFrame:
+    """:func:`ragged_tally`, written to the shared scratch space: its headers can be looked up without another scan of the files."""
+    tallied = ragged_tally(spark, fam)
+    path = scratch_path(spark, "tallied")
+    tallied.write.parquet(path)
+    return spark.read.schema(tallied.schema).parquet(path)
+
+
+def ragged_partials(spark: SparkSession, fam: Family, tallied: DataFrame | None = None, stored: bool = False) -> DataFrame:
+    """:func:`family_partials` of files whose headers differ, from one scan (or from a tally made before, ``stored`` or not)."""
     tallied = ragged_tally(spark, fam) if tallied is None else tallied
-    return counted_cells(tallied, layout_table(spark, fam.layouts), fam.item, fam.total_col, width=fam.n_cols)
+    return counted_cells(tallied, layout_table(spark, fam.layouts), fam.item, fam.total_col, width=fam.n_cols, stored=stored)
 
 
 def family_layout_report(spark: SparkSession, fam: Family, tallied: DataFrame | None = None) -> DataFrame:
@@ -173,7 +182,7 @@ def family_fact(spark: SparkSession, fam: Family, categories: Sequence[str],
     header decides, all files being read in one scan.  ``misses`` gathers the
     items without a category in the same pass.
     """
-    partials = ragged_partials(spark, fam) if is_ragged(fam) else family_partials(spark, fam, read_family(spark, fam))
+    partials = ragged_partials(spark, fam, stored_tally(spark, fam), stored=True) if is_ragged(fam) else family_partials(spark, fam, read_family(spark, fam))
     return family_fact_from_partials(spark, fam, partials, categories, aliases, misses)
 
 
