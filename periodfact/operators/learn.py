@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -305,6 +306,59 @@ class _LabelledModel:
 
 
 # M5 ---------------------------------------------------------------------------
+def _vector_codes(v: np.ndarray) -> np.ndarray:
+    """A number for each row of ``v``, the same for rows of the same bytes."""
+    return pd.factorize(np.fromiter((row.tobytes() for row in v), dtype=object, count=len(v)))[0]
+
+
+def _by_key(v: np.ndarray, keys: pa.Array, k: int) -> np.ndarray:
+    """The rows of ``v`` in key order (nulls last), of equal vectors the first k: no other can be among k nearest.
+
+    A vector with a NaN is at no distance from anything and left out.
+    """
+    order = pc.array_sort_indices(keys, null_placement="at_end").to_numpy()
+    order = order[~np.isnan(v[order]).any(axis=1)]
+    codes = pd.Series(_vector_codes(v[order]))
+    return order[codes.groupby(codes).cumcount().to_numpy() < k]
+
+
+def _add_nearest(best: list, x: np.ndarray, t: np.ndarray, keys: pa.Array, labels: pa.Array, k: int, test_block: int) -> None:
+    """Merge the rows ``t``, which are in key order, into the k ``best`` (distance, null key, key, label) of each row of ``x``.
+
+    A matrix product bounds all distances of a block from both sides; only the
+    pairs that may be among the k nearest by it get the exact distance, squared
+    differences summed in vector order.
+    """
+    m, dims = t.shape
+    with np.errstate(all="ignore"):
+        x2, t2 = (x * x).sum(axis=1), (t * t).sum(axis=1)
+        slack = 16 * (dims + 8) * np.finfo(np.float64).eps * (x2 + t2.max())  # of product and sum, well above their rounding
+        left, right = np.column_stack([x, np.ones(len(x))]), np.column_stack([-2.0 * t, t2]).T.copy()
+        for s in range(0, len(x), test_block):
+            e = min(s + test_block, len(x))
+            near = left[s:e] @ right  # less the square of the test row
+            limit = np.array([found[-1][0] if len(found) == k else np.inf for found in best[s:e]])
+            new = np.flatnonzero(np.isinf(limit))
+            if len(new) and m >= k:
+                limit[new] = np.partition(near[new], k - 1, axis=1)[:, k - 1] + x2[s:e][new] + slack[s:e][new]
+            row, col = np.nonzero(~(near > (limit + slack[s:e] - x2[s:e])[:, None]))  # a NaN stays in
+            d = np.zeros(len(row))
+            for j in range(dims):  # summed in vector order
+                diff = t[col, j] - x[s + row, j]
+                d += diff * diff
+            known = ~np.isnan(d)
+            row, col, d = row[known], col[known], d[known]
+            order = np.lexsort((col, d, row))
+            row, col, d = row[order], col[order], d[order]
+            first = np.searchsorted(row, row)
+            kept = np.arange(len(row)) - first < k
+            row, col, d = row[kept], col[kept], d[kept]
+            for i, dist, key, y in zip((s + row).tolist(), d.tolist(), keys.take(pa.array(col)).to_pylist(), labels.take(pa.array(col)).to_pylist()):
+                best[i].append((dist, key is None, key, y))
+            for i in np.unique(s + row).tolist():
+                best[i] = sorted(best[i], key=lambda found: found[:3])[:k]
+
+
 def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: str, vector: str,
                  label: str, k: int = 5, out: str = "predicted", batch_rows: int = 65536,
                  test_block: int = 64, task_rows: int = 32768) -> DataFrame:
@@ -314,12 +368,14 @@ def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: st
     folder.  The test side is dealt by key over at least as many tasks as
     there are cores, about ``task_rows`` rows each at most; a task gathers
     blocks of up to ``2 * task_rows`` rows, and streams the training side
-    back once for each block in Arrow batches of ``batch_rows`` rows with a
-    running top-k per test row.  So memory per task is bounded, nothing
-    passes through the driver, nothing is broadcast, and no (test, train)
-    pair is ever a row.  Distances are squared differences summed as doubles
+    back once for each block, about ``batch_rows`` rows at a time, with a
+    running top-k per distinct test vector.  So memory per task is bounded,
+    nothing passes through the driver, nothing is broadcast, and no (test,
+    train) pair is ever a row.  Distances are squared differences summed as doubles
     in vector order; distance ties go to the lower training key, vote ties
-    to the smaller label.  Spark lists the written files; pyarrow must be
+    to the smaller label.  A matrix product tells which pairs can't be among
+    the nearest (:func:`_add_nearest`); the work still grows with the product
+    of both sides.  Spark lists the written files; pyarrow must be
     able to read their file system (local, ``hdfs://``, ``s3://``, ``gs://``).
     """
     from periodfact.session import scratch_path
@@ -343,6 +399,17 @@ def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: st
         if held:
             yield pd.concat(held)
 
+    def gathered(batches):
+        held = []
+        for rb in batches:
+            if rb.num_rows:
+                held.append(rb)
+            if sum(b.num_rows for b in held) >= batch_rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks()
+
     def predict(batches):
         import pyarrow.dataset as ds
         import pyarrow.fs as pafs
@@ -358,39 +425,23 @@ def knn_classify(spark: SparkSession, train: DataFrame, test: DataFrame, key: st
         for pdf in blocks(batches):
             n = len(pdf)
             x = np.array([np.asarray(v, dtype=np.float64) for v in pdf["v"]]).reshape(n, -1)
-            best = [(np.empty(0), np.empty(0, dtype=object), np.empty(0, dtype=object))
-                    for _ in range(n)]
-            for rb in data.to_batches(columns=["k", "v", "y"], batch_size=batch_rows):
-                m = rb.num_rows
-                if m == 0:
-                    continue
-                t = rb.column("v").flatten().to_numpy(zero_copy_only=False).reshape(m, -1)
-                tk = np.asarray(rb.column("k").to_pylist(), dtype=object)
-                ty = np.asarray(rb.column("y").to_pylist(), dtype=object)
-                for s in range(0, n, test_block):
-                    xs = x[s:s + test_block]
-                    d = np.zeros((len(xs), m))
-                    for j in range(t.shape[1]):  # summed in vector order
-                        diff = t[:, j][None, :] - xs[:, j][:, None]
-                        d += diff * diff
-                    kk = min(k, m)
-                    bound = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-                    for i in range(len(xs)):
-                        cand = np.nonzero(d[i] <= bound[i])[0]
-                        bd, bk, by = best[s + i]
-                        dd = np.concatenate([bd, d[i, cand]])
-                        ks = np.concatenate([bk, tk[cand]])
-                        ys = np.concatenate([by, ty[cand]])
-                        order = np.lexsort((ks, dd))[:k]
-                        best[s + i] = (dd[order], ks[order], ys[order])
+            codes = _vector_codes(x)
+            x = x[np.unique(codes, return_index=True)[1]]
+            best: list = [[] for _ in range(len(x))]
+            for chunk in gathered(data.to_batches(columns=["k", "v", "y"], batch_size=batch_rows)):
+                keys, vectors, labels = (chunk.column(c).chunk(0) for c in ("k", "v", "y"))
+                t = vectors.flatten().to_numpy(zero_copy_only=False).reshape(chunk.num_rows, -1)
+                rows = _by_key(t, keys, k)
+                if len(rows):
+                    _add_nearest(best, x, t[rows], keys.take(pa.array(rows)), labels.take(pa.array(rows)), k, test_block)
             preds = []
-            for _, _, ys in best:
-                if not len(ys):
+            for found in best:
+                if not found:
                     preds.append(None)
                     continue
-                labels, votes = np.unique(np.asarray(list(ys)), return_counts=True)
+                labels, votes = np.unique(np.asarray([y for *_, y in found]), return_counts=True)
                 preds.append(labels[np.argmax(votes)].item())  # sorted: ties -> smaller
-            yield pd.DataFrame({"k": pdf["k"], out: preds})
+            yield pd.DataFrame({"k": pdf["k"], out: [preds[c] for c in codes]})
 
     schema = T.StructType([T.StructField("k", test.schema["k"].dataType),
                            T.StructField(out, label_type)])
