@@ -68,10 +68,15 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 def _windows(words: Column, short: bool) -> Column:
     """Hashes of the windows of a normalised text; of a shorter one, the whole if ``short``, else nothing."""
-    w = F.split(words, " ")
-    windows = F.transform(F.sequence(F.lit(1), F.size(w) - WINDOW + 1), lambda i: F.md5(F.array_join(F.slice(w, i, WINDOW), " ")))
-    whole = F.array(F.md5(words)) if short else F.array().cast("array<string>")
-    return F.when(words == "", F.array().cast("array<string>")).when(F.size(w) >= WINDOW, windows).otherwise(whole)
+    none = F.array().cast("array<string>")
+
+    def hashes(w: Column) -> Column:
+        windows = F.transform(F.sequence(F.lit(1), F.size(w) - WINDOW + 1), lambda i: F.md5(F.array_join(F.slice(w, i, WINDOW), " ")))
+        whole = F.array(F.md5(F.array_join(w, " "))) if short else none
+        return F.when(F.array_join(w, "") == "", none).when(F.size(w) >= WINDOW, windows).otherwise(whole)
+
+    # the words as the one element of an array: a lambda's argument is made once, a column inside a lambda for each window
+    return F.get(F.transform(F.array(F.split(words, " ")), hashes), F.lit(0))
 
 
 def links(rows: DataFrame) -> DataFrame:

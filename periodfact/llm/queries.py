@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from periodfact.llm import (bpe, chat, fill_middle, fingerprints, html_extract, neardup, packing, quality, runs, secret_scan,
                             token_counts, token_files, toxicity)
-from periodfact.llm.common import table
+from periodfact.llm.common import shared_table, table
 from periodfact.llm.oracle import CHAT, NEARDUP, QUOTED_REPLIES
 from periodfact.session import scratch_path
 
@@ -61,7 +61,10 @@ def op9_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op9's operator on the conversations with quotations put into them."""
-    return chat.digests(chat.with_quotations(table(spark, sf_dir, "conversations")))
+    quoting = chat.with_quotations(table(spark, sf_dir, "conversations"))
+    # stored once, as it is read several times, by at least a task for each core: the texts are short and the work on them isn't
+    return chat.digests(shared_table(quoting.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))),
+                                                         "conv_id", "turn"), "quoting"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

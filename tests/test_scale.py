@@ -64,3 +64,13 @@ def test_knn_bounds_keep_the_exact_neighbours(spark):
             d += (tr[:, j] - te[i, j]) ** 2
         labels, votes = np.unique(y[np.lexsort((keys, d))[:5]], return_counts=True)
         assert got[1000 + i] == f"c{labels[np.argmax(votes)]}"
+
+
+def test_words_are_split_once_for_all_windows(spark):
+    from periodfact.llm import chat
+    rows = spark.createDataFrame([(1, 0, "u", "one two three four five six"), (1, 1, "a", "> one two three four five six\nyes")],
+                                 "conv_id long, turn long, role string, text string")
+    links = chat.links(chat.parsed(rows))
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(lambda" in plan and "slice(split(" not in plan  # no split, and no normalising before it, for each window
+    assert [tuple(r) for r in links.collect()] == [(1, 1, 0)]
