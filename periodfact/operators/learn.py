@@ -16,7 +16,8 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -217,15 +218,178 @@ def _copied(train: DataFrame, label: str, key: str, seed: int, classes: dict, co
 
 
 # M4 M6 ------------------------------------------------------------------------
+MAX_BINS = 32           # of a feature, as in pyspark.ml's trees
+FINE = 1024             # percentiles that a feature's bins are chosen from
+MAX_GROUPS = 1 << 18    # of a grouped train side: the most a task of a grouped forest holds
+ROWS_A_GROUP = 16       # fewer rows a group: nothing is gained by grouping
+
+
 def fit_forest(train: DataFrame, label_col: str, features: str = "features", seed: int = 42,
                num_trees: int = 100, max_depth: int = 12):
-    """M4: random forest (depth set explicitly; the reference library grows unbounded)."""
+    """M4: random forest (depth set explicitly; the reference library grows unbounded).
+
+    Trees split binned features, so rows of the same bins and label are alike to
+    them.  Where such rows are many, they are counted once by Spark and trees grow
+    on the counts (:func:`_grow_tree`), each tree's bag a Poisson number of every
+    group's rows; else pyspark.ml's forest visits each row for each tree and level.
+    Depth, gini, bins, features a node and votes are those of pyspark.ml.
+    """
+    grouped = _grouped_forest(train, label_col, features, seed, num_trees, max_depth)
+    if grouped is not None:
+        return grouped
     rf = RandomForestClassifier(featuresCol=features, labelCol="label", numTrees=num_trees,
                                 maxDepth=max_depth, seed=seed, maxMemoryInMB=1024,
                                 cacheNodeIds=True)
     return _with_labels(rf, label_col).fit(train)
 
 
+def _entries(df: DataFrame, features: str, dims: int) -> DataFrame:
+    values = vector_to_array(F.col(q(features)))
+    return df.withColumns({f"__x{i}": values[i] for i in range(dims)})
+
+
+def _binning(rows: DataFrame, dims: int) -> Bucketizer | None:
+    """Bins of all rows' values: one for each of a few values, else between percentiles.  None if a value is not finite."""
+    at = ",".join(f"{i / FINE}D" for i in range(1, FINE))  # as text: a thousand columns take Python seconds to make
+    xs = [f"__x{i}" for i in range(dims)]
+    odd = F.max(F.greatest(*[F.isnan(x) | (F.abs(x) == math.inf) for x in xs], F.lit(False)))
+    found = rows.agg(odd, *[F.approx_count_distinct(x) for x in xs], *[F.expr(f"percentile_approx({x}, array({at}), 10000)") for x in xs]).first()
+    if found[0]:
+        return None
+    ends = [_bin_ends(np.array(values)) for values in found[1 + dims:]]
+    few = [i for i in range(dims) if found[1 + i] <= MAX_BINS]
+    sets = rows.agg(*[F.sort_array(F.collect_set(xs[i])) for i in few]).first() if few else ()
+    for i, values in zip(few, sets):
+        if len(values) <= MAX_BINS:
+            ends[i] = values[:-1]
+    # a value that ends a bin belongs to it
+    splits = [[-math.inf, *sorted({math.nextafter(v, math.inf) for v in e}), math.inf] for e in ends]
+    return Bucketizer(inputCols=xs, outputCols=[f"__b{i}" for i in range(dims)],
+                      splitsArray=[s if len(s) > 2 else [-math.inf, 0.0, math.inf] for s in splits], handleInvalid="keep")
+
+
+def _bin_ends(fine: np.ndarray) -> list[float]:
+    """Of many percentiles, the values that end a bin: those of a bin's rows or more, and the rest in even steps."""
+    values, counts = np.unique(fine, return_counts=True)
+    heavy = counts * MAX_BINS >= len(fine)
+    rest = np.repeat(values[~heavy], counts[~heavy])
+    steps = MAX_BINS - int(heavy.sum())
+    return [*values[heavy].tolist(), *(rest[len(rest) * i // steps] for i in range(1, steps) if len(rest))]
+
+
+def _grouped_forest(train: DataFrame, label_col: str, features: str, seed: int, num_trees: int, max_depth: int) -> "_GroupedForest | None":
+    """The forest from the counts of (bins, label), or None if they are too many, or hardly fewer than the rows."""
+    from periodfact.session import ensure_checkpoint_dir
+    spark = train.sparkSession
+    first = train.select(F.size(vector_to_array(F.col(q(features)))).alias("n")).first()
+    if not first or not first["n"]:
+        return None
+    dims = first["n"]
+    rows = _entries(train.select(features, label_col), features, dims)
+    binning = _binning(rows, dims)
+    if binning is None:  # pyspark.ml's forest says so
+        return None
+    bins = binning.getOutputCols()
+    ensure_checkpoint_dir(spark)
+    groups = (binning.transform(rows).groupBy(*[F.col(b).cast("int").alias(b) for b in bins], F.col(q(label_col)).cast("string").alias("y"))
+              .agg(F.count("*").alias("n")).checkpoint())
+    size = groups.agg(F.count("*").alias("groups"), F.sum("n").alias("rows"), F.sort_array(F.collect_set("y")).alias("labels"),
+                      F.max(F.col("y").isNull()).alias("unknown")).first()
+    if size["groups"] > MAX_GROUPS or size["rows"] < ROWS_A_GROUP * size["groups"]:
+        return None
+    labels = [*size["labels"], *([None] if size["unknown"] else [])]
+    tasks = min(num_trees, spark.sparkContext.defaultParallelism)
+    dealt = spark.range(0, tasks, 1, tasks).crossJoin(F.broadcast(groups))  # at most MAX_GROUPS rows
+    sizes = [max(len(s) for s in binning.getSplitsArray()), len(labels)]
+
+    def grow(batches):
+        pdf = pd.concat(list(batches), ignore_index=True)
+        y = pdf["y"].map({c: i for i, c in enumerate(labels) if c is not None}).fillna(len(labels) - 1).to_numpy(dtype=np.int64)
+        x = pdf[bins].to_numpy(dtype=np.int64)
+        order = np.lexsort([y, *x.T])  # the same trees however the groups arrive
+        x, y, n = x[order], y[order], pdf["n"].to_numpy()[order]
+        for tree in range(int(pdf["id"].iloc[0]), num_trees, tasks):
+            feature, end, left, share = _grow_tree(x, y, n, *sizes, max_depth, np.random.default_rng([seed % (1 << 63), tree]))
+            yield pd.DataFrame({"tree": tree, "node": np.arange(len(feature)), "feature": feature, "end": end, "left": left, "share": list(share)})
+
+    found = dealt.mapInPandas(grow, "tree int, node int, feature int, end int, left int, share array<double>").toPandas()
+    trees = [tuple(t[c].to_numpy() for c in ("feature", "end", "left")) + (np.stack(t["share"]),)
+             for _, t in found.sort_values(["tree", "node"]).groupby("tree")]
+    return _GroupedForest(features, dims, binning, labels, trees)
+
+
+def _grow_tree(x: np.ndarray, y: np.ndarray, n: np.ndarray, n_bins: int, n_classes: int, max_depth: int, rng) -> tuple:
+    """A gini tree on a bag of counted rows, level by level: feature (-1: a leaf), last bin of the left side, left child
+    (the right one follows) and class shares of each node."""
+    bag = rng.poisson(n)
+    if not bag.any():
+        bag = n
+    x, y, w = x[bag > 0], y[bag > 0], bag[bag > 0].astype(np.float64)
+    dims = x.shape[1]
+    tried = math.ceil(math.sqrt(dims))
+    at, m, made, levels = np.zeros(len(x), dtype=np.int64), 1, 1, []
+    for depth in range(max_depth + 1):
+        total = np.bincount(at * n_classes + y, w, m * n_classes).reshape(m, n_classes)
+        weight = total.sum(axis=1)
+        base = (total ** 2).sum(axis=1) / weight
+        best, feature, end = base + 1e-10 * weight, np.full(m, -1), np.zeros(m, dtype=np.int64)
+        mine = rng.random((m, dims)).argsort(axis=1).argsort(axis=1) < tried
+        for f in range(dims if depth < max_depth else 0):
+            held = np.bincount((at * n_bins + x[:, f]) * n_classes + y, w, m * n_bins * n_classes).reshape(m, n_bins, n_classes)
+            low = held.cumsum(axis=1)[:, :-1]
+            high = total[:, None] - low
+            a, b = low.sum(axis=2), high.sum(axis=2)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                purity = np.where((a > 0) & (b > 0), (low ** 2).sum(axis=2) / a + (high ** 2).sum(axis=2) / b, -1.0)
+            cut = purity.argmax(axis=1)
+            gain = purity[np.arange(m), cut]
+            better = mine[:, f] & (gain > best)
+            best, feature, end = np.where(better, gain, best), np.where(better, f, feature), np.where(better, cut, end)
+        inner = feature >= 0
+        rank = np.cumsum(inner) - 1
+        levels.append((feature, end, np.where(inner, made + 2 * rank, 0), total / weight[:, None]))
+        if not inner.any():
+            break
+        kept = inner[at]
+        x, y, w, at = x[kept], y[kept], w[kept], at[kept]
+        at = 2 * rank[at] + (x[np.arange(len(x)), feature[at]] > end[at])
+        m = 2 * int(inner.sum())
+        made += m
+    feature, end, left, share = (np.concatenate(c) for c in zip(*levels))
+    says = share.argmax(axis=1)
+    for i in np.flatnonzero(feature >= 0)[::-1]:  # leaves of one parent that say the same are one
+        a = left[i]
+        if feature[a] < 0 and feature[a + 1] < 0 and says[a] == says[a + 1]:
+            feature[i] = -1
+    return feature, end, left, share
+
+
+class _GroupedForest:
+    """The trees of :func:`_grouped_forest` on binned features: the class with most shares, of equals the first."""
+
+    def __init__(self, features: str, dims: int, binning: Bucketizer, labels: list, trees: list):
+        self.features, self.dims, self.binning, self.labels, self.trees = features, dims, binning, labels, trees
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        labels, trees = np.array(self.labels, dtype=object), self.trees
+
+        def vote(*bins: pd.Series) -> pd.Series:
+            x, back = np.unique(np.column_stack([b.to_numpy(dtype=np.int64) for b in bins]), axis=0, return_inverse=True)
+            votes = np.zeros((len(x), len(labels)))
+            for feature, end, left, share in trees:
+                at = np.zeros(len(x), dtype=np.int64)
+                moving = np.arange(len(x))
+                while len(moving := moving[feature[at[moving]] >= 0]):
+                    here = at[moving]
+                    at[moving] = left[here] + (x[moving, feature[here]] > end[here])
+                votes += share[at]
+            return pd.Series(labels[votes.argmax(axis=1)][back.reshape(-1)], dtype=object)
+
+        binned = self.binning.transform(_entries(df, self.features, self.dims))
+        bins = self.binning.getOutputCols()
+        return binned.withColumn("predicted", F.pandas_udf(vote, "string")(*bins)).drop(*bins, *self.binning.getInputCols())
+
+
 def fit_linear_svm(train: DataFrame, label_col: str, features: str = "features",
                    max_iter: int = 20, reg: float = 1e-3, parallelism: int = 4):
     """M6: linear SVM for several classes (one-vs-rest, classes fitted concurrently).

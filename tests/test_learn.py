@@ -140,3 +140,30 @@ def test_models_learn_more_than_the_split(spark):
         pred = fit(train, "lang").transform(test).select(F.col("lang").alias("label"), "predicted")
         accuracy = L.score(pred).first()["accuracy"]
         assert accuracy >= floor > largest, (fit.__name__, accuracy, largest)
+
+
+def test_forest_grows_on_counts_of_alike_rows(spark, monkeypatch):
+    """Many rows of few kinds: counted trees, the same for any partitions, that say what pyspark.ml's forest says."""
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.integers(0, 6, 8000), rng.choice([0.0, 0.0, 0.5, 2.5, 9.0], 8000), rng.integers(0, 2, 8000)]).astype(float)
+    y = np.where(x[:, 0] > 3, "b", np.where(x[:, 1] > 1, "c", "a"))
+    y = np.where(rng.random(8000) < 0.05, "b", y)
+    rows = [(i, *map(float, x[i]), str(y[i]) if i % 400 else None) for i in range(8000)]
+    df = L.assemble_features(spark.createDataFrame(rows, "id long, u double, v double, w double, y string"), ["u", "v", "w"])
+    said = []
+    for train in (df.repartition(7), df.coalesce(1)):
+        model = L.fit_forest(train, "y", seed=3)
+        assert len(model.trees) == 100 and max(len(t[0]) for t in model.trees) < 200
+        said.append({r.id: r.predicted for r in model.transform(df).select("id", "predicted").collect()})
+    assert said[0] == said[1]
+    monkeypatch.setattr(L, "MAX_GROUPS", 0)
+    known = df.where("y is not null")
+    other = {r.id: r.predicted for r in L.fit_forest(known, "y", seed=3).transform(known).select("id", "predicted").collect()}
+    assert sum(said[0][i] == p for i, p in other.items()) > 0.99 * len(other)
+
+
+def test_tree_on_counts_splits_where_gini_falls_most():
+    x = np.array([[0, 1], [1, 0], [2, 1], [3, 0]])
+    feature, end, left, share = L._grow_tree(x[:, :1], np.array([0, 0, 1, 1]), np.array([500, 400, 300, 200]), 4, 2, 12, np.random.default_rng(1))
+    assert feature.tolist() == [0, -1, -1] and end[0] == 1 and left[0] == 1 and share[1:].tolist() == [[1.0, 0.0], [0.0, 1.0]]
+    assert L._bin_ends(np.array([0.0] * 60 + list(range(1, 41))))[0] == 0.0
