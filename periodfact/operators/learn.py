@@ -232,7 +232,8 @@ def fit_forest(train: DataFrame, label_col: str, features: str = "features", see
     them.  Where such rows are many, they are counted once by Spark and trees grow
     on the counts (:func:`_grow_tree`), each tree's bag a Poisson number of every
     group's rows; else pyspark.ml's forest visits each row for each tree and level.
-    Depth, gini, bins, features a node and votes are those of pyspark.ml.
+    Depth, gini, the number of bins, features a node and votes are those of pyspark.ml;
+    it takes the bins from a sample, this from percentiles of all rows.
     """
     grouped = _grouped_forest(train, label_col, features, seed, num_trees, max_depth)
     if grouped is not None:
@@ -486,29 +487,62 @@ def _by_key(v: np.ndarray, keys: pa.Array, k: int) -> np.ndarray:
     return order[codes.groupby(codes).cumcount().to_numpy() < k]
 
 
+BOX_ROWS = 256
+
+
+def _boxes(t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of ``t`` in boxes of rows that are neighbours in value order: each row's box, least and greatest corners."""
+    order = np.lexsort(t.T[::-1])
+    starts = np.arange(0, len(t), BOX_ROWS)
+    box = np.empty(len(t), dtype=np.int64)
+    box[order] = np.arange(len(t)) // BOX_ROWS
+    return box, np.minimum.reduceat(t[order], starts), np.maximum.reduceat(t[order], starts)
+
+
+def _box_gaps(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """No row of ``x`` is nearer to a row of a box than this squared distance."""
+    gap = np.maximum(0.0, np.maximum(low - x.max(axis=0), x.min(axis=0) - high))
+    return (gap * gap).sum(axis=1)
+
+
 def _add_nearest(best: list, x: np.ndarray, t: np.ndarray, keys: pa.Array, labels: pa.Array, k: int, test_block: int) -> None:
     """Merge the rows ``t``, which are in key order, into the k ``best`` (distance, null key, key, label) of each row of ``x``.
 
-    A matrix product bounds all distances of a block from both sides; only the
-    pairs that may be among the k nearest by it get the exact distance, squared
-    differences summed in vector order.
+    Boxes of training rows too far from all of a block are left out.  Of the others a
+    matrix product bounds all distances from both sides; only the pairs that may be
+    among the k nearest by it get the exact distance, squared differences summed in
+    vector order.
     """
     m, dims = t.shape
     with np.errstate(all="ignore"):
         x2, t2 = (x * x).sum(axis=1), (t * t).sum(axis=1)
         slack = 16 * (dims + 8) * np.finfo(np.float64).eps * (x2 + t2.max())  # of product and sum, well above their rounding
         left, right = np.column_stack([x, np.ones(len(x))]), np.column_stack([-2.0 * t, t2]).T.copy()
+        box, low, high = _boxes(t)
+        filled = np.bincount(box)
+        placed = np.lexsort(x.T[::-1])  # a block's test rows are neighbours too
         for s in range(0, len(x), test_block):
-            e = min(s + test_block, len(x))
-            near = left[s:e] @ right  # less the square of the test row
-            limit = np.array([found[-1][0] if len(found) == k else np.inf for found in best[s:e]])
+            mine = placed[s:s + test_block]
+            limit = np.array([best[i][-1][0] if len(best[i]) == k else np.inf for i in mine])
             new = np.flatnonzero(np.isinf(limit))
-            if len(new) and m >= k:
-                limit[new] = np.partition(near[new], k - 1, axis=1)[:, k - 1] + x2[s:e][new] + slack[s:e][new]
-            row, col = np.nonzero(~(near > (limit + slack[s:e] - x2[s:e])[:, None]))  # a NaN stays in
+            seen, gaps = None, _box_gaps(x[mine], low, high)
+            if len(low) > 1 and m >= k:
+                bound = limit + slack[mine]
+                if len(new):
+                    by_gap = np.argsort(gaps, kind="stable")
+                    some = np.flatnonzero(np.isin(box, by_gap[:np.searchsorted(filled[by_gap].cumsum(), k) + 1]))
+                    bound[new] = np.partition(left[mine[new]] @ right[:, some], k - 1, axis=1)[:, k - 1] + x2[mine[new]] + 2 * slack[mine[new]]
+                may = ~(gaps > (bound + slack[mine]).max())  # a NaN stays in
+                if filled[may].sum() < m / 2:
+                    seen = np.flatnonzero(may[box])
+            near = left[mine] @ (right if seen is None else right[:, seen])  # less the square of the test row
+            if len(new) and near.shape[1] >= k:
+                limit[new] = np.partition(near[new], k - 1, axis=1)[:, k - 1] + x2[mine][new] + slack[mine][new]
+            row, col = np.nonzero(~(near > (limit + slack[mine] - x2[mine])[:, None]))  # a NaN stays in
+            row, col = mine[row], col if seen is None else seen[col]
             d = np.zeros(len(row))
             for j in range(dims):  # summed in vector order
-                diff = t[col, j] - x[s + row, j]
+                diff = t[col, j] - x[row, j]
                 d += diff * diff
             known = ~np.isnan(d)
             row, col, d = row[known], col[known], d[known]
@@ -517,9 +551,9 @@ def _add_nearest(best: list, x: np.ndarray, t: np.ndarray, keys: pa.Array, label
             first = np.searchsorted(row, row)
             kept = np.arange(len(row)) - first < k
             row, col, d = row[kept], col[kept], d[kept]
-            for i, dist, key, y in zip((s + row).tolist(), d.tolist(), keys.take(pa.array(col)).to_pylist(), labels.take(pa.array(col)).to_pylist()):
+            for i, dist, key, y in zip(row.tolist(), d.tolist(), keys.take(pa.array(col)).to_pylist(), labels.take(pa.array(col)).to_pylist()):
                 best[i].append((dist, key is None, key, y))
-            for i in np.unique(s + row).tolist():
+            for i in np.unique(row).tolist():
                 best[i] = sorted(best[i], key=lambda found: found[:3])[:k]
 
 

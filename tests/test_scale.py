@@ -66,6 +66,27 @@ def test_knn_bounds_keep_the_exact_neighbours(spark):
         assert got[1000 + i] == f"c{labels[np.argmax(votes)]}"
 
 
+def test_knn_leaves_far_boxes_out_and_keeps_the_exact_neighbours(monkeypatch):
+    """Rows of many boxes, ties and equal rows: few distances are bounded, and the neighbours are those of all pairs."""
+    monkeypatch.setattr(L, "BOX_ROWS", 16)
+    rng = np.random.default_rng(7)
+    for make in (lambda n: rng.integers(0, 400, (n, 2)).astype(float), lambda n: np.round(rng.normal(size=(n, 4)) * 3) * (rng.random((n, 4)) < 0.4) + 1e5):
+        t, x, keys = make(3000), make(200), rng.permutation(3000)
+        t, keys = t[np.argsort(keys)], np.sort(keys)
+        best = [[] for _ in x]
+        for part in (slice(0, 1500), slice(1500, 3000)):
+            L._add_nearest(best, x, t[part], pa.array(keys[part]), pa.array(keys[part]), 5, 9)
+        for i in range(200):
+            d = np.zeros(3000)
+            for j in range(t.shape[1]):
+                d += (t[:, j] - x[i, j]) ** 2
+            assert [(f[0], f[2]) for f in best[i]] == [(d[n], keys[n]) for n in np.lexsort((keys, d))[:5]]
+    t = np.column_stack([np.arange(64.0), np.zeros(64)])
+    box, low, high = L._boxes(t[::-1])
+    assert np.bincount(box).tolist() == [16] * 4 and box[0] == 3
+    assert L._box_gaps(np.array([[0.0, 3.0], [2.0, 3.0]]), low, high).tolist() == [9.0, 14.0 ** 2 + 9, 30.0 ** 2 + 9, 46.0 ** 2 + 9]
+
+
 def test_words_are_split_once_for_all_windows(spark):
     from periodfact.llm import chat
     rows = spark.createDataFrame([(1, 0, "u", "one two three four five six"), (1, 1, "a", "> one two three four five six\nyes")],
