@@ -95,3 +95,32 @@ def test_words_are_split_once_for_all_windows(spark):
     plan = links._jdf.queryExecution().optimizedPlan().toString()
     assert "slice(lambda" in plan and "slice(split(" not in plan  # no split, and no normalising before it, for each window
     assert [tuple(r) for r in links.collect()] == [(1, 1, 0)]
+
+
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+def test_quoted_lines_are_read_once_and_units_stay_where_they_are_made(spark):
+    from periodfact.llm import chat
+    rows = spark.createDataFrame([(1, 0, "u", "one two three four five six"), (1, 1, "a", "> one two three four five six\nyes")], CHAT)
+    plan = chat.links(chat.parsed(rows))._jdf.queryExecution()
+    filters = [line for line in plan.optimizedPlan().toString().splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert filters and not any("transform(" in line or "split(" in line for line in filters)  # each lambda there reads all lines for each line
+    assert not re.search(r"hashpartitioning\([^)]*\bh#", plan.executedPlan().toString())
+
+
+def test_a_long_conversation_links_as_a_short_one(spark, monkeypatch):
+    """Dealt out by units or by conversation, with repeated rows, repeated passages and quotes of later messages."""
+    from periodfact.llm import chat
+    said = [f"word{k} two{k % 3} three four five six\nshort {k}. Well {k % 2}!" for k in range(12)]
+    rows = [(c, k, "u", "".join(f"> {x}\n" for x in said[(k * 7 + c) % 12].split("\n")) + "> again\n\n> again\n>> " + said[max(k - 2, 0)].split("\n")[0]
+             + "\n" + said[k]) for c in range(4) for k in range(12)]
+    rows += [rows[5], (1, 5, "u", "> " + said[0].split("\n")[0] + "\nagain"), (9, 0, "u", "no quote"), (9, 1, "u", "no quote"), (None, 1, "u", "> no quote"),
+             (1, None, "u", "> " + said[0])]
+    frame = spark.createDataFrame(rows, CHAT)
+    usual = sorted(map(tuple, chat.links(chat.parsed(frame)).collect()))
+    assert len(usual) > 20
+    for task, long in ((1, 16384), (3, 12), (2, 1)):  # conversation 1 alone is longer than 12
+        monkeypatch.setattr(chat, "TASK", task)
+        monkeypatch.setattr(chat, "LONG", long)
+        assert sorted(map(tuple, chat.links(chat.parsed(frame)).collect())) == usual
