@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -391,6 +392,14 @@ class _GroupedForest:
         return binned.withColumn("predicted", F.pandas_udf(vote, "string")(*bins)).drop(*bins, *self.binning.getInputCols())
 
 
+def _lean(model):
+    """The model without its training summary: that holds the session, which can't go to tasks once an Observation was made in it."""
+    none = SparkContext._active_spark_context._jvm.scala.Option.empty()
+    for one in getattr(model, "models", [model]):
+        one._java_obj.setSummary(none)
+    return model
+
+
 def fit_linear_svm(train: DataFrame, label_col: str, features: str = "features",
                    max_iter: int = 20, reg: float = 1e-3, parallelism: int = 4):
     """M6: linear SVM for several classes (one-vs-rest, classes fitted concurrently).
@@ -427,7 +436,7 @@ def fit_pairwise_svm(train: DataFrame, label_col: str, features: str = "features
                          rawPredictionCol="raw", predictionCol="side").fit(two)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return _PairwiseModel(classes, dict(zip(pairs, pool.map(fit, pairs))))
+        return _PairwiseModel(classes, dict(zip(pairs, map(_lean, pool.map(fit, pairs)))))
 
 
 class _PairwiseModel:
@@ -456,7 +465,7 @@ class _LabelledEstimator:
 
     def fit(self, train: DataFrame):
         idx = self.indexer.fit(train)
-        model = self.estimator.fit(idx.transform(train))
+        model = _lean(self.estimator.fit(idx.transform(train)))
         back = IndexToString(inputCol="prediction", outputCol="predicted", labels=idx.labels)
         return _LabelledModel(model, back)
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from periodfact.operators import learn as L
@@ -167,3 +168,13 @@ def test_tree_on_counts_splits_where_gini_falls_most():
     feature, end, left, share = L._grow_tree(x[:, :1], np.array([0, 0, 1, 1]), np.array([500, 400, 300, 200]), 4, 2, 12, np.random.default_rng(1))
     assert feature.tolist() == [0, -1, -1] and end[0] == 1 and left[0] == 1 and share[1:].tolist() == [[1.0, 0.0], [0.0, 1.0]]
     assert L._bin_ends(np.array([0.0] * 60 + list(range(1, 41))))[0] == 0.0
+
+
+def test_models_predict_in_a_session_that_has_observed(spark):
+    from pyspark.sql import Observation
+    spark.range(3).observe(Observation("seen"), F.count("*").alias("n")).collect()
+    train = spark.createDataFrame([(Vectors.dense([float(i), float(i % 3)]), "low" if i < 20 else "high") for i in range(40)], ["v", "y"])
+    for fit in (L.fit_linear_svm, L.fit_pairwise_svm):
+        assert fit(train, "y", "v").transform(train).where("predicted = y").count() >= 36
+    forest = L.RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=3, seed=1)
+    assert L._with_labels(forest, "y").fit(train).transform(train).where("predicted = y").count() >= 36
